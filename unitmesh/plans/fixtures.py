@@ -191,13 +191,13 @@ def _order(names: list[str]) -> list[str]:
     return seen
 
 
-def with_clause(names: list[str], tables: dict[str, str]) -> str:
+def with_clause(names: list[str], tables: dict[str, str], recursive: bool = False) -> str:
     """``WITH f_a AS (...), f_b AS (...)`` for the named fixtures and their deps."""
     parts = []
     for n in _order(names):
         body = FIXTURES[n][0].format(**tables)
         parts.append(f"{n} AS (\n{body}\n)")
-    return "WITH " + ",\n".join(parts) + "\n"
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n"
 
 
 DUCKDB_TABLES = {t: t for t in RAW_TABLES}
