@@ -176,6 +176,31 @@ from {part} a join {part} b on b.p_partkey = a.p_partkey + 1
 """)
 
 
+# Group memberships of the suppliers: a balance band and, for even keys, a second group.
+_fx("f_unit_group", (), """
+select concat('S', lpad(cast(s_suppkey as string), 10, '0')) as uid,
+       concat('GB', cast(cast(floor((s_acctbal + 1000) / 2500) as int) as string)) as group_id,
+       concat('BAND', cast(cast(floor((s_acctbal + 1000) / 2500) as int) as string)) as group_code,
+       concat('Balance band ', cast(cast(floor((s_acctbal + 1000) / 2500) as int) as string)) as group_name
+from {supplier}
+union all
+select concat('S', lpad(cast(s_suppkey as string), 10, '0')), 'GEVEN', cast(null as string), 'Even supplier'
+from {supplier} where s_suppkey % 2 = 0
+""")
+
+# Data set membership of the data elements.
+_fx("f_dataset_member", ("f_dataelement",), """
+select concat('DS', cast(dataelementid % 3 as string)) as dataset_id, dataelementid from f_dataelement
+""")
+
+# Warehouse-named value records (the reverse of f_payload's names).
+_fx("f_warehouse", ("f_payload",), """
+select orgUnit as location, dataElement as id, period, categoryOptionCombo as disaggregation,
+       attributeOptionCombo as attribution, value, storedby, comment, followup
+from f_payload
+""")
+
+
 def _order(names: list[str]) -> list[str]:
     seen: list[str] = []
 
