@@ -89,7 +89,10 @@ def to_facility(units: DataFrame) -> DataFrame:
 
 def admin_report(units: DataFrame, levels: int = 4) -> DataFrame:
     """PRJ11: Admin_1_name .. Admin_n_name (ancestor names by level), name, id."""
-    cols = [F.get(F.filter("ancestors", lambda a, n=n: a.getField("level") == n), 0).getField("name").alias(f"Admin_{n}_name")
+    def at_level(n: int):
+        return lambda a: a.getField("level") == n
+
+    cols = [F.get(F.filter("ancestors", at_level(n)), 0).getField("name").alias(f"Admin_{n}_name")
             for n in range(1, levels + 1)]
     return units.select(*cols, "name", "id")
 
