@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
+from unitmesh.functions.decimals import decimal_text, to_decimal
 from unitmesh.plans.joins import join_small
 
 # Fixed values of the reference: column names on both sides and default field lists.
@@ -115,3 +116,15 @@ def data_values(values: DataFrame, members: DataFrame, data_set: str, org_units:
     v = join_small(v, elems, "dataelementid", "left_semi")
     return join_small(v, org_units.select(F.col("organisationunitid").alias("sourceid")).distinct(),
                       "sourceid", "left_semi")
+
+
+def scale_values(values: DataFrame, factors: DataFrame, key: str = "dataelementid",
+                 value_col: str = "value", factor_col: str = "factor", cast_mode: str = "ansi") -> DataFrame:
+    """UDF2 of the reference (a per-partition multiply by a value from a shipped file),
+    as a join: ``scaled`` = value x factor of the row's key, as canonical decimal text.
+    Rows without a factor keep a NULL ``scaled``. The factor table is broadcast when
+    proven small; no UDF is involved."""
+    f = factors.select(key, F.col(factor_col).cast("decimal(18,6)").alias("_factor"))
+    j = join_small(values, f, key, "left")
+    scaled = decimal_text(to_decimal(F.col(value_col), cast_mode) * F.col("_factor"))
+    return j.withColumn("scaled", scaled).drop("_factor")

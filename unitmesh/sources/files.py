@@ -18,7 +18,7 @@ def trim_all(c) -> F.Column:
 def read_directives(spark: SparkSession, path: str, header: bool = True, extra_columns: int = 0) -> DataFrame:
     """SRC1: positional directive CSV (comma, ``"`` quotes, UTF-8), every cell trimmed.
 
-    Columns 0..8 are named as in :data:`DIRECTIVE_COLUMNS`; ``extra_columns`` more
+    Blank cells read as ''. Columns 0..8 are named as in :data:`DIRECTIVE_COLUMNS`; ``extra_columns`` more
     positional columns are kept as ``col9``... . A ``row_no`` column in the file
     gives the row order; otherwise the order is taken from the read (so a directive
     file without ``row_no`` must be a single, unsplit file).
@@ -29,7 +29,7 @@ def read_directives(spark: SparkSession, path: str, header: bool = True, extra_c
            .option("mode", "PERMISSIVE").csv(path))
     has_row_no = "row_no" in raw.columns
     cols = [c for c in raw.columns if c != "row_no"]
-    renamed = [trim_all(F.col(f"`{c}`")).alias(names[i]) for i, c in enumerate(cols[:len(names)])]
+    renamed = [F.coalesce(trim_all(F.col(f"`{c}`")), F.lit("")).alias(names[i]) for i, c in enumerate(cols[:len(names)])]
     missing = [F.lit("").alias(n) for n in names[len(cols):]]
     row_no = (F.col("row_no").cast("long") if has_row_no else F.monotonically_increasing_id()).alias("row_no")
     return raw.select(row_no, *renamed, *missing)
