@@ -9,8 +9,6 @@ against the ids of the deleted sites, broadcast when that id set is proven small
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from pyspark.sql import DataFrame, functions as F
 
 from unitmesh.operators.numbering import row_numbers
@@ -54,11 +52,14 @@ STATUS_DELETED = "deleted"
 
 def validate_deletes(requests: DataFrame, orgunits: DataFrame) -> DataFrame:
     """``requests`` (uid) plus ``organisationunitid`` and ``status``."""
-    units = orgunits.groupBy("uid").agg(F.min("organisationunitid").alias("organisationunitid"))
+    wanted = small_side(requests.select("uid").distinct())
+    units = (orgunits.join(wanted, "uid", "left_semi")
+             .groupBy("uid").agg(F.min("organisationunitid").alias("organisationunitid")))
     parents = (orgunits.where(F.col("parentid").isNotNull())
+               .join(small_side(units.select(F.col("organisationunitid").alias("parentid"))), "parentid", "left_semi")
                .select(F.col("parentid").alias("organisationunitid")).distinct()
                .withColumn("has_children", F.lit(True)))
-    r = requests.join(small_side(units), "uid", "left").join(parents, "organisationunitid", "left")
+    r = requests.join(units, "uid", "left").join(parents, "organisationunitid", "left")
     status = (F.when(F.col("organisationunitid").isNull(), F.lit(STATUS_UNKNOWN))
               .when(F.col("has_children"), F.lit(ERR_CHILDREN))
               .otherwise(F.lit(STATUS_DELETED)))
@@ -93,12 +94,82 @@ def resequence(members: DataFrame, object_col: str, ids: DataFrame,
     return keep.unionByName(redo.select(*members.columns))
 
 
-@dataclass
 class CascadeResult:
-    requests: DataFrame                       # requests with id and status
-    tables: dict[str, DataFrame]              # every given table after the delete
-    counts: DataFrame                         # (table_name, deleted_rows)
-    ids: DataFrame = field(repr=False)        # deleted organisationunitid
+    """Outcome of a cascade delete. Tables are built on first access, so asking for
+    one table plans (and probes) only what that table needs."""
+
+    def __init__(self, tables: dict[str, DataFrame], requests: DataFrame, ids: DataFrame,
+                 chart_literal: bool, object_cols: dict[str, str]):
+        self.requests = requests                  # requests with id and status
+        self.ids = ids                            # deleted organisationunitid
+        self._in = tables
+        self._chart_literal = chart_literal
+        self._objects = object_cols
+        self._out: dict[str, DataFrame] = {}
+        self._ids_small: DataFrame | None = None
+        self._inst: DataFrame | None = None
+
+    def _small_ids(self) -> DataFrame:
+        if self._ids_small is None:
+            self._ids_small = small_side(self.ids)
+        return self._ids_small
+
+    def _instances(self) -> DataFrame:
+        """Stage instances of the deleted sites (the middle hop)."""
+        if self._inst is None:
+            if "programstageinstance" not in self._in:
+                raise ValueError("programstageinstance is needed to delete its dependents")
+            inst = (self._in["programstageinstance"].join(self._small_ids(), "organisationunitid", "left_semi")
+                    .select("programstageinstanceid").distinct())
+            self._inst = small_side(inst)
+        return self._inst
+
+    def _keys(self, name: str) -> tuple[str, DataFrame]:
+        """(key column of ``name``, DataFrame of deleted keys under that name)."""
+        if name in DIRECT_DEPENDENTS or name == "organisationunit":
+            key = DIRECT_DEPENDENTS.get(name, "organisationunitid")
+            return key, self._small_ids().select(F.col("organisationunitid").alias(key))
+        if name in VIA_STAGE_INSTANCE:
+            return "programstageinstanceid", self._instances()
+        if name in self._objects:
+            return "organisationunitid", self._small_ids()
+        raise KeyError(name)
+
+    def table(self, name: str) -> DataFrame:
+        """``name`` after the delete (unrelated tables come back unchanged)."""
+        if name not in self._out:
+            df = self._in[name]
+            if name in self._objects:
+                self._out[name] = resequence(
+                    df, self._objects[name], self._small_ids(),
+                    touched_after_delete=self._chart_literal and name == "chart_organisationunits")
+            else:
+                try:
+                    key, k = self._keys(name)
+                except KeyError:
+                    self._out[name] = df
+                else:
+                    self._out[name] = df.join(k, key, "left_anti")
+        return self._out[name]
+
+    @property
+    def tables(self) -> dict[str, DataFrame]:
+        return {n: self.table(n) for n in self._in}
+
+    def counts(self) -> DataFrame:
+        """(table_name, deleted_rows) for every given table the delete touches."""
+        parts = []
+        for name, df in self._in.items():
+            try:
+                key, k = self._keys(name)
+            except KeyError:
+                continue
+            parts.append(df.join(k, key, "left_semi").agg(F.count(F.lit(1)).alias("deleted_rows"))
+                         .select(F.lit(name).alias("table_name"), "deleted_rows"))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
 
 
 def delete_sites(tables: dict[str, DataFrame], requests: DataFrame, orgunits: DataFrame,
@@ -106,65 +177,43 @@ def delete_sites(tables: dict[str, DataFrame], requests: DataFrame, orgunits: Da
     """Cascade delete of every requested site over the tables that are given.
 
     ``tables`` maps reference table names to DataFrames; absent tables are skipped.
-    ``organisationunit`` (if given) loses the deleted units themselves.
+    ``organisationunit`` (if given) loses the deleted units themselves. Member lists
+    are re-sequenced (chart literally: never, see :func:`resequence`).
     """
     validated = validate_deletes(requests, orgunits)
-    ids = deleted_ids(validated)
-    ids_small = small_side(ids)
     objects = dict(MEMBER_LISTS)
     objects.update(member_object_cols or {})
-    out: dict[str, DataFrame] = {}
-    counts = []
-
-    def drop(name: str, df: DataFrame, key: str, id_df: DataFrame, id_col: str) -> None:
-        k = id_df.select(F.col(id_col).alias(key))
-        out[name] = df.join(k, key, "left_anti")
-        counts.append(df.join(k, key, "left_semi").agg(F.count(F.lit(1)).alias("deleted_rows"))
-                      .select(F.lit(name).alias("table_name"), "deleted_rows"))
-
-    for name, key in DIRECT_DEPENDENTS.items():
-        if name in tables:
-            drop(name, tables[name], key, ids_small, "organisationunitid")
-    if any(t in tables for t in VIA_STAGE_INSTANCE):
-        if "programstageinstance" not in tables:
-            raise ValueError("programstageinstance is needed to delete its dependents")
-        inst = (tables["programstageinstance"].join(ids_small, "organisationunitid", "left_semi")
-                .select("programstageinstanceid").distinct())
-        inst = small_side(inst)
-        for name in VIA_STAGE_INSTANCE:
-            if name in tables:
-                drop(name, tables[name], "programstageinstanceid", inst, "programstageinstanceid")
-    for name, obj in objects.items():
-        if name in tables:
-            members = tables[name]
-            out[name] = resequence(members, obj, ids_small,
-                                   touched_after_delete=chart_literal and name == "chart_organisationunits")
-            counts.append(members.join(ids_small, "organisationunitid", "left_semi")
-                          .agg(F.count(F.lit(1)).alias("deleted_rows"))
-                          .select(F.lit(name).alias("table_name"), "deleted_rows"))
-    if "organisationunit" in tables:
-        drop("organisationunit", tables["organisationunit"], "organisationunitid", ids_small, "organisationunitid")
-    for name, df in tables.items():
-        out.setdefault(name, df)
-    count_df = counts[0]
-    for c in counts[1:]:
-        count_df = count_df.unionByName(c)
-    return CascadeResult(requests=validated, tables=out, counts=count_df, ids=ids)
+    return CascadeResult(tables, validated, deleted_ids(validated), chart_literal, objects)
+
+
+class MergedSites:
+    """MRG2 outcome; each table is planned on first access."""
+
+    def __init__(self, tables, dataelement, merge_map, strategy, run_ts, orgunits):
+        self._tables = tables
+        self._args = (dataelement, merge_map, strategy, run_ts)
+        sources = (merge_map.select(F.col("source_id").alias("organisationunitid")).distinct()
+                   .join(orgunits.select("organisationunitid", "uid"), "organisationunitid")
+                   .select("uid"))
+        rest = {k: v for k, v in tables.items() if k != "datavalue"}
+        self._cascade = delete_sites(rest, sources, orgunits)
+        self._datavalue: DataFrame | None = None
+
+    def table(self, name: str) -> DataFrame:
+        if name != "datavalue":
+            return self._cascade.table(name)
+        if self._datavalue is None:
+            from unitmesh.operators.merge import merge_values, replace_sites
+
+            dataelement, merge_map, strategy, run_ts = self._args
+            dv = self._tables["datavalue"]
+            res = merge_values(dv, dataelement, merge_map, strategy, run_ts)
+            self._datavalue = replace_sites(dv, res.staged, res.sites)
+        return self._datavalue
 
 
 def merge_sites(tables: dict[str, DataFrame], dataelement: DataFrame, merge_map: DataFrame,
-                strategy: str, run_ts: str, orgunits: DataFrame) -> dict[str, DataFrame]:
+                strategy: str, run_ts: str, orgunits: DataFrame) -> MergedSites:
     """MRG2: merge the values of every pair, then remove each source site with its
     other dependents (which are dropped, not moved to the destination)."""
-    from unitmesh.operators.merge import merge_values, replace_sites
-
-    res = merge_values(tables["datavalue"], dataelement, merge_map, strategy, run_ts)
-    merged = dict(tables)
-    merged["datavalue"] = replace_sites(tables["datavalue"], res.staged, res.sites)
-    sources = (merge_map.select(F.col("source_id").alias("organisationunitid")).distinct()
-               .join(orgunits.select("organisationunitid", "uid"), "organisationunitid")
-               .select("uid"))
-    rest = {k: v for k, v in merged.items() if k != "datavalue"}
-    done = delete_sites(rest, sources, orgunits)
-    done.tables["datavalue"] = merged["datavalue"]
-    return done.tables
+    return MergedSites(tables, dataelement, merge_map, strategy, run_ts, orgunits)

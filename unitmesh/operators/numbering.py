@@ -9,7 +9,8 @@ its partition plus the number of rows of its group in earlier partitions:
 1. range exchange on (g, o) and a sort inside each partition (one shuffle);
 2. per (partition, group): first position and row count (small aggregate);
 3. running total of those counts over the partitions of each group (small window);
-4. join the offsets back (broadcast when the aggregate is proven small).
+4. join the offsets back. The offsets come out of a shuffle, so AQE knows their
+   exact size at run time and broadcasts them when small (no extra probe job).
 
 The ordering columns must make rows unique within a group, so that the sort, and
 with it every number, is the same if a task is re-run.
@@ -19,7 +20,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from unitmesh.plans.joins import join_small
 
 
 def row_numbers(df: DataFrame, group: list[str], order: list[str], out: str = "row_number",
@@ -34,6 +34,6 @@ def row_numbers(df: DataFrame, group: list[str], order: list[str], out: str = "r
     stats = ranged.groupBy("_pid", *group).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    joined = join_small(ranged, stats.select("_pid", *group, "_first", "_before"), ["_pid"] + group, "inner")
+    joined = ranged.join(stats.select("_pid", *group, "_first", "_before"), ["_pid"] + group, "inner")
     return (joined.withColumn(out, F.col("_before") + (F.col("_pos") - F.col("_first")) + 1)
             .drop("_pid", "_pos", "_first", "_before"))

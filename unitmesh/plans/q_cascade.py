@@ -54,7 +54,7 @@ from f_datavalue v where not exists (select 1 from del d where d.organisationuni
 """))
 def delete_direct(spark, sf):
     """DEL1, direct key: the data value table after deleting the requested sites."""
-    return _cascade(spark, sf).tables["datavalue"]
+    return _cascade(spark, sf).table("datavalue")
 
 
 @query("delete_two_hop", _sql("""
@@ -63,7 +63,7 @@ where not exists (select 1 from gone_inst g where g.programstageinstanceid = v.p
 """))
 def delete_two_hop(spark, sf):
     """DEL1, two hops: stage values of the stage instances of deleted sites are removed."""
-    return _cascade(spark, sf).tables["trackedentitydatavalue"]
+    return _cascade(spark, sf).table("trackedentitydatavalue")
 
 
 @query("delete_counts", _sql("""
@@ -86,7 +86,7 @@ select 'organisationunit', count(*) from f_orgunit o
 """))
 def delete_counts(spark, sf):
     """DEL1 summary: rows deleted per table."""
-    return _cascade(spark, sf).counts
+    return _cascade(spark, sf).counts()
 
 
 @query("resequence", _sql("""
@@ -100,7 +100,7 @@ from remaining r left join touched t on r.objectid = t.objectid
 """))
 def resequence(spark, sf):
     """DEL2: member list after the delete; objects that lost a member are renumbered 0..n-1."""
-    return _cascade(spark, sf).tables["reporttable_organisationunits"]
+    return _cascade(spark, sf).table("reporttable_organisationunits")
 
 
 @query("resequence_chart", _sql("""
@@ -109,7 +109,7 @@ where not exists (select 1 from del d where d.organisationunitid = m.organisatio
 """))
 def resequence_chart(spark, sf):
     """DEL2 for the chart list as the reference runs it: members removed, never renumbered."""
-    return _cascade(spark, sf).tables["chart_organisationunits"]
+    return _cascade(spark, sf).table("chart_organisationunits")
 
 
 @query("merge_sites", fx.with_clause(["f_merge_map", "f_orgunit", "f_stage_instance", "f_stage_value"], fx.DUCKDB_TABLES) + """
@@ -127,4 +127,4 @@ def merge_sites(spark, sf):
     }
     out = C.merge_sites(tables, fx.load(spark, sf, "f_dataelement"), fx.load(spark, sf, "f_merge_map"),
                         "SUM", RUN_TS, fx.load(spark, sf, "f_orgunit"))
-    return out["trackedentitydatavalue"]
+    return out.table("trackedentitydatavalue")
