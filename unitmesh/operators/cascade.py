@@ -81,7 +81,7 @@ def resequence(members: DataFrame, object_col: str, ids: DataFrame,
     touched objects are looked up after the delete and so are never renumbered.
     """
     key = ids.select("organisationunitid")
-    remaining = join_small(members, key, "organisationunitid", "left_anti")
+    remaining = join_small(members, key, "organisationunitid", "left_anti").select(*members.columns)
     if touched_after_delete:
         return remaining
     touched = (join_small(members, key, "organisationunitid", "left_semi")
@@ -149,7 +149,7 @@ class CascadeResult:
                 except KeyError:
                     self._out[name] = df
                 else:
-                    self._out[name] = df.join(k, key, "left_anti")
+                    self._out[name] = df.join(k, key, "left_anti").select(*df.columns)
         return self._out[name]
 
     @property
