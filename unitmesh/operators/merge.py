@@ -20,10 +20,12 @@ Rules of the value merge, per destination ``dest`` and value key
 * ``n = 1`` rows of any type move to the destination, lastupdated = run_ts;
 * ``n > 1`` rows whose element is unknown or has no value type are lost.
 
-Plan: the involved live rows are written once; one partial aggregate per key gives
-the counts, bounds and numeric aggregates (map-side combine keeps a hot key cheap);
-the rows are joined back to it once (a sort-merge join AQE can split when a key is
-skewed). No window is used, so no key's rows must fit one task.
+Plan: the involved live rows are written once (one scan of the big table); one
+partial aggregate per key gives the counts, bounds and numeric aggregates (map-side
+combine keeps a hot key cheap); the rows are joined back to it once (a sort-merge
+join AQE can split when a key is skewed) and written again, so each output branch
+is a filter over that table plus, for ties, a small aggregate. No window is used,
+so no key's rows must fit one task.
 """
 
 from __future__ import annotations
@@ -51,11 +53,17 @@ ERR_REPEATED = "Source is merged more than once"
 ERR_CHAIN = "Merge chain: a destination is also a source"
 
 
-def _unit_lookup(orgunits: DataFrame) -> DataFrame:
-    """uid -> (organisationunitid, has_children). One row per uid (first id wins)."""
-    parents = orgunits.where(F.col("parentid").isNotNull()).select(
-        F.col("parentid").alias("organisationunitid")).distinct().withColumn("has_children", F.lit(True))
-    units = orgunits.groupBy("uid").agg(F.min("organisationunitid").alias("organisationunitid"))
+def _unit_lookup(orgunits: DataFrame, uids: DataFrame) -> DataFrame:
+    """uid -> (organisationunitid, has_children) for the given uids only (first id
+    wins on duplicates). The unit table is cut down to the requested uids by a
+    semi-join before anything else, so the lookup stays as small as the request."""
+    wanted = small_side(uids.select("uid").distinct())
+    units = (orgunits.join(wanted, "uid", "left_semi")
+             .groupBy("uid").agg(F.min("organisationunitid").alias("organisationunitid")))
+    parents = (orgunits.where(F.col("parentid").isNotNull())
+               .join(small_side(units.select(F.col("organisationunitid").alias("parentid"))), "parentid", "left_semi")
+               .select(F.col("parentid").alias("organisationunitid")).distinct()
+               .withColumn("has_children", F.lit(True)))
     return (units.join(parents, "organisationunitid", "left")
             .select("uid", "organisationunitid", F.coalesce("has_children", F.lit(False)).alias("has_children")))
 
@@ -69,7 +77,9 @@ def validate_merges(requests: DataFrame, orgunits: DataFrame) -> DataFrame:
     a chain (the destination is some request's source, or the source some request's
     destination).
     """
-    lookup = _unit_lookup(orgunits)
+    uids = (requests.select(F.col("source_uid").alias("uid"))
+            .unionByName(requests.select(F.col("dest_uid").alias("uid"))))
+    lookup = _unit_lookup(orgunits, uids)
     src = lookup.select(F.col("uid").alias("source_uid"), F.col("organisationunitid").alias("source_id"),
                         F.col("has_children").alias("source_has_children"))
     dst = lookup.select(F.col("uid").alias("dest_uid"), F.col("organisationunitid").alias("dest_id"))
@@ -77,8 +87,8 @@ def validate_merges(requests: DataFrame, orgunits: DataFrame) -> DataFrame:
     as_source = requests.select(F.col("source_uid").alias("dest_uid")).distinct().withColumn("dest_is_source", F.lit(True))
     as_dest = requests.select(F.col("dest_uid").alias("source_uid")).distinct().withColumn("source_is_dest", F.lit(True))
     r = (requests
-         .join(small_side(src), "source_uid", "left")
-         .join(small_side(dst), "dest_uid", "left")
+         .join(src, "source_uid", "left")
+         .join(dst, "dest_uid", "left")
          .join(src_uses, "source_uid", "left")
          .join(as_source, "dest_uid", "left")
          .join(as_dest, "source_uid", "left"))
@@ -170,7 +180,11 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
         fn = {"SUM": F.sum, "AVG": F.avg, "MAX": F.max, "MIN": F.min}[strategy]
         aggs.append(fn(dec).alias("agg_value"))
     per_key = keyed.groupBy(*group).agg(*aggs)
+    # Every branch below reads these joined rows; written once so the aggregate and
+    # the join back run once instead of once per branch.
     rows = keyed.join(per_key, group)
+    if materialize_rows:
+        rows = materialize(rows, "merge-keyed")
 
     def out(df: DataFrame, **over: Column) -> DataFrame:
         cols = [over.get(c, F.col("dest").alias("sourceid") if c == "sourceid" else F.col(c)).alias(c)
@@ -179,7 +193,9 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
 
     multi = F.col("n") > 1
     if strategy in ("SUM", "AVG", "MAX", "MIN"):
-        numeric = out(per_key.where(multi & F.col("key_numeric")),
+        per_num = (rows.where(multi & F.col("key_numeric"))
+                   .select(*group, "agg_value").dropDuplicates(group))
+        numeric = out(per_num,
                       value=decimal_text(F.col("agg_value")), storedby=F.lit("admin"),
                       lastupdated=now, comment=F.lit(None).cast("string"), followup=F.lit(False),
                       created=now, deleted=F.lit(False))
