@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql import types as T
 
+from unitmesh.session import ship_package
+
 
 def jaro(a: str | None, b: str | None) -> float | None:
     if a is None or b is None:
@@ -45,6 +47,7 @@ def _jaro_udf(left: pd.Series, right: pd.Series) -> pd.Series:
 
 def jaro_similarity(left: Column, right: Column) -> Column:
     """Jaro similarity in [0, 1] of two string columns (NULL if either is NULL)."""
+    ship_package()
     return _jaro_udf(left, right)
 
 

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
+from unitmesh.session import ship_package
+
 _OPS = {"$gt": "__gt__", "$gte": "__ge__", "$lt": "__lt__", "$lte": "__le__", "$ne": "__ne__"}
 
 
@@ -80,6 +82,7 @@ def is_valid_json(c: Column, exact: bool = True) -> Column:
     which differs on ``NaN`` (rejected) and on trailing text (accepted).
     """
     if exact:
+        ship_package()
         return F.when(c.isNull(), F.lit(False)).otherwise(_json_loads_ok(c))
     return F.try_parse_json(c).isNotNull()
 

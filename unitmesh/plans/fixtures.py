@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from unitmesh.session import table_path
+from unitmesh.session import scratch_path, table_path
 
 RAW_TABLES = ("region nation customer supplier part orders lineitem events documents "
               "embeddings pages benchmark labels conversations").split()
@@ -237,10 +237,46 @@ def oracle(sql: str, names: list[str]) -> str:
     return with_clause(names, DUCKDB_TABLES) + sql.strip()
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The fixture as a Spark DataFrame, read from the parquet tables in ``sf_dir``."""
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The fixture computed from the raw parquet tables in ``sf_dir``."""
     return spark.sql(with_clause([name], spark_tables(sf_dir)) + f"SELECT * FROM {name}")
 
 
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The fixture as a table: derived once per session and ``sf_dir``, written as
+    parquet to the shared checkpoint folder and read from there, the way the
+    operators would read real inputs. Later calls reuse the written table."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    path = _WRITTEN.get(key)
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except Exception:  # folder cleaned up meanwhile: derive again
+            _WRITTEN.pop(key, None)
+    path = scratch_path(spark, f"input-{name}")
+    derive(spark, sf_dir, name).write.parquet(path)
+    _WRITTEN[key] = path
+    return spark.read.parquet(path)
+
+
+def load_built(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Like :func:`load` for a stand-in input built by a function (e.g. units with
+    their stored paths): built once per session and ``sf_dir``, then read as a table."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    path = _WRITTEN.get(key)
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except Exception:
+            _WRITTEN.pop(key, None)
+    path = scratch_path(spark, f"input-{name}")
+    build().write.parquet(path)
+    _WRITTEN[key] = path
+    return spark.read.parquet(path)
+
+
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))

@@ -29,12 +29,25 @@ def _rec(names: list[str]) -> str:
     return fx.with_clause(names, fx.DUCKDB_TABLES, recursive=True) + _TREE
 
 
+def unit_paths(spark, sf):
+    """Stand-in for the stored unit paths (the source system keeps a path per unit):
+    computed once per session with the SIT5 operator and read as a table."""
+    def build():
+        ou = fx.load(spark, sf, "f_orgunit")
+        return H.materialize_paths(ou.select("organisationunitid", "uid", "parentid"))
+    return fx.load_built(spark, sf, "unit_paths", build)
+
+
 def nested_units(spark, sf):
     """Stand-in for the registry export: org units with ``ancestors`` and
-    ``organisationUnitGroups`` arrays (ancestors from SIT5, groups from f_unit_group)."""
+    ``organisationUnitGroups`` arrays (ancestors from the stored paths, groups from
+    f_unit_group), built once per session."""
+    return fx.load_built(spark, sf, "nested_units", lambda: _nested_units(spark, sf))
+
+
+def _nested_units(spark, sf):
     ou = fx.load(spark, sf, "f_orgunit")
-    paths = H.materialize_paths(ou.select("organisationunitid", "uid", "parentid"))
-    units = H.with_ancestors(ou.select("uid", "code", "name"), paths)
+    units = H.with_ancestors(ou.select("uid", "code", "name"), unit_paths(spark, sf))
     g = fx.load(spark, sf, "f_unit_group")
     groups = g.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct(
         F.col("group_id").alias("id"), F.col("group_code").alias("code"), F.col("group_name").alias("name"),
@@ -164,12 +177,10 @@ select d.doc_id, d.location_id, d.status as location_status, t.path as location_
 from f_location_doc d left join tree t on t.uid = d.location_id
 """)
 def enrich_path(spark, sf):
-    """JON8: documents with location.path from the unit list (no match: NULL path)."""
+    """JON8: documents with location.path from the unit list with stored paths (no match: NULL path)."""
     docs = fx.load(spark, sf, "f_location_doc")
     docs = docs.select("doc_id", F.struct(F.col("location_id").alias("id"), F.col("status"), F.col("amount")).alias("location"))
-    ou = fx.load(spark, sf, "f_orgunit")
-    paths = H.materialize_paths(ou.select("organisationunitid", "uid", "parentid"))
-    units = paths.select(F.col("uid").alias("id"), "path", F.col("organisationunitid").alias("row_no"))
+    units = unit_paths(spark, sf).select(F.col("uid").alias("id"), "path", F.col("organisationunitid").alias("row_no"))
     out = MP.enrich_location(docs, units)
     return out.select("doc_id", F.col("location.id").alias("location_id"), F.col("location.status").alias("location_status"),
                       F.col("location.path").alias("location_path"))
@@ -186,8 +197,7 @@ where v.periodid between 1994 and 1996
 def data_values(spark, sf):
     """FIL2: values of data set DS1 for the units below region R0000000001, periods 1994-1996."""
     ou = fx.load(spark, sf, "f_orgunit")
-    paths = H.materialize_paths(ou.select("organisationunitid", "uid", "parentid"))
-    below = H.descendants(paths, ou.where(F.col("uid") == "R0000000001").select("uid"))
+    below = H.descendants(unit_paths(spark, sf), ou.where(F.col("uid") == "R0000000001").select("uid"))
     units = below.join(ou.select("uid", "organisationunitid"), "uid")
     return MP.data_values(fx.load(spark, sf, "f_datavalue"), fx.load(spark, sf, "f_dataset_member"), "DS1",
                           units, 1994, 1996)

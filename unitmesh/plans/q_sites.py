@@ -187,7 +187,9 @@ from f_orgunit o join tree t on o.organisationunitid = t.organisationunitid
 join f_orgunit r on r.level = 1 and t.path like '/' || r.uid || '/%'
 """)
 def descendants(spark, sf):
-    """FIL1: every unit below each top-level unit (ancestors.id = root), the root excluded."""
+    """FIL1: every unit below each top-level unit (ancestors.id = root, read from the
+    stored unit paths), the root excluded."""
+    from unitmesh.plans.q_registry import unit_paths
+
     ou = fx.load(spark, sf, "f_orgunit")
-    p = H.materialize_paths(ou.select("organisationunitid", "uid", "parentid"))
-    return H.descendants(p, ou.where(F.col("level") == 1).select("uid"))
+    return H.descendants(unit_paths(spark, sf), ou.where(F.col("level") == 1).select("uid"))

@@ -40,7 +40,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
+    prepare(spark)
     return spark
 
 
@@ -60,6 +60,38 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make ``unitmesh`` importable in the Python workers (needed by the pandas UDFs):
+    zip the package once per application and register it with ``addPyFile``, which
+    distributes it to every executor. Harmless where the package is installed."""
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None:
+        return
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import shutil
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    ckpt = checkpoint_dir(spark)
+    local = ckpt.startswith("/") or ckpt.startswith("file:")
+    base = (ckpt.replace("file:", "", 1) if local else tempfile.mkdtemp(prefix="unitmesh-code-"))
+    target = os.path.join(base, f"unitmesh-code-{uuid.uuid4().hex[:8]}")
+    os.makedirs(base, exist_ok=True)
+    archive = shutil.make_archive(target, "zip", root_dir=os.path.dirname(pkg_dir), base_dir="unitmesh")
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
+def prepare(spark: SparkSession) -> None:
+    """Per-session setup every job relies on: checkpoint folder and shipped code."""
+    checkpoint_dir(spark)
+    ship_package(spark)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
