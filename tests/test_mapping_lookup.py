@@ -34,10 +34,10 @@ def test_rename_round_trip(spark):
 def test_identifiers_need_id(spark):
     df = spark.createDataFrame([("a", "Alpha", None), (None, "Beta", "B"), ("c", "Gamma", "G")],
                                "id string, name string, code string")
-    out = {r.name if False else i: r.identifier for i, r in enumerate(MP.to_identifiers(df, "dataElements", "h").collect())}
-    assert [x.property for x in out[0]] == ["id", "name"]
-    assert out[1] == []
-    assert out[2][2].system == "h/api/dataElements/c?fields=id,code&filter=code:eq:G"
+    out = {r.name: r.identifier for r in MP.to_identifiers(df, "dataElements", "h", keep=["name"]).collect()}
+    assert [x.property for x in out["Alpha"]] == ["id", "name"]
+    assert out["Beta"] == []
+    assert out["Gamma"][2].system == "h/api/dataElements/c?fields=id,code&filter=code:eq:G"
 
 
 def test_facility_empty_lists_pass_through(spark):
@@ -129,3 +129,21 @@ def test_code_search(spark, prefix, expected):
     df = spark.createDataFrame([(1, "Blue", "A1", ["z"]), (2, "red", "x9", ["xa", "b"])],
                                "id int, name string, code string, tags array<string>")
     assert rows(L.code_search(df, prefix, ["name", "code", "tags"], ["id"]), "id", "property") == expected
+
+
+def test_store_append_and_read_table(spark):
+    from unitmesh.sinks.writers import append, store
+    from unitmesh.sources.files import read_resources, read_table
+
+    d = tempfile.mkdtemp(prefix="unitmesh-sinks-")
+    df = spark.createDataFrame([(1, "2020", "a"), (2, "2021", "b")], "id int, period string, v string")
+    store(df, os.path.join(d, "wh"), partition_by=["period"])
+    back = spark.read.parquet(os.path.join(d, "wh"))
+    assert rows(back.where("period = '2021'"), "id") == [(2,)]
+    append(df, os.path.join(d, "coll"))
+    append(df, os.path.join(d, "coll"))
+    assert read_table(spark, os.path.join(d, "coll"), "json").count() == 4
+    assert read_table(spark, os.path.join(d, "coll"), "xml").count() == 0
+    df.selectExpr("'Location' as resourceType", "id").write.json(os.path.join(d, "bundle"))
+    assert read_resources(spark, os.path.join(d, "bundle"), "Location").count() == 2
+    assert read_resources(spark, os.path.join(d, "bundle"), "metadata").count() == 0

@@ -217,3 +217,11 @@ def site_diff(directives: DataFrame, snapshot: DataFrame) -> DataFrame:
               .when(~_blank(F.col("file_name")) & (F.col("file_name") != F.coalesce(F.col("site_name"), F.lit(""))), "changed")
               .otherwise("same"))
     return j.select("uid", status.alias("status"), "file_name", "site_name")
+
+
+def batch_counts(adds: DataFrame, edits: DataFrame, relocates: DataFrame) -> DataFrame:
+    """AGG11: sizes of the three bulk batches in one row (one aggregate job)."""
+    tagged = (adds.select(F.lit("add").alias("b"))
+              .unionByName(edits.select(F.lit("edit").alias("b")))
+              .unionByName(relocates.select(F.lit("relocate").alias("b"))))
+    return tagged.agg(*[F.count(F.when(F.col("b") == k, 1)).alias(f"{k}_count") for k in ("add", "edit", "relocate")])

@@ -149,6 +149,18 @@ def site_apply(spark, sf):
     return S.apply_updates(s, S.site_updates(d, s, TODAY).state, adds.drop("row_no"))
 
 
+@query("batch_counts", _sql("""
+select (select count(*) from adds) as add_count, (select count(*) from st where has_edit) as edit_count,
+       (select count(*) from st where has_relocate) as relocate_count
+"""))
+def batch_counts(spark, sf):
+    """AGG11: number of sites in the add, edit and relocation batches."""
+    d, s = _inputs(spark, sf)
+    adds, _ = S.site_adds(d, s)
+    upd = S.site_updates(d, s, TODAY)
+    return S.batch_counts(adds, upd.edits, upd.relocates)
+
+
 @query("site_diff", fx.oracle("""
 , f AS (select uid, arg_max(case when lower(op) = 'add' then name else new_name end, row_no) as file_name
         from f_directive where lower(coalesce(op, '')) in ('add', 'edit', 'update', 'rename') group by uid)
