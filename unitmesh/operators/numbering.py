@@ -6,7 +6,8 @@ the rows are range-partitioned on (g, o) instead, so Spark's sampled bounds spli
 large group over several partitions, and each row's number is its position inside
 its partition plus the number of rows of its group in earlier partitions:
 
-1. range exchange on (g, o) and a sort inside each partition (one shuffle);
+1. range exchange on (g, o) and a sort inside each partition (one shuffle), with
+   partition id and position written once to the checkpoint folder;
 2. per (partition, group): first position and row count (small aggregate);
 3. running total of those counts over the partitions of each group (small window);
 4. join the offsets back. The offsets come out of a shuffle, so AQE knows their
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from unitmesh.plans.materialize import materialize
 
 
 def row_numbers(df: DataFrame, group: list[str], order: list[str], out: str = "row_number",
@@ -28,9 +30,11 @@ def row_numbers(df: DataFrame, group: list[str], order: list[str], out: str = "r
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = group + order
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id()))
+    # Written once: the statistics and the rows must see the same partition ids and
+    # positions, whatever AQE does to either read and whichever task is re-run.
+    ranged = materialize(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                         .withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_pos", F.monotonically_increasing_id()), "numbered")
     stats = ranged.groupBy("_pid", *group).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
