@@ -124,3 +124,22 @@ def test_validation_order(spark):
     assert out[("A", "C")] == M.ERR_CHILDREN
     assert out[("D", "E")] == M.ERR_CHAIN
     assert out[("E", "B")] == M.ERR_CHAIN
+
+
+def test_per_destination_strategies(spark):
+    # 11 -> 10 with SUM, 21 -> 20 with LAST, in one job
+    d = spark.createDataFrame([dv(1, 10, "1", T1), dv(1, 11, "2", T2), dv(1, 20, "5", T1), dv(1, 21, "6", T2)], DATAVALUE)
+    e = spark.createDataFrame(ELEMENTS, DATAELEMENT)
+    m = spark.createDataFrame([(11, 10, "SUM"), (21, 20, "LAST")], "source_id int, dest_id int, strategy string")
+    res = M.merge_values(d, e, m, None, RUN_TS, materialize_rows=False)
+    assert rows(res.staged, "sourceid", "value") == [(10, "3"), (20, "6")]
+
+
+def test_repeated_source_and_mixed_strategies(spark):
+    ou = spark.createDataFrame([(i, u, None) for i, u in enumerate("ABCDEFG", 1)], ORGUNIT)
+    req = spark.createDataFrame([("A", "B", "SUM"), ("A", "C", "SUM"), ("D", "F", "SUM"), ("E", "F", "MAX")],
+                                "source_uid string, dest_uid string, strategy string")
+    out = {(r.source_uid, r.dest_uid): r.error for r in M.validate_merges(req, ou).collect()}
+    assert out[("A", "B")] == out[("A", "C")] == M.ERR_REPEATED
+    assert out[("D", "F")] == out[("E", "F")] == M.ERR_MIXED
+    assert M.merge_map_of(M.validate_merges(req, ou)).count() == 0

@@ -51,6 +51,7 @@ ERR_STRATEGY = "Please provide a merge strategy (SUM,MAX,MIN,AVG,LAST,FIRST)"
 ERR_CHILDREN = "Organisationunit has children. Aborting."
 ERR_REPEATED = "Source is merged more than once"
 ERR_CHAIN = "Merge chain: a destination is also a source"
+ERR_MIXED = "Destination requested with different strategies"
 
 
 def _unit_lookup(orgunits: DataFrame, uids: DataFrame) -> DataFrame:
@@ -73,9 +74,9 @@ def validate_merges(requests: DataFrame, orgunits: DataFrame) -> DataFrame:
 
     ``requests`` has ``source_uid``, ``dest_uid``, ``strategy``. Checks, first failure
     reported: unknown source, unknown destination, self-merge, strategy not one of the
-    six (case-sensitive), source has children, source requested more than once, and
-    a chain (the destination is some request's source, or the source some request's
-    destination).
+    six (case-sensitive), source has children, source requested more than once, a
+    chain (the destination is some request's source, or the source some request's
+    destination), and a destination requested with different strategies.
     """
     uids = (requests.select(F.col("source_uid").alias("uid"))
             .unionByName(requests.select(F.col("dest_uid").alias("uid"))))
@@ -86,25 +87,28 @@ def validate_merges(requests: DataFrame, orgunits: DataFrame) -> DataFrame:
     src_uses = requests.groupBy("source_uid").agg(F.count(F.lit(1)).alias("source_uses"))
     as_source = requests.select(F.col("source_uid").alias("dest_uid")).distinct().withColumn("dest_is_source", F.lit(True))
     as_dest = requests.select(F.col("dest_uid").alias("source_uid")).distinct().withColumn("source_is_dest", F.lit(True))
+    dest_strats = requests.groupBy("dest_uid").agg(F.countDistinct("strategy").alias("dest_strategies"))
     r = (requests
          .join(src, "source_uid", "left")
          .join(dst, "dest_uid", "left")
          .join(src_uses, "source_uid", "left")
          .join(as_source, "dest_uid", "left")
-         .join(as_dest, "source_uid", "left"))
+         .join(as_dest, "source_uid", "left")
+         .join(dest_strats, "dest_uid", "left"))
     error = (F.when(F.col("source_id").isNull(), F.lit(ERR_SOURCE))
              .when(F.col("dest_id").isNull(), F.lit(ERR_DEST))
              .when(F.col("source_uid") == F.col("dest_uid"), F.lit(ERR_SELF))
              .when(~F.coalesce(F.col("strategy").isin(*STRATEGIES), F.lit(False)), F.lit(ERR_STRATEGY))
              .when(F.col("source_has_children"), F.lit(ERR_CHILDREN))
              .when(F.col("source_uses") > 1, F.lit(ERR_REPEATED))
-             .when(F.coalesce(F.col("dest_is_source"), F.col("source_is_dest"), F.lit(False)), F.lit(ERR_CHAIN)))
+             .when(F.coalesce(F.col("dest_is_source"), F.col("source_is_dest"), F.lit(False)), F.lit(ERR_CHAIN))
+             .when(F.col("dest_strategies") > 1, F.lit(ERR_MIXED)))
     return r.select(*requests.columns, "source_id", "dest_id", error.alias("error"))
 
 
 def merge_map_of(validated: DataFrame) -> DataFrame:
-    """The (source_id, dest_id) pairs of the requests that passed validation."""
-    return validated.where(F.col("error").isNull()).select("source_id", "dest_id")
+    """The (source_id, dest_id, strategy) of the requests that passed validation."""
+    return validated.where(F.col("error").isNull()).select("source_id", "dest_id", "strategy")
 
 
 def element_classes(dataelement: DataFrame) -> DataFrame:
@@ -139,19 +143,32 @@ def _winner_last(ts: Column) -> Column:
     return F.when(F.col("has_null_ts"), ts.isNull()).otherwise(ts == F.col("max_ts"))
 
 
+AGG_STRATEGIES = ("SUM", "AVG", "MAX", "MIN")
+
+
 def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFrame,
-                 strategy: str, run_ts: str, cast_mode: str = "ansi",
+                 strategy: str | None, run_ts: str, cast_mode: str = "ansi",
                  materialize_rows: bool = True) -> MergeResult:
     """Merge the values of every (source_id, dest_id) pair of ``merge_map``.
 
+    ``strategy`` applies to every pair; with ``strategy=None`` the map's ``strategy``
+    column decides per destination (the validation rejects a destination requested
+    with different strategies; unvalidated, the alphabetically first one applies).
     ``run_ts`` stands for the reference's ``now()`` so results are reproducible.
     ``cast_mode='try'`` turns non-numeric text under a numeric strategy into NULL
     instead of failing.
     """
-    if strategy not in STRATEGIES:
+    if strategy is not None and strategy not in STRATEGIES:
         raise ValueError(ERR_STRATEGY)
     now = F.lit(run_ts).cast("timestamp_ntz")
     sites = merge_sites_of(merge_map)
+    if strategy is None:
+        per_dest = merge_map.groupBy(F.col("dest_id").alias("dest")).agg(F.min("strategy").alias("strat"))
+        sites = sites.join(per_dest, "dest")
+        used = AGG_STRATEGIES
+    else:
+        sites = sites.withColumn("strat", F.lit(strategy))
+        used = (strategy,) if strategy in AGG_STRATEGIES else ()
     classes = element_classes(dataelement)
 
     involved = join_small(datavalue, sites, "sourceid", "inner")
@@ -167,6 +184,7 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
     null_key = live.where(~key_ok)
     group = ["dest"] + VALUE_KEY
     ts = F.col("lastupdated")
+    strat = F.col("strat")
     is_num = F.coalesce(F.col("is_numeric"), F.lit(False))
     is_oth = F.coalesce(F.col("is_other"), F.lit(False))
 
@@ -175,10 +193,14 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
             F.max(ts).alias("max_ts"),
             F.min(ts).alias("min_ts"),
             F.max(is_num).alias("key_numeric")]
-    if strategy in ("SUM", "AVG", "MAX", "MIN"):
+    if used:
         dec = F.when(is_num, to_decimal(F.col("value"), cast_mode))
-        fn = {"SUM": F.sum, "AVG": F.avg, "MAX": F.max, "MIN": F.min}[strategy]
-        aggs.append(fn(dec).alias("agg_value"))
+        fns = {"SUM": F.sum, "AVG": F.avg, "MAX": F.max, "MIN": F.min}
+        pick = None
+        for name in used:
+            v = fns[name](F.when(strat == name, dec)).cast("decimal(38,10)")
+            pick = F.when(F.max(strat) == name, v) if pick is None else pick.when(F.max(strat) == name, v)
+        aggs.append(pick.alias("agg_value"))
     per_key = keyed.groupBy(*group).agg(*aggs)
     # Every branch below reads these joined rows; written once so the aggregate and
     # the join back run once instead of once per branch.
@@ -192,30 +214,33 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
         return df.select(*cols)
 
     multi = F.col("n") > 1
-    if strategy in ("SUM", "AVG", "MAX", "MIN"):
-        per_num = (rows.where(multi & F.col("key_numeric"))
+    parts = []
+    if used:
+        per_num = (rows.where(multi & F.col("key_numeric") & strat.isin(*AGG_STRATEGIES))
                    .select(*group, "agg_value").dropDuplicates(group))
-        numeric = out(per_num,
-                      value=decimal_text(F.col("agg_value")), storedby=F.lit("admin"),
-                      lastupdated=now, comment=F.lit(None).cast("string"), followup=F.lit(False),
-                      created=now, deleted=F.lit(False))
-    else:
-        win = _winner_first(ts) if strategy == "FIRST" else _winner_last(ts)
-        numeric = out(rows.where(multi & is_num & win)).dropDuplicates()
+        parts.append(out(per_num,
+                         value=decimal_text(F.col("agg_value")), storedby=F.lit("admin"),
+                         lastupdated=now, comment=F.lit(None).cast("string"), followup=F.lit(False),
+                         created=now, deleted=F.lit(False)))
+    if strategy is None or strategy in ("FIRST", "LAST"):
+        win = (((strat == "FIRST") & _winner_first(ts)) | ((strat == "LAST") & _winner_last(ts)))
+        parts.append(out(rows.where(multi & is_num & win)).dropDuplicates())
 
     # Other value types: latest row; on equal lastupdated the smallest original sourceid.
     cand = rows.where(multi & is_oth & _winner_last(ts))
     best_src = cand.groupBy(*group).agg(F.min("sourceid").alias("best_src"))
-    other = out(cand.join(best_src, group).where(F.col("sourceid") == F.col("best_src")),
-                lastupdated=now)
+    parts.append(out(cand.join(best_src, group).where(F.col("sourceid") == F.col("best_src")),
+                     lastupdated=now))
 
-    single = out(rows.where(F.col("n") == 1), lastupdated=now)
-    staged = numeric.unionByName(other).unionByName(single)
+    parts.append(out(rows.where(F.col("n") == 1), lastupdated=now))
+    staged = parts[0]
+    for p in parts[1:]:
+        staged = staged.unionByName(p)
 
     lost = (rows.where(multi & ~is_num & ~is_oth)
             .select(*DATAVALUE_COLUMNS, "dest", F.lit("no value type").alias("reason"))
             .unionByName(null_key.select(*DATAVALUE_COLUMNS, "dest", F.lit("null key").alias("reason"))))
-    return MergeResult(staged=staged, lost=lost, sites=sites)
+    return MergeResult(staged=staged, lost=lost, sites=sites.select("sourceid", "dest"))
 
 
 def replace_sites(base: DataFrame, staged: DataFrame, sites: DataFrame) -> DataFrame:

@@ -134,9 +134,83 @@ select r.request_no, r.source_uid, r.dest_uid, r.strategy, s.organisationunitid
             when (select count(*) from f_merge_request x where x.source_uid = r.source_uid) > 1 then 'Source is merged more than once'
             when exists (select 1 from f_merge_request x where x.source_uid = r.dest_uid)
                  or exists (select 1 from f_merge_request x where x.dest_uid = r.source_uid) then 'Merge chain: a destination is also a source'
+            when (select count(distinct strategy) from f_merge_request x where x.dest_uid = r.dest_uid) > 1
+                 then 'Destination requested with different strategies'
        end as error
 from f_merge_request r left join lookup s on r.source_uid = s.uid left join lookup d on r.dest_uid = d.uid
 """, fixtures=("f_merge_request", "f_orgunit"))
 def merge_validate(spark, sf):
     """MRG0: every merge request with the first failed check (NULL when valid)."""
     return M.validate_merges(fx.load(spark, sf, "f_merge_request"), fx.load(spark, sf, "f_orgunit"))
+
+
+_VALIDATED = """
+, lookup AS (select uid, min(organisationunitid) as organisationunitid from f_orgunit group by uid)
+, validated AS (
+  select r.*, s.organisationunitid as source_id, d.organisationunitid as dest_id,
+         case when s.organisationunitid is null then 'e1' when d.organisationunitid is null then 'e2'
+              when r.source_uid = r.dest_uid then 'e3'
+              when r.strategy is null or r.strategy not in ('SUM','MAX','MIN','AVG','LAST','FIRST') then 'e4'
+              when exists (select 1 from f_orgunit c where c.parentid = s.organisationunitid) then 'e5'
+              when (select count(*) from f_merge_request x where x.source_uid = r.source_uid) > 1 then 'e6'
+              when exists (select 1 from f_merge_request x where x.source_uid = r.dest_uid)
+                   or exists (select 1 from f_merge_request x where x.dest_uid = r.source_uid) then 'e7'
+              when (select count(distinct strategy) from f_merge_request x where x.dest_uid = r.dest_uid) > 1 then 'e8'
+         end as error
+  from f_merge_request r left join lookup s on r.source_uid = s.uid left join lookup d on r.dest_uid = d.uid)
+, mm AS (select source_id, dest_id, strategy from validated where error is null)
+, sites AS (select source_id as sourceid, dest_id as dest from mm union select dest_id, dest_id from mm)
+, ds AS (select dest_id as dest, min(strategy) as strat from mm group by dest_id)
+, cls AS (select dataelementid,
+                 max(coalesce(valuetype in ('INTEGER','NUMBER','INTEGER_ZERO_OR_POSITIVE','INTEGER_POSITIVE'), false)) as is_num,
+                 max(coalesce(valuetype not in ('INTEGER','NUMBER','INTEGER_ZERO_OR_POSITIVE','INTEGER_POSITIVE'), false)) as is_oth
+          from f_dataelement group by dataelementid)
+, live AS (select d.*, s.dest, ds.strat, coalesce(c.is_num, false) as is_num, coalesce(c.is_oth, false) as is_oth
+           from f_datavalue d join sites s on d.sourceid = s.sourceid join ds on ds.dest = s.dest
+           left join cls c on d.dataelementid = c.dataelementid
+           where d.deleted = false)
+, cnt AS (select dest, dataelementid, periodid, categoryoptioncomboid, attributeoptioncomboid, count(*) as n
+          from live group by dest, dataelementid, periodid, categoryoptioncomboid, attributeoptioncomboid)
+, krows AS (select l.*, c.n from live l join cnt c
+            on l.dest = c.dest and l.dataelementid = c.dataelementid and l.periodid = c.periodid
+            and l.categoryoptioncomboid = c.categoryoptioncomboid and l.attributeoptioncomboid = c.attributeoptioncomboid)
+, num_agg AS (select dataelementid, periodid, dest as sourceid, categoryoptioncomboid,
+                     regexp_replace(regexp_replace(cast(cast(case strat
+                        when 'SUM' then sum(cast(value as decimal(38,10)))
+                        when 'AVG' then cast(avg(cast(value as decimal(38,10))) as decimal(38,10))
+                        when 'MAX' then max(cast(value as decimal(38,10)))
+                        when 'MIN' then min(cast(value as decimal(38,10))) end as decimal(38,10)) as varchar), '0+$', ''), '[.]$', '') as value,
+                     'admin' as storedby, TIMESTAMP '{RUN_TS}' as lastupdated, cast(null as varchar) as comment, false as followup,
+                     attributeoptioncomboid, TIMESTAMP '{RUN_TS}' as created, false as deleted
+              from krows where n > 1 and is_num and strat in ('SUM', 'AVG', 'MAX', 'MIN')
+              group by dest, dataelementid, periodid, categoryoptioncomboid, attributeoptioncomboid, strat)
+, num_rank AS (select distinct dataelementid, periodid, dest as sourceid, categoryoptioncomboid, value, storedby, lastupdated,
+                      comment, followup, attributeoptioncomboid, created, deleted
+               from (select *, case when strat = 'FIRST'
+                                    then rank() over (partition by dest, dataelementid, periodid, categoryoptioncomboid, attributeoptioncomboid
+                                                      order by lastupdated asc nulls last)
+                                    else rank() over (partition by dest, dataelementid, periodid, categoryoptioncomboid, attributeoptioncomboid
+                                                      order by lastupdated desc nulls first) end as rnk
+                     from krows where n > 1 and is_num and strat in ('FIRST', 'LAST')) t where rnk = 1)
+, other AS (select dataelementid, periodid, dest as sourceid, categoryoptioncomboid, value, storedby,
+                   TIMESTAMP '{RUN_TS}' as lastupdated, comment, followup, attributeoptioncomboid, created, deleted
+            from (select *, rank() over (partition by dest, dataelementid, periodid, categoryoptioncomboid, attributeoptioncomboid
+                                         order by lastupdated desc nulls first, sourceid) as rnk
+                  from krows where n > 1 and is_oth) t where rnk = 1)
+, single AS (select dataelementid, periodid, dest as sourceid, categoryoptioncomboid, value, storedby,
+                    TIMESTAMP '{RUN_TS}' as lastupdated, comment, followup, attributeoptioncomboid, created, deleted
+             from krows where n = 1)
+""".replace("{RUN_TS}", RUN_TS)
+
+
+@query("merge_requested", fx.with_clause(["f_merge_request", "f_orgunit", "f_datavalue", "f_dataelement"], fx.DUCKDB_TABLES)
+       + _VALIDATED + """
+select * from num_agg union all select * from num_rank union all select * from other union all select * from single
+""")
+def merge_requested(spark, sf):
+    """MRG0 + MRG1 (AGG8): uid merge requests validated, then every valid pair merged with
+    its own strategy in one job (per-destination strategy column)."""
+    ou = fx.load(spark, sf, "f_orgunit")
+    valid = M.merge_map_of(M.validate_merges(fx.load(spark, sf, "f_merge_request"), ou))
+    res = M.merge_values(fx.load(spark, sf, "f_datavalue"), fx.load(spark, sf, "f_dataelement"), valid, None, RUN_TS)
+    return res.staged
