@@ -51,7 +51,8 @@ STATUS_DELETED = "deleted"
 
 
 def validate_deletes(requests: DataFrame, orgunits: DataFrame) -> DataFrame:
-    """``requests`` (uid) plus ``organisationunitid`` and ``status``."""
+    """``requests`` (uid) plus ``organisationunitid`` and ``status`` (JON4 uid lookup,
+    AGG9 has-children as a semi-join on parent ids)."""
     wanted = small_side(requests.select("uid").distinct())
     units = (orgunits.join(wanted, "uid", "left_semi")
              .groupBy("uid").agg(F.min("organisationunitid").alias("organisationunitid")))
@@ -73,7 +74,8 @@ def deleted_ids(validated: DataFrame) -> DataFrame:
 
 def resequence(members: DataFrame, object_col: str, ids: DataFrame,
                touched_after_delete: bool = False) -> DataFrame:
-    """Remove the members in ``ids`` and renumber the touched objects 0..n-1.
+    """DEL2 / WIN4 / SRT1 / JON9: remove the members in ``ids`` and renumber the touched
+    objects 0..n-1 (the renumbering is the new column, no update-from-join).
 
     Order: old sort_order, then organisationunitid (the reference leaves equal
     sort_orders in arbitrary order). Objects that lost no member keep their gaps.
@@ -149,6 +151,7 @@ class CascadeResult:
                 except KeyError:
                     self._out[name] = df
                 else:
+                    # JON5 (direct key) / JON6 (via stage instances): anti-join delete
                     self._out[name] = df.join(k, key, "left_anti").select(*df.columns)
         return self._out[name]
 

@@ -69,7 +69,7 @@ def identifier_array(resource: str, host: str, id_col: str = "id", keys: tuple[s
     """PRJ4: array of {value, property, system, type} for id, name and code, in input
     key order. Name and code need an id (their system URL contains it); NULL means
     absent, so a NULL value gives no entry. The URLs are not encoded."""
-    base = F.concat(F.lit(f"{host}/api/{resource}/"), F.col(id_col))
+    base = F.concat(F.lit(f"{host}/api/{resource}/"), F.col(id_col))  # SCL7
     entries = []
     for k in keys:
         v = F.col(k).cast("string")

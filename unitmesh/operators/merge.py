@@ -95,6 +95,7 @@ def validate_merges(requests: DataFrame, orgunits: DataFrame) -> DataFrame:
          .join(as_source, "dest_uid", "left")
          .join(as_dest, "source_uid", "left")
          .join(dest_strats, "dest_uid", "left"))
+    # SCL11: the checks as one CASE, first failure wins
     error = (F.when(F.col("source_id").isNull(), F.lit(ERR_SOURCE))
              .when(F.col("dest_id").isNull(), F.lit(ERR_DEST))
              .when(F.col("source_uid") == F.col("dest_uid"), F.lit(ERR_SELF))
@@ -171,8 +172,11 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
         used = (strategy,) if strategy in AGG_STRATEGIES else ()
     classes = element_classes(dataelement)
 
+    # JON2/JON4: rows of the touched sites with their destination id (broadcast when small)
     involved = join_small(datavalue, sites, "sourceid", "inner")
+    # FIL11: live rows only; NULL deleted is not false
     live = involved.where(F.col("deleted") == F.lit(False))
+    # FIL10/JON3: numeric vs other value types (a NULL type is neither)
     live = join_small(live, classes, "dataelementid", "left")
     if materialize_rows:
         live = materialize(live, "merge-live")
@@ -188,6 +192,8 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
     is_num = F.coalesce(F.col("is_numeric"), F.lit(False))
     is_oth = F.coalesce(F.col("is_other"), F.lit(False))
 
+    # AGG1/AGG2: key counts (n > 1 overlaps, n = 1 singletons); AGG3/AGG4/AGG5/AGG6: SUM/AVG/MAX/MIN;
+    # AGG7/WIN1/WIN2/WIN3: the FIRST/LAST/latest bounds, used instead of rank() windows.
     aggs = [F.count(F.lit(1)).alias("n"),
             F.max(ts.isNull()).alias("has_null_ts"),
             F.max(ts).alias("max_ts"),
@@ -233,6 +239,7 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
                      lastupdated=now))
 
     parts.append(out(rows.where(F.col("n") == 1), lastupdated=now))
+    # SET1: the branches are one bag union (UNION ALL); AGG10: DISTINCT only in FIRST/LAST.
     staged = parts[0]
     for p in parts[1:]:
         staged = staged.unionByName(p)

@@ -32,7 +32,7 @@ def _tv(value: Column, type_: str, system: str | None = None, **extra: Column) -
 
 
 def system_id(id_col: Column) -> Column:
-    """Deterministic stand-in for the reference's random uuid: a UUID-shaped hash of the id."""
+    """SCL16: deterministic stand-in for the reference's random uuid: a UUID-shaped hash of the id."""
     h = F.sha2(F.concat(F.lit("facility:"), id_col), 256)
     return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
                        F.substring(h, 17, 4), F.substring(h, 21, 12))
@@ -80,11 +80,12 @@ def to_facility(units: DataFrame) -> DataFrame:
         F.array(_tv(blank, "catchment", LOCATION_SYSTEM, period=F.lit(POPULATION_PERIOD))).alias("population"),
         F.array(*[_tv(blank, t) for t in TRACKING_TYPES]).alias("tracking"),
     ]
+    # PRJ8: every other key passes through; SCL15 arrays built with array/concat/filter/transform
     rest = [c for c in units.columns if c not in ("ancestors", "organisationUnitGroups")]
     passthrough = [F.col(c) for c in rest]
     empty_anc = F.when(F.size(anc) == 0, anc).alias("ancestors")
     empty_grp = F.when(F.size(grp) == 0, grp).alias("organisationUnitGroups")
-    return units.select(*record, *passthrough, empty_anc, empty_grp).orderBy("id")
+    return units.select(*record, *passthrough, empty_anc, empty_grp).orderBy("id")  # PRJ9 / SRT2
 
 
 def admin_report(units: DataFrame, levels: int = 4) -> DataFrame:
@@ -106,7 +107,7 @@ def to_mappings(elements: DataFrame, name_col: str = "dataelement", short_col: s
 
 
 def new_terms(stored: DataFrame, incoming: DataFrame, key: str = "id") -> DataFrame:
-    """JON7: incoming mappings whose key is not stored yet (anti-join)."""
+    """JON7 / FIL12: incoming mappings whose key is not stored yet (anti-join)."""
     return join_small(incoming, stored.select(key).distinct(), key, "left_anti")
 
 

@@ -44,12 +44,13 @@ R_UNKNOWN_OP = "Could not execute directive"
 
 
 def _blank(c: Column) -> Column:
+    # SCL8: a missing value counts as ''
     return F.coalesce(c, F.lit("")) == ""
 
 
 def split_directives(directives: DataFrame) -> DataFrame:
     """SIT1: ``kind`` = add / edit / relocate / unknown from the lower-cased operation."""
-    op = F.lower(F.coalesce(F.col("op"), F.lit("")))
+    op = F.lower(F.coalesce(F.col("op"), F.lit("")))  # SCL2
     kind = (F.when(op.isin(*ADD_OPS), "add").when(op.isin(*EDIT_OPS), "edit")
             .when(op.isin(*RELOCATE_OPS), "relocate").otherwise("unknown"))
     return directives.withColumn("kind", kind)
@@ -69,13 +70,15 @@ def site_adds(directives: DataFrame, snapshot: DataFrame) -> tuple[DataFrame, Da
     if "parent_code" not in d.columns:
         d = d.withColumn("parent_code", F.lit(""))
     ordcol = _order(snapshot)
+    # FIL5 / SRT3: parent id from code, first match by snapshot order (min_by)
     by_code = (snapshot.where(F.col("code").isNotNull())
                .groupBy(F.col("code").alias("parent_code"))
                .agg(F.min_by("id", ordcol).alias("code_parent")))
-    known = _ids(snapshot, "parent_uid", "parent_known")
+    known = _ids(snapshot, "parent_uid", "parent_known")  # FIL3: uid exists
     d = join_small(join_small(d, by_code, "parent_code", "left"), known, "parent_uid", "left")
     resolved = F.when(_blank(F.col("parent_uid")), F.col("code_parent")).otherwise(F.col("parent_uid"))
     d = d.withColumn("resolved_parent", resolved).withColumn("name_q", F.replace(F.col("name"), F.lit("'"), F.lit("''")))
+    # FIL6 / SCL4: existing site by (name with ' doubled, parent)
     existing = (snapshot.where(F.col("parent_id").isNotNull())
                 .groupBy(F.col("name").alias("name_q"), F.col("parent_id").alias("resolved_parent"))
                 .agg(F.min_by("id", ordcol).alias("existing_id")))
@@ -88,6 +91,7 @@ def site_adds(directives: DataFrame, snapshot: DataFrame) -> tuple[DataFrame, Da
               .when(F.col("existing_id").isNotNull(), R_EXISTS))
     d = d.withColumn("reason", reason)
     point = ~_blank(F.col("lon")) & ~_blank(F.col("lat"))
+    # PRJ12 add payload: SCL3 first 50 characters, SCL6 "[lon,lat]", SCL10 fixed opening date
     payload = d.where(F.col("reason").isNull()).select(
         "row_no",
         F.col("uid").alias("id"),
@@ -144,6 +148,7 @@ def site_updates(directives: DataFrame, snapshot: DataFrame, today: str) -> Site
     coded = is_edit & ~_blank(F.col("code"))
     short = F.substring(F.when(_blank(F.col("shortname")), F.col("new_name")).otherwise(F.col("shortname")),
                         1, SHORT_NAME_LENGTH)
+    # PRJ13 / SCL12: last non-blank value per field (FIL4 the current row supplies the rest)
     changes = ok.groupBy("uid").agg(
         _last(named, F.col("new_name")).alias("new_name"),
         _last(named, short).alias("new_short"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from unitmesh.plans import fixtures as fx
 
-# Stand-ins for the reference's now() / today, so results are reproducible.
+# SCL10: stand-ins for the reference's now() / today, so results are reproducible.
 RUN_TS = "2024-06-30 12:00:00"
 TODAY = "2024-06-30"
 

@@ -17,6 +17,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The pandas UDFs see whole documents; smaller Arrow batches bound worker memory.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

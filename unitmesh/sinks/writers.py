@@ -45,7 +45,7 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def json_record(df: DataFrame, keep_nulls: bool = True) -> Column:
-    """SNK8: each row as one JSON object; NULL fields are written as ``null`` (as the
+    """SNK8 / SCL14: each row as one JSON object; NULL fields are written as ``null`` (as the
     pandas records export does) unless ``keep_nulls`` is false."""
     return F.to_json(F.struct(*[F.col(c) for c in df.columns]),
                      {"ignoreNullFields": "false" if keep_nulls else "true"})
