@@ -179,7 +179,9 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
     # FIL10/JON3: numeric vs other value types (a NULL type is neither)
     live = join_small(live, classes, "dataelementid", "left")
     if materialize_rows:
-        live = materialize(live, "merge-live")
+        # _rid: a row id fixed by the write, so one row per key can be picked later
+        # without a shuffle (the key's smallest id).
+        live = materialize(live.withColumn("_rid", F.monotonically_increasing_id()), "merge-live")
 
     key_ok = F.lit(True)
     for k in VALUE_KEY:
@@ -199,6 +201,8 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
             F.max(ts).alias("max_ts"),
             F.min(ts).alias("min_ts"),
             F.max(is_num).alias("key_numeric")]
+    if materialize_rows:
+        aggs.append(F.min("_rid").alias("_first_rid"))
     if used:
         dec = F.when(is_num, to_decimal(F.col("value"), cast_mode))
         fns = {"SUM": F.sum, "AVG": F.avg, "MAX": F.max, "MIN": F.min}
@@ -222,8 +226,11 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
     multi = F.col("n") > 1
     parts = []
     if used:
-        per_num = (rows.where(multi & F.col("key_numeric") & strat.isin(*AGG_STRATEGIES))
-                   .select(*group, "agg_value").dropDuplicates(group))
+        agg_rows = rows.where(multi & F.col("key_numeric") & strat.isin(*AGG_STRATEGIES))
+        if materialize_rows:
+            per_num = agg_rows.where(F.col("_rid") == F.col("_first_rid"))
+        else:
+            per_num = agg_rows.select(*group, "agg_value").dropDuplicates(group)
         parts.append(out(per_num,
                          value=decimal_text(F.col("agg_value")), storedby=F.lit("admin"),
                          lastupdated=now, comment=F.lit(None).cast("string"), followup=F.lit(False),
