@@ -45,7 +45,8 @@ MEMBER_LISTS = {
     "eventreport_organisationunits": "eventreportid",
 }
 
-ERR_CHILDREN = "Organisationunit has children. Aborting."
+ERR_CHILDREN = "Organisationunit has children. Aborting."  # fixed message of the reference
+# Outcome texts of this engine.
 STATUS_UNKNOWN = "unknown uid: nothing deleted"
 STATUS_DELETED = "deleted"
 

@@ -43,12 +43,13 @@ from unitmesh.schemas import DATAVALUE_COLUMNS, VALUE_KEY
 STRATEGIES = ("SUM", "MAX", "MIN", "AVG", "LAST", "FIRST")
 NUMERIC_VALUE_TYPES = ("INTEGER", "NUMBER", "INTEGER_ZERO_OR_POSITIVE", "INTEGER_POSITIVE")
 
-# Fixed messages, in the order the checks run.
+# Fixed messages of the reference, in the order the checks run.
 ERR_SOURCE = "Invalid source organisation unit"
 ERR_DEST = "Invalid destination organisation unit"
 ERR_SELF = "Cannot self-merge"
 ERR_STRATEGY = "Please provide a merge strategy (SUM,MAX,MIN,AVG,LAST,FIRST)"
 ERR_CHILDREN = "Organisationunit has children. Aborting."
+# Checks this engine adds for bulk requests.
 ERR_REPEATED = "Source is merged more than once"
 ERR_CHAIN = "Merge chain: a destination is also a source"
 ERR_MIXED = "Destination requested with different strategies"

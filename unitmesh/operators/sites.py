@@ -32,6 +32,7 @@ RELOCATE_OPS = ("relocate",)
 DEFAULT_OPENING_DATE = "1970-01-01"
 SHORT_NAME_LENGTH = 50
 
+# Reject reasons of this engine (the reference only prints messages), in check order.
 R_UID = "Site UID must be provided for add operation"
 R_NAME = "Site name must be provided for add operation"
 R_PARENT_MISSING = "Parent code or parent UID must be provided for add operation"
