@@ -133,6 +133,7 @@ class MergeResult:
     staged: DataFrame   # rows that replace all rows of the touched sites
     lost: DataFrame     # live rows that the rules drop (NULL key, untyped overlaps)
     sites: DataFrame    # (sourceid, dest) of every touched site
+    ties: DataFrame     # FIRST/LAST keys whose winning rows differ (all kept in staged)
 
 
 def _winner_first(ts: Column) -> Column:
@@ -236,9 +237,13 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
                          value=decimal_text(F.col("agg_value")), storedby=F.lit("admin"),
                          lastupdated=now, comment=F.lit(None).cast("string"), followup=F.lit(False),
                          created=now, deleted=F.lit(False)))
+    ties = None
     if strategy is None or strategy in ("FIRST", "LAST"):
         win = (((strat == "FIRST") & _winner_first(ts)) | ((strat == "LAST") & _winner_last(ts)))
-        parts.append(out(rows.where(multi & is_num & win)).dropDuplicates())
+        winners = out(rows.where(multi & is_num & win)).dropDuplicates()
+        parts.append(winners)
+        ties = (winners.groupBy(F.col("sourceid").alias("dest"), *VALUE_KEY)
+                .agg(F.count(F.lit(1)).alias("winners")).where(F.col("winners") > 1))
 
     # Other value types: latest row; on equal lastupdated the smallest original sourceid.
     cand = rows.where(multi & is_oth & _winner_last(ts))
@@ -255,7 +260,11 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
     lost = (rows.where(multi & ~is_num & ~is_oth)
             .select(*DATAVALUE_COLUMNS, "dest", F.lit("no value type").alias("reason"))
             .unionByName(null_key.select(*DATAVALUE_COLUMNS, "dest", F.lit("null key").alias("reason"))))
-    return MergeResult(staged=staged, lost=lost, sites=sites.select("sourceid", "dest"))
+    if ties is None:
+        ties = staged.sparkSession.createDataFrame(
+            [], "dest int, dataelementid int, periodid int, categoryoptioncomboid int, "
+                "attributeoptioncomboid int, winners bigint")
+    return MergeResult(staged=staged, lost=lost, sites=sites.select("sourceid", "dest"), ties=ties)
 
 
 def replace_sites(base: DataFrame, staged: DataFrame, sites: DataFrame) -> DataFrame:

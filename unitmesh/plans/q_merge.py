@@ -94,6 +94,15 @@ _register_strategy("FIRST", _rank_sql("lastupdated asc nulls last"))
 _register_strategy("LAST", _rank_sql("lastupdated desc nulls first"))
 
 
+@query("merge_ties", _text(_rank_sql("lastupdated desc nulls first"), """
+select sourceid as dest, dataelementid, periodid, categoryoptioncomboid, attributeoptioncomboid, count(*) as winners
+from numeric group by sourceid, dataelementid, periodid, categoryoptioncomboid, attributeoptioncomboid having count(*) > 1
+"""))
+def merge_ties(spark, sf):
+    """MRG1 rule 3: LAST-strategy keys whose latest rows differ (kept in the output, flagged here)."""
+    return _merge(spark, sf, "LAST").ties
+
+
 @query("merge_lost", _text("", """
 select dataelementid, periodid, sourceid, categoryoptioncomboid, value, storedby, lastupdated, comment, followup,
        attributeoptioncomboid, created, deleted, dest, 'no value type' as reason
