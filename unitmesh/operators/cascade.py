@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from unitmesh.operators.numbering import row_numbers
-from unitmesh.plans.joins import join_small, small_side
+from unitmesh.plans.joins import broadcast_if, is_small, join_small, small_side
 
 # Fixed values of the reference: dependent tables and the column holding the site.
 DIRECT_DEPENDENTS = {
@@ -51,14 +51,16 @@ STATUS_UNKNOWN = "unknown uid: nothing deleted"
 STATUS_DELETED = "deleted"
 
 
-def validate_deletes(requests: DataFrame, orgunits: DataFrame) -> DataFrame:
+def validate_deletes(requests: DataFrame, orgunits: DataFrame, requests_small: bool | None = None) -> DataFrame:
     """``requests`` (uid) plus ``organisationunitid`` and ``status`` (JON4 uid lookup,
     AGG9 has-children as a semi-join on parent ids)."""
-    wanted = small_side(requests.select("uid").distinct())
+    small = is_small(requests) if requests_small is None else requests_small
+    wanted = broadcast_if(requests.select("uid").distinct(), small)
     units = (orgunits.join(wanted, "uid", "left_semi")
              .groupBy("uid").agg(F.min("organisationunitid").alias("organisationunitid")))
     parents = (orgunits.where(F.col("parentid").isNotNull())
-               .join(small_side(units.select(F.col("organisationunitid").alias("parentid"))), "parentid", "left_semi")
+               .join(broadcast_if(units.select(F.col("organisationunitid").alias("parentid")), small),
+                     "parentid", "left_semi")
                .select(F.col("parentid").alias("organisationunitid")).distinct()
                .withColumn("has_children", F.lit(True)))
     r = requests.join(units, "uid", "left").join(parents, "organisationunitid", "left")
@@ -74,7 +76,7 @@ def deleted_ids(validated: DataFrame) -> DataFrame:
 
 
 def resequence(members: DataFrame, object_col: str, ids: DataFrame,
-               touched_after_delete: bool = False) -> DataFrame:
+               touched_after_delete: bool = False, ids_small: bool | None = None) -> DataFrame:
     """DEL2 / WIN4 / SRT1 / JON9: remove the members in ``ids`` and renumber the touched
     objects 0..n-1 (the renumbering is the new column, no update-from-join).
 
@@ -84,10 +86,11 @@ def resequence(members: DataFrame, object_col: str, ids: DataFrame,
     touched objects are looked up after the delete and so are never renumbered.
     """
     key = ids.select("organisationunitid")
-    remaining = join_small(members, key, "organisationunitid", "left_anti").select(*members.columns)
+    key = broadcast_if(key, is_small(key) if ids_small is None else ids_small)
+    remaining = members.join(key, "organisationunitid", "left_anti").select(*members.columns)
     if touched_after_delete:
         return remaining
-    touched = (join_small(members, key, "organisationunitid", "left_semi")
+    touched = (members.join(key, "organisationunitid", "left_semi")
                .select(object_col).distinct().withColumn("_touched", F.lit(True)))
     flagged = join_small(remaining, touched, object_col, "left")
     keep = flagged.where(F.col("_touched").isNull()).drop("_touched")
@@ -102,7 +105,7 @@ class CascadeResult:
     one table plans (and probes) only what that table needs."""
 
     def __init__(self, tables: dict[str, DataFrame], requests: DataFrame, ids: DataFrame,
-                 chart_literal: bool, object_cols: dict[str, str]):
+                 chart_literal: bool, object_cols: dict[str, str], requests_small: bool = False):
         self.requests = requests                  # requests with id and status
         self.ids = ids                            # deleted organisationunitid
         self._in = tables
@@ -111,10 +114,12 @@ class CascadeResult:
         self._out: dict[str, DataFrame] = {}
         self._ids_small: DataFrame | None = None
         self._inst: DataFrame | None = None
+        self._requests_small = requests_small
 
     def _small_ids(self) -> DataFrame:
+        # deleted ids are a subset of the requested uids: the request probe bounds them
         if self._ids_small is None:
-            self._ids_small = small_side(self.ids)
+            self._ids_small = broadcast_if(self.ids, self._requests_small)
         return self._ids_small
 
     def _instances(self) -> DataFrame:
@@ -145,7 +150,8 @@ class CascadeResult:
             if name in self._objects:
                 self._out[name] = resequence(
                     df, self._objects[name], self._small_ids(),
-                    touched_after_delete=self._chart_literal and name == "chart_organisationunits")
+                    touched_after_delete=self._chart_literal and name == "chart_organisationunits",
+                    ids_small=self._requests_small)
             else:
                 try:
                     key, k = self._keys(name)
@@ -184,10 +190,11 @@ def delete_sites(tables: dict[str, DataFrame], requests: DataFrame, orgunits: Da
     ``organisationunit`` (if given) loses the deleted units themselves. Member lists
     are re-sequenced (chart literally: never, see :func:`resequence`).
     """
-    validated = validate_deletes(requests, orgunits)
+    small = is_small(requests)
+    validated = validate_deletes(requests, orgunits, small)
     objects = dict(MEMBER_LISTS)
     objects.update(member_object_cols or {})
-    return CascadeResult(tables, validated, deleted_ids(validated), chart_literal, objects)
+    return CascadeResult(tables, validated, deleted_ids(validated), chart_literal, objects, small)
 
 
 class MergedSites:
@@ -212,7 +219,7 @@ class MergedSites:
             dataelement, merge_map, strategy, run_ts = self._args
             dv = self._tables["datavalue"]
             res = merge_values(dv, dataelement, merge_map, strategy, run_ts)
-            self._datavalue = replace_sites(dv, res.staged, res.sites)
+            self._datavalue = replace_sites(dv, res.staged, res.sites, res.sites_small)
         return self._datavalue
 
 

@@ -35,7 +35,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from unitmesh.functions.decimals import decimal_text, to_decimal
-from unitmesh.plans.joins import join_small, small_side
+from unitmesh.plans.joins import broadcast_if, is_small, join_small
 from unitmesh.plans.materialize import materialize
 from unitmesh.schemas import DATAVALUE_COLUMNS, VALUE_KEY
 
@@ -55,15 +55,16 @@ ERR_CHAIN = "Merge chain: a destination is also a source"
 ERR_MIXED = "Destination requested with different strategies"
 
 
-def _unit_lookup(orgunits: DataFrame, uids: DataFrame) -> DataFrame:
+def _unit_lookup(orgunits: DataFrame, uids: DataFrame, small: bool) -> DataFrame:
     """uid -> (organisationunitid, has_children) for the given uids only (first id
     wins on duplicates). The unit table is cut down to the requested uids by a
     semi-join before anything else, so the lookup stays as small as the request."""
-    wanted = small_side(uids.select("uid").distinct())
+    wanted = broadcast_if(uids.select("uid").distinct(), small)
     units = (orgunits.join(wanted, "uid", "left_semi")
              .groupBy("uid").agg(F.min("organisationunitid").alias("organisationunitid")))
     parents = (orgunits.where(F.col("parentid").isNotNull())
-               .join(small_side(units.select(F.col("organisationunitid").alias("parentid"))), "parentid", "left_semi")
+               .join(broadcast_if(units.select(F.col("organisationunitid").alias("parentid")), small),
+                     "parentid", "left_semi")
                .select(F.col("parentid").alias("organisationunitid")).distinct()
                .withColumn("has_children", F.lit(True)))
     return (units.join(parents, "organisationunitid", "left")
@@ -81,7 +82,7 @@ def validate_merges(requests: DataFrame, orgunits: DataFrame) -> DataFrame:
     """
     uids = (requests.select(F.col("source_uid").alias("uid"))
             .unionByName(requests.select(F.col("dest_uid").alias("uid"))))
-    lookup = _unit_lookup(orgunits, uids)
+    lookup = _unit_lookup(orgunits, uids, is_small(uids))
     src = lookup.select(F.col("uid").alias("source_uid"), F.col("organisationunitid").alias("source_id"),
                         F.col("has_children").alias("source_has_children"))
     dst = lookup.select(F.col("uid").alias("dest_uid"), F.col("organisationunitid").alias("dest_id"))
@@ -134,6 +135,7 @@ class MergeResult:
     lost: DataFrame     # live rows that the rules drop (NULL key, untyped overlaps)
     sites: DataFrame    # (sourceid, dest) of every touched site
     ties: DataFrame     # FIRST/LAST keys whose winning rows differ (all kept in staged)
+    sites_small: bool = False  # the touched-site list passed the broadcast bound
 
 
 def _winner_first(ts: Column) -> Column:
@@ -173,9 +175,10 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
         sites = sites.withColumn("strat", F.lit(strategy))
         used = (strategy,) if strategy in AGG_STRATEGIES else ()
     classes = element_classes(dataelement)
+    sites_small = is_small(sites)
 
     # JON2/JON4: rows of the touched sites with their destination id (broadcast when small)
-    involved = join_small(datavalue, sites, "sourceid", "inner")
+    involved = datavalue.join(broadcast_if(sites, sites_small), "sourceid", "inner")
     # FIL11: live rows only; NULL deleted is not false
     live = involved.where(F.col("deleted") == F.lit(False))
     # FIL10/JON3: numeric vs other value types (a NULL type is neither)
@@ -264,14 +267,16 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
         ties = staged.sparkSession.createDataFrame(
             [], "dest int, dataelementid int, periodid int, categoryoptioncomboid int, "
                 "attributeoptioncomboid int, winners bigint")
-    return MergeResult(staged=staged, lost=lost, sites=sites.select("sourceid", "dest"), ties=ties)
+    return MergeResult(staged=staged, lost=lost, sites=sites.select("sourceid", "dest"), ties=ties,
+                       sites_small=sites_small)
 
 
-def replace_sites(base: DataFrame, staged: DataFrame, sites: DataFrame) -> DataFrame:
+def replace_sites(base: DataFrame, staged: DataFrame, sites: DataFrame, sites_small: bool | None = None) -> DataFrame:
     """All rows of the touched sites (tombstones included) replaced by ``staged``.
 
     A broadcast anti-join when the site list is small, so the rewrite of the base
     table is a single map-only pass.
     """
-    kept = join_small(base, sites.select("sourceid").distinct(), "sourceid", "left_anti")
+    ids = sites.select("sourceid").distinct()
+    kept = base.join(broadcast_if(ids, is_small(ids) if sites_small is None else sites_small), "sourceid", "left_anti")
     return kept.unionByName(staged.select(*base.columns))

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from unitmesh.plans.joins import join_small
+from unitmesh.plans.joins import broadcast_if, is_small
 
 # Fixed values of the reference.
 ADD_OPS = ("add",)
@@ -71,19 +71,21 @@ def site_adds(directives: DataFrame, snapshot: DataFrame) -> tuple[DataFrame, Da
     if "parent_code" not in d.columns:
         d = d.withColumn("parent_code", F.lit(""))
     ordcol = _order(snapshot)
+    snap_small = is_small(snapshot)  # one probe bounds every lookup below (all derive from it)
     # FIL5 / SRT3: parent id from code, first match by snapshot order (min_by)
     by_code = (snapshot.where(F.col("code").isNotNull())
                .groupBy(F.col("code").alias("parent_code"))
                .agg(F.min_by("id", ordcol).alias("code_parent")))
     known = _ids(snapshot, "parent_uid", "parent_known")  # FIL3: uid exists
-    d = join_small(join_small(d, by_code, "parent_code", "left"), known, "parent_uid", "left")
+    d = (d.join(broadcast_if(by_code, snap_small), "parent_code", "left")
+         .join(broadcast_if(known, snap_small), "parent_uid", "left"))
     resolved = F.when(_blank(F.col("parent_uid")), F.col("code_parent")).otherwise(F.col("parent_uid"))
     d = d.withColumn("resolved_parent", resolved).withColumn("name_q", F.replace(F.col("name"), F.lit("'"), F.lit("''")))
     # FIL6 / SCL4: existing site by (name with ' doubled, parent)
     existing = (snapshot.where(F.col("parent_id").isNotNull())
                 .groupBy(F.col("name").alias("name_q"), F.col("parent_id").alias("resolved_parent"))
                 .agg(F.min_by("id", ordcol).alias("existing_id")))
-    d = join_small(d, existing, ["name_q", "resolved_parent"], "left")
+    d = d.join(broadcast_if(existing, snap_small), ["name_q", "resolved_parent"], "left")
     reason = (F.when(_blank(F.col("uid")), R_UID)
               .when(_blank(F.col("name")), R_NAME)
               .when(_blank(F.col("parent_uid")) & _blank(F.col("parent_code")), R_PARENT_MISSING)
@@ -124,11 +126,14 @@ def _last(cond: Column, value: Column) -> Column:
 def site_updates(directives: DataFrame, snapshot: DataFrame, today: str) -> SiteUpdates:
     """SIT3 + SIT4: validated edits and relocations, folded into one state per site."""
     d = split_directives(directives).where(F.col("kind").isin("edit", "relocate"))
+    snap_small = is_small(snapshot)  # one probe bounds every lookup below (all derive from it)
     sites = _ids(snapshot, "uid", "site_known")
     parents = _ids(snapshot, "parent_uid", "parent_known")
     taken = (snapshot.where(F.col("code").isNotNull()).select("code").distinct()
              .withColumn("code_taken", F.lit(True)))
-    d = join_small(join_small(join_small(d, sites, "uid", "left"), parents, "parent_uid", "left"), taken, "code", "left")
+    d = (d.join(broadcast_if(sites, snap_small), "uid", "left")
+         .join(broadcast_if(parents, snap_small), "parent_uid", "left")
+         .join(broadcast_if(taken, snap_small), "code", "left"))
     is_edit = F.col("kind") == "edit"
     pre = (F.when(F.col("site_known").isNull(), R_SITE)
            .when(is_edit & ~_blank(F.col("parent_uid")) & F.col("parent_known").isNull(), R_PARENT_UID)
@@ -160,7 +165,8 @@ def site_updates(directives: DataFrame, snapshot: DataFrame, today: str) -> Site
         F.max(~is_edit).alias("has_relocate"))
     # One snapshot row per id (the first by order on duplicates), only for changed sites.
     ordcol = _order(snapshot)
-    snap = (join_small(snapshot, changes.select(F.col("uid").alias("id")), "id", "left_semi")
+    # changed sites are snapshot ids, so the snapshot's bound holds for them too
+    snap = (snapshot.join(broadcast_if(changes.select(F.col("uid").alias("id")), snap_small), "id", "left_semi")
             .groupBy(F.col("id").alias("uid"))
             .agg(*[F.min_by(c, ordcol).alias(c) for c in snapshot.columns if c not in ("id", "row_no")]))
     s = changes.join(snap, "uid", "left")

@@ -26,6 +26,18 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
+    """The bounded probe itself. A side derived from a proven-small input by
+    projection, aggregation or semi-join is no larger, so one probe can cover all of
+    them (see :func:`broadcast_if`)."""
+    return has_at_most(df, max_rows if max_rows is not None else max_broadcast_rows(df))
+
+
+def broadcast_if(df: DataFrame, proven_small: bool) -> DataFrame:
+    """Broadcast hint on ``df`` when a probe has already bounded the input it derives from."""
+    return F.broadcast(df) if proven_small else df
+
+
 def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Return ``df`` with a broadcast hint if its row count is proven bounded."""
     bound = max_rows if max_rows is not None else max_broadcast_rows(df)

@@ -128,7 +128,7 @@ def merge_apply(spark, sf):
     """SNK1: the whole data value table after the SUM merge of f_merge_map (touched sites swapped)."""
     dv = fx.load(spark, sf, "f_datavalue")
     res = M.merge_values(dv, fx.load(spark, sf, "f_dataelement"), fx.load(spark, sf, "f_merge_map"), "SUM", RUN_TS)
-    return M.replace_sites(dv, res.staged, res.sites)
+    return M.replace_sites(dv, res.staged, res.sites, res.sites_small)
 
 
 @query("merge_validate", """
