@@ -1,5 +1,5 @@
 """Store (WIN5, SNK5-6), lookup (FIL7-9), similarity (UDF1, JON11), stream (STR1),
-source/sink round trips (SRC1, SRC3, SRC5, SRC6, SNK8) and value scaling (UDF2)."""
+source/sink round trips (SRC1, SRC3, SRC5, SRC6, SNK2, SNK4, SNK8) and value scaling (UDF2)."""
 
 from __future__ import annotations
 
@@ -199,3 +199,60 @@ def scaled_values(spark, sf):
     factors = fx.raw(spark, sf, "part").select(F.col("p_partkey").cast("int").alias("dataelementid"),
                                                F.col("p_size").alias("factor"))
     return MP.scale_values(fx.load(spark, sf, "f_datavalue"), factors)
+
+
+
+
+def _site_batches(spark, sf):
+    from unitmesh.operators import sites as S
+    from unitmesh.plans.registry import TODAY
+
+    d, snap = fx.load(spark, sf, "f_directive"), fx.load(spark, sf, "f_snapshot")
+    adds, _ = S.site_adds(d, snap)
+    upd = S.site_updates(d, snap, TODAY)
+    return adds, upd.edits, upd.relocates
+
+
+def _sites_sql(tail: str) -> str:
+    from unitmesh.plans.q_sites import _sql
+
+    return _sql(tail)
+
+
+@query("batches_json", _sites_sql("""
+select 'add' as batch, id, parent_id from adds
+union all select 'edit', id, parent_id from st where has_edit
+union all select 'relocate', id, parent_id from st where has_relocate
+"""))
+def batches_json(spark, sf):
+    """SNK2: add, edit and relocation batches written as NDJSON (each only if non-empty)
+    and read back: one row per written site with its batch and nested parent id."""
+    from unitmesh.sinks.writers import write_batches
+
+    out = scratch_path(spark, "batches")
+    adds, edits, relocates = _site_batches(spark, sf)
+    written = write_batches(adds, edits, relocates, out)
+    schema = "id string, parent struct<id:string>"
+    parts = [spark.read.schema(schema).json(f"{out}/{b}")
+             .select(F.lit(b).alias("batch"), "id", F.col("parent.id").alias("parent_id"))
+             for b, ok in written.items() if ok]
+    res = parts[0]
+    for p in parts[1:]:
+        res = res.unionByName(p)
+    return res
+
+
+@query("warehouse_store", fx.oracle("""
+select orgUnit as location, dataElement, categoryOptionCombo as disaggregation, attributeOptionCombo as attribution,
+       value, storedby, comment, followup, period
+from f_payload where period = '1995'
+""", ["f_payload"]))
+def warehouse_store(spark, sf):
+    """SNK4: warehouse records stored as parquet partitioned by period, read back for one
+    period (partition pruning: only that folder is scanned)."""
+    from unitmesh.sinks.writers import store
+
+    path = scratch_path(spark, "warehouse")
+    wh = MP.to_warehouse(fx.load(spark, sf, "f_payload"))
+    store(wh, path, partition_by=["period"])
+    return SRC.read_store(spark, path, wh.schema).where(F.col("period") == "1995")

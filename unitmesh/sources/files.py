@@ -52,3 +52,13 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
 def read_resources(spark: SparkSession, path: str, resource_type: str = "metadata") -> DataFrame:
     """SRC6: resources of one type from exported NDJSON bundles (``resourceType``)."""
     return spark.read.json(path).where(F.col("resourceType") == resource_type)
+
+
+def read_store(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """Read a table written by ``sinks.writers.store``. With the stored ``schema`` the
+    partition columns keep their written type instead of an inferred one; filters
+    on them prune folders."""
+    r = spark.read
+    if schema is not None:
+        r = r.schema(schema)
+    return r.parquet(path)
