@@ -56,3 +56,9 @@ def test_filters_and_columns_reach_the_scan(spark):
     out = MP.data_values(fx.load(spark, SF, "f_datavalue"), members, "DS1", units, 1994, 1996)
     p = plan(out)
     assert "GreaterThanOrEqual(periodid,1994)" in p and "LessThanOrEqual(periodid,1996)" in p
+
+
+def test_merge_site_list_reaches_the_scan(spark):
+    res = M.merge_values(fx.load(spark, SF, "f_datavalue"), fx.load(spark, SF, "f_dataelement"),
+                         fx.load(spark, SF, "f_merge_map"), "SUM", "2024-06-30 12:00:00", materialize_rows=False)
+    assert "In(sourceid," in plan(res.staged)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from unitmesh.operators.numbering import row_numbers
-from unitmesh.plans.joins import broadcast_if, is_small, join_small, small_side
+from unitmesh.plans.joins import broadcast_if, is_small, join_small, prefilter, small_side
 
 # Fixed values of the reference: dependent tables and the column holding the site.
 DIRECT_DEPENDENTS = {
@@ -127,7 +127,10 @@ class CascadeResult:
         if self._inst is None:
             if "programstageinstance" not in self._in:
                 raise ValueError("programstageinstance is needed to delete its dependents")
-            inst = (self._in["programstageinstance"].join(self._small_ids(), "organisationunitid", "left_semi")
+            psi = self._in["programstageinstance"]
+            if self._requests_small:
+                psi = prefilter(psi, "organisationunitid", self.ids)
+            inst = (psi.join(self._small_ids(), "organisationunitid", "left_semi")
                     .select("programstageinstanceid").distinct())
             self._inst = small_side(inst)
         return self._inst
@@ -174,7 +177,8 @@ class CascadeResult:
                 key, k = self._keys(name)
             except KeyError:
                 continue
-            parts.append(df.join(k, key, "left_semi").agg(F.count(F.lit(1)).alias("deleted_rows"))
+            hit = prefilter(df, key, k) if self._requests_small and key != "programstageinstanceid" else df
+            parts.append(hit.join(k, key, "left_semi").agg(F.count(F.lit(1)).alias("deleted_rows"))
                          .select(F.lit(name).alias("table_name"), "deleted_rows"))
         out = parts[0]
         for p in parts[1:]:

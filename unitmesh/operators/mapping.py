@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from unitmesh.functions.decimals import decimal_text, to_decimal
-from unitmesh.plans.joins import join_small
+from unitmesh.plans.joins import join_small, prefilter
 
 # Fixed values of the reference: column names on both sides and default field lists.
 TO_WAREHOUSE = {"orgUnit": "location", "attributeOptionCombo": "attribution",
@@ -112,10 +112,11 @@ def data_values(values: DataFrame, members: DataFrame, data_set: str, org_units:
     """FIL2: values of the data set's elements, for the given units (sourceid), with
     start <= periodid <= end (both bounds inclusive)."""
     elems = members.where(F.col("dataset_id") == data_set).select("dataelementid").distinct()
+    units = org_units.select(F.col("organisationunitid").alias("sourceid")).distinct()
     v = values.where(F.col("periodid").between(start_period, end_period))
+    v = prefilter(prefilter(v, "dataelementid", elems), "sourceid", units)
     v = join_small(v, elems, "dataelementid", "left_semi")
-    return join_small(v, org_units.select(F.col("organisationunitid").alias("sourceid")).distinct(),
-                      "sourceid", "left_semi")
+    return join_small(v, units, "sourceid", "left_semi")
 
 
 def scale_values(values: DataFrame, factors: DataFrame, key: str = "dataelementid",

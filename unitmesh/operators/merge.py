@@ -35,7 +35,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from unitmesh.functions.decimals import decimal_text, to_decimal
-from unitmesh.plans.joins import broadcast_if, is_small, join_small
+from unitmesh.plans.joins import broadcast_if, is_small, join_small, prefilter
 from unitmesh.plans.materialize import materialize
 from unitmesh.schemas import DATAVALUE_COLUMNS, VALUE_KEY
 
@@ -178,7 +178,8 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
     sites_small = is_small(sites)
 
     # JON2/JON4: rows of the touched sites with their destination id (broadcast when small)
-    involved = datavalue.join(broadcast_if(sites, sites_small), "sourceid", "inner")
+    scan = prefilter(datavalue, "sourceid", sites) if sites_small else datavalue
+    involved = scan.join(broadcast_if(sites, sites_small), "sourceid", "inner")
     # FIL11: live rows only; NULL deleted is not false
     live = involved.where(F.col("deleted") == F.lit(False))
     # FIL10/JON3: numeric vs other value types (a NULL type is neither)

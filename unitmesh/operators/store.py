@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from unitmesh.plans.joins import prefilter
+
 
 def kv_put(store: DataFrame, items: DataFrame) -> DataFrame:
     """SNK5: append new versions ``(key, document, ts, seq)``; a later version of a key
@@ -22,7 +24,11 @@ def kv_put(store: DataFrame, items: DataFrame) -> DataFrame:
 def kv_latest(store: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """WIN5 / SRC8: the latest version per key (largest ts, then seq). With ``keys``
     only those keys are read (semi-join before the aggregate)."""
-    s = store if keys is None else store.join(keys.select("key").distinct(), "key", "left_semi")
+    if keys is None:
+        s = store
+    else:
+        k = keys.select("key").distinct()
+        s = prefilter(store, "key", k).join(k, "key", "left_semi")
     best = s.groupBy("key").agg(F.max(F.struct("ts", "seq", "document")).alias("_v"))
     return best.select("key", F.col("_v.document").alias("document"), F.col("_v.ts").alias("ts"),
                        F.col("_v.seq").alias("seq"))

@@ -48,3 +48,27 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int | None = None) -> DataFrame:
     """``big.join(small)`` broadcasting ``small`` only behind the size check."""
     return big.join(small_side(small, max_rows), on, how)
+
+
+# Largest id list added as a literal IN filter (pushed into the parquet scan).
+DEFAULT_MAX_IN_LIST = 10_000
+IN_LIST_KEY = "unitmesh.pushdown.maxInList"
+
+
+def key_values(keys: DataFrame, column: str, max_values: int | None = None) -> list | None:
+    """The distinct values of ``column`` if there are at most ``max_values`` of them
+    (one bounded job: reads at most max_values + 1 distinct values), else None."""
+    bound = max_values if max_values is not None else int(
+        keys.sparkSession.conf.get(IN_LIST_KEY, str(DEFAULT_MAX_IN_LIST)))
+    got = keys.select(column).where(F.col(column).isNotNull()).distinct().limit(bound + 1).collect()
+    return None if len(got) > bound else [r[0] for r in got]
+
+
+def prefilter(big: DataFrame, column: str, keys: DataFrame, key_column: str | None = None,
+              max_values: int | None = None) -> DataFrame:
+    """``big`` restricted to rows whose ``column`` is among the keys, as a literal
+    ``isin`` filter that reaches the parquet scan (row groups whose min/max miss
+    every key are skipped), when the key list is short; otherwise ``big`` unchanged.
+    A filter only: the join that needs the keys' other columns still follows."""
+    values = key_values(keys, key_column or column, max_values)
+    return big if values is None else big.where(F.col(column).isin(values))
