@@ -143,3 +143,20 @@ def test_repeated_source_and_mixed_strategies(spark):
     assert out[("A", "B")] == out[("A", "C")] == M.ERR_REPEATED
     assert out[("D", "F")] == out[("E", "F")] == M.ERR_MIXED
     assert M.merge_map_of(M.validate_merges(req, ou)).count() == 0
+
+
+def test_hot_key_many_sources_one_destination(spark):
+    # 400 sources merged into site 10, all reporting the same key: one hot group
+    srcs = list(range(100, 500))
+    vals = [dv(1, s, str(s), dt.datetime(2020, 1, 1) + dt.timedelta(days=s)) for s in srcs]
+    vals += [dv(2, s, f"t{s}", dt.datetime(2020, 1, 1) + dt.timedelta(days=s % 7)) for s in srcs]
+    d = spark.createDataFrame(vals, DATAVALUE)
+    e = spark.createDataFrame(ELEMENTS, DATAELEMENT)
+    m = spark.createDataFrame([(s, 10) for s in srcs], "source_id int, dest_id int")
+    res = M.merge_values(d, e, m, "SUM", RUN_TS, materialize_rows=False)
+    got = {r.dataelementid: r.value for r in res.staged.collect()}
+    assert got[1] == str(sum(srcs))
+    # text element: latest day-of-week 6, smallest original source among those
+    assert got[2] == f"t{min(s for s in srcs if s % 7 == 6)}"
+    res = M.merge_values(d, e, m, "LAST", RUN_TS, materialize_rows=False)
+    assert {r.dataelementid: r.value for r in res.staged.collect()}[1] == "499"

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from unitmesh.operators.numbering import row_numbers
+from unitmesh.plans.materialize import materialize
 from unitmesh.plans.joins import broadcast_if, is_small, join_small, prefilter, small_side
 
 # Fixed values of the reference: dependent tables and the column holding the site.
@@ -195,7 +196,9 @@ def delete_sites(tables: dict[str, DataFrame], requests: DataFrame, orgunits: Da
     are re-sequenced (chart literally: never, see :func:`resequence`).
     """
     small = is_small(requests)
-    validated = validate_deletes(requests, orgunits, small)
+    # Written once: every table's delete and count reads the deleted ids from here
+    # instead of re-running the validation in each branch.
+    validated = materialize(validate_deletes(requests, orgunits, small), "delete-requests")
     objects = dict(MEMBER_LISTS)
     objects.update(member_object_cols or {})
     return CascadeResult(tables, validated, deleted_ids(validated), chart_literal, objects, small)

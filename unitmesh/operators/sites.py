@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from unitmesh.plans.joins import broadcast_if, is_small
+from unitmesh.plans.materialize import materialize
 
 # Fixed values of the reference.
 ADD_OPS = ("add",)
@@ -92,7 +93,8 @@ def site_adds(directives: DataFrame, snapshot: DataFrame) -> tuple[DataFrame, Da
               .when(_blank(F.col("parent_uid")) & F.col("code_parent").isNull(), R_PARENT_CODE)
               .when(~_blank(F.col("parent_uid")) & F.col("parent_known").isNull(), R_PARENT_UID)
               .when(F.col("existing_id").isNotNull(), R_EXISTS))
-    d = d.withColumn("reason", reason)
+    # Written once: payload and rejects both read the checked rows.
+    d = materialize(d.withColumn("reason", reason), "site-adds")
     point = ~_blank(F.col("lon")) & ~_blank(F.col("lat"))
     # PRJ12 add payload: SCL3 first 50 characters, SCL6 "[lon,lat]", SCL10 fixed opening date
     payload = d.where(F.col("reason").isNull()).select(
@@ -147,6 +149,8 @@ def site_updates(directives: DataFrame, snapshot: DataFrame, today: str) -> Site
     d = d.withColumn("reason", F.when(F.col("reason").isNull() & is_edit & ~_blank(F.col("code"))
                                       & (F.col("row_no") != F.col("claim_row")), F.lit(R_CODE))
                      .otherwise(F.col("reason")))
+    # Written once: the state fold, both batches and the rejects read the checked rows.
+    d = materialize(d.drop("claim_row"), "site-updates")
     ok = d.where(F.col("reason").isNull())
     named = is_edit & ~_blank(F.col("new_name"))
     point = is_edit & ~_blank(F.col("lat")) & ~_blank(F.col("lon"))
