@@ -35,7 +35,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from unitmesh.functions.decimals import decimal_text, to_decimal
-from unitmesh.plans.joins import broadcast_if, is_small, join_small, prefilter
+from unitmesh.plans.joins import broadcast_if, is_small, join_small, key_values
 from unitmesh.plans.materialize import materialize
 from unitmesh.schemas import DATAVALUE_COLUMNS, VALUE_KEY
 
@@ -175,10 +175,12 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
         sites = sites.withColumn("strat", F.lit(strategy))
         used = (strategy,) if strategy in AGG_STRATEGIES else ()
     classes = element_classes(dataelement)
-    sites_small = is_small(sites)
+    # A short site list is read once: it proves the bound and becomes a scan filter.
+    site_ids = key_values(sites, "sourceid")
+    sites_small = site_ids is not None or is_small(sites)
 
     # JON2/JON4: rows of the touched sites with their destination id (broadcast when small)
-    scan = prefilter(datavalue, "sourceid", sites) if sites_small else datavalue
+    scan = datavalue if site_ids is None else datavalue.where(F.col("sourceid").isin(site_ids))
     involved = scan.join(broadcast_if(sites, sites_small), "sourceid", "inner")
     # FIL11: live rows only; NULL deleted is not false
     live = involved.where(F.col("deleted") == F.lit(False))

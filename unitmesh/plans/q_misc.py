@@ -256,3 +256,21 @@ def warehouse_store(spark, sf):
     wh = MP.to_warehouse(fx.load(spark, sf, "f_payload"))
     store(wh, path, partition_by=["period"])
     return SRC.read_store(spark, path, wh.schema).where(F.col("period") == "1995")
+
+
+@query("documents_append", fx.oracle("""
+select doc_id, location_id, status, amount from f_location_doc
+union all
+select doc_id, location_id, status, amount from f_location_doc where status = 'F'
+""", ["f_location_doc"]))
+def documents_append(spark, sf):
+    """SNK7 + SRC2: documents appended to a collection folder in two writes (all, then the
+    finished ones again), read back as a json table."""
+    from unitmesh.sinks.writers import append
+
+    docs = fx.load(spark, sf, "f_location_doc")
+    path = scratch_path(spark, "collection")
+    append(docs, path)
+    append(docs.where(F.col("status") == "F"), path)
+    back = SRC.read_table(spark, path, "json")
+    return back.select(F.col("doc_id").cast("bigint"), "location_id", "status", F.col("amount").cast("double"))
