@@ -137,7 +137,7 @@ def test_store_append_and_read_table(spark):
 
     d = tempfile.mkdtemp(prefix="unitmesh-sinks-")
     df = spark.createDataFrame([(1, "2020", "a"), (2, "2021", "b")], "id int, period string, v string")
-    store(df, os.path.join(d, "wh"), partition_by=["period"])
+    store(df, os.path.join(d, "wh"), partition_by=["period"], cluster_by=["id"])
     back = spark.read.parquet(os.path.join(d, "wh"))
     assert rows(back.where("period = '2021'"), "id") == [(2,)]
     append(df, os.path.join(d, "coll"))

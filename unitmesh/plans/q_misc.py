@@ -248,13 +248,13 @@ select orgUnit as location, dataElement, categoryOptionCombo as disaggregation,
 from f_payload where period = '1995'
 """, ["f_payload"]))
 def warehouse_store(spark, sf):
-    """SNK4: warehouse records stored as parquet partitioned by period, read back for one
-    period (partition pruning: only that folder is scanned)."""
+    """SNK4: warehouse records stored as parquet partitioned by period and clustered by
+    location, read back for one period (partition pruning: only that folder is scanned)."""
     from unitmesh.sinks.writers import store
 
     path = scratch_path(spark, "warehouse")
     wh = MP.to_warehouse(fx.load(spark, sf, "f_payload"))
-    store(wh, path, partition_by=["period"])
+    store(wh, path, partition_by=["period"], cluster_by=["location"])
     return SRC.read_store(spark, path, wh.schema).where(F.col("period") == "1995")
 
 

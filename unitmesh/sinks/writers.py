@@ -30,9 +30,14 @@ def write_batches(adds: DataFrame, edits: DataFrame, relocates: DataFrame, out_d
     return written
 
 
-def store(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def store(df: DataFrame, path: str, partition_by: list[str] | None = None,
+          cluster_by: list[str] | None = None) -> None:
     """SNK4: write warehouse records as parquet, partitioned (e.g. by period) so later
-    reads prune to the periods they need."""
+    reads prune to the periods they need. ``cluster_by`` (e.g. the site column) sorts
+    rows inside each written file, so parquet min/max statistics are tight and a
+    filter on those columns (such as the merge's site list) skips row groups."""
+    if cluster_by:
+        df = df.sortWithinPartitions(*(partition_by or []), *cluster_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
