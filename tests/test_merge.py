@@ -160,3 +160,12 @@ def test_hot_key_many_sources_one_destination(spark):
     assert got[2] == f"t{min(s for s in srcs if s % 7 == 6)}"
     res = M.merge_values(d, e, m, "LAST", RUN_TS, materialize_rows=False)
     assert {r.dataelementid: r.value for r in res.staged.collect()}[1] == "499"
+
+
+def test_unvalidated_map_without_strategy_reports_lost(spark):
+    d = spark.createDataFrame([dv(1, 10, "1", T1), dv(1, 11, "2", T2)], DATAVALUE)
+    e = spark.createDataFrame(ELEMENTS, DATAELEMENT)
+    m = spark.createDataFrame([(11, 10, "sum")], "source_id int, dest_id int, strategy string")
+    res = M.merge_values(d, e, m, None, RUN_TS, materialize_rows=False)
+    assert res.staged.count() == 0
+    assert rows(res.lost, "reason") == [("no strategy",), ("no strategy",)]

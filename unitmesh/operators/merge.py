@@ -266,6 +266,11 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
     lost = (rows.where(multi & ~is_num & ~is_oth)
             .select(*DATAVALUE_COLUMNS, "dest", F.lit("no value type").alias("reason"))
             .unionByName(null_key.select(*DATAVALUE_COLUMNS, "dest", F.lit("null key").alias("reason"))))
+    if strategy is None:
+        # numeric overlaps of a destination without a valid strategy (unvalidated map)
+        lost = lost.unionByName(
+            rows.where(multi & is_num & ~F.coalesce(strat.isin(*STRATEGIES), F.lit(False)))
+            .select(*DATAVALUE_COLUMNS, "dest", F.lit("no strategy").alias("reason")))
     if ties is None:
         ties = staged.sparkSession.createDataFrame(
             [], "dest int, dataelementid int, periodid int, categoryoptioncomboid int, "
