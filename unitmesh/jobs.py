@@ -1,11 +1,11 @@
 """Batch jobs for spark-submit: the entry points users of the reference run.
 
-    spark-submit -m unitmesh.jobs merge  --datavalue P --dataelement P --orgunit P --requests P --out DIR
-    spark-submit -m unitmesh.jobs delete --orgunit P --requests P --table datavalue=P [--table ...] --out DIR
-    spark-submit -m unitmesh.jobs sites  --directives CSV --snapshot P --out DIR
-    spark-submit -m unitmesh.jobs paths  --orgunit P --out DIR
+    spark-submit --py-files unitmesh.zip unitmesh/jobs.py merge  --datavalue P --dataelement P --orgunit P --requests P --out DIR
+    spark-submit --py-files unitmesh.zip unitmesh/jobs.py delete --orgunit P --requests P --table datavalue=P [--table ...] --out DIR
+    spark-submit --py-files unitmesh.zip unitmesh/jobs.py sites  --directives CSV --snapshot P --out DIR
+    spark-submit --py-files unitmesh.zip unitmesh/jobs.py paths  --orgunit P --out DIR
 
-(or ``python -m unitmesh.jobs ...``). Inputs are parquet folders, or CSV/JSON by file
+(``unitmesh.zip`` = a zip of the ``unitmesh`` folder; locally ``python -m unitmesh.jobs ...``). Inputs are parquet folders, or CSV/JSON by file
 extension. Every output is written to a new folder under ``--out``; inputs are never
 overwritten, so switching to the new version is the caller's atomic step.
 """
