@@ -86,17 +86,23 @@ def validate_merges(requests: DataFrame, orgunits: DataFrame) -> DataFrame:
     src = lookup.select(F.col("uid").alias("source_uid"), F.col("organisationunitid").alias("source_id"),
                         F.col("has_children").alias("source_has_children"))
     dst = lookup.select(F.col("uid").alias("dest_uid"), F.col("organisationunitid").alias("dest_id"))
-    src_uses = requests.groupBy("source_uid").agg(F.count(F.lit(1)).alias("source_uses"))
-    as_source = requests.select(F.col("source_uid").alias("dest_uid")).distinct().withColumn("dest_is_source", F.lit(True))
-    as_dest = requests.select(F.col("dest_uid").alias("source_uid")).distinct().withColumn("source_is_dest", F.lit(True))
-    dest_strats = requests.groupBy("dest_uid").agg(F.countDistinct("strategy").alias("dest_strategies"))
+    # One aggregate over every uid's roles: uses as source, uses as destination and the
+    # strategies it is requested with as a destination.
+    roles = (requests.select(F.col("source_uid").alias("uid"), F.lit(1).alias("as_src"), F.lit(0).alias("as_dst"),
+                             F.lit(None).cast("string").alias("dst_strategy"))
+             .unionByName(requests.select(F.col("dest_uid").alias("uid"), F.lit(0).alias("as_src"),
+                                          F.lit(1).alias("as_dst"), F.col("strategy").alias("dst_strategy")))
+             .groupBy("uid").agg(F.sum("as_src").alias("n_src"), F.sum("as_dst").alias("n_dst"),
+                                 F.countDistinct("dst_strategy").alias("n_strat")))
+    as_src_uid = roles.select(F.col("uid").alias("source_uid"), F.col("n_src").alias("source_uses"),
+                              (F.col("n_dst") > 0).alias("source_is_dest"))
+    as_dst_uid = roles.select(F.col("uid").alias("dest_uid"), (F.col("n_src") > 0).alias("dest_is_source"),
+                              F.col("n_strat").alias("dest_strategies"))
     r = (requests
          .join(src, "source_uid", "left")
          .join(dst, "dest_uid", "left")
-         .join(src_uses, "source_uid", "left")
-         .join(as_source, "dest_uid", "left")
-         .join(as_dest, "source_uid", "left")
-         .join(dest_strats, "dest_uid", "left"))
+         .join(as_src_uid, "source_uid", "left")
+         .join(as_dst_uid, "dest_uid", "left"))
     # SCL11: the checks as one CASE, first failure wins
     error = (F.when(F.col("source_id").isNull(), F.lit(ERR_SOURCE))
              .when(F.col("dest_id").isNull(), F.lit(ERR_DEST))
@@ -104,7 +110,8 @@ def validate_merges(requests: DataFrame, orgunits: DataFrame) -> DataFrame:
              .when(~F.coalesce(F.col("strategy").isin(*STRATEGIES), F.lit(False)), F.lit(ERR_STRATEGY))
              .when(F.col("source_has_children"), F.lit(ERR_CHILDREN))
              .when(F.col("source_uses") > 1, F.lit(ERR_REPEATED))
-             .when(F.coalesce(F.col("dest_is_source"), F.col("source_is_dest"), F.lit(False)), F.lit(ERR_CHAIN))
+             .when(F.coalesce(F.col("dest_is_source"), F.lit(False)) | F.coalesce(F.col("source_is_dest"), F.lit(False)),
+                   F.lit(ERR_CHAIN))
              .when(F.col("dest_strategies") > 1, F.lit(ERR_MIXED)))
     return r.select(*requests.columns, "source_id", "dest_id", error.alias("error"))
 
