@@ -201,7 +201,8 @@ def delete_sites(tables: dict[str, DataFrame], requests: DataFrame, orgunits: Da
     validated = materialize(validate_deletes(requests, orgunits, small), "delete-requests")
     objects = dict(MEMBER_LISTS)
     objects.update(member_object_cols or {})
-    return CascadeResult(tables, validated, deleted_ids(validated), chart_literal, objects, small)
+    ids = materialize(deleted_ids(validated), "delete-ids")
+    return CascadeResult(tables, validated, ids, chart_literal, objects, small)
 
 
 class MergedSites:
