@@ -79,3 +79,10 @@ def test_apply_updates_and_diff(spark):
     assert names == {"P": "Parent", "S1": "O'Brien", "S2": "Renamed", "N1": "Fresh"}
     diff = dict(rows(S.site_diff(d, snap), "uid", "status"))
     assert diff == {"P": "missing", "S1": "missing", "S2": "changed", "N1": "added"}
+
+
+def test_country_scope(spark):
+    snap = _snap(spark).unionByName(spark.createDataFrame(
+        [("Q", "Other country", "Q", None, None, "1970-01-01", None, None, None, 9)], SNAP_SCHEMA))
+    assert rows(S.country_sites(snap, "P"), "id") == [("S1",), ("S2",)]
+    assert S.country_sites(snap, "Q").count() == 0

@@ -77,6 +77,8 @@ def run_sites(spark: SparkSession, a) -> dict[str, str]:
     each only when non-empty), the rejects, and the snapshot after the import."""
     d = read_directives(spark, a.directives, header=not a.no_header)
     snap = read_any(spark, a.snapshot)
+    if a.country:
+        snap = S.country_sites(snap, a.country)
     adds, _ = S.site_adds(d, snap)
     upd = S.site_updates(d, snap, a.today)
     written = write_batches(adds, upd.edits, upd.relocates, os.path.join(a.out, "batches"))
@@ -109,6 +111,7 @@ def parser() -> argparse.ArgumentParser:
     for f in ("directives", "snapshot", "out"):
         s.add_argument(f"--{f}", required=True)
     s.add_argument("--no-header", action="store_true")
+    s.add_argument("--country", default=None, help="check against the sites below this uid only")
     s.add_argument("--today", default=now.strftime("%Y-%m-%d"))
     t = sub.add_parser("paths")
     for f in ("orgunit", "out"):

@@ -241,3 +241,15 @@ def batch_counts(adds: DataFrame, edits: DataFrame, relocates: DataFrame) -> Dat
               .unionByName(edits.select(F.lit("edit").alias("b")))
               .unionByName(relocates.select(F.lit("relocate").alias("b"))))
     return tagged.agg(*[F.count(F.when(F.col("b") == k, 1)).alias(f"{k}_count") for k in ("add", "edit", "relocate")])
+
+
+def country_sites(snapshot: DataFrame, country_uid: str, max_depth: int = 64) -> DataFrame:
+    """SRC7 / FIL1: the snapshot rows strictly below ``country_uid`` (the site list the
+    directives are checked against), found through the hierarchy of id / parent_id."""
+    from unitmesh.operators.hierarchy import descendants, materialize_paths
+
+    units = snapshot.select(F.col("id").alias("organisationunitid"), F.col("id").alias("uid"),
+                            F.col("parent_id").alias("parentid"))
+    below = descendants(materialize_paths(units, max_depth),
+                        snapshot.sparkSession.createDataFrame([(country_uid,)], "uid string"))
+    return snapshot.join(below.select(F.col("uid").alias("id")), "id", "left_semi")
