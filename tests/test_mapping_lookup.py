@@ -87,6 +87,8 @@ def test_store_latest_and_update(spark):
     upd = ST.kv_update(s, "a", "9", 3)
     assert rows(upd, "key", "document") == [(1, '{"a":9}'), (2, '{"a":9,"b":3}')]
     assert rows(ST.kv_latest(ST.kv_put(s, upd)), "key", "document") == [(1, '{"a":9}'), (2, '{"a":9,"b":3}')]
+    odd = spark.createDataFrame([(5, "[1, 2]", 1, 1)], "key int, document string, ts int, seq int")
+    assert rows(ST.kv_update(odd, "a", "9", 2), "document") == [("[1, 2]",)]
 
 
 def test_headers_rows(spark):

@@ -36,11 +36,14 @@ def kv_latest(store: DataFrame, keys: DataFrame | None = None) -> DataFrame:
 
 def set_field(document: str, field: str, value_json: str):
     """Column: JSON object text with ``field`` set to the JSON value ``value_json``
-    (other fields kept; the output lists fields in sorted order)."""
-    m = F.parse_json(F.col(document)).cast("map<string, variant>")
+    (other fields kept; the output lists fields in sorted order). A document that is
+    not a JSON object (array, scalar, invalid text) has no fields to set and is
+    returned unchanged instead of failing the job."""
+    m = F.try_parse_json(F.col(document)).try_cast("map<string, variant>")
     kept = F.map_filter(m, lambda k, v: k != F.lit(field))
     new = F.create_map(F.lit(field), F.parse_json(F.lit(value_json)))
-    return F.to_json(F.to_variant_object(F.map_concat(kept, new)))
+    updated = F.to_json(F.to_variant_object(F.map_concat(kept, new)))
+    return F.when(m.isNull(), F.col(document)).otherwise(updated)
 
 
 def kv_update(store: DataFrame, field: str, value_json: str, ts, seq: int = 0,
