@@ -78,6 +78,8 @@ def test_find_filters(spark):
     assert rows(L.find(df, '{"event_type": "click"}'), "id") == [(1,), (3,)]
     assert rows(L.find(df, '{"props.k": {"$gt": 10}, "event_type": {"$in": ["click"]}}'), "id") == [(3,)]
     assert L.find(df, None).count() == 3 and L.find(df, "{bad").count() == 3
+    odd = df.unionByName(spark.createDataFrame([(4, "click", '{"k": "high"}')], df.schema))
+    assert rows(L.find(odd, '{"props.k": {"$gt": 10}}'), "id") == [(2,), (3,)]
 
 
 def test_store_latest_and_update(spark):

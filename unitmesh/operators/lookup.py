@@ -19,9 +19,10 @@ def _field(df: DataFrame, path: str, numeric: bool) -> Column:
     head, _, rest = path.partition(".")
     if not rest or head not in df.columns or not isinstance(df.schema[head].dataType, T.StringType):
         c = F.col(path)
-        return c.cast("double") if numeric else c
-    c = F.get_json_object(F.col(head), "$." + rest)
-    return c.cast("double") if numeric else c
+    else:
+        c = F.get_json_object(F.col(head), "$." + rest)
+    # numeric comparison: a value that is not a number simply does not match
+    return c.try_cast("double") if numeric else c
 
 
 def _literal(v):
