@@ -1,6 +1,9 @@
 """Run registered queries against their DuckDB oracles and print one line each.
 
-    python tests/run_oracle.py [sf_dir] [name ...]
+    python tests/run_oracle.py [--plain] [sf_dir] [name ...]
+
+``--plain`` uses a bare SparkSession (none of the engine's settings), as the
+driver's correctness check does.
 """
 
 from __future__ import annotations
@@ -17,9 +20,18 @@ from unitmesh.plans.check import compare, duckdb_connection  # noqa: E402
 
 
 def main(argv):
+    plain = "--plain" in argv
+    argv = [a for a in argv if a != "--plain"]
     sf = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:]
-    spark = build_session("local[8]", 8)
+    if plain:
+        from pyspark.sql import SparkSession
+
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = build_session("local[8]", 8)
     con = duckdb_connection(sf)
     qs, sqls = queries(), oracle_sql()
     bad = 0
