@@ -40,6 +40,14 @@ def test_identifiers_need_id(spark):
     assert out["Gamma"][2].system == "h/api/dataElements/c?fields=id,code&filter=code:eq:G"
 
 
+def test_payload_identifiers_need_the_resource(spark):
+    payload = spark.createDataFrame([([("a", "Alpha"), ("b", None)],)],
+                                    "dataElements array<struct<id:string,name:string>>")
+    recs = MP.payload_identifiers(payload, "dataElements", "h").collect()
+    assert sorted(len(r.identifier) for r in recs) == [1, 2]
+    assert MP.payload_identifiers(payload, "organisationUnits", "h").count() == 0
+
+
 def test_facility_empty_lists_pass_through(spark):
     units = spark.createDataFrame(
         [("u1", "Unit", "C", [], [])],

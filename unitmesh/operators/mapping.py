@@ -94,6 +94,16 @@ def to_identifiers(df: DataFrame, resource: str, host: str, keep: list[str] | No
     return df.select(*(keep or []), identifier_array(resource, host, keys=keys).alias("identifier"))
 
 
+def payload_identifiers(payload: DataFrame, resource: str, host: str) -> DataFrame:
+    """PRJ4 on a whole payload ``{<resource>: [records]}`` (FIL13: the resource must be
+    present): one record with ``identifier`` per list entry; zero records when the
+    payload lacks the resource."""
+    if resource not in payload.columns:
+        return to_identifiers(payload.select(), resource, host)
+    recs = payload.select(F.explode(resource).alias("_r")).select("_r.*")
+    return to_identifiers(recs, resource, host)
+
+
 def enrich_location(docs: DataFrame, units: DataFrame, location_col: str = "location") -> DataFrame:
     """JON8: add ``path`` of the unit whose id equals ``location.id``. All documents
     are kept; no match leaves the path NULL. Duplicate unit ids: the last by
