@@ -201,8 +201,6 @@ def scaled_values(spark, sf):
     return MP.scale_values(fx.load(spark, sf, "f_datavalue"), factors)
 
 
-
-
 def _site_batches(spark, sf):
     from unitmesh.operators import sites as S
     from unitmesh.plans.registry import TODAY
@@ -236,8 +234,8 @@ def batches_json(spark, sf):
     parts = [spark.read.schema(schema).json(f"{out}/{b}")
              .select(F.lit(b).alias("batch"), "id", F.col("parent.id").alias("parent_id"))
              for b, ok in written.items() if ok]
-    res = parts[0]
-    for p in parts[1:]:
+    res = spark.createDataFrame([], "batch string, id string, parent_id string")
+    for p in parts:
         res = res.unionByName(p)
     return res
 
