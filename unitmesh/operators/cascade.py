@@ -181,8 +181,9 @@ class CascadeResult:
             hit = prefilter(df, key, k) if self._requests_small and key != "programstageinstanceid" else df
             parts.append(hit.join(k, key, "left_semi").agg(F.count(F.lit(1)).alias("deleted_rows"))
                          .select(F.lit(name).alias("table_name"), "deleted_rows"))
-        out = parts[0]
-        for p in parts[1:]:
+        spark = self.requests.sparkSession
+        out = spark.createDataFrame([], "table_name string, deleted_rows bigint")
+        for p in parts:
             out = out.unionByName(p)
         return out
 
