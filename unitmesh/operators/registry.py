@@ -42,7 +42,7 @@ def _ident(type_: str, value: Column) -> Column:
     return F.struct(F.lit(type_).alias("type"), value.cast("string").alias("value"), F.lit(SYSTEM).alias("system"))
 
 
-def to_facility(units: DataFrame) -> DataFrame:
+def to_facility(units: DataFrame, sort: bool = True) -> DataFrame:
     """REG1: facility records from org units with ``ancestors`` array<struct<level,id,
     code,name>> and ``organisationUnitGroups`` array<struct<id,code,name,...>>.
 
@@ -50,7 +50,8 @@ def to_facility(units: DataFrame) -> DataFrame:
     empty); ancestors become ``administrativeUnits`` (level plus id/code/name
     identifiers, absent ones skipped); groups become ``authority`` entries after the
     ownership entry; empty ancestors / groups pass through as ``[]``; every other
-    column passes through unchanged. Sorted by id.
+    column passes through unchanged. Sorted by id (a range-partitioned global sort;
+    ``sort=False`` skips it for exports where the order does not matter).
     """
     anc = F.col("ancestors")
     grp = F.col("organisationUnitGroups")
@@ -85,7 +86,8 @@ def to_facility(units: DataFrame) -> DataFrame:
     passthrough = [F.col(c) for c in rest]
     empty_anc = F.when(F.size(anc) == 0, anc).alias("ancestors")
     empty_grp = F.when(F.size(grp) == 0, grp).alias("organisationUnitGroups")
-    return units.select(*record, *passthrough, empty_anc, empty_grp).orderBy("id")  # PRJ9 / SRT2
+    out = units.select(*record, *passthrough, empty_anc, empty_grp)
+    return out.orderBy("id") if sort else out  # PRJ9 / SRT2
 
 
 def admin_report(units: DataFrame, levels: int = 4) -> DataFrame:
