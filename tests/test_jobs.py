@@ -37,5 +37,9 @@ def test_jobs_end_to_end(spark):
     out = jobs.main(["sites", "--directives", csv, "--snapshot", paths["f_snapshot"],
                      "--out", os.path.join(d, "sites"), "--today", "2024-06-30"], spark)
     assert "batch_add" in out and spark.read.parquet(out["rejects"]).count() > 0
+    scoped = jobs.main(["sites", "--directives", csv, "--snapshot", paths["f_snapshot"], "--country", "R0000000001",
+                        "--out", os.path.join(d, "sites_country"), "--today", "2024-06-30"], spark)
+    all_snap = spark.read.parquet(out["snapshot"]).count()
+    assert spark.read.parquet(scoped["snapshot"]).count() < all_snap
     out = jobs.main(["paths", "--orgunit", paths["f_orgunit"], "--out", os.path.join(d, "paths")], spark)
     assert spark.read.parquet(out["paths"]).where("resolved").count() == spark.read.parquet(paths["f_orgunit"]).count()
