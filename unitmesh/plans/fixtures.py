@@ -238,6 +238,7 @@ def oracle(sql: str, names: list[str]) -> str:
 
 
 _WRITTEN: dict[tuple[str, str, str], str] = {}
+_FRAMES: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -250,16 +251,21 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     parquet to the shared checkpoint folder and read from there, the way the
     operators would read real inputs. Later calls reuse the written table."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key in _FRAMES:  # the written table never changes: reuse its DataFrame
+        return _FRAMES[key]
     path = _WRITTEN.get(key)
     if path is not None:
         try:
-            return spark.read.parquet(path)
+            df = spark.read.parquet(path)
+            _FRAMES[key] = df
+            return df
         except Exception:  # folder cleaned up meanwhile: derive again
             _WRITTEN.pop(key, None)
     path = scratch_path(spark, f"input-{name}")
     derive(spark, sf_dir, name).write.parquet(path)
     _WRITTEN[key] = path
-    return spark.read.parquet(path)
+    _FRAMES[key] = spark.read.parquet(path)
+    return _FRAMES[key]
 
 
 def load_built(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
