@@ -159,3 +159,12 @@ def test_store_append_and_read_table(spark):
     df.selectExpr("'Location' as resourceType", "id").write.json(os.path.join(d, "bundle"))
     assert read_resources(spark, os.path.join(d, "bundle"), "Location").count() == 2
     assert read_resources(spark, os.path.join(d, "bundle"), "metadata").count() == 0
+
+
+def test_json_validity_jvm_path_differences(spark):
+    df = spark.createDataFrame([("{\"a\": 1}",), ("NaN",), ("{\"a\":1}x",), ("",)], "t string")
+    exact = [r.v for r in df.select(L.is_valid_json(df.t).alias("v")).collect()]
+    fast = [r.v for r in df.select(L.is_valid_json(df.t, exact=False).alias("v")).collect()]
+    assert exact == [True, True, False, False]
+    # the JVM parser rejects NaN and accepts trailing text, as documented
+    assert fast == [True, False, True, False]
