@@ -168,3 +168,16 @@ def test_json_validity_jvm_path_differences(spark):
     assert exact == [True, True, False, False]
     # the JVM parser rejects NaN and accepts trailing text, as documented
     assert fast == [True, False, True, False]
+
+
+def test_select_fields_and_extra_directive_columns(spark):
+    df = spark.createDataFrame([("a", "Alpha", "C")], "id string, name string, code string")
+    assert MP.select_fields(df, "dataElements", "id, name,missing").columns == ["id", "name", "missing"]
+    assert MP.select_fields(df, "dataElements").columns == ["id", "name", "code", "valueType", "formName"]
+    d = tempfile.mkdtemp(prefix="unitmesh-extra-")
+    p = os.path.join(d, "dir.csv")
+    with open(p, "w", encoding="utf-8") as f:
+        f.write("a,b,c,d,e,f,g,h,i,j\n")
+        f.write("relocate,S1,,P,,,,,,note\n")
+    r = read_directives(spark, p, extra_columns=1).first()
+    assert (r.op, r.uid, r.parent_uid, r.col9) == ("relocate", "S1", "P", "note")
