@@ -76,3 +76,9 @@ def test_paths_levels_and_unresolved(spark):
     assert p["D"] == (None, None, False)   # dangling parent
     d = H.descendants(H.materialize_paths(ou), spark.createDataFrame([("A",)], "uid string"))
     assert rows(d) == [("A", "B"), ("A", "C")]
+
+
+def test_row_numbers_keep_null_groups(spark):
+    df = spark.createDataFrame([(None, 3), (None, 1), (1, 2)], "g int, o int")
+    out = rows(row_numbers(df, ["g"], ["o"], out="rn", partitions=2), "g", "o", "rn")
+    assert out == [(1, 2, 1), (None, 1, 1), (None, 3, 2)]

@@ -38,6 +38,9 @@ def row_numbers(df: DataFrame, group: list[str], order: list[str], out: str = "r
     stats = ranged.groupBy("_pid", *group).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    joined = ranged.join(stats.select("_pid", *group, "_first", "_before"), ["_pid"] + group, "inner")
+    # Null-safe on the group columns, so rows of a NULL group are numbered too.
+    st = stats.select(F.col("_pid").alias("_s_pid"), *[F.col(g).alias(f"_s_{g}") for g in group], "_first", "_before")
+    cond = [ranged["_pid"] == st["_s_pid"]] + [ranged[g].eqNullSafe(st[f"_s_{g}"]) for g in group]
+    joined = ranged.join(st, cond, "inner")
     return (joined.withColumn(out, F.col("_before") + (F.col("_pos") - F.col("_first")) + 1)
-            .drop("_pid", "_pos", "_first", "_before"))
+            .drop("_pid", "_pos", "_first", "_before", "_s_pid", *[f"_s_{g}" for g in group]))
