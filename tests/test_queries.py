@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from unitmesh.plans import all_queries
 from unitmesh.plans.check import compare, duckdb_connection
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(queries())
+NAMES = sorted(all_queries.REGISTRY)
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +18,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(NAMES) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
