@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from unitmesh.session import prepare, scratch_path
@@ -58,3 +59,9 @@ def unpacked(df: DataFrame, like: DataFrame, parts: dict[str, str], results: dic
     return df.select(*cols, *(F.col(k).alias(c) for c, k in results.items()))
 
 
+def byte_class(chars: bytes) -> np.ndarray:
+    """Ones at the given byte values: a row of a matrix whose product with a text's byte
+    histogram gives the class's count."""
+    out = np.zeros(256)
+    out[list(chars)] = 1
+    return out

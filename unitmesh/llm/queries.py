@@ -8,9 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from unitmesh.llm import sql
+from unitmesh.llm.decontam import contamination
 from unitmesh.llm.line_dedup import dedup_lines
+from unitmesh.llm.quality import score_quality
+from unitmesh.llm.secrets import scan_secrets
 from unitmesh.llm.simhash import near_duplicates
 from unitmesh.llm.token_counts import count_tokens
+from unitmesh.llm.topk import top_k
+from unitmesh.llm.toxicity import score_toxicity
 from unitmesh.session import table_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,9 +47,43 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@_query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents; a document is a repository of the owner ``source``."""
+    done = scan_secrets(_table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"),
+                       "spans", "n_owned", "n_copied")
+
+
+@_query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positive-unlabelled quality score of every document."""
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth vector, by exact integer products."""
+    return top_k(_table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents inside benchmark windows, and the items they come from."""
+    done = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return done.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                       F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
 @_query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole document under the 32k piece model."""
     import public_tokenizers
 
     return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@_query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))

@@ -17,3 +17,90 @@ select doc_id, count(*)::bigint as n_lines,
 from lines left join repeated using (key)
 group by doc_id
 """
+
+OP6_DECONTAMINATION = r"""
+with words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+item_words as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+windows as (
+  select distinct item_id, n, array_to_string(w[i:i + n - 1], ' ') as s
+  from (select item_id, w, least(len(w), 10) as n, unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) as i
+        from item_words where len(w) > 0)),
+grams as (
+  select doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') as s
+  from (select doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) as i
+        from words, (select distinct n from windows) where len(w) >= n)),
+found as (select g.doc_id, g.i, g.n, v.item_id from grams g join windows v on g.n = v.n and g.s = v.s),
+hit as (
+  select doc_id, count(distinct p) as n_hit
+  from (select doc_id, unnest(generate_series(i, i + n - 1)) as p from (select distinct doc_id, i, n from found))
+  group by doc_id),
+items as (
+  select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as ids
+  from (select distinct doc_id, cast(item_id as varchar) as item_id from found) group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+       sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from words left join hit using (doc_id) left join items using (doc_id)
+"""
+
+OP5_TOPK = r"""
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as e from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+ranked as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 100 = 0)
+select query_id, rank, vec_id, score
+from (select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score from ranked)
+where rank <= 10
+"""
+
+_ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+OP3_SECRET_SCAN = rf"""
+with t as (select doc_id, source, coalesce(text, '') as t from documents),
+m as (
+  select doc_id, source, 0 as kind, regexp_extract_all(t, '{_ASSIGN}') as f, regexp_extract_all(t, '{_ASSIGN}', 1) as v,
+         regexp_split_to_array(t, '{_ASSIGN}') as p from t
+  union all
+  select doc_id, source, 1, regexp_extract_all(t, 'AKIA[A-Z0-9]+'), regexp_extract_all(t, 'AKIA[A-Z0-9]+'),
+         regexp_split_to_array(t, 'AKIA[A-Z0-9]+') from t
+  union all
+  select doc_id, source, 2, regexp_extract_all(t, '[0-9a-f]+'), regexp_extract_all(t, '[0-9a-f]+'),
+         regexp_split_to_array(t, '[0-9a-f]+') from t
+  union all
+  select doc_id, source, 5, regexp_extract_all(t, '[A-Za-z0-9_+/=-]{{20,}}'), regexp_extract_all(t, '[A-Za-z0-9_+/=-]{{20,}}'),
+         regexp_split_to_array(t, '[A-Za-z0-9_+/=-]{{20,}}') from t),
+places as (
+  select doc_id, source, kind, f[i] as found, v[i] as value,
+         list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(f[1:i - 1], lambda x: length(x))), 0) as b
+  from (select *, unnest(generate_series(1, len(f))) as i from m where len(f) > 0)),
+spans as (
+  select doc_id, source, kind, value, b::bigint as b, (b + length(found))::bigint as e from places
+  where case kind when 0 then length(value) >= 6 when 1 then length(value) >= 20 when 2 then length(value) >= 24 else true end),
+cand as (
+  select distinct doc_id, source, value, case when kind = 0 then e - length(value) else b end as b, e from spans),
+seen as (
+  select value, count(distinct coalesce(source, chr(0))) as owners,
+         length(value) >= 16 and regexp_matches(value, '[0-9]') and regexp_matches(value, '[A-Za-z]')
+         and len(list_distinct(string_split(value, ''))) >= 8
+         and not regexp_matches(value, '(?i)example|sample|dummy|change_?me|placeholder|your_|xxxx|0000|1234567') as live
+  from cand group by value),
+added as (
+  select doc_id, case when owners >= 3 then 4 else 3 end as kind, b, e
+  from cand join seen using (value) where owners >= 3 or (owners = 1 and live)),
+everything as (
+  select doc_id, kind, b, e from spans where kind < 3 union all select doc_id, kind, b, e from added),
+named as (
+  select *, (['assign', 'access', 'hex', 'owned', 'copied'])[kind + 1] || ':' || b || ':' || e as s from everything)
+select t.doc_id, count(*) filter (where kind = 0) as n_assign, count(*) filter (where kind = 1) as n_access,
+       count(*) filter (where kind = 2) as n_hex,
+       sha256(coalesce(string_agg(s, ',' order by b, kind, e) filter (where kind < 3), '')) as base_sha256,
+       coalesce(string_agg(s, ',' order by b, kind, e), '') as spans,
+       count(*) filter (where kind = 3) as n_owned, count(*) filter (where kind = 4) as n_copied
+from t left join named using (doc_id)
+group by t.doc_id
+"""
