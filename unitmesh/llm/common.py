@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -21,6 +23,17 @@ def ready(spark: SparkSession, rows_per_batch: int = TEXT_ROWS_PER_BATCH) -> Non
         spark.conf.set(_ARROW_ROWS, str(rows_per_batch))
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows_per_batch: int):
+    """Smaller Arrow batches for the eager writes inside; the setting is put back after."""
+    before = spark.conf.get(_ARROW_ROWS)
+    spark.conf.set(_ARROW_ROWS, str(rows_per_batch))
+    try:
+        yield
+    finally:
+        spark.conf.set(_ARROW_ROWS, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder. It cuts the lineage,
     fixes generated row ids, and gives joins plain scans on both sides, which lets AQE

@@ -82,7 +82,7 @@ def _drop_batches(min_chars: int, names: list[str]):
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                min_chars: int = MIN_CHARS, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+                min_chars: int = MIN_CHARS, min_documents: int = MIN_DOCUMENTS, report: bool = True) -> DataFrame:
     """``docs`` with repeated lines removed from the text, plus ``n_lines`` (before) and
     ``n_dropped``.
 
@@ -94,7 +94,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     is an id: rows that repeat an id count once and are treated alike; null ids count
     as one document that is smaller than any other. An empty table gives an empty
     table. Other columns pass through; ``n_lines`` and ``n_dropped`` replace input
-    columns of the same name.
+    columns of the same name, unless ``report`` is off: then only the columns of
+    ``docs`` come back.
     """
     spark = docs.sparkSession
     ready(spark)
@@ -115,6 +116,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         T.StructField("_kept", T.StringType()), T.StructField("_n_lines", T.LongType()),
         T.StructField("_n_dropped", T.LongType())])
     done = joined.mapInArrow(_drop_batches(min_chars, out.names), out)
-    result = unpacked(done, docs, {"_id": id_col, "_kept": text_col},
-                      {"n_lines": "_n_lines", "n_dropped": "_n_dropped"})
-    return result
+    return unpacked(done, docs, {"_id": id_col, "_kept": text_col},
+                    {"n_lines": "_n_lines", "n_dropped": "_n_dropped"} if report else {})

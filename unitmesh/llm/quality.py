@@ -6,8 +6,9 @@ dense text features by minimising the non-negative unbiased risk
 
     prior * E_P[loss(g, +1)] + max(0, E_U[loss(g, -1)] - prior * E_P[loss(g, -1)]).
 
-The class prior is estimated first: a positive-against-unlabelled model ranks all
-documents, Spark counts a histogram of its scores over *all* unlabelled documents, and
+The class prior is estimated first: positive-against-unlabelled models (cross-fitted on
+halves) rank all documents, Spark counts a histogram of the scores over *all* unlabelled
+documents, and
 the prior is the smallest ratio of the unlabelled to the positive upper tail (beyond
 junk scores only positives are left, and the ratio of the tails is their share).
 
@@ -35,6 +36,7 @@ FEATURES = ("log_words", "symbols", "bars", "bangs", "upper", "digits", "punctua
             "non_ascii", "distinct_words", "same_as_last", "word_length", "repeated_lines", "compressed")
 _BINS = 16
 _STEPS = 400
+_RIDGE, _SMOOTH = 0.5, 4.0
 _HISTOGRAM = 400
 
 
@@ -98,7 +100,13 @@ def _descend(model: AdditiveModel, p: np.ndarray, u: np.ndarray, slopes) -> Addi
     for step in range(1, _STEPS + 1):
         g = theta[flat].sum(axis=1) + theta[-1]
         s = slopes(g[:len(bp)], g[len(bp):])
-        grad = np.append(np.bincount(flat.ravel(), np.repeat(s, d), d * k), s.sum()) + 1e-4 * theta
+        grad = np.append(np.bincount(flat.ravel(), np.repeat(s, d), d * k), s.sum())
+        # A prior worth some rows: small weights, and alike in neighbouring bins.
+        w = theta[:-1].reshape(d, k)
+        rough = np.zeros_like(w)
+        rough[:, 1:] += np.diff(w, axis=1)
+        rough[:, :-1] -= np.diff(w, axis=1)
+        grad[:-1] += ((_RIDGE * w + _SMOOTH * rough) / min(len(bp), len(bu))).ravel()
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         theta -= 0.05 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-6)
     return AdditiveModel(model.edges, theta[:-1].reshape(d, k), float(theta[-1]), model.prior)
@@ -130,11 +138,16 @@ def fit_nnpu(p: np.ndarray, u: np.ndarray, prior: float) -> AdditiveModel:
 
 
 def prior_from_histograms(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """Counts by score bin, lowest first. The smallest ratio of upper tails, where the
-    positives' tail holds at least a tenth of them."""
-    tp, tu = (h[::-1].cumsum() / max(h.sum(), 1) for h in (positive, unlabelled))
-    far = tp >= 0.1
-    return float(np.clip((tu[far] / tp[far]).min(), 0.01, 1.0)) if far.any() else 1.0
+    """Counts by score bin, lowest first. The ratio of the unlabelled to the positive upper
+    tail where its upper confidence bound is smallest (small tails are too noisy)."""
+    n_p, n_u = max(positive.sum(), 1), max(unlabelled.sum(), 1)
+    tp, tu = positive[::-1].cumsum() / n_p, unlabelled[::-1].cumsum() / n_u
+    slack = np.sqrt(np.log(40) / 2) * (1 / np.sqrt(n_p) + 1 / np.sqrt(n_u))
+    far = tp > 0
+    if not far.any():
+        return 1.0
+    best = ((tu[far] + slack) / tp[far]).argmin()
+    return float(np.clip(tu[far][best] / tp[far][best], 0.01, 1.0))
 
 
 # ------------------------------------------------------------------ Spark side
@@ -181,17 +194,27 @@ def fit_quality(table: DataFrame, labels: DataFrame, id_col: str = "doc_id", lab
     p, u = _sample(good, max_fit_rows), _sample(train, max_fit_rows)
     if not len(p) or not len(u):
         return None
-    ranker = fit_ranker(p[::2], u)
-
-    def histogram(rows: DataFrame) -> np.ndarray:
-        level = F.least(F.floor(F.col("_score") * _HISTOGRAM), F.lit(_HISTOGRAM - 1)).cast("int")
-        out = np.zeros(_HISTOGRAM)
-        for r in _scores(rows, ranker, []).groupBy(level.alias("_level")).count().collect():
-            out[r["_level"]] = r["count"]
-        return out
-
-    prior = prior_from_histograms(histogram(good), histogram(train))
-    return fit_nnpu(p, u, prior)
+    return fit_nnpu(p, u, class_prior(good, train, max_fit_rows))
+
+
+def class_prior(good: DataFrame, train: DataFrame, max_fit_rows: int) -> float:
+    """The share of positives among all rows of ``train``. Each half of the rows (by a
+    hash of the id) is ranked by a model fitted on the other half, so that no row's
+    score comes from its own fit; the histograms cover every row."""
+    half = F.pmod(F.xxhash64("_id", F.lit("half")), F.lit(2))
+    level = F.least(F.floor(F.col("_score") * _HISTOGRAM), F.lit(_HISTOGRAM - 1)).cast("int")
+    totals = []
+    for side in (0, 1):
+        p, u = (_sample(rows.where(half != side), max_fit_rows // 2) for rows in (good, train))
+        if not len(p) or not len(u):
+            return 1.0
+        ranker = fit_ranker(p, u)
+        for rows in (good, train):
+            out = np.zeros(_HISTOGRAM)
+            for r in _scores(rows.where(half == side), ranker, []).groupBy(level.alias("_level")).count().collect():
+                out[r["_level"]] = r["count"]
+            totals.append(out)
+    return prior_from_histograms(totals[0] + totals[2], totals[1] + totals[3])
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from unitmesh.llm import sql
 from unitmesh.llm.decontam import contamination
 from unitmesh.llm.line_dedup import dedup_lines
+from unitmesh.llm.packing import pack
 from unitmesh.llm.quality import score_quality
 from unitmesh.llm.secrets import scan_secrets
 from unitmesh.llm.simhash import near_duplicates
 from unitmesh.llm.token_counts import count_tokens
 from unitmesh.llm.topk import top_k
 from unitmesh.llm.toxicity import score_toxicity
+from unitmesh.llm.warc import pages_through_archives
 from unitmesh.session import table_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +77,18 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+@_query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best-fit packing of all documents into sequences of 2048 words."""
+    return pack(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as legacy archives, converted to WARC archives and read back."""
+    return pages_through_archives(_table(spark, sf_dir, "pages"))
+
+
 @_query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole document under the 32k piece model."""

@@ -22,6 +22,7 @@
 
 from __future__ import annotations
 
+from hashlib import md5
 from itertools import combinations
 
 import numpy as np
@@ -65,16 +66,18 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 def _fingerprint_batches(shingle: int, names: list[str]):
     def run(batches):
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            out = np.array([fingerprint(t or b"", shingle) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out)], names=names)
+            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            out = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
+            sums = pa.array([md5(t, usedforsecurity=False).digest() for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out), sums], names=names)
     return run
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(``_id``, ``_fp``): the signed 64-bit SimHash of each row's whole text."""
+    """(``_id``, ``_fp``, ``_md5``): the signed 64-bit SimHash and the MD5 of each row's whole text."""
     ready(docs.sparkSession)
-    out = T.StructType([T.StructField("_id", docs.schema[id_col].dataType), T.StructField("_fp", T.LongType())])
+    out = T.StructType([T.StructField("_id", docs.schema[id_col].dataType), T.StructField("_fp", T.LongType()),
+                        T.StructField("_md5", T.BinaryType())])
     return docs.select(col(id_col).alias("_id"), col(text_col).alias("_text")).mapInArrow(
         _fingerprint_batches(shingle, out.names), out)
 
@@ -219,6 +222,24 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, tile_rows: int = TILE_R
             .mapInArrow(_forest_batches(max_bits), "_a long, _b long"))
 
 
+def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int, tile_rows: int) -> DataFrame:
+    """(``_id``, ``_fp``, ``_md5``, ``_cid``, ``_root``) of every row: fingerprint, the
+    text's MD5, the component's smallest id and its name among fingerprints."""
+    ready(docs.sparkSession)
+    rows = written(fingerprints(docs, id_col, text_col, shingle), "simhash-rows")
+    nodes = written(rows.groupBy("_fp").agg(F.min("_id").alias("_rep")), "simhash-nodes")
+    roots = connected_components(near_links(nodes, max_bits, tile_rows), "_a", "_b")
+    placed = written(nodes.join(roots, nodes["_fp"] == roots["node"], "left").select("_fp", "_rep", "root"),
+                     "simhash-placed")
+    linked = placed.where(F.col("root").isNotNull())
+    least = written(linked.groupBy("root").agg(F.min("_rep").alias("_cid")), "simhash-least")
+    of_fp = written(
+        linked.join(least, "root").select("_fp", "_cid", F.col("root").alias("_root"))
+        .unionAll(placed.where(F.col("root").isNull()).select("_fp", F.col("_rep").alias("_cid"), F.col("_fp").alias("_root"))),
+        "simhash-of-fp")
+    return rows.join(of_fp, "_fp")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     max_bits: int = MAX_BITS, tile_rows: int = TILE_ROWS) -> DataFrame:
     """(id, ``fingerprint``, ``component_id``) for every row of ``docs``.
@@ -229,18 +250,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     each get their row; null ids never become a component's id unless all its ids are
     null. An empty table gives an empty table. Extra columns are not read.
     """
-    spark = docs.sparkSession
-    ready(spark)
-    rows = written(fingerprints(docs, id_col, text_col, shingle), "simhash-rows")
-    nodes = written(rows.groupBy("_fp").agg(F.min("_id").alias("_rep")), "simhash-nodes")
-    roots = connected_components(near_links(nodes, max_bits, tile_rows), "_a", "_b")
-    placed = written(nodes.join(roots, nodes["_fp"] == roots["node"], "left").select("_fp", "_rep", "root"),
-                     "simhash-placed")
-    grouped = placed.where(F.col("root").isNotNull())
-    least = written(grouped.groupBy("root").agg(F.min("_rep").alias("_cid")), "simhash-least")
-    of_fp = written(
-        grouped.join(least, "root").select("_fp", "_cid")
-        .unionAll(placed.where(F.col("root").isNull()).select("_fp", F.col("_rep").alias("_cid"))), "simhash-of-fp")
-    return rows.join(of_fp, "_fp").select(
+    return grouped(docs, id_col, text_col, shingle, max_bits, tile_rows).select(
         F.col("_id").alias(id_col), F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"),
         F.col("_cid").alias("component_id"))
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                     max_bits: int = MAX_BITS, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """One row of each component of :func:`near_duplicates`, unchanged: the one with the
+    smallest id (a null id only if there is no other; ties: the smallest MD5 of the text;
+    of rows equal in both any one)."""
+    rows = grouped(docs, id_col, text_col, shingle, max_bits, tile_rows)
+    first = F.min(F.struct(F.col("_id").isNull().alias("null"), F.col("_id").alias("id"), F.col("_md5").alias("md5"),
+                           F.col("_n").alias("n")))
+    best = written(rows.groupBy("_root", "_id", "_md5").agg(F.count(F.lit(1)).alias("_n"))
+                   .groupBy("_root").agg(first.alias("b")).select(F.col("b.id").alias("_kid"), F.col("b.md5").alias("_kmd5"), F.col("b.n").alias("_kn")),
+                   "simhash-kept")
+    text = F.unhex(F.md5(F.coalesce(col(text_col), F.lit("")).cast("binary")))
+    kept = docs.join(best, col(id_col).eqNullSafe(F.col("_kid")) & (text == F.col("_kmd5")), "left_semi")
+    if best.where("_kn > 1").isEmpty():
+        return kept
+    # Rows equal in id and text: one of them (a null and an empty text have the same MD5).
+    marked = kept.select(F.struct(*[col(c) for c in docs.columns]).alias("_doc"), col(id_col).alias("_k1"), text.alias("_k2"))
+    return marked.groupBy("_k1", "_k2").agg(F.first("_doc").alias("_doc")).select("_doc.*")

@@ -104,3 +104,18 @@ select t.doc_id, count(*) filter (where kind = 0) as n_assign, count(*) filter (
 from t left join named using (doc_id)
 group by t.doc_id
 """
+
+# The base32 digits of a SHA-1 are five bits each of its 40 hex digits.
+OP8_WARC = r"""
+with p as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as h from pages),
+d as (
+  select page_id, payload_bytes, h, max(page_id) over (partition by h) as keeper,
+         list_aggregate(list_transform(generate_series(0, 31), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((('0x' || substr(h, (5 * i) // 4 + 1, 2))::int >> (3 - (5 * i) % 4)) & 31), 1)), 'string_agg', '') as payload_digest
+  from p)
+select page_id, payload_bytes::bigint as payload_bytes, payload_digest,
+       case when page_id = keeper then 'response' else 'revisit' end as record_type,
+       case when page_id = keeper then null else keeper end as refers_to
+from d
+"""
