@@ -169,14 +169,14 @@ def feature_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _sample(rows: DataFrame, n: int) -> np.ndarray:
     got = rows.orderBy(F.xxhash64("_id"), "_id").limit(n).select("_x").toArrow().column(0).to_pylist()
-    return np.array(got, float).reshape(len(got), -1)
+    return np.array(got, float).reshape(len(got), len(FEATURES))
 
 
 def _scores(table: DataFrame, model, extra: list[str]) -> DataFrame:
     """``extra`` columns and ``_score`` of a feature table."""
     def run(batches):
         for batch in batches:
-            x = np.array(batch.column(0).to_pylist(), float).reshape(batch.num_rows, -1)
+            x = np.array(batch.column(0).to_pylist(), float).reshape(batch.num_rows, len(FEATURES))
             s = model.score(x) if model and batch.num_rows else np.ones(batch.num_rows)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(s)], names=[*extra, "_score"])
 

@@ -213,7 +213,7 @@ class ToxicityModel:
     values: np.ndarray
 
     def features(self, texts: list[str]) -> np.ndarray:
-        return np.array([self.lexicon.features(t) for t in texts], float).reshape(len(texts), -1)
+        return np.array([self.lexicon.features(t) for t in texts], float).reshape(len(texts), len(FEATURES))
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """Calibrated probability, with a little of the trees' own order inside each
@@ -308,7 +308,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     x, y = np.array(rows.column(0).to_pylist(), float), np.array(rows.column(1).to_pylist(), float)
     if not len(y) or not 0 < y.sum() < len(y):
         return None
-    return fit_model(lexicon, x.reshape(len(y), -1), y)
+    return fit_model(lexicon, x.reshape(len(y), len(FEATURES)), y)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
