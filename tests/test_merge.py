@@ -28,7 +28,7 @@ def run(spark, values, strategy, cast_mode="ansi"):
     d = spark.createDataFrame(values, DATAVALUE)
     e = spark.createDataFrame(ELEMENTS, DATAELEMENT)
     m = spark.createDataFrame([(11, 10)], "source_id int, dest_id int")
-    return M.merge_values(d, e, m, strategy, RUN_TS, cast_mode, materialize_rows=False), d
+    return M.merge_values(d, e, m, strategy, RUN_TS, cast_mode), d
 
 
 def test_sum_decimal_text_and_numeric_max(spark):
@@ -131,7 +131,7 @@ def test_per_destination_strategies(spark):
     d = spark.createDataFrame([dv(1, 10, "1", T1), dv(1, 11, "2", T2), dv(1, 20, "5", T1), dv(1, 21, "6", T2)], DATAVALUE)
     e = spark.createDataFrame(ELEMENTS, DATAELEMENT)
     m = spark.createDataFrame([(11, 10, "SUM"), (21, 20, "LAST")], "source_id int, dest_id int, strategy string")
-    res = M.merge_values(d, e, m, None, RUN_TS, materialize_rows=False)
+    res = M.merge_values(d, e, m, None, RUN_TS)
     assert rows(res.staged, "sourceid", "value") == [(10, "3"), (20, "6")]
 
 
@@ -153,12 +153,12 @@ def test_hot_key_many_sources_one_destination(spark):
     d = spark.createDataFrame(vals, DATAVALUE)
     e = spark.createDataFrame(ELEMENTS, DATAELEMENT)
     m = spark.createDataFrame([(s, 10) for s in srcs], "source_id int, dest_id int")
-    res = M.merge_values(d, e, m, "SUM", RUN_TS, materialize_rows=False)
+    res = M.merge_values(d, e, m, "SUM", RUN_TS)
     got = {r.dataelementid: r.value for r in res.staged.collect()}
     assert got[1] == str(sum(srcs))
     # text element: latest day-of-week 6, smallest original source among those
     assert got[2] == f"t{min(s for s in srcs if s % 7 == 6)}"
-    res = M.merge_values(d, e, m, "LAST", RUN_TS, materialize_rows=False)
+    res = M.merge_values(d, e, m, "LAST", RUN_TS)
     assert {r.dataelementid: r.value for r in res.staged.collect()}[1] == "499"
 
 
@@ -166,6 +166,6 @@ def test_unvalidated_map_without_strategy_reports_lost(spark):
     d = spark.createDataFrame([dv(1, 10, "1", T1), dv(1, 11, "2", T2)], DATAVALUE)
     e = spark.createDataFrame(ELEMENTS, DATAELEMENT)
     m = spark.createDataFrame([(11, 10, "sum")], "source_id int, dest_id int, strategy string")
-    res = M.merge_values(d, e, m, None, RUN_TS, materialize_rows=False)
+    res = M.merge_values(d, e, m, None, RUN_TS)
     assert res.staged.count() == 0
     assert rows(res.lost, "reason") == [("no strategy",), ("no strategy",)]

@@ -60,5 +60,5 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 def test_merge_site_list_reaches_the_scan(spark):
     res = M.merge_values(fx.load(spark, SF, "f_datavalue"), fx.load(spark, SF, "f_dataelement"),
-                         fx.load(spark, SF, "f_merge_map"), "SUM", "2024-06-30 12:00:00", materialize_rows=False)
+                         fx.load(spark, SF, "f_merge_map"), "SUM", "2024-06-30 12:00:00")
     assert "In(sourceid," in plan(res.staged)

@@ -111,7 +111,7 @@ def test_merge_matches_rule_reading(spark, raw, strategy):
     d = spark.createDataFrame(recs, DATAVALUE)
     e = spark.createDataFrame([(k, v) for k, v in _TYPES.items()], DATAELEMENT)
     m = spark.createDataFrame([(11, 10)], "source_id int, dest_id int")
-    got_df = M.merge_values(d, e, m, strategy, _RUN, materialize_rows=False).staged.toPandas()
+    got_df = M.merge_values(d, e, m, strategy, _RUN).staged.toPandas()
     got = sorted(((int(r.dataelementid), int(r.categoryoptioncomboid), int(r.sourceid),
                    float(r.value) if int(r.dataelementid) in _NUMERIC else r.value,
                    None if pd.isna(r.lastupdated) else pd.Timestamp(r.lastupdated))

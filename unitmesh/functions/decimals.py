@@ -9,19 +9,23 @@ DECIMAL = "decimal(38,10)"
 
 def to_decimal(c: Column, mode: str = "ansi") -> Column:
     """Text to decimal(38,10). ``ansi`` fails the job on non-numeric text (as the
-    reference's ``value::numeric`` does); ``try`` turns it into NULL instead."""
+    reference's ``value::numeric`` does); ``try`` turns it into NULL instead. Neither
+    depends on the session's ANSI setting."""
+    value = c.try_cast(DECIMAL)
     if mode == "try":
-        return c.try_cast(DECIMAL)
+        return value
     if mode != "ansi":
         raise ValueError(f"unknown cast mode {mode!r}")
-    return c.cast(DECIMAL)
+    return F.when(c.isNotNull() & value.isNull(), F.raise_error(F.concat(F.lit("not a number: "), c)).cast(DECIMAL)).otherwise(value)
 
 
 def decimal_text(c: Column) -> Column:
     """Canonical text of a decimal: trailing fractional zeros, then a bare '.', removed.
 
-    ``1.50 + 2`` gives ``3.5``; ``30.0000000000`` gives ``30``. The same expression
-    gives the same text in DuckDB, which the oracle relies on.
+    ``1.50 + 2`` gives ``3.5``; ``30.0000000000`` gives ``30``; zero gives ``0``. Formatted by
+    a pattern, as a decimal's own text may use an exponent. The same text comes from DuckDB, which the oracle relies on.
     """
-    s = c.cast(DECIMAL).cast("string")
-    return F.regexp_replace(F.regexp_replace(s, "0+$", ""), "[.]$", "")
+    d = c.cast(DECIMAL)
+    digits = F.trim(F.to_char(F.abs(d), F.lit("9" * 27 + "0." + "0" * 10)))
+    text = F.concat(F.when(d < 0, F.lit("-")).otherwise(F.lit("")), digits)
+    return F.regexp_replace(F.regexp_replace(text, "0+$", ""), "[.]$", "")

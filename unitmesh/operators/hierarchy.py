@@ -1,52 +1,86 @@
 """Org-unit hierarchy: paths and levels (SIT5), descendants (FIL1), ancestors.
 
 Paths are computed by pointer doubling: every unit starts with its parent as
-"next hop" and the path piece ``/uid``; each round joins a unit to its next hop's
-row, prepending that row's piece and taking over its next hop. After k rounds each
-unit knows 2^k levels, so a tree of depth d needs about log2(d) rounds of one join
-each. Each round's result is written to the shared checkpoint folder, which keeps
-the plan from doubling in size and lets a lost executor cost only that round.
-Units whose chain does not reach a root within ``max_depth`` levels (a cycle, a
-dangling parent) are reported with a NULL path and ``resolved = false``.
+"next hop" and the path piece ``/uid``; each round joins the units that have not
+arrived to their next hop's row, prepending that row's piece and taking over its next
+hop. After k rounds each unit knows 2^k levels, so a tree of depth d needs about
+log2(d) rounds of one join each; finished units are not joined again. Each round's
+result is written to the shared checkpoint folder, which keeps the plan from doubling
+in size and lets a lost executor cost only that round.
+
+There is no depth limit. Units that lead into a cycle would double their piece for
+ever, so once units are still on their way after a few rounds, those that never arrive
+are found first, by the same doubling over ids alone (about log2(units) rounds over the
+remaining units). A cycle or a dangling parent gives a NULL path and ``resolved = false``.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, functions as F
 
 from unitmesh.plans.joins import join_small
 from unitmesh.plans.materialize import materialize
 
+# Rounds of path doubling before the units that never arrive are looked for.
+ROUNDS_BEFORE_CYCLE_CHECK = 6
+
+# Where a unit's chain ends; NULL while it is on its way.
+ROOT, DANGLING = "root", "dangling"
+
+
+def _follow(cur: DataFrame, with_paths: bool) -> DataFrame:
+    """One round: units on their way (``end`` NULL) take over their hop's row."""
+    live, done = cur.where(F.col("end").isNull()), cur.where(F.col("end").isNotNull())
+    n = [F.col("id").alias("hop"), F.col("id").alias("n_id"), F.col("hop").alias("n_hop"), F.col("end").alias("n_end")]
+    if with_paths:
+        n += [F.col("piece").alias("n_piece"), F.col("depth").alias("n_depth")]
+    j = live.join(cur.select(*n), "hop", "left")
+    found = F.col("n_id").isNotNull()
+    cols = {"hop": F.when(found, F.col("n_hop")).otherwise(F.col("hop")),
+            "end": F.when(~found, F.lit(DANGLING)).otherwise(F.col("n_end"))}
+    if with_paths:
+        cols |= {"piece": F.when(found, F.concat("n_piece", "piece")).otherwise(F.col("piece")),
+                 "depth": F.when(found, F.col("depth") + F.col("n_depth")).otherwise(F.col("depth"))}
+    moved = j.select(*[cols[c].alias(c) if c in cols else F.col(c) for c in cur.columns])
+    return materialize(done.unionByName(moved), "paths" if with_paths else "path-ends")
+
+
+def _on_their_way(cur: DataFrame) -> bool:
+    return not cur.where(F.col("end").isNull()).isEmpty()
+
+
+def _never_arriving(cur: DataFrame) -> DataFrame:
+    """Ids whose chain never ends (they lead into a cycle). Without a cycle a chain has at
+    most as many steps as there are units on their way, so doubling that often ends it."""
+    ids = cur.select("id", "hop", "end")
+    steps, most = 1, 2 * ids.where(F.col("end").isNull()).count()
+    while steps <= most and _on_their_way(ids):
+        ids = _follow(ids, False)
+        steps *= 2
+    return ids.where(F.col("end").isNull()).select("id")
+
 
-def materialize_paths(orgunits: DataFrame, max_depth: int = 64) -> DataFrame:
-    """(organisationunitid, uid, parentid, path, level, resolved) for every unit."""
-    cur = orgunits.select(
-        "organisationunitid", "uid", "parentid",
-        F.col("parentid").alias("hop"),
-        F.concat(F.lit("/"), F.col("uid")).alias("piece"),
-        F.lit(1).alias("depth"),
-        F.lit(False).alias("dangling"))
-    rounds = max(1, math.ceil(math.log2(max_depth)) + 1)
-    for _ in range(rounds):
-        if cur.where(F.col("hop").isNotNull() & ~F.col("dangling")).limit(1).count() == 0:
-            break
-        nxt = cur.select(F.col("organisationunitid").alias("hop"), F.col("hop").alias("n_hop"),
-                         F.col("piece").alias("n_piece"), F.col("depth").alias("n_depth"),
-                         F.col("dangling").alias("n_dangling"))
-        j = cur.join(nxt, "hop", "left")
-        live = F.col("hop").isNotNull() & ~F.col("dangling")
-        found = F.col("n_piece").isNotNull()
-        cur = materialize(j.select(
-            "organisationunitid", "uid", "parentid",
-            F.when(live & found, F.col("n_hop")).otherwise(F.col("hop")).alias("hop"),
-            F.when(live & found, F.concat(F.col("n_piece"), F.col("piece"))).otherwise(F.col("piece")).alias("piece"),
-            F.when(live & found, F.col("depth") + F.col("n_depth")).otherwise(F.col("depth")).alias("depth"),
-            (F.col("dangling") | (live & ~found) | (live & F.coalesce(F.col("n_dangling"), F.lit(False)))).alias("dangling"),
-        ), "paths")
-    resolved = F.col("hop").isNull() & ~F.col("dangling") & (F.col("depth") <= max_depth)
-    return cur.select("organisationunitid", "uid", "parentid",
+def materialize_paths(orgunits: DataFrame) -> DataFrame:
+    """(organisationunitid, uid, parentid, path, level, resolved) for every unit. A
+    repeated id counts once (its smallest uid); a NULL id is left out."""
+    units = (orgunits.where(F.col("organisationunitid").isNotNull()).groupBy(F.col("organisationunitid").alias("id"))
+             .agg(F.min(F.struct("uid", "parentid")).alias("u")).select("id", "u.uid", "u.parentid"))
+    cur = materialize(units.select(
+        "id", "uid", "parentid", F.col("parentid").alias("hop"),
+        F.concat(F.lit("/"), F.coalesce("uid", F.lit(""))).alias("piece"), F.lit(1).cast("long").alias("depth"),
+        F.when(F.col("parentid").isNull(), F.lit(ROOT)).alias("end")), "paths")
+    rounds, checked = 0, False
+    while _on_their_way(cur):
+        if rounds >= ROUNDS_BEFORE_CYCLE_CHECK and not checked:
+            lost = _never_arriving(cur).withColumn("_lost", F.lit(True))
+            cur = materialize(cur.join(lost, "id", "left").withColumn("end", F.when(F.col("_lost"), F.lit(DANGLING)).otherwise(F.col("end")))
+                              .drop("_lost"), "paths")
+            checked = True
+            continue
+        cur = _follow(cur, True)
+        rounds += 1
+    resolved = F.col("end") == ROOT
+    return cur.select(F.col("id").alias("organisationunitid"), "uid", "parentid",
                       F.when(resolved, F.col("piece")).alias("path"),
                       F.when(resolved, F.col("depth")).cast("int").alias("level"),
                       resolved.alias("resolved"))

@@ -20,11 +20,12 @@ Rules of the value merge, per destination ``dest`` and value key
 * ``n = 1`` rows of any type move to the destination, lastupdated = run_ts;
 * ``n > 1`` rows whose element is unknown or has no value type are lost.
 
-Plan: the involved live rows are written once (one scan of the big table); one
-partial aggregate per key gives the counts, bounds and numeric aggregates (map-side
-combine keeps a hot key cheap); the rows are joined back to it once (a sort-merge
-join AQE can split when a key is skewed) and written again, so each output branch
-is a filter over that table plus, for ties, a small aggregate. No window is used,
+Plan: one partial aggregate per key over the involved live rows carries the count, the
+bounds, the numeric aggregate and, for a key of one row, that row itself; it is written
+once. Aggregated overlaps and single rows come straight from it, without a join back.
+Only overlaps whose winners are rows (FIRST, LAST, other value types) or that are lost
+are read again and joined to the written aggregate; both sides of that join are plain
+shuffles, so AQE can split a key that holds a large part of all rows. No window is used,
 so no key's rows must fit one task.
 """
 
@@ -34,7 +35,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from unitmesh.functions.decimals import decimal_text, to_decimal
+from unitmesh.functions.decimals import decimal_text
 from unitmesh.plans.joins import broadcast_if, is_small, join_small, key_values
 from unitmesh.plans.materialize import materialize
 from unitmesh.schemas import DATAVALUE_COLUMNS, VALUE_KEY
@@ -142,7 +143,7 @@ class MergeResult:
     lost: DataFrame     # live rows that the rules drop (NULL key, untyped overlaps)
     sites: DataFrame    # (sourceid, dest) of every touched site
     ties: DataFrame     # FIRST/LAST keys whose winning rows differ (all kept in staged)
-    sites_small: bool = False  # the touched-site list passed the broadcast bound
+    sites_small: bool = False  # the touched-site list is within the broadcast bound
 
 
 def _winner_first(ts: Column) -> Column:
@@ -159,19 +160,20 @@ AGG_STRATEGIES = ("SUM", "AVG", "MAX", "MIN")
 
 
 def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFrame,
-                 strategy: str | None, run_ts: str, cast_mode: str = "ansi",
-                 materialize_rows: bool = True) -> MergeResult:
+                 strategy: str | None, run_ts: str, cast_mode: str = "ansi") -> MergeResult:
     """Merge the values of every (source_id, dest_id) pair of ``merge_map``.
 
     ``strategy`` applies to every pair; with ``strategy=None`` the map's ``strategy``
     column decides per destination (the validation rejects a destination requested
     with different strategies; unvalidated, the alphabetically first one applies).
     ``run_ts`` stands for the reference's ``now()`` so results are reproducible.
-    ``cast_mode='try'`` turns non-numeric text under a numeric strategy into NULL
-    instead of failing.
+    Non-numeric text in an aggregated overlap fails the job; ``cast_mode='try'`` leaves
+    it out instead. Text in a key of one row is moved as it is.
     """
     if strategy is not None and strategy not in STRATEGIES:
         raise ValueError(ERR_STRATEGY)
+    if cast_mode not in ("ansi", "try"):
+        raise ValueError(f"unknown cast mode {cast_mode!r}")
     now = F.lit(run_ts).cast("timestamp_ntz")
     sites = merge_sites_of(merge_map)
     if strategy is None:
@@ -181,10 +183,12 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
     else:
         sites = sites.withColumn("strat", F.lit(strategy))
         used = (strategy,) if strategy in AGG_STRATEGIES else ()
+    # Written once: every branch reads the touched sites from here, and their bytes are known.
+    sites = materialize(sites, "merge-sites")
     classes = element_classes(dataelement)
-    # A short site list is read once: it proves the bound and becomes a scan filter.
+    # A short site list becomes a scan filter.
     site_ids = key_values(sites, "sourceid")
-    sites_small = site_ids is not None or is_small(sites)
+    sites_small = is_small(sites)
 
     # JON2/JON4: rows of the touched sites with their destination id (broadcast when small)
     scan = datavalue if site_ids is None else datavalue.where(F.col("sourceid").isin(site_ids))
@@ -193,10 +197,6 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
     live = involved.where(F.col("deleted") == F.lit(False))
     # FIL10/JON3: numeric vs other value types (a NULL type is neither)
     live = join_small(live, classes, "dataelementid", "left")
-    if materialize_rows:
-        # _rid: a row id fixed by the write, so one row per key can be picked later
-        # without a shuffle (the key's smallest id).
-        live = materialize(live.withColumn("_rid", F.monotonically_increasing_id()), "merge-live")
 
     key_ok = F.lit(True)
     for k in VALUE_KEY:
@@ -208,75 +208,74 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
     strat = F.col("strat")
     is_num = F.coalesce(F.col("is_numeric"), F.lit(False))
     is_oth = F.coalesce(F.col("is_other"), F.lit(False))
+    aggregated = is_num & F.coalesce(strat.isin(*AGG_STRATEGIES), F.lit(False))
 
     # AGG1/AGG2: key counts (n > 1 overlaps, n = 1 singletons); AGG3/AGG4/AGG5/AGG6: SUM/AVG/MAX/MIN;
     # AGG7/WIN1/WIN2/WIN3: the FIRST/LAST/latest bounds, used instead of rank() windows.
+    number = F.col("value").try_cast("decimal(38,10)")
     aggs = [F.count(F.lit(1)).alias("n"),
             F.max(ts.isNull()).alias("has_null_ts"),
             F.max(ts).alias("max_ts"),
             F.min(ts).alias("min_ts"),
-            F.max(is_num).alias("key_numeric")]
-    if materialize_rows:
-        aggs.append(F.min("_rid").alias("_first_rid"))
+            F.max(aggregated).alias("key_aggregated"),
+            F.min(F.when(aggregated & number.isNull(), F.col("value"))).alias("bad_value"),
+            # the row itself where there is one; the smallest costs nothing more
+            F.min(F.struct(*DATAVALUE_COLUMNS)).alias("row")]
     if used:
-        dec = F.when(is_num, to_decimal(F.col("value"), cast_mode))
         fns = {"SUM": F.sum, "AVG": F.avg, "MAX": F.max, "MIN": F.min}
         pick = None
         for name in used:
-            v = fns[name](F.when(strat == name, dec)).cast("decimal(38,10)")
+            v = fns[name](F.when(aggregated & (strat == name), number)).cast("decimal(38,10)")
             pick = F.when(F.max(strat) == name, v) if pick is None else pick.when(F.max(strat) == name, v)
         aggs.append(pick.alias("agg_value"))
-    per_key = keyed.groupBy(*group).agg(*aggs)
-    # Every branch below reads these joined rows; written once so the aggregate and
-    # the join back run once instead of once per branch.
-    rows = keyed.join(per_key, group)
-    if materialize_rows:
-        rows = materialize(rows, "merge-keyed")
-
-    def out(df: DataFrame, **over: Column) -> DataFrame:
-        cols = [over.get(c, F.col("dest").alias("sourceid") if c == "sourceid" else F.col(c)).alias(c)
+    per_key = materialize(keyed.groupBy(*group).agg(*aggs), "merge-keys")
+
+    def out(df: DataFrame, row: str = "", **over: Column) -> DataFrame:
+        cols = [over.get(c, F.col("dest").alias("sourceid") if c == "sourceid" else F.col(row + c)).alias(c)
                 for c in DATAVALUE_COLUMNS]
         return df.select(*cols)
 
     multi = F.col("n") > 1
     parts = []
     if used:
-        agg_rows = rows.where(multi & F.col("key_numeric") & strat.isin(*AGG_STRATEGIES))
-        if materialize_rows:
-            per_num = agg_rows.where(F.col("_rid") == F.col("_first_rid"))
-        else:
-            per_num = agg_rows.select(*group, "agg_value").dropDuplicates(group)
-        parts.append(out(per_num,
-                         value=decimal_text(F.col("agg_value")), storedby=F.lit("admin"),
+        text = decimal_text(F.col("agg_value"))
+        if cast_mode == "ansi":
+            text = F.when(F.col("bad_value").isNotNull(), F.raise_error(
+                F.concat(F.lit("not a number: "), F.col("bad_value"))).cast("string")).otherwise(text)
+        parts.append(out(per_key.where(multi & F.col("key_aggregated")), "row.",
+                         value=text, storedby=F.lit("admin"),
                          lastupdated=now, comment=F.lit(None).cast("string"), followup=F.lit(False),
                          created=now, deleted=F.lit(False)))
+    # Overlaps that end as rows: read again and joined to the written aggregate.
+    bounds = per_key.where(multi).select(*group, "n", "has_null_ts", "max_ts", "min_ts")
+    rows = materialize(keyed.where(~aggregated | is_oth).join(bounds, group), "merge-overlaps")
     ties = None
     if strategy is None or strategy in ("FIRST", "LAST"):
         win = (((strat == "FIRST") & _winner_first(ts)) | ((strat == "LAST") & _winner_last(ts)))
-        winners = out(rows.where(multi & is_num & win)).dropDuplicates()
+        winners = out(rows.where(is_num & win)).dropDuplicates()
         parts.append(winners)
         ties = (winners.groupBy(F.col("sourceid").alias("dest"), *VALUE_KEY)
                 .agg(F.count(F.lit(1)).alias("winners")).where(F.col("winners") > 1))
 
     # Other value types: latest row; on equal lastupdated the smallest original sourceid.
-    cand = rows.where(multi & is_oth & _winner_last(ts))
-    best_src = cand.groupBy(*group).agg(F.min("sourceid").alias("best_src"))
+    cand = rows.where(is_oth & _winner_last(ts))
+    best_src = materialize(cand.groupBy(*group).agg(F.min("sourceid").alias("best_src")), "merge-latest")
     parts.append(out(cand.join(best_src, group).where(F.col("sourceid") == F.col("best_src")),
                      lastupdated=now))
 
-    parts.append(out(rows.where(F.col("n") == 1), lastupdated=now))
+    parts.append(out(per_key.where(F.col("n") == 1), "row.", lastupdated=now))
     # SET1: the branches are one bag union (UNION ALL); AGG10: DISTINCT only in FIRST/LAST.
     staged = parts[0]
     for p in parts[1:]:
         staged = staged.unionByName(p)
 
-    lost = (rows.where(multi & ~is_num & ~is_oth)
+    lost = (rows.where(~is_num & ~is_oth)
             .select(*DATAVALUE_COLUMNS, "dest", F.lit("no value type").alias("reason"))
             .unionByName(null_key.select(*DATAVALUE_COLUMNS, "dest", F.lit("null key").alias("reason"))))
     if strategy is None:
         # numeric overlaps of a destination without a valid strategy (unvalidated map)
         lost = lost.unionByName(
-            rows.where(multi & is_num & ~F.coalesce(strat.isin(*STRATEGIES), F.lit(False)))
+            rows.where(is_num & ~F.coalesce(strat.isin(*STRATEGIES), F.lit(False)))
             .select(*DATAVALUE_COLUMNS, "dest", F.lit("no strategy").alias("reason")))
     if ties is None:
         ties = staged.sparkSession.createDataFrame(

@@ -40,27 +40,33 @@ select cast(1001 + s_suppkey as int), concat('S', lpad(cast(s_suppkey as string)
 from {supplier}
 """)
 
+# Every fifth part key is an element; some elements of the value table are not in it.
 _fx("f_dataelement", (), """
-select cast(p_partkey as int) as dataelementid,
-       case p_partkey % 8 when 0 then 'INTEGER' when 1 then 'NUMBER' when 2 then 'INTEGER_ZERO_OR_POSITIVE'
+select distinct cast(floor(p_partkey / 5) as int) as dataelementid,
+       case floor(p_partkey / 5) % 8 when 0 then 'INTEGER' when 1 then 'NUMBER' when 2 then 'INTEGER_ZERO_OR_POSITIVE'
             when 3 then 'INTEGER_POSITIVE' when 4 then 'TEXT' when 5 then 'INTEGER_NEGATIVE' when 6 then 'BOOLEAN' end as valuetype
-from {part} where p_partkey < 39
+from {part} where floor(p_partkey / 5) % 41 <> 7
 """)
 
+# All line items. attributeoptioncomboid numbers the rows that would share a value key.
+# Some keys and update times are NULL; some rows of their own hold text.
 _fx("f_datavalue", (), """
-select dataelementid, periodid, sourceid, categoryoptioncomboid, attributeoptioncomboid, value, storedby, lastupdated, comment, followup, created, deleted
-from (select cast(l_partkey % 40 as int) as dataelementid, cast(year(l_shipdate) as int) as periodid, cast(1001 + l_suppkey as int) as sourceid,
-             cast(l_linenumber as int) as categoryoptioncomboid, cast(1 as int) as attributeoptioncomboid,
-             cast(cast(l_quantity as int) as string) as value, l_linestatus as storedby, l_shipdate as lastupdated,
-             l_returnflag as comment, l_discount > 0.05 as followup, l_shipdate as created,
-             case when l_orderkey % 17 = 0 then true when l_orderkey % 101 = 0 then null else false end as deleted,
-             row_number() over (partition by l_partkey % 40, year(l_shipdate), l_suppkey, l_linenumber
-                                order by l_shipdate desc, l_orderkey, l_partkey, l_quantity, l_extendedprice) as rn
-      from {lineitem}) t where rn = 1
+select cast(floor(l_partkey / 5) as int) as dataelementid, cast(year(l_shipdate) as int) as periodid, cast(1001 + l_suppkey as int) as sourceid,
+       case when l_orderkey % 211 = 0 then cast(null as int) else cast(l_linenumber % 2 as int) end as categoryoptioncomboid,
+       case when l_orderkey % 53 = 0 then cast(1000000 + l_orderkey * 10 + l_linenumber as int)
+            else cast(row_number() over (partition by floor(l_partkey / 5), year(l_shipdate), l_suppkey, l_linenumber % 2, l_orderkey % 53 = 0
+                                         order by l_shipdate desc, l_orderkey, l_partkey, l_linenumber, l_quantity, l_extendedprice) as int) end as attributeoptioncomboid,
+       case when l_orderkey % 53 = 0 then 'n/a' else cast(cast(l_quantity as int) as string) end as value,
+       l_linestatus as storedby, case when l_orderkey % 37 <> 0 then l_shipdate end as lastupdated,
+       l_returnflag as comment, l_discount > 0.05 as followup, l_shipdate as created,
+       case when l_orderkey % 17 = 0 then true when l_orderkey % 101 = 0 then null else false end as deleted
+from {lineitem}
 """)
 
+# Two thirds of the sites are touched, in pairs of neighbours.
 _fx("f_merge_map", (), """
-select cast(1001 + s_suppkey as int) as source_id, cast(1000 + s_suppkey as int) as dest_id from {supplier} where s_suppkey % 2 = 1
+select cast(1001 + s_suppkey as int) as source_id, cast(1000 + s_suppkey as int) as dest_id from {supplier}
+where s_suppkey % 6 = 1 or s_suppkey % 6 = 5
 """)
 
 # Merge requests by uid with some invalid ones: unknown source or destination,
@@ -80,12 +86,15 @@ from {supplier} where s_suppkey % 2 = 1 or s_suppkey % 10 = 4
 
 _fx("f_member", (), """
 select objectid, organisationunitid, cast(row_number() over (partition by objectid order by d, organisationunitid) - 1 as int) as sort_order
-from (select cast(o_custkey % 200 as int) as objectid, cast(1001 + o_orderkey % 100 as int) as organisationunitid, min(o_orderdate) as d
-      from {orders} group by o_custkey % 200, o_orderkey % 100) t
+from (select objectid, organisationunitid, min(o_orderdate) as d
+      from (select cast(floor(o_custkey / 20) as int) as objectid,
+                   cast(1001 + o_orderkey % (select count(*) from {supplier}) as int) as organisationunitid, o_orderdate from {orders}) o
+      group by objectid, organisationunitid) t
 """)
 
 _fx("f_stage_instance", (), """
-select o_orderkey as programstageinstanceid, cast(1001 + o_custkey % 100 as int) as organisationunitid from {orders}
+select o_orderkey as programstageinstanceid, cast(1001 + o_custkey % (select count(*) from {supplier}) as int) as organisationunitid
+from {orders}
 """)
 
 _fx("f_stage_value", (), """
@@ -133,7 +142,7 @@ from f_orgunit c left join f_orgunit p on c.parentid = p.organisationunitid
 # dataValues payload records in reporting-system names.
 _fx("f_payload", ("f_orgunit", "f_datavalue"), """
 select o.uid as orgUnit, concat('DE', cast(d.dataelementid as string)) as dataElement, cast(d.periodid as string) as period,
-       concat('COC', cast(d.categoryoptioncomboid as string)) as categoryOptionCombo,
+       'COC' || cast(d.categoryoptioncomboid as string) as categoryOptionCombo,
        concat('AOC', cast(d.attributeoptioncomboid as string)) as attributeOptionCombo,
        d.value, d.storedby, d.comment, d.followup
 from f_datavalue d join f_orgunit o on d.sourceid = o.organisationunitid

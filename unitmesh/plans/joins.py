@@ -1,53 +1,49 @@
-"""Join helpers: broadcast a side only when its size is proven small.
+"""Join helpers: broadcast a side only when its size in bytes is known to be small.
 
-A broadcast ships the whole side to every executor, so it is only used after a
-bounded probe (``limit(n + 1).count()``, which stops reading after n + 1 rows) shows
-the side has at most ``max_rows`` rows. Otherwise the join is left to the planner,
-which shuffles both sides (sort-merge join); AQE may still switch it to a broadcast
-at run time from measured shuffle sizes, and splits skewed partitions.
+A broadcast ships the whole side to every executor. A side gets the hint only if the
+optimizer's size of its plan, an upper bound from the bytes of the files it reads, is
+within a limit; no job runs for that. Any other side is left to the planner, which
+shuffles (sort-merge join); AQE may still switch to a broadcast at run time from
+measured shuffle bytes, and splits skewed partitions.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Default row bound for a broadcast side. Dimension-like sides here are a few narrow
-# columns (ids, a short string), so 2,000,000 rows stay well under 100 MB.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-CONF_KEY = "unitmesh.broadcast.maxRows"
+# Default bound in bytes of a broadcast side.
+DEFAULT_MAX_BROADCAST_BYTES = 16 * 1024 * 1024
+CONF_KEY = "unitmesh.broadcast.maxBytes"
 
 
-def max_broadcast_rows(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(CONF_KEY, str(DEFAULT_MAX_BROADCAST_ROWS)))
+def plan_bytes(df: DataFrame) -> int:
+    """The optimizer's upper bound on the size of ``df``, from file sizes; no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
-    """The bounded probe itself. A side derived from a proven-small input by
-    projection, aggregation or semi-join is no larger, so one probe can cover all of
+def is_small(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """Whether ``df`` is within the broadcast bound. A side derived from a small input by
+    projection, aggregation or semi-join is no larger, so one check can cover all of
     them (see :func:`broadcast_if`)."""
-    return has_at_most(df, max_rows if max_rows is not None else max_broadcast_rows(df))
+    if max_bytes is None:
+        max_bytes = int(df.sparkSession.conf.get(CONF_KEY, str(DEFAULT_MAX_BROADCAST_BYTES)))
+    return plan_bytes(df) <= max_bytes
 
 
 def broadcast_if(df: DataFrame, proven_small: bool) -> DataFrame:
-    """Broadcast hint on ``df`` when a probe has already bounded the input it derives from."""
+    """Broadcast hint on ``df`` when the input it derives from is known to be small."""
     return F.broadcast(df) if proven_small else df
 
 
-def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Return ``df`` with a broadcast hint if its row count is proven bounded."""
-    bound = max_rows if max_rows is not None else max_broadcast_rows(df)
-    return F.broadcast(df) if has_at_most(df, bound) else df
+def small_side(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Return ``df`` with a broadcast hint if its size is within the bound."""
+    return broadcast_if(df, is_small(df, max_bytes))
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int | None = None) -> DataFrame:
+               max_bytes: int | None = None) -> DataFrame:
     """``big.join(small)`` broadcasting ``small`` only behind the size check."""
-    return big.join(small_side(small, max_rows), on, how)
+    return big.join(small_side(small, max_bytes), on, how)
 
 
 # Largest id list added as a literal IN filter (pushed into the parquet scan).

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -19,6 +20,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # The pandas UDFs see whole documents; smaller Arrow batches bound worker memory.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # A JSON object that repeats a key keeps the last value, as Python's json does.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -49,11 +52,14 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, registering it with the SparkContext.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset (local
-    tests) is a private temporary folder created.
+    The cluster names it in ``spark.checkpoint.dir``; a private temporary folder is
+    created only where that is unset and the master is local (tests).
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         path = tempfile.mkdtemp(prefix="unitmesh-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc = spark.sparkContext
@@ -89,7 +95,9 @@ def ship_package(spark: SparkSession | None = None) -> None:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Per-session setup every job relies on: checkpoint folder and shipped code."""
+    """Per-session setup every job relies on: checkpoint folder, shipped code and the JSON
+    reading that results depend on."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     checkpoint_dir(spark)
     ship_package(spark)
 

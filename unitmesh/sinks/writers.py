@@ -33,14 +33,17 @@ def write_batches(adds: DataFrame, edits: DataFrame, relocates: DataFrame, out_d
 def store(df: DataFrame, path: str, partition_by: list[str] | None = None,
           cluster_by: list[str] | None = None) -> None:
     """SNK4: write warehouse records as parquet, partitioned (e.g. by period) so later
-    reads prune to the periods they need. ``cluster_by`` (e.g. the site column) sorts
-    rows inside each written file, so parquet min/max statistics are tight and a
+    reads prune to the periods they need. With ``partition_by`` only the partitions that
+    ``df`` has rows of are replaced (dynamic overwrite); without, the whole folder is.
+    ``cluster_by`` (e.g. the site column) deals rows by range and sorts them, so each
+    file holds a range of few partitions, parquet min/max statistics are tight and a
     filter on those columns (such as the merge's site list) skips row groups."""
+    keys = [*(partition_by or []), *(cluster_by or [])]
     if cluster_by:
-        df = df.sortWithinPartitions(*(partition_by or []), *cluster_by)
+        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     w = df.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     w.parquet(path)
 
 
