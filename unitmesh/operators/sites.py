@@ -33,16 +33,17 @@ RELOCATE_OPS = ("relocate",)
 DEFAULT_OPENING_DATE = "1970-01-01"
 SHORT_NAME_LENGTH = 50
 
-# Reject reasons of this engine (the reference only prints messages), in check order.
-R_UID = "Site UID must be provided for add operation"
-R_NAME = "Site name must be provided for add operation"
-R_PARENT_MISSING = "Parent code or parent UID must be provided for add operation"
-R_PARENT_CODE = "Parent with code not found"
-R_PARENT_UID = "Parent with uid not found"
-R_EXISTS = "Site already exists under this parent"
-R_SITE = "Site not found"
-R_CODE = "Site code already in use"
-R_UNKNOWN_OP = "Could not execute directive"
+# Reject reasons, codes of this engine, in check order.
+R_UID = "uid_missing"
+R_NAME = "name_missing"
+R_PARENT_MISSING = "parent_missing"
+R_PARENT_CODE = "parent_code_unknown"
+R_PARENT_UID = "parent_uid_unknown"
+R_EXISTS = "site_exists"
+R_REPEATED = "uid_repeated"
+R_SITE = "site_unknown"
+R_CODE = "code_taken"
+R_UNKNOWN_OP = "operation_unknown"
 
 
 def _blank(c: Column) -> Column:
@@ -58,6 +59,19 @@ def split_directives(directives: DataFrame) -> DataFrame:
     return directives.withColumn("kind", kind)
 
 
+def _key(column: str) -> Column:
+    """A join key that blank cells share with nothing: each gets a value of its own, so
+    the many blank rows neither match nor meet in one partition."""
+    return F.when(_blank(F.col(column)), F.concat(F.lit("\u0000"), F.col("row_no").cast("string"))).otherwise(F.col(column))
+
+
+def _looked_up(d: DataFrame, column: str, table: DataFrame, small: bool) -> DataFrame:
+    """``d`` left joined to ``table`` (first column: the key) on a column that may be blank."""
+    key = table.columns[0]
+    return (d.withColumn("_key", _key(column))
+            .join(broadcast_if(table.withColumnRenamed(key, "_key"), small), "_key", "left").drop("_key"))
+
+
 def _order(snapshot: DataFrame) -> Column:
     return F.col("row_no") if "row_no" in snapshot.columns else F.col("id")
 
@@ -75,11 +89,10 @@ def site_adds(directives: DataFrame, snapshot: DataFrame) -> tuple[DataFrame, Da
     snap_small = is_small(snapshot)  # one probe bounds every lookup below (all derive from it)
     # FIL5 / SRT3: parent id from code, first match by snapshot order (min_by)
     by_code = (snapshot.where(F.col("code").isNotNull())
-               .groupBy(F.col("code").alias("parent_code"))
+               .groupBy(F.col("code").alias("_code"))
                .agg(F.min_by("id", ordcol).alias("code_parent")))
     known = _ids(snapshot, "parent_uid", "parent_known")  # FIL3: uid exists
-    d = (d.join(broadcast_if(by_code, snap_small), "parent_code", "left")
-         .join(broadcast_if(known, snap_small), "parent_uid", "left"))
+    d = _looked_up(_looked_up(d, "parent_code", by_code, snap_small), "parent_uid", known, snap_small)
     resolved = F.when(_blank(F.col("parent_uid")), F.col("code_parent")).otherwise(F.col("parent_uid"))
     d = d.withColumn("resolved_parent", resolved).withColumn("name_q", F.replace(F.col("name"), F.lit("'"), F.lit("''")))
     # FIL6 / SCL4: existing site by (name with ' doubled, parent)
@@ -93,8 +106,12 @@ def site_adds(directives: DataFrame, snapshot: DataFrame) -> tuple[DataFrame, Da
               .when(_blank(F.col("parent_uid")) & F.col("code_parent").isNull(), R_PARENT_CODE)
               .when(~_blank(F.col("parent_uid")) & F.col("parent_known").isNull(), R_PARENT_UID)
               .when(F.col("existing_id").isNotNull(), R_EXISTS))
-    # Written once: payload and rejects both read the checked rows.
+    # Written once: payload and rejects both read the checked rows. Of accepted rows that
+    # repeat a uid the first one stands.
     d = materialize(d.withColumn("reason", reason), "site-adds")
+    first = materialize(d.where(F.col("reason").isNull()).groupBy("uid").agg(F.min("row_no").alias("first_row")), "site-add-uids")
+    d = d.join(first, "uid", "left").withColumn("reason", F.when(
+        F.col("reason").isNull() & (F.col("row_no") != F.col("first_row")), F.lit(R_REPEATED)).otherwise(F.col("reason")))
     point = ~_blank(F.col("lon")) & ~_blank(F.col("lat"))
     # PRJ12 add payload: SCL3 first 50 characters, SCL6 "[lon,lat]", SCL10 fixed opening date
     payload = d.where(F.col("reason").isNull()).select(
@@ -133,9 +150,8 @@ def site_updates(directives: DataFrame, snapshot: DataFrame, today: str) -> Site
     parents = _ids(snapshot, "parent_uid", "parent_known")
     taken = (snapshot.where(F.col("code").isNotNull()).select("code").distinct()
              .withColumn("code_taken", F.lit(True)))
-    d = (d.join(broadcast_if(sites, snap_small), "uid", "left")
-         .join(broadcast_if(parents, snap_small), "parent_uid", "left")
-         .join(broadcast_if(taken, snap_small), "code", "left"))
+    d = _looked_up(d, "uid", sites, snap_small)
+    d = _looked_up(_looked_up(d, "parent_uid", parents, snap_small), "code", taken, snap_small)
     is_edit = F.col("kind") == "edit"
     pre = (F.when(F.col("site_known").isNull(), R_SITE)
            .when(is_edit & ~_blank(F.col("parent_uid")) & F.col("parent_known").isNull(), R_PARENT_UID)
@@ -143,9 +159,10 @@ def site_updates(directives: DataFrame, snapshot: DataFrame, today: str) -> Site
            .when(is_edit & ~_blank(F.col("code")) & F.col("code_taken").isNotNull(), R_CODE))
     d = d.withColumn("reason", pre)
     # A new code goes to the first otherwise-valid edit that claims it.
-    claims = (d.where(F.col("reason").isNull() & is_edit & ~_blank(F.col("code")))
-              .groupBy("code").agg(F.min("row_no").alias("claim_row")))
-    d = d.join(claims, "code", "left")
+    d = materialize(d, "site-checked")
+    claims = materialize(d.where(F.col("reason").isNull() & is_edit & ~_blank(F.col("code")))
+                         .groupBy("code").agg(F.min("row_no").alias("claim_row")), "site-claims")
+    d = _looked_up(d, "code", claims, False)
     d = d.withColumn("reason", F.when(F.col("reason").isNull() & is_edit & ~_blank(F.col("code"))
                                       & (F.col("row_no") != F.col("claim_row")), F.lit(R_CODE))
                      .otherwise(F.col("reason")))
@@ -185,6 +202,9 @@ def site_updates(directives: DataFrame, snapshot: DataFrame, today: str) -> Site
         F.coalesce("new_coordinates", "coordinates", F.lit("")).alias("coordinates"),
         F.when(F.col("has_relocate"), F.coalesce("created", F.lit(""))).otherwise(F.col("created")).alias("created"),
         F.lit(today).alias("lastUpdated"),
+        # every other field of the site goes along unchanged: an import would erase it
+        *[c for c in snap.columns if c not in (
+            "uid", "name", "shortName", "code", "parent_id", "openingDate", "featureType", "coordinates", "created", "lastUpdated")],
         "has_edit", "has_relocate")
     cols = [c for c in state.columns if c not in ("has_edit", "has_relocate")]
     rejects = d.where(F.col("reason").isNotNull()).select("row_no", "op", "uid", "reason")
@@ -194,13 +214,12 @@ def site_updates(directives: DataFrame, snapshot: DataFrame, today: str) -> Site
                        rejects=rejects)
 
 
-def all_rejects(directives: DataFrame, snapshot: DataFrame, today: str) -> DataFrame:
-    """Every directive that is not carried out, with its reason (unknown ops included)."""
-    _, add_rej = site_adds(directives, snapshot)
-    upd = site_updates(directives, snapshot, today)
+def all_rejects(directives: DataFrame, add_rejects: DataFrame, updates: SiteUpdates) -> DataFrame:
+    """Every directive that is not carried out, with its reason (unknown ops included),
+    from the results of :func:`site_adds` and :func:`site_updates`."""
     unknown = (split_directives(directives).where(F.col("kind") == "unknown")
                .select("row_no", "op", "uid", F.lit(R_UNKNOWN_OP).alias("reason")))
-    return add_rej.unionByName(upd.rejects).unionByName(unknown)
+    return add_rejects.unionByName(updates.rejects).unionByName(unknown)
 
 
 def apply_updates(snapshot: DataFrame, updates: DataFrame, adds: DataFrame | None = None) -> DataFrame:
@@ -213,7 +232,7 @@ def apply_updates(snapshot: DataFrame, updates: DataFrame, adds: DataFrame | Non
                      for c in cols])
     if adds is not None:
         new = adds.join(snapshot.select("id"), "id", "left_anti")
-        out = out.unionByName(new.select(*[F.col(c) if c in new.columns else F.lit(None).cast("string").alias(c)
+        out = out.unionByName(new.select(*[F.col(c) if c in new.columns else F.lit(None).cast(snapshot.schema[c].dataType).alias(c)
                                            for c in cols]))
     return out
 
@@ -243,13 +262,13 @@ def batch_counts(adds: DataFrame, edits: DataFrame, relocates: DataFrame) -> Dat
     return tagged.agg(*[F.count(F.when(F.col("b") == k, 1)).alias(f"{k}_count") for k in ("add", "edit", "relocate")])
 
 
-def country_sites(snapshot: DataFrame, country_uid: str, max_depth: int = 64) -> DataFrame:
+def country_sites(snapshot: DataFrame, country_uid: str) -> DataFrame:
     """SRC7 / FIL1: the snapshot rows strictly below ``country_uid`` (the site list the
     directives are checked against), found through the hierarchy of id / parent_id."""
     from unitmesh.operators.hierarchy import descendants, materialize_paths
 
     units = snapshot.select(F.col("id").alias("organisationunitid"), F.col("id").alias("uid"),
                             F.col("parent_id").alias("parentid"))
-    below = descendants(materialize_paths(units, max_depth),
+    below = descendants(materialize_paths(units),
                         snapshot.sparkSession.createDataFrame([(country_uid,)], "uid string"))
     return snapshot.join(below.select(F.col("uid").alias("id")), "id", "left_semi")

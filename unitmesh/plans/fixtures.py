@@ -31,7 +31,7 @@ select cast(1 + r_regionkey as int) as organisationunitid, concat('R', lpad(cast
 from {region}
 union all
 select cast(101 + n_nationkey as int), concat('N', lpad(cast(n_nationkey as string), 10, '0')), n_name,
-       concat('NC', cast(n_nationkey as string)), cast(1 + n_regionkey as int), cast(2 as int)
+       concat('NC', cast(n_nationkey % 20 as string)), cast(1 + n_regionkey as int), cast(2 as int)
 from {nation}
 union all
 select cast(1001 + s_suppkey as int), concat('S', lpad(cast(s_suppkey as string), 10, '0')), s_name,
@@ -40,6 +40,19 @@ select cast(1001 + s_suppkey as int), concat('S', lpad(cast(s_suppkey as string)
 from {supplier}
 """)
 
+# Units for paths: the org units, and the customers below them in chains of 150. Some
+# customers are parents of each other (a cycle), some have an unknown parent, some ids repeat.
+_fx("f_tree", ("f_orgunit",), """
+select organisationunitid, uid, parentid from f_orgunit
+union all
+select cast(1000000 + c_custkey as int), concat('C', lpad(cast(c_custkey as string), 10, '0')),
+       cast(case when c_custkey % 151 = 3 then 1000000 + c_custkey + 1 when c_custkey % 151 = 4 then 1000000 + c_custkey - 1
+                 when c_custkey % 907 = 900 then 999999999 when c_custkey % 150 = 0 then 101 + c_nationkey else 1000000 + c_custkey - 1 end as int)
+from {customer}
+union all
+select cast(1000000 + c_custkey as int), concat('D', lpad(cast(c_custkey as string), 10, '0')), cast(101 as int) from {customer} where c_custkey % 20 = 0
+""")
+
 # Every fifth part key is an element; some elements of the value table are not in it.
 _fx("f_dataelement", (), """
 select distinct cast(floor(p_partkey / 5) as int) as dataelementid,
@@ -111,19 +124,27 @@ union all
 select concat('X', lpad(cast(r_regionkey as string), 10, '0')) from {region} where r_regionkey = 2
 """)
 
+# Bulk directives, one for each customer: some repeat a uid, some cells are blank, some
+# names hold quotes, commas, line breaks or backslashes or are long, some parents are
+# given by code. The uids reach a tenth beyond the sites.
 _fx("f_directive", (), """
 select c_custkey as row_no,
        case c_custkey % 6 when 0 then 'add' when 1 then 'Edit' when 2 then 'UPDATE' when 3 then 'rename' when 4 then 'Relocate' else 'merge' end as op,
-       case when c_custkey % 6 = 0 then concat('X', lpad(cast(c_custkey as string), 10, '0'))
-            else concat('S', lpad(cast(c_custkey % 110 as string), 10, '0')) end as uid,
-       case when c_custkey % 29 = 0 then '' when c_custkey % 36 = 0 then concat('NATION_', cast(c_custkey % 25 as string)) else c_name end as name,
+       case when c_custkey % 78 = 0 then '' when c_custkey % 66 = 0 then concat('X', lpad(cast(c_custkey - 6 as string), 10, '0'))
+            when c_custkey % 6 = 0 then concat('X', lpad(cast(c_custkey as string), 10, '0'))
+            else concat('S', lpad(cast(c_custkey % (select cast(count(*) * 1.1 as bigint) from {supplier}) as string), 10, '0')) end as uid,
+       case when c_custkey % 29 = 0 then '' when c_custkey % 36 = 0 then concat('NATION_', cast(c_custkey % 25 as string))
+            when c_custkey % 17 = 0 then concat('Clinic "', c_name, '", north', chr(10), 'wing', chr(92))
+            when c_custkey % 19 = 0 then concat('O', chr(39), 'Site ', c_name) when c_custkey % 23 = 0 then repeat(c_name, 5)
+            else c_name end as name,
        case when c_custkey % 36 = 0 then concat('R', lpad(cast(c_custkey % 5 as string), 10, '0')) when c_custkey % 7 = 0 then ''
             else concat('N', lpad(cast(c_custkey % 28 as string), 10, '0')) end as parent_uid,
-       case when c_custkey % 3 = 0 then '' else concat('New ', c_name) end as new_name,
+       case when c_custkey % 3 = 0 then '' when c_custkey % 23 = 0 then repeat(c_name, 5) else concat('New ', c_name) end as new_name,
        case when c_custkey % 4 = 0 then '' else cast(c_custkey % 90 as string) end as lat,
        case when c_custkey % 4 = 1 then '' else cast(c_custkey % 180 as string) end as lon,
        case when c_custkey % 2 = 0 then '' else c_mktsegment end as shortname,
-       case when c_custkey % 8 = 1 then concat('SC', cast(c_custkey % 300 as string)) else '' end as code
+       case when c_custkey % 8 = 1 then concat('SC', cast(c_custkey % 300 as string)) else '' end as code,
+       case when c_custkey % 84 = 0 then concat('NC', cast(c_custkey % 22 as string)) else '' end as parent_code
 from {customer}
 """)
 
@@ -135,6 +156,8 @@ select c.uid as id, c.name, substring(c.name, 1, 50) as shortName, c.code, p.uid
        case when c.level = 3 then concat('[', cast(c.organisationunitid % 180 as string), ', ', cast(c.organisationunitid % 90 as string), ']')
             else cast(null as string) end as coordinates,
        case when c.level < 3 then '2015-01-01' else cast(null as string) end as created,
+       case when c.level = 3 then concat('Contact ', c.uid) end as contact,
+       split(concat('a', cast(c.organisationunitid as string), ',b'), ',') as attributeValues,
        c.organisationunitid as row_no
 from f_orgunit c left join f_orgunit p on c.parentid = p.organisationunitid
 """)

@@ -112,7 +112,8 @@ def name_match(spark, sf):
 
 def _stream(spark, sf, keyword):
     out = scratch_path(spark, "stream-out")
-    run_line_filter(spark, table_path(sf, "documents").replace("documents.parquet", "documents*.parquet"),
+    # a glob that only this path matches: the stream source takes folders or globs
+    run_line_filter(spark, table_path(sf, "documents")[:-1] + "[t]",
                     "doc_id bigint, text string", out, scratch_path(spark, "stream-ckpt"), keyword=keyword)
     return spark.read.parquet(out)
 
@@ -138,14 +139,15 @@ def stream_filter_common(spark, sf):
 
 @query("directives_csv", fx.oracle("select * from f_directive", ["f_directive"]))
 def directives_csv(spark, sf):
-    """SRC1: directives written as a positional CSV file and read back (trimmed cells, row_no)."""
+    """SRC1: directives written as positional CSV files (quotes, commas, line breaks and
+    backslashes in cells) and read back (trimmed cells, row_no)."""
     d = fx.load(spark, sf, "f_directive")
     path = scratch_path(spark, "directives-csv")
-    cols = ["op", "uid", "name", "parent_uid", "new_name", "lat", "lon", "shortname", "code", "row_no"]
+    cols = ["op", "uid", "name", "parent_uid", "new_name", "lat", "lon", "shortname", "code", "parent_code", "row_no"]
     (d.select(*[F.concat(F.lit(" "), F.col(c).cast("string")) if c in ("op", "name") else F.col(c) for c in cols])
-     .toDF(*cols).coalesce(1).write.option("header", True).csv(path))
-    r = SRC.read_directives(spark, path)
-    return r.select(F.col("row_no"), "op", "uid", "name", "parent_uid", "new_name", "lat", "lon", "shortname", "code")
+     .toDF(*cols).write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path))
+    r = SRC.read_directives(spark, path, extra_columns=1)
+    return r.withColumnRenamed("col9", "parent_code").select(*cols)
 
 
 @query("unwrap_pages", fx.oracle("""
@@ -190,15 +192,15 @@ def json_records(spark, sf):
 @query("scaled_values", fx.oracle("""
 select v.dataelementid, v.periodid, v.sourceid, v.categoryoptioncomboid, v.attributeoptioncomboid, v.value, v.storedby,
        v.lastupdated, v.comment, v.followup, v.created, v.deleted,
-       regexp_replace(regexp_replace(cast(cast(cast(v.value as decimal(38,10)) * cast(p.p_size as decimal(18,6)) as decimal(38,10)) as varchar),
+       regexp_replace(regexp_replace(cast(cast(try_cast(v.value as decimal(38,10)) * cast(p.p_size as decimal(18,6)) as decimal(38,10)) as varchar),
                       '0+$', ''), '[.]$', '') as scaled
 from f_datavalue v left join part p on p.p_partkey = v.dataelementid
 """, ["f_datavalue"]))
 def scaled_values(spark, sf):
-    """UDF2: every value multiplied by its element's factor (part size) through a checked broadcast join."""
+    """UDF2: every value multiplied by its element's factor (part size) through a checked broadcast join (text has no product)."""
     factors = fx.raw(spark, sf, "part").select(F.col("p_partkey").cast("int").alias("dataelementid"),
                                                F.col("p_size").alias("factor"))
-    return MP.scale_values(fx.load(spark, sf, "f_datavalue"), factors)
+    return MP.scale_values(fx.load(spark, sf, "f_datavalue"), factors, cast_mode="try")
 
 
 def _site_batches(spark, sf):
@@ -217,43 +219,50 @@ def _sites_sql(tail: str) -> str:
     return _sql(tail)
 
 
-@query("batches_json", _sites_sql("""
-select 'add' as batch, id, parent_id from adds
-union all select 'edit', id, parent_id from st where has_edit
-union all select 'relocate', id, parent_id from st where has_relocate
+_BATCH = "name, shortName, code, parent_id, openingDate, featureType, coordinates"
+
+
+@query("batches_json", _sites_sql(f"""
+select 'add' as batch, id, {_BATCH}, cast(null as varchar) as created, cast(null as varchar) as contact, cast([] as varchar[]) as attributeValues from adds
+union all select 'edit', id, {_BATCH}, created, contact, attributeValues from st where has_edit
+union all select 'relocate', id, {_BATCH}, created, contact, attributeValues from st where has_relocate
 """))
 def batches_json(spark, sf):
     """SNK2: add, edit and relocation batches written as NDJSON (each only if non-empty)
-    and read back: one row per written site with its batch and nested parent id."""
+    and read back: one row per written site with its batch and every field."""
     from unitmesh.sinks.writers import write_batches
 
     out = scratch_path(spark, "batches")
     adds, edits, relocates = _site_batches(spark, sf)
     written = write_batches(adds, edits, relocates, out)
-    schema = "id string, parent struct<id:string>"
-    parts = [spark.read.schema(schema).json(f"{out}/{b}")
-             .select(F.lit(b).alias("batch"), "id", F.col("parent.id").alias("parent_id"))
-             for b, ok in written.items() if ok]
-    res = spark.createDataFrame([], "batch string, id string, parent_id string")
-    for p in parts:
-        res = res.unionByName(p)
+    fields = _BATCH.replace("parent_id, ", "").split(", ") + ["created", "contact"]
+    schema = "id string, parent struct<id:string>, attributeValues array<string>, " + ", ".join(f"{f} string" for f in fields)
+    res = None
+    for b, ok in written.items():
+        if ok:
+            part = spark.read.schema(schema).json(f"{out}/{b}").select(
+                F.lit(b).alias("batch"), "id", F.col("parent.id").alias("parent_id"), "attributeValues", *fields)
+            res = part if res is None else res.unionByName(part)
+    if res is None:
+        return spark.createDataFrame([], "batch string, parent_id string, " + schema).drop("parent")
     return res
 
 
 @query("warehouse_store", fx.oracle("""
 select orgUnit as location, dataElement, categoryOptionCombo as disaggregation, attributeOptionCombo as attribution,
        value, storedby, comment, followup, period
-from f_payload where period = '1995'
+from f_payload
 """, ["f_payload"]))
 def warehouse_store(spark, sf):
     """SNK4: warehouse records stored as parquet partitioned by period and clustered by
-    location, read back for one period (partition pruning: only that folder is scanned)."""
+    location, in two stores (one year, then the others, which leave it alone), read back."""
     from unitmesh.sinks.writers import store
 
     path = scratch_path(spark, "warehouse")
     wh = MP.to_warehouse(fx.load(spark, sf, "f_payload"))
-    store(wh, path, partition_by=["period"], cluster_by=["location"])
-    return SRC.read_store(spark, path, wh.schema).where(F.col("period") == "1995")
+    store(wh.where("period = '1995'"), path, partition_by=["period"], cluster_by=["location"])
+    store(wh.where("period <> '1995'"), path, partition_by=["period"], cluster_by=["location"])
+    return SRC.read_store(spark, path, wh.schema)
 
 
 @query("documents_append", fx.oracle("""

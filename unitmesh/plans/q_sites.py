@@ -17,7 +17,7 @@ def _inputs(spark, sf):
 
 
 _ADDS = """
-, d AS (select *, '' as parent_code from f_directive where lower(coalesce(op, '')) = 'add')
+, d AS (select * from f_directive where lower(coalesce(op, '')) = 'add')
 , by_code AS (select code, arg_min(id, row_no) as code_parent from f_snapshot where code is not null group by code)
 , known AS (select distinct id from f_snapshot)
 , existing AS (select name, parent_id, arg_min(id, row_no) as existing_id from f_snapshot
@@ -26,15 +26,17 @@ _ADDS = """
                 case when coalesce(d.parent_uid, '') = '' then bc.code_parent else d.parent_uid end as resolved_parent,
                 replace(d.name, '''', '''''') as name_q
          from d left join by_code bc on d.parent_code = bc.code left join known k on d.parent_uid = k.id)
-, a2 AS (select a1.*, e.existing_id,
-                case when coalesce(uid, '') = '' then 'Site UID must be provided for add operation'
-                     when coalesce(a1.name, '') = '' then 'Site name must be provided for add operation'
+, a0 AS (select a1.*, e.existing_id,
+                case when coalesce(uid, '') = '' then 'uid_missing'
+                     when coalesce(a1.name, '') = '' then 'name_missing'
                      when coalesce(parent_uid, '') = '' and coalesce(parent_code, '') = ''
-                          then 'Parent code or parent UID must be provided for add operation'
-                     when coalesce(parent_uid, '') = '' and code_parent is null then 'Parent with code not found'
-                     when coalesce(parent_uid, '') <> '' and parent_known is null then 'Parent with uid not found'
-                     when e.existing_id is not null then 'Site already exists under this parent' end as reason
+                          then 'parent_missing'
+                     when coalesce(parent_uid, '') = '' and code_parent is null then 'parent_code_unknown'
+                     when coalesce(parent_uid, '') <> '' and parent_known is null then 'parent_uid_unknown'
+                     when e.existing_id is not null then 'site_exists' end as reason
          from a1 left join existing e on a1.name_q = e.name and a1.resolved_parent = e.parent_id)
+, a2 AS (select * exclude (reason), case when reason is null and row_number() over (partition by uid, reason is null order by row_no) > 1
+                                         then 'uid_repeated' else reason end as reason from a0)
 , adds AS (select row_no, uid as id, name,
                   case when coalesce(shortname, '') = '' then substring(name, 1, 50) else shortname end as shortName,
                   coalesce(code, '') as code, resolved_parent as parent_id, '1970-01-01' as openingDate,
@@ -48,17 +50,17 @@ _UPDATES = f"""
          where lower(coalesce(op, '')) in ('edit', 'update', 'rename', 'relocate'))
 , taken AS (select distinct code from f_snapshot where code is not null)
 , e1 AS (select e0.*,
-                case when s.id is null then 'Site not found'
-                     when kind = 'edit' and coalesce(parent_uid, '') <> '' and p.id is null then 'Parent with uid not found'
-                     when kind = 'relocate' and p.id is null then 'Parent with uid not found'
-                     when kind = 'edit' and coalesce(e0.code, '') <> '' and t.code is not null then 'Site code already in use'
+                case when s.id is null then 'site_unknown'
+                     when kind = 'edit' and coalesce(parent_uid, '') <> '' and p.id is null then 'parent_uid_unknown'
+                     when kind = 'relocate' and p.id is null then 'parent_uid_unknown'
+                     when kind = 'edit' and coalesce(e0.code, '') <> '' and t.code is not null then 'code_taken'
                 end as pre
          from e0 left join known s on e0.uid = s.id left join known p on e0.parent_uid = p.id
          left join taken t on e0.code = t.code)
 , claims AS (select code, min(row_no) as claim_row from e1
              where pre is null and kind = 'edit' and coalesce(code, '') <> '' group by code)
 , e2 AS (select e1.*, case when pre is null and kind = 'edit' and coalesce(e1.code, '') <> '' and e1.row_no <> c.claim_row
-                           then 'Site code already in use' else pre end as reason
+                           then 'code_taken' else pre end as reason
          from e1 left join claims c on e1.code = c.code)
 , ch AS (select uid,
                 arg_max(new_name, row_no) filter (where kind = 'edit' and coalesce(new_name, '') <> '') as new_name,
@@ -75,7 +77,7 @@ _UPDATES = f"""
                 case when new_coordinates is not null then 'POINT' else s.featureType end as featureType,
                 coalesce(new_coordinates, s.coordinates, '') as coordinates,
                 case when has_relocate then coalesce(s.created, '') else s.created end as created,
-                '{TODAY}' as lastUpdated, has_edit, has_relocate
+                '{TODAY}' as lastUpdated, s.contact, s.attributeValues, has_edit, has_relocate
          from ch left join f_snapshot s on ch.uid = s.id)
 """
 
@@ -102,7 +104,7 @@ def site_adds(spark, sf):
 
 
 @query("site_edits", _sql("""
-select id, name, shortName, code, parent_id, openingDate, featureType, coordinates, created, lastUpdated from st where has_edit
+select id, name, shortName, code, parent_id, openingDate, featureType, coordinates, created, lastUpdated, contact, attributeValues from st where has_edit
 """))
 def site_edits(spark, sf):
     """SIT3: edit batch, one row per site with its final state after all accepted edits and relocations."""
@@ -111,7 +113,7 @@ def site_edits(spark, sf):
 
 
 @query("site_relocates", _sql("""
-select id, name, shortName, code, parent_id, openingDate, featureType, coordinates, created, lastUpdated from st where has_relocate
+select id, name, shortName, code, parent_id, openingDate, featureType, coordinates, created, lastUpdated, contact, attributeValues from st where has_relocate
 """))
 def site_relocates(spark, sf):
     """SIT4: relocation batch (sites with an accepted relocation), final state."""
@@ -124,22 +126,23 @@ select row_no, op, uid, reason from a2 where reason is not null
 union all
 select row_no, op, uid, reason from e2 where reason is not null
 union all
-select row_no, op, uid, 'Could not execute directive' from f_directive
+select row_no, op, uid, 'operation_unknown' from f_directive
 where lower(coalesce(op, '')) not in ('add', 'edit', 'update', 'rename', 'relocate')
 """))
 def site_rejects(spark, sf):
     """SIT2-4: every directive not carried out, with the first failed check."""
-    return S.all_rejects(*_inputs(spark, sf), TODAY)
+    d, s = _inputs(spark, sf)
+    return S.all_rejects(d, S.site_adds(d, s)[1], S.site_updates(d, s, TODAY))
 
 
 @query("site_apply", _sql("""
 select s.id, coalesce(st.name, s.name) as name, coalesce(st.shortName, s.shortName) as shortName,
        coalesce(st.code, s.code) as code, coalesce(st.parent_id, s.parent_id) as parent_id,
        coalesce(st.openingDate, s.openingDate) as openingDate, coalesce(st.featureType, s.featureType) as featureType,
-       coalesce(st.coordinates, s.coordinates) as coordinates, coalesce(st.created, s.created) as created
+       coalesce(st.coordinates, s.coordinates) as coordinates, coalesce(st.created, s.created) as created, s.contact, s.attributeValues
 from f_snapshot s left join st on s.id = st.id
 union all
-select id, name, shortName, code, parent_id, openingDate, featureType, coordinates, cast(null as varchar) as created
+select id, name, shortName, code, parent_id, openingDate, featureType, coordinates, cast(null as varchar), cast(null as varchar), cast(null as varchar[])
 from adds a where not exists (select 1 from f_snapshot s where s.id = a.id)
 """))
 def site_apply(spark, sf):
@@ -180,17 +183,33 @@ _TREE = """
 , tree AS (select organisationunitid, '/' || uid as path, 1 as level from f_orgunit where parentid is null
            union all
            select c.organisationunitid, t.path || '/' || c.uid, t.level + 1
-           from f_orgunit c join tree t on c.parentid = t.organisationunitid where t.level < 64)
+           from f_orgunit c join tree t on c.parentid = t.organisationunitid )
 """
 
 
-@query("paths", fx.with_clause(["f_orgunit"], fx.DUCKDB_TABLES, recursive=True) + _TREE + """
+@query("paths", fx.with_clause(["f_tree"], fx.DUCKDB_TABLES, recursive=True) + """
+, one AS (select organisationunitid, min(uid) as uid, arg_min(parentid, uid) as parentid from f_tree group by organisationunitid)
+, tree AS (select organisationunitid, '/' || uid as path, 1 as level from one where parentid is null
+           union all
+           select c.organisationunitid, t.path || '/' || c.uid, t.level + 1 from one c join tree t on c.parentid = t.organisationunitid)
 select o.organisationunitid, o.uid, o.parentid, t.path, cast(t.level as int) as level, t.path is not null as resolved
-from f_orgunit o left join tree t on o.organisationunitid = t.organisationunitid
+from one o left join tree t on o.organisationunitid = t.organisationunitid
 """)
 def paths(spark, sf):
-    """SIT5: hierarchy path '/root/.../uid' and level of every unit (pointer doubling)."""
-    return H.materialize_paths(fx.load(spark, sf, "f_orgunit").select("organisationunitid", "uid", "parentid"))
+    """SIT5: hierarchy path '/root/.../uid' and level of every unit (pointer doubling), over
+    units with a chain of customers as deep as there are orders a customer may have,
+    cycles, dangling parents and repeated ids."""
+    return H.materialize_paths(fx.load(spark, sf, "f_tree"))
+
+
+@query("country_sites", fx.with_clause(["f_snapshot"], fx.DUCKDB_TABLES, recursive=True) + """
+, below AS (select id from f_snapshot where parent_id = 'R0000000001'
+            union all select c.id from f_snapshot c join below b on c.parent_id = b.id)
+select * from f_snapshot where id in (select id from below)
+""")
+def country_sites(spark, sf):
+    """SRC7: the snapshot rows strictly below one unit, at any depth."""
+    return S.country_sites(fx.load(spark, sf, "f_snapshot"), "R0000000001")
 
 
 @query("descendants", fx.with_clause(["f_orgunit"], fx.DUCKDB_TABLES, recursive=True) + _TREE + """

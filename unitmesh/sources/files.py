@@ -15,19 +15,27 @@ def trim_all(c) -> F.Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
+def read_csv(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+    """CSV as Python's csv module reads it: ``"`` quotes, ``""`` for a quote inside a
+    quoted cell, line breaks inside quoted cells, no escape character. All columns text."""
+    return (spark.read.option("header", header).option("quote", '"').option("escape", '"').option("multiLine", True)
+            .option("encoding", "UTF-8").option("mode", "PERMISSIVE").csv(path))
+
+
 def read_directives(spark: SparkSession, path: str, header: bool = True, extra_columns: int = 0) -> DataFrame:
-    """SRC1: positional directive CSV (comma, ``"`` quotes, UTF-8), every cell trimmed.
+    """SRC1: positional directive CSV (see :func:`read_csv`), every cell trimmed.
 
     Blank cells read as ''. Columns 0..8 are named as in :data:`DIRECTIVE_COLUMNS`; ``extra_columns`` more
     positional columns are kept as ``col9``... . A ``row_no`` column in the file
-    gives the row order; otherwise the order is taken from the read (so a directive
-    file without ``row_no`` must be a single, unsplit file).
+    gives the row order; without it the order is that of the read, which only a single
+    file has (a quoted line break keeps it in one task), so several files raise an error.
     The reference's header sniffing always drops the first line, hence ``header=True``.
     """
     names = list(DIRECTIVE_COLUMNS) + [f"col{9 + i}" for i in range(extra_columns)]
-    raw = (spark.read.option("header", header).option("quote", '"').option("encoding", "UTF-8")
-           .option("mode", "PERMISSIVE").csv(path))
+    raw = read_csv(spark, path, header)
     has_row_no = "row_no" in raw.columns
+    if not has_row_no and len(raw.inputFiles()) > 1:
+        raise ValueError(f"{path} has several files and no row_no column: the order of the directives is unknown")
     cols = [c for c in raw.columns if c != "row_no"]
     renamed = [F.coalesce(trim_all(F.col(f"`{c}`")), F.lit("")).alias(names[i]) for i, c in enumerate(cols[:len(names)])]
     missing = [F.lit("").alias(n) for n in names[len(cols):]]
@@ -38,7 +46,7 @@ def read_directives(spark: SparkSession, path: str, header: bool = True, extra_c
 def read_table(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     """SRC2: csv (with header) or json; any other type gives an empty result."""
     if fmt == "csv":
-        return spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
+        return read_csv(spark, path)
     if fmt == "json":
         return spark.read.json(path)
     return spark.createDataFrame([], T.StructType([]))
