@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from unitmesh.operators.numbering import row_numbers
 from unitmesh.plans.materialize import materialize
-from unitmesh.plans.joins import broadcast_if, is_small, join_small, prefilter, small_side
+from unitmesh.plans.joins import broadcast_if, is_small, join_small, key_values, small_side
 
 # Fixed values of the reference: dependent tables and the column holding the site.
 DIRECT_DEPENDENTS = {
@@ -91,9 +91,10 @@ def resequence(members: DataFrame, object_col: str, ids: DataFrame,
     remaining = members.join(key, "organisationunitid", "left_anti").select(*members.columns)
     if touched_after_delete:
         return remaining
-    touched = (members.join(key, "organisationunitid", "left_semi")
-               .select(object_col).distinct().withColumn("_touched", F.lit(True)))
-    flagged = join_small(remaining, touched, object_col, "left")
+    touched = materialize(members.join(key, "organisationunitid", "left_semi")
+                          .select(object_col).distinct().withColumn("_touched", F.lit(True)), "touched-lists")
+    # Written once: kept and renumbered lists read it.
+    flagged = materialize(join_small(remaining, touched, object_col, "left"), "flagged-members")
     keep = flagged.where(F.col("_touched").isNull()).drop("_touched")
     redo = row_numbers(flagged.where(F.col("_touched")).drop("_touched"), [object_col],
                        ["sort_order", "organisationunitid"], out="_rn")
@@ -114,6 +115,8 @@ class CascadeResult:
         self._objects = object_cols
         self._out: dict[str, DataFrame] = {}
         self._ids_small: DataFrame | None = None
+        # The short key list is read once and becomes a scan filter of every table.
+        self._values = key_values(ids, "organisationunitid") if requests_small else None
         self._inst: DataFrame | None = None
         self._requests_small = requests_small
 
@@ -128,14 +131,17 @@ class CascadeResult:
         if self._inst is None:
             if "programstageinstance" not in self._in:
                 raise ValueError("programstageinstance is needed to delete its dependents")
-            psi = self._in["programstageinstance"]
-            if self._requests_small:
-                psi = prefilter(psi, "organisationunitid", self.ids)
+            psi = self._scan(self._in["programstageinstance"], "organisationunitid")
             inst = (psi.join(self._small_ids(), "organisationunitid", "left_semi")
                     .select("programstageinstanceid").distinct())
-            self._inst = small_side(inst)
+            # Written once: its bytes are known, and every dependent reads it.
+            self._inst = small_side(materialize(inst, "delete-instances"))
         return self._inst
 
+    def _scan(self, df: DataFrame, key: str) -> DataFrame:
+        """``df`` cut to the deleted sites by a filter that reaches the scan, if they are few."""
+        return df if self._values is None else df.where(F.col(key).isin(self._values))
+
     def _keys(self, name: str) -> tuple[str, DataFrame]:
         """(key column of ``name``, DataFrame of deleted keys under that name)."""
         if name in DIRECT_DEPENDENTS or name == "organisationunit":
@@ -171,21 +177,30 @@ class CascadeResult:
         return {n: self.table(n) for n in self._in}
 
     def counts(self) -> DataFrame:
-        """(table_name, deleted_rows) for every given table the delete touches."""
-        parts = []
+        """(table_name, deleted_rows) for every given table the delete touches: the tagged
+        keys of all tables, joined to the deleted keys once per kind of key and counted."""
+        tagged: dict[str, DataFrame] = {}
+        names = []
         for name, df in self._in.items():
             try:
-                key, k = self._keys(name)
+                key, _ = self._keys(name)
             except KeyError:
                 continue
-            hit = prefilter(df, key, k) if self._requests_small and key != "programstageinstanceid" else df
-            parts.append(hit.join(k, key, "left_semi").agg(F.count(F.lit(1)).alias("deleted_rows"))
-                         .select(F.lit(name).alias("table_name"), "deleted_rows"))
-        spark = self.requests.sparkSession
-        out = spark.createDataFrame([], "table_name string, deleted_rows bigint")
-        for p in parts:
-            out = out.unionByName(p)
-        return out
+            names.append((name,))
+            kind = "instance" if name in VIA_STAGE_INSTANCE else "site"
+            part = (df if kind == "instance" else self._scan(df, key)).select(
+                F.lit(name).alias("table_name"), F.col(key).cast("long").alias("k"))
+            tagged[kind] = tagged[kind].unionAll(part) if kind in tagged else part
+        hits = None
+        for kind, rows in tagged.items():
+            keys = self._small_ids() if kind == "site" else self._instances()
+            part = rows.join(keys.select(F.col(keys.columns[0]).cast("long").alias("k")), "k", "left_semi").select("table_name")
+            hits = part if hits is None else hits.unionAll(part)
+        every = self.requests.sparkSession.createDataFrame(names, "table_name string")
+        if hits is None:
+            return every.withColumn("deleted_rows", F.lit(0).cast("long"))
+        found = hits.groupBy("table_name").agg(F.count(F.lit(1)).alias("deleted_rows"))
+        return every.join(found, "table_name", "left").select("table_name", F.coalesce("deleted_rows", F.lit(0)).cast("long").alias("deleted_rows"))
 
 
 def delete_sites(tables: dict[str, DataFrame], requests: DataFrame, orgunits: DataFrame,
@@ -207,33 +222,42 @@ def delete_sites(tables: dict[str, DataFrame], requests: DataFrame, orgunits: Da
 
 
 class MergedSites:
-    """MRG2 outcome; each table is planned on first access."""
+    """MRG2 outcome; each table is planned on first access. ``requests`` are the merge
+    requests with ids and ``error``; ``merge`` is the value merge (staged, lost, ties)."""
+
+    def __init__(self, tables, dataelement, requests, run_ts, orgunits):
+        from unitmesh.operators.merge import merge_map_of, validate_merges
 
-    def __init__(self, tables, dataelement, merge_map, strategy, run_ts, orgunits):
         self._tables = tables
-        self._args = (dataelement, merge_map, strategy, run_ts)
-        sources = (merge_map.select(F.col("source_id").alias("organisationunitid")).distinct()
-                   .join(orgunits.select("organisationunitid", "uid"), "organisationunitid")
-                   .select("uid"))
+        # Checked first: nothing of a refused request is merged or removed.
+        self.requests = materialize(validate_merges(requests, orgunits), "merge-requests")
+        self._map = merge_map_of(self.requests)
+        sources = self.requests.where(F.col("error").isNull()).select(F.col("source_uid").alias("uid")).distinct()
         rest = {k: v for k, v in tables.items() if k != "datavalue"}
-        self._cascade = delete_sites(rest, sources, orgunits)
-        self._datavalue: DataFrame | None = None
+        self.cascade = delete_sites(rest, sources, orgunits)
+        self._args = (dataelement, run_ts)
+        self._merge = None
+
+    @property
+    def merge(self):
+        from unitmesh.operators.merge import merge_values
+
+        if self._merge is None:
+            dataelement, run_ts = self._args
+            self._merge = merge_values(self._tables["datavalue"], dataelement, self._map, None, run_ts)
+        return self._merge
 
     def table(self, name: str) -> DataFrame:
+        from unitmesh.operators.merge import replace_sites
+
         if name != "datavalue":
-            return self._cascade.table(name)
-        if self._datavalue is None:
-            from unitmesh.operators.merge import merge_values, replace_sites
-
-            dataelement, merge_map, strategy, run_ts = self._args
-            dv = self._tables["datavalue"]
-            res = merge_values(dv, dataelement, merge_map, strategy, run_ts)
-            self._datavalue = replace_sites(dv, res.staged, res.sites, res.sites_small)
-        return self._datavalue
-
-
-def merge_sites(tables: dict[str, DataFrame], dataelement: DataFrame, merge_map: DataFrame,
-                strategy: str, run_ts: str, orgunits: DataFrame) -> MergedSites:
-    """MRG2: merge the values of every pair, then remove each source site with its
-    other dependents (which are dropped, not moved to the destination)."""
-    return MergedSites(tables, dataelement, merge_map, strategy, run_ts, orgunits)
+            return self.cascade.table(name)
+        return replace_sites(self._tables["datavalue"], self.merge.staged, self.merge.sites, self.merge.sites_small)
+
+
+def merge_sites(tables: dict[str, DataFrame], dataelement: DataFrame, requests: DataFrame,
+                run_ts: str, orgunits: DataFrame) -> MergedSites:
+    """MRG2: validate the merge requests (source_uid, dest_uid, strategy), merge the values
+    of every valid pair, then remove each of their source sites with its other dependents
+    (which are dropped, not moved to the destination). Refused sources stay whole."""
+    return MergedSites(tables, dataelement, requests, run_ts, orgunits)

@@ -10,53 +10,78 @@ from pyspark.sql import types as T
 
 from unitmesh.session import ship_package
 
-_OPS = {"$gt": "__gt__", "$gte": "__ge__", "$lt": "__lt__", "$lte": "__le__", "$ne": "__ne__"}
+_OPS = {"$gt": "__gt__", "$gte": "__ge__", "$lt": "__lt__", "$lte": "__le__"}
 
 
-def _field(df: DataFrame, path: str, numeric: bool) -> Column:
+def _field(df: DataFrame, path: str) -> tuple[Column, bool]:
     """A top-level column, a nested struct field, or a field inside a JSON text column
-    (``props.k`` where ``props`` holds JSON text)."""
+    (``props.k`` where ``props`` holds JSON text); and whether it comes as text."""
     head, _, rest = path.partition(".")
     if not rest or head not in df.columns or not isinstance(df.schema[head].dataType, T.StringType):
         c = F.col(path)
-    else:
-        c = F.get_json_object(F.col(head), "$." + rest)
-    # numeric comparison: a value that is not a number simply does not match
-    return c.try_cast("double") if numeric else c
+        return c, isinstance(df.select(c).schema[0].dataType, T.StringType)
+    return F.get_json_object(F.col(head), "$." + rest), True
 
 
-def _literal(v):
-    return F.lit(float(v)) if isinstance(v, (int, float)) and not isinstance(v, bool) else F.lit(v)
+def _is_number(v) -> bool:
+    return isinstance(v, (int, float)) and not isinstance(v, bool)
+
+
+def _compared(df: DataFrame, path: str, v) -> tuple[Column, Column]:
+    """The field and the value in a common type. A field that is not a number (or not a
+    truth value) is NULL there and simply does not match."""
+    c, text = _field(df, path)
+    if _is_number(v):
+        return c.try_cast("double"), F.lit(float(v))
+    if isinstance(v, bool):
+        return (F.when(c.isin("true", "false"), c == "true") if text else c.try_cast("boolean")), F.lit(v)
+    return c, F.lit(v)
+
+
+def _equal(df: DataFrame, path: str, v) -> Column:
+    if v is None:
+        return _field(df, path)[0].isNull()
+    if isinstance(v, dict):
+        return filter_condition(df, {f"{path}.{k}": x for k, x in v.items()})
+    c, x = _compared(df, path, v)
+    return F.coalesce(c == x, F.lit(False))
 
 
 def filter_condition(df: DataFrame, flt: dict) -> Column:
-    """Fold a filter document into one Column: equality per key, implicit AND, dotted
-    paths into structs or JSON text, and the operators $gt $gte $lt $lte $ne $in."""
+    """Fold a filter document into one Column: equality per key (null matches a missing
+    value, a nested document matches field by field), implicit AND, dotted paths into
+    structs or JSON text, and the operators $gt $gte $lt $lte $ne $in."""
     cond = F.lit(True)
     for key, spec in flt.items():
         if isinstance(spec, dict) and spec and all(k.startswith("$") for k in spec):
             for op, v in spec.items():
                 if op == "$in":
-                    num = all(isinstance(x, (int, float)) and not isinstance(x, bool) for x in v)
-                    c = _field(df, key, num).isin(*[float(x) if num else x for x in v])
+                    c = F.lit(False)
+                    for x in v:
+                        c = c | _equal(df, key, x)
+                elif op == "$ne":
+                    c = ~_equal(df, key, v)
                 elif op in _OPS:
-                    num = isinstance(v, (int, float)) and not isinstance(v, bool)
-                    c = getattr(_field(df, key, num), _OPS[op])(_literal(v))
+                    left, right = _compared(df, key, v)
+                    c = F.coalesce(getattr(left, _OPS[op])(right), F.lit(False))
                 else:
                     raise ValueError(f"unsupported operator {op}")
                 cond = cond & c
         else:
-            num = isinstance(spec, (int, float)) and not isinstance(spec, bool)
-            cond = cond & (_field(df, key, num) == _literal(spec))
+            cond = cond & _equal(df, key, spec)
     return cond
 
 
 def find(df: DataFrame, filter_json: str | None = None) -> DataFrame:
-    """FIL7: documents matching a JSON filter; none (or an invalid filter) means all.
-    The filter is a small parameter parsed on the driver; Spark evaluates it."""
-    if not filter_json or not is_valid_json_text(filter_json):
+    """FIL7: documents matching a JSON filter; without one all documents. A filter that is
+    not a JSON object raises ValueError. The filter is a small parameter parsed on the
+    driver; Spark evaluates it."""
+    if not filter_json:
         return df
-    return df.where(filter_condition(df, json.loads(filter_json)))
+    flt = json.loads(filter_json)
+    if not isinstance(flt, dict):
+        raise ValueError("a filter is a JSON object")
+    return df.where(filter_condition(df, flt))
 
 
 def is_valid_json_text(s: str | None) -> bool:
@@ -75,6 +100,10 @@ def _json_loads_ok(s: pd.Series) -> pd.Series:
     return s.map(is_valid_json_text).astype(bool)
 
 
+# How a JSON value begins, Python's NaN and Infinity included.
+_MAY_BE_JSON = r'^[ \t\n\r]*(?:[\[{"]|-?[0-9]|-?Infinity|NaN|true|false|null)'
+
+
 def is_valid_json(c: Column, exact: bool = True) -> Column:
     """FIL8: whether the text is valid JSON.
 
@@ -84,23 +113,21 @@ def is_valid_json(c: Column, exact: bool = True) -> Column:
     """
     if exact:
         ship_package()
-        return F.when(c.isNull(), F.lit(False)).otherwise(_json_loads_ok(c))
+        # Only texts that begin like a JSON value go to Python; the others are NULL there.
+        return _json_loads_ok(F.when(c.rlike(_MAY_BE_JSON), c))
     return F.try_parse_json(c).isNotNull()
 
 
 def code_search(df: DataFrame, prefix: str, columns: list[str], keep: list[str]) -> DataFrame:
-    """FIL9: flat results: one row per (record, property) whose value starts with
-    ``prefix`` (case-insensitive). Array columns match if any element does."""
-    p = prefix.lower()
-    parts = []
-    for c in columns:
-        dt = df.schema[c].dataType
-        if isinstance(dt, T.ArrayType):
-            hit = F.exists(c, lambda x: F.startswith(F.lower(x), F.lit(p)))
-            val = F.array_join(F.filter(c, lambda x: F.startswith(F.lower(x), F.lit(p))), "|")
-        else:
-            hit = F.startswith(F.lower(F.col(c)), F.lit(p))
-            val = F.col(c).cast("string")
-        parts.append(F.when(hit, F.struct(F.lit(c).alias("property"), val.alias("value"))))
-    hits = F.filter(F.array(*parts), lambda x: x.isNotNull())
-    return df.select(*keep, F.explode(hits).alias("_h")).select(*keep, "_h.property", "_h.value")
+    """FIL9: flat results: one row per value that starts with ``prefix``
+    (case-insensitive), with its record and property; each element of an array column is
+    a value of its own."""
+    p = F.lit(prefix.lower())
+
+    def hits(c: str) -> Column:
+        values = F.col(c) if isinstance(df.schema[c].dataType, T.ArrayType) else F.array(F.col(c))
+        found = F.filter(F.coalesce(values.cast("array<string>"), F.array().cast("array<string>")),
+                         lambda x: F.coalesce(F.startswith(F.lower(x), p), F.lit(False)))
+        return F.transform(found, lambda x: F.struct(F.lit(c).alias("property"), x.alias("value")))
+
+    return df.select(*keep, F.explode(F.concat(*map(hits, columns))).alias("_h")).select(*keep, "_h.property", "_h.value")

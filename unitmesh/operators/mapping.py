@@ -90,7 +90,7 @@ def to_identifiers(df: DataFrame, resource: str, host: str, keep: list[str] | No
     if "id" not in df.columns:
         return df.sparkSession.createDataFrame([], T.StructType([T.StructField("identifier", T.ArrayType(
             T.StructType([T.StructField(n, T.StringType()) for n in ("value", "property", "system", "type")])))]))
-    keys = tuple(k for k in ("id", "name", "code") if k in df.columns)
+    keys = tuple(c for c in df.columns if c in ("id", "name", "code"))
     return df.select(*(keep or []), identifier_array(resource, host, keys=keys).alias("identifier"))
 
 

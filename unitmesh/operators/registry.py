@@ -42,7 +42,7 @@ def _ident(type_: str, value: Column) -> Column:
     return F.struct(F.lit(type_).alias("type"), value.cast("string").alias("value"), F.lit(SYSTEM).alias("system"))
 
 
-def to_facility(units: DataFrame, sort: bool = True) -> DataFrame:
+def to_facility(units: DataFrame, sort: bool = False) -> DataFrame:
     """REG1: facility records from org units with ``ancestors`` array<struct<level,id,
     code,name>> and ``organisationUnitGroups`` array<struct<id,code,name,...>>.
 
@@ -50,8 +50,8 @@ def to_facility(units: DataFrame, sort: bool = True) -> DataFrame:
     empty); ancestors become ``administrativeUnits`` (level plus id/code/name
     identifiers, absent ones skipped); groups become ``authority`` entries after the
     ownership entry; empty ancestors / groups pass through as ``[]``; every other
-    column passes through unchanged. Sorted by id (a range-partitioned global sort;
-    ``sort=False`` skips it for exports where the order does not matter).
+    column passes through unchanged. ``sort=True`` orders the export by id (a
+    range-partitioned global sort).
     """
     anc = F.col("ancestors")
     grp = F.col("organisationUnitGroups")

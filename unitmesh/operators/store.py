@@ -36,8 +36,8 @@ def kv_latest(store: DataFrame, keys: DataFrame | None = None) -> DataFrame:
 
 def set_field(document: str, field: str, value_json: str):
     """Column: JSON object text with ``field`` set to the JSON value ``value_json``
-    (other fields kept; the output lists fields in sorted order). A document that is
-    not a JSON object (array, scalar, invalid text) has no fields to set and is
+    (other fields kept, of a repeated field the last; the output lists fields in sorted
+    order). A document that is not a JSON object (array, scalar, invalid text) has no fields to set and is
     returned unchanged instead of failing the job."""
     m = F.try_parse_json(F.col(document)).try_cast("map<string, variant>")
     kept = F.map_filter(m, lambda k, v: k != F.lit(field))
@@ -54,3 +54,10 @@ def kv_update(store: DataFrame, field: str, value_json: str, ts, seq: int = 0,
     return latest.select("key", set_field("document", field, value_json).alias("document"),
                          F.lit(ts).cast(store.schema["ts"].dataType).alias("ts"),
                          F.lit(seq).cast(store.schema["seq"].dataType).alias("seq"))
+
+
+def kv_unreadable(store: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """The latest versions whose document is not a JSON object, which :func:`kv_update`
+    leaves as they are."""
+    latest = kv_latest(store, keys)
+    return latest.where(F.try_parse_json("document").try_cast("map<string, variant>").isNull())

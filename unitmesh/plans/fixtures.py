@@ -191,7 +191,8 @@ from {orders}
 
 # Terminology: incoming data elements and the mappings already stored.
 _fx("f_term_incoming", (), """
-select concat('de', lpad(cast(p_partkey as string), 9, '0')) as id, p_name as dataelement, p_brand as shortname
+select concat('de', lpad(cast(p_partkey as string), 9, '0')) as id,
+       case when p_partkey % 7 = 0 then concat(p_name, ' (new)') else p_name end as dataelement, p_brand as shortname
 from {part}
 """)
 

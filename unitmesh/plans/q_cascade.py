@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from unitmesh.operators import cascade as C
 from unitmesh.plans import fixtures as fx
+from unitmesh.plans.q_merge import REQUESTED
 from unitmesh.plans.registry import RUN_TS, query
 
 FX = ("f_delete_request", "f_orgunit", "f_datavalue", "f_stage_instance", "f_stage_value", "f_member")
@@ -112,19 +115,76 @@ def resequence_chart(spark, sf):
     return _cascade(spark, sf).table("chart_organisationunits")
 
 
-@query("merge_sites", fx.with_clause(["f_merge_map", "f_orgunit", "f_stage_instance", "f_stage_value"], fx.DUCKDB_TABLES) + """
-, gone_inst AS (select i.programstageinstanceid from f_stage_instance i
-                where exists (select 1 from f_merge_map m where m.source_id = i.organisationunitid))
-select programstageinstanceid, dataelementid, value from f_stage_value v
-where not exists (select 1 from gone_inst g where g.programstageinstanceid = v.programstageinstanceid)
-""")
-def merge_sites(spark, sf):
-    """MRG2: after merging f_merge_map (SUM) the sources are removed; their stage values go too."""
+def _merged(spark, sf):
     tables = {
         "datavalue": fx.load(spark, sf, "f_datavalue"),
         "programstageinstance": fx.load(spark, sf, "f_stage_instance"),
         "trackedentitydatavalue": fx.load(spark, sf, "f_stage_value"),
+        "organisationunit": fx.load(spark, sf, "f_orgunit"),
     }
-    out = C.merge_sites(tables, fx.load(spark, sf, "f_dataelement"), fx.load(spark, sf, "f_merge_map"),
-                        "SUM", RUN_TS, fx.load(spark, sf, "f_orgunit"))
-    return out.table("trackedentitydatavalue")
+    return C.merge_sites(tables, fx.load(spark, sf, "f_dataelement"), fx.load(spark, sf, "f_merge_request"),
+                         RUN_TS, fx.load(spark, sf, "f_orgunit"))
+
+
+_MERGED = fx.with_clause(["f_merge_request", "f_orgunit", "f_datavalue", "f_dataelement", "f_stage_instance", "f_stage_value"],
+                         fx.DUCKDB_TABLES) + REQUESTED
+
+
+@query("merge_sites", _MERGED + """
+, gone_inst AS (select i.programstageinstanceid from f_stage_instance i
+                where exists (select 1 from mm m where m.source_id = i.organisationunitid))
+select programstageinstanceid, dataelementid, value from f_stage_value v
+where not exists (select 1 from gone_inst g where g.programstageinstanceid = v.programstageinstanceid)
+""")
+def merge_sites(spark, sf):
+    """MRG2: merge requests validated and carried out, the merged sources removed: their
+    stage values go too (two hops)."""
+    return _merged(spark, sf).table("trackedentitydatavalue")
+
+
+@query("merge_sites_values", _MERGED + """
+select dataelementid, periodid, sourceid, categoryoptioncomboid, value, storedby, lastupdated, comment, followup,
+       attributeoptioncomboid, created, deleted
+from f_datavalue d where not exists (select 1 from sites s where s.sourceid = d.sourceid)
+union all select * from num_agg union all select * from num_rank union all select * from other union all select * from single
+""")
+def merge_sites_values(spark, sf):
+    """MRG2: the value table after the merges; no row of a removed source is left."""
+    return _merged(spark, sf).table("datavalue")
+
+
+@query("merge_sites_units", _MERGED + """
+select * from f_orgunit o where not exists (select 1 from mm where mm.source_id = o.organisationunitid)
+""")
+def merge_sites_units(spark, sf):
+    """MRG2: the units after the merges; refused sources (such as those with children) stay."""
+    return _merged(spark, sf).table("organisationunit")
+
+
+def _all_tables(spark, sf):
+    """Every dependent table of a site: the value table, stage instances and stage values,
+    member lists, and the value table's sites under each other table's key."""
+    members = fx.load(spark, sf, "f_member")
+    tables = {n: fx.load(spark, sf, "f_stage_instance").select(F.col("organisationunitid").alias(key), "programstageinstanceid")
+              for n, key in C.DIRECT_DEPENDENTS.items()}
+    tables["datavalue"] = fx.load(spark, sf, "f_datavalue")
+    tables |= {n: fx.load(spark, sf, "f_stage_value") for n in C.VIA_STAGE_INSTANCE}
+    tables |= {n: members.withColumnRenamed("objectid", key) for n, key in C.MEMBER_LISTS.items()}
+    return tables | {"organisationunit": fx.load(spark, sf, "f_orgunit")}
+
+
+def _count_sql(name: str) -> str:
+    if name in C.VIA_STAGE_INSTANCE:
+        return (f"select '{name}' as table_name, count(*) as deleted_rows from f_stage_value v "
+                "where exists (select 1 from gone_inst g where g.programstageinstanceid = v.programstageinstanceid)")
+    table, key = ("f_datavalue", "sourceid") if name == "datavalue" else ("f_member", "organisationunitid") if name in C.MEMBER_LISTS \
+        else ("f_orgunit", "organisationunitid") if name == "organisationunit" else ("f_stage_instance", "organisationunitid")
+    return (f"select '{name}' as table_name, count(*) as deleted_rows from {table} v "
+            f"where exists (select 1 from del d where d.organisationunitid = v.{key})")
+
+
+@query("delete_counts_all", _sql(" union all ".join(
+    _count_sql(n) for n in (*C.DIRECT_DEPENDENTS, *C.VIA_STAGE_INSTANCE, *C.MEMBER_LISTS, "organisationunit"))))
+def delete_counts_all(spark, sf):
+    """DEL1 summary over all dependent tables of a site (the key list is read once)."""
+    return C.delete_sites(_all_tables(spark, sf), fx.load(spark, sf, "f_delete_request"), fx.load(spark, sf, "f_orgunit")).counts()

@@ -15,16 +15,17 @@ def _merge(spark, sf, strategy):
     return res
 
 
-# Shared oracle CTEs: touched sites, element classes, live rows with key counts.
-_BASE = f"""
-, sites AS (select source_id as sourceid, dest_id as dest from f_merge_map
-            union select dest_id, dest_id from f_merge_map)
+def _shared(strat: str) -> str:
+    """Shared oracle CTEs after ``sites``: element classes, live rows with key counts, and
+    the branches of other value types and single rows. ``strat`` joins each destination's
+    strategy where requests name one."""
+    return f"""
 , cls AS (select dataelementid,
                  max(coalesce(valuetype in ('INTEGER','NUMBER','INTEGER_ZERO_OR_POSITIVE','INTEGER_POSITIVE'), false)) as is_num,
                  max(coalesce(valuetype not in ('INTEGER','NUMBER','INTEGER_ZERO_OR_POSITIVE','INTEGER_POSITIVE'), false)) as is_oth
           from f_dataelement group by dataelementid)
-, live AS (select d.*, s.dest, coalesce(c.is_num, false) as is_num, coalesce(c.is_oth, false) as is_oth
-           from f_datavalue d join sites s on d.sourceid = s.sourceid
+, live AS (select d.*, s.dest, {'ds.strat, ' if strat else ''}coalesce(c.is_num, false) as is_num, coalesce(c.is_oth, false) as is_oth
+           from f_datavalue d join sites s on d.sourceid = s.sourceid {strat}
            left join cls c on d.dataelementid = c.dataelementid
            where d.deleted = false)
 , cnt AS (select dest, dataelementid, periodid, categoryoptioncomboid, attributeoptioncomboid, count(*) as n
@@ -43,6 +44,12 @@ _BASE = f"""
 """
 
 
+_BASE = """
+, sites AS (select source_id as sourceid, dest_id as dest from f_merge_map
+            union select dest_id, dest_id from f_merge_map)
+""" + _shared("")
+
+
 def _agg_sql(fn: str) -> str:
     val = f"{fn}(cast(value as decimal(38,10)))"
     return f"""
@@ -153,7 +160,7 @@ def merge_validate(spark, sf):
     return M.validate_merges(fx.load(spark, sf, "f_merge_request"), fx.load(spark, sf, "f_orgunit"))
 
 
-_VALIDATED = """
+REQUESTED = """
 , lookup AS (select uid, min(organisationunitid) as organisationunitid from f_orgunit group by uid)
 , validated AS (
   select r.*, s.organisationunitid as source_id, d.organisationunitid as dest_id,
@@ -170,20 +177,7 @@ _VALIDATED = """
 , mm AS (select source_id, dest_id, strategy from validated where error is null)
 , sites AS (select source_id as sourceid, dest_id as dest from mm union select dest_id, dest_id from mm)
 , ds AS (select dest_id as dest, min(strategy) as strat from mm group by dest_id)
-, cls AS (select dataelementid,
-                 max(coalesce(valuetype in ('INTEGER','NUMBER','INTEGER_ZERO_OR_POSITIVE','INTEGER_POSITIVE'), false)) as is_num,
-                 max(coalesce(valuetype not in ('INTEGER','NUMBER','INTEGER_ZERO_OR_POSITIVE','INTEGER_POSITIVE'), false)) as is_oth
-          from f_dataelement group by dataelementid)
-, live AS (select d.*, s.dest, ds.strat, coalesce(c.is_num, false) as is_num, coalesce(c.is_oth, false) as is_oth
-           from f_datavalue d join sites s on d.sourceid = s.sourceid join ds on ds.dest = s.dest
-           left join cls c on d.dataelementid = c.dataelementid
-           where d.deleted = false)
-, cnt AS (select dest, dataelementid, periodid, categoryoptioncomboid, attributeoptioncomboid, count(*) as n
-          from live group by dest, dataelementid, periodid, categoryoptioncomboid, attributeoptioncomboid)
-, krows AS (select l.*, c.n from live l join cnt c
-            on l.dest = c.dest and l.dataelementid = c.dataelementid and l.periodid = c.periodid
-            and l.categoryoptioncomboid = c.categoryoptioncomboid and l.attributeoptioncomboid = c.attributeoptioncomboid)
-, num_agg AS (select dataelementid, periodid, dest as sourceid, categoryoptioncomboid,
+""" + _shared("join ds on ds.dest = s.dest") + """, num_agg AS (select dataelementid, periodid, dest as sourceid, categoryoptioncomboid,
                      regexp_replace(regexp_replace(cast(cast(case strat
                         when 'SUM' then sum(cast(value as decimal(38,10)))
                         when 'AVG' then cast(avg(cast(value as decimal(38,10))) as decimal(38,10))
@@ -201,19 +195,11 @@ _VALIDATED = """
                                     else rank() over (partition by dest, dataelementid, periodid, categoryoptioncomboid, attributeoptioncomboid
                                                       order by lastupdated desc nulls first) end as rnk
                      from krows where n > 1 and is_num and strat in ('FIRST', 'LAST')) t where rnk = 1)
-, other AS (select dataelementid, periodid, dest as sourceid, categoryoptioncomboid, value, storedby,
-                   TIMESTAMP '{RUN_TS}' as lastupdated, comment, followup, attributeoptioncomboid, created, deleted
-            from (select *, rank() over (partition by dest, dataelementid, periodid, categoryoptioncomboid, attributeoptioncomboid
-                                         order by lastupdated desc nulls first, sourceid) as rnk
-                  from krows where n > 1 and is_oth) t where rnk = 1)
-, single AS (select dataelementid, periodid, dest as sourceid, categoryoptioncomboid, value, storedby,
-                    TIMESTAMP '{RUN_TS}' as lastupdated, comment, followup, attributeoptioncomboid, created, deleted
-             from krows where n = 1)
 """.replace("{RUN_TS}", RUN_TS)
 
 
 @query("merge_requested", fx.with_clause(["f_merge_request", "f_orgunit", "f_datavalue", "f_dataelement"], fx.DUCKDB_TABLES)
-       + _VALIDATED + """
+       + REQUESTED + """
 select * from num_agg union all select * from num_rank union all select * from other union all select * from single
 """)
 def merge_requested(spark, sf):

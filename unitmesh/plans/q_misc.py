@@ -45,6 +45,20 @@ def kv_update(spark, sf):
     return ST.kv_update(_store(spark, sf), "seen", "true", RUN_TS)
 
 
+@query("kv_put", "WITH x AS (select 1)" + _LATEST + f"""
+select key, case when key % 3 = 0 then '{{"replaced":true}}' else document end as document,
+       case when key % 3 = 0 then TIMESTAMP '{RUN_TS}' else ts end as ts, case when key % 3 = 0 then cast(1 as bigint) else seq end as seq
+from latest
+""")
+def kv_put(spark, sf):
+    """SNK5: a new document saved under every third key; the latest version of every key."""
+    store = _store(spark, sf)
+    items = (store.where(F.col("key") % 3 == 0).select("key").distinct()
+             .select("key", F.lit('{"replaced":true}').alias("document"), F.lit(RUN_TS).cast(store.schema["ts"].dataType).alias("ts"),
+                     F.lit(1).cast("long").alias("seq")))
+    return ST.kv_latest(ST.kv_put(store, items))
+
+
 FIND_FILTER = '{"event_type": "click", "props.k": {"$gte": 50}}'
 
 
@@ -56,6 +70,24 @@ def find(spark, sf):
     return L.find(fx.raw(spark, sf, "events"), FIND_FILTER)
 
 
+@query("find_null_bool", fx.oracle("""
+select * from f_datavalue
+where followup and lastupdated is null and storedby <> 'F' and (dataelementid in (3, 5) or dataelementid is null) and categoryoptioncomboid is not null
+""", ["f_datavalue"]))
+def find_null_bool(spark, sf):
+    """FIL7: truth values, missing values, $ne (also of null), and $in with null."""
+    return L.find(fx.load(spark, sf, "f_datavalue"), """{"followup": true, "lastupdated": null, "storedby": {"$ne": "F"},
+        "dataelementid": {"$in": [3, 5, null]}, "categoryoptioncomboid": {"$ne": null}}""")
+
+
+@query("find_nested", """
+select event_id, props from events where cast(json_extract_string(props, '$.k') as double) = 57
+""")
+def find_nested(spark, sf):
+    """FIL7: a nested document as filter, against JSON text."""
+    return L.find(fx.raw(spark, sf, "events"), '{"props": {"k": 57}}').select("event_id", "props")
+
+
 @query("json_valid", """
 select 'events' as source, event_id as id, json_valid(props) as valid from events
 union all select 'documents', doc_id, json_valid(text) from documents
@@ -88,6 +120,16 @@ def code_search(spark, sf):
     return L.code_search(fx.raw(spark, sf, "part"), "Brand#1", ["p_name", "p_brand", "p_type"], ["p_partkey"])
 
 
+@query("code_search_lists", """
+select p_partkey, 'names' as property, v as value
+from (select p_partkey, unnest([p_name, p_brand, lower(p_brand), p_type]) as v from part) t where starts_with(lower(v), 'brand#1')
+""")
+def code_search_lists(spark, sf):
+    """FIL9 on a list property: one row per element that starts with the prefix."""
+    part = fx.raw(spark, sf, "part").select("p_partkey", F.array("p_name", "p_brand", F.lower("p_brand"), "p_type").alias("names"))
+    return L.code_search(part, "Brand#1", ["names"], ["p_partkey"])
+
+
 @query("name_similarity", fx.oracle("""
 select pair_id, left_name, right_name, round(jaro_similarity(left_name, right_name) * 100, 6) as match_value,
        round(jaro_similarity(left_name, right_name) * 100, 6) = 100 as matched
@@ -281,3 +323,13 @@ def documents_append(spark, sf):
     append(docs.where(F.col("status") == "F"), path)
     back = SRC.read_table(spark, path, "json")
     return back.select(F.col("doc_id").cast("bigint"), "location_id", "status", F.col("amount").cast("double"))
+
+
+@query("documents_csv", fx.oracle("select cast(row_no as varchar) as row_no, name, new_name from f_directive", ["f_directive"]))
+def documents_csv(spark, sf):
+    """SRC2: a csv table (quotes, commas, line breaks and backslashes in cells) with its header's names."""
+    path = scratch_path(spark, "table-csv")
+    (fx.load(spark, sf, "f_directive").select("row_no", "name", "new_name")
+     .write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path))
+    back = SRC.read_table(spark, path, "csv")
+    return back.select("row_no", *[F.coalesce(c, F.lit("")).alias(c) for c in ("name", "new_name")])

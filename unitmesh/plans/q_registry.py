@@ -18,7 +18,7 @@ _TREE = """
 , tree AS (select organisationunitid, uid, '/' || uid as path, 1 as level, []::INTEGER[] as anc from f_orgunit where parentid is null
            union all
            select c.organisationunitid, c.uid, t.path || '/' || c.uid, t.level + 1, list_append(t.anc, t.organisationunitid)
-           from f_orgunit c join tree t on c.parentid = t.organisationunitid where t.level < 64)
+           from f_orgunit c join tree t on c.parentid = t.organisationunitid )
 , anc AS (select t.uid, a.uid as a_uid, a.code as a_code, a.name as a_name, x.lvl
           from (select uid, unnest(anc) as aid, generate_subscripts(anc, 1) as lvl from tree) x
           join tree t on t.uid = x.uid join f_orgunit a on a.organisationunitid = x.aid)
@@ -172,6 +172,63 @@ def identifiers(spark, sf):
     return x.select("row_no", F.col("pos").cast("int"), "i.value", "i.property", "i.system", "i.type")
 
 
+@query("payload_identifiers", fx.oracle(f"""
+select name as value, 'name' as property, '{HOST}/api/dataElements/' || id || '?fields=id,name&filter=name:eq:' || name as system,
+       'dhis2' as type, cast(0 as int) as pos from f_element_meta where id is not null and name is not null
+union all
+select id, 'id', '{HOST}/api/dataElements/' || id, 'dhis2', cast(case when name is null then 0 else 1 end as int) from f_element_meta where id is not null
+union all
+select code, 'code', '{HOST}/api/dataElements/' || id || '?fields=id,code&filter=code:eq:' || code, 'dhis2',
+       cast(case when name is null then 1 else 2 end as int) from f_element_meta where id is not null and code is not null
+""", ["f_element_meta"]))
+def payload_identifiers(spark, sf):
+    """FIL13 + PRJ4: identifiers of the records of a payload that has the resource, in the
+    records' own key order (name, id, code); a resource it lacks gives none."""
+    meta = fx.load(spark, sf, "f_element_meta")
+    payload = (meta.groupBy((F.col("row_no") / 100).cast("long").alias("page"))
+               .agg(F.collect_list(F.struct("name", "id", "code")).alias("dataElements")).drop("page"))
+    recs = MP.payload_identifiers(payload, "dataElements", HOST).unionByName(MP.payload_identifiers(payload, "indicators", HOST))
+    return recs.select(F.posexplode("identifier").alias("pos", "i")).select("i.*", F.col("pos").cast("int").alias("pos"))
+
+
+@query("rename_back_nested", fx.oracle("""
+select orgUnit, dataElement, period, categoryOptionCombo, attributeOptionCombo, value from f_payload
+""", ["f_payload"]))
+def rename_back_nested(spark, sf):
+    """PRJ2 on nested payloads: {dataValues: [records]} by location, renamed inside the list."""
+    wh = fx.load(spark, sf, "f_warehouse")
+    fields = ["location", "id", "period", "disaggregation", "attribution", "value"]
+    payload = wh.groupBy("location", "period").agg(F.collect_list(F.struct(*fields)).alias("dataValues")).select("dataValues")
+    return MP.from_warehouse_payload(payload).select(F.explode("dataValues").alias("v")).select("v.*")
+
+
+_FIXED = "".join(f" union all select uid, '{b}', {p}, '', '{t}', {s}, {y} from f_orgunit" for b, p, t, s, y in [
+    ("status", 0, "regulatory", "null", "null"), ("status", 1, "operating", "null", "null"), ("status", 2, "validity", "null", "null"),
+    ("status", 3, "activity", "null", "null"), ("tracking", 0, "openingDate", "null", "null"), ("tracking", 1, "closingDate", "null", "null"),
+    ("tracking", 2, "maintenanceDate", "null", "null"), ("tracking", 3, "nextMaintenanceDate", "null", "null"),
+    ("population", 0, "catchment", "'nbs'", "'2004'"),
+    *[(f"location.{w}", p, t, "'nbs'", "null") for w in ("current", "historic")
+      for p, t in enumerate(("latitude", "longitude", "address", "telecom"))]])
+
+
+@query("facility_blocks", fx.oracle(f"""
+select uid as id, 'identifier' as block, 0 as pos, '' as value, 'code' as type, 'DHIS2' as system, null as period from f_orgunit
+union all select uid, 'identifier', 1, name, 'name', 'DHIS2', null from f_orgunit
+union all select uid, 'identifier', 2, uid, 'id', 'DHIS2', null from f_orgunit{_FIXED}
+""", ["f_orgunit"]))
+def facility_blocks(spark, sf):
+    """PRJ5: the fixed blocks of every facility by value, one row per entry."""
+    f = _facility(spark, sf)
+    out = None
+    for block in ("identifier", "status", "tracking", "population", "location.current", "location.historic"):
+        x = f.select("id", F.posexplode(block).alias("pos", "x"))
+        names = x.schema["x"].dataType.names
+        part = x.select("id", F.lit(block).alias("block"), F.col("pos").cast("int"), *[
+            (F.col(f"x.{n}") if n in names else F.lit(None).cast("string")).alias(n) for n in ("value", "type", "system", "period")])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("enrich_path", _rec(["f_orgunit", "f_location_doc"]) + """
 select d.doc_id, d.location_id, d.status as location_status, t.path as location_path
 from f_location_doc d left join tree t on t.uid = d.location_id
@@ -235,10 +292,12 @@ def terms_upsert(spark, sf):
 select p_name as name, p_brand as shortname, 1 as type, 1 as system, 1 as "group" from part
 """)
 def terms_from_response(spark, sf):
-    """SRC4 + PRJ10: {headers, rows} responses (pages of 100 parts) parsed and mapped to terms."""
+    """SRC4 + PRJ10: {headers, rows} responses (pages of 100 parts; every other page has its
+    headers the other way round) parsed and mapped to terms."""
     part = fx.raw(spark, sf, "part")
-    pages = (part.groupBy((F.col("p_partkey") / 100).cast("long").alias("page"))
-             .agg(F.collect_list(F.array("p_name", "p_brand")).alias("rows"))
-             .withColumn("headers", F.array(F.struct(F.lit("dataelement").alias("name")),
-                                            F.struct(F.lit("shortname").alias("name")))))
+    odd, head = F.col("page") % 2 == 1, lambda *n: F.array(*[F.struct(F.lit(x).alias("name")) for x in n])
+    pages = (part.withColumn("page", (F.col("p_partkey") / 100).cast("long"))
+             .select("page", F.when(odd, F.array("p_brand", "p_name")).otherwise(F.array("p_name", "p_brand")).alias("row"))
+             .groupBy("page").agg(F.collect_list("row").alias("rows"))
+             .withColumn("headers", F.when(odd, head("shortname", "dataelement")).otherwise(head("dataelement", "shortname"))))
     return R.to_mappings(from_headers_rows(pages)).select("name", "shortname", "type", "system", "group")

@@ -12,13 +12,17 @@ def header_names(responses: DataFrame) -> list[str]:
 
 
 def from_headers_rows(responses: DataFrame, kind: str | None = None, names: list[str] | None = None) -> DataFrame:
-    """SRC4: one output row per entry of ``rows``, one column per header. Kind
-    ``AGGREGATE`` yields no columns, as in the reference."""
+    """SRC4: one output row per entry of ``rows``, one column per header (``names``, or the
+    first response's headers). Each response's own header order places its values; a
+    header a response lacks is NULL. Kind ``AGGREGATE`` yields no columns, as in the
+    reference."""
     if kind == "AGGREGATE":
         return responses.select(F.explode("rows").alias("_r")).select()
     cols = names if names is not None else header_names(responses)
-    exploded = responses.select(F.explode("rows").alias("_r"))
-    return exploded.select(*[F.col("_r").getItem(i).alias(n) for i, n in enumerate(cols)])
+    own = F.col("headers").getField("name").alias("_own")
+    exploded = responses.select(own, F.explode("rows").alias("_r"))
+    place = lambda n: F.nullif(F.array_position("_own", n), F.lit(0))
+    return exploded.select(*[F.get("_r", (place(n) - 1).cast("int")).alias(n) for n in cols])
 
 
 def unwrap(pages: DataFrame, list_col: str = "organisationUnits") -> DataFrame:
