@@ -69,7 +69,7 @@ def test_row_numbers_split_a_hot_group(spark):
 def test_paths_levels_and_unresolved(spark):
     ou = spark.createDataFrame(
         [(1, "R", None), (2, "A", 1), (3, "B", 2), (4, "C", 3), (5, "X", 6), (6, "Y", 5), (7, "D", 99)], ORGUNIT)
-    p = {r.uid: (r.path, r.level, r.resolved) for r in H.materialize_paths(ou, max_depth=8).collect()}
+    p = {r.uid: (r.path, r.level, r.resolved) for r in H.materialize_paths(ou).collect()}
     assert p["C"] == ("/R/A/B/C", 4, True)
     assert p["R"] == ("/R", 1, True)
     assert p["X"] == (None, None, False)   # cycle
@@ -82,3 +82,21 @@ def test_row_numbers_keep_null_groups(spark):
     df = spark.createDataFrame([(None, 3), (None, 1), (1, 2)], "g int, o int")
     out = rows(row_numbers(df, ["g"], ["o"], out="rn", partitions=2), "g", "o", "rn")
     assert out == [(1, 2, 1), (None, 1, 1), (None, 3, 2)]
+
+
+def test_paths_of_a_deep_chain_with_cycles_and_repeated_ids(spark):
+    n = 200
+    units = [(i, f"U{i}", i - 1 if i else None) for i in range(n)] + [(5, "V5", 0)]  # id 5 again: the smallest uid stands
+    units += [(1000 + i, f"C{i}", 1000 + (i + 1) % 9) for i in range(9)] + [(2000, "L", 1003), (None, "N", 0)]
+    p = {r.organisationunitid: (r.path, r.level, r.resolved) for r in H.materialize_paths(spark.createDataFrame(units, ORGUNIT)).collect()}
+    assert len(p) == n + 10
+    assert p[n - 1] == ("".join(f"/U{i}" for i in range(n)), n, True)
+    assert all(p[i] == (None, None, False) for i in [*range(1000, 1009), 2000])
+
+
+def test_finished_units_are_not_joined_again(spark, monkeypatch):
+    sizes = []
+    real = H._follow
+    monkeypatch.setattr(H, "_follow", lambda cur, paths: sizes.append(cur.where("end is null").count()) or real(cur, paths))
+    H.materialize_paths(spark.createDataFrame([(i, f"U{i}", i - 1 if i else None) for i in range(20)], ORGUNIT))
+    assert sizes == [19, 18, 16, 12, 4]

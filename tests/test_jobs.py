@@ -23,6 +23,7 @@ def test_jobs_end_to_end(spark):
                      "--out", os.path.join(d, "merge"), "--run-ts", "2024-06-30 12:00:00"], spark)
     assert spark.read.parquet(out["datavalue"]).count() > 0
     assert spark.read.parquet(out["rejected_requests"]).count() > 0
+    assert spark.read.parquet(out["organisationunit"]).count() < spark.read.parquet(paths["f_orgunit"]).count()
     out = jobs.main(["delete", "--orgunit", paths["f_orgunit"], "--requests", paths["f_delete_request"],
                      "--table", f"datavalue={paths['f_datavalue']}",
                      "--table", f"programstageinstance={paths['f_stage_instance']}",
@@ -39,7 +40,25 @@ def test_jobs_end_to_end(spark):
     assert "batch_add" in out and spark.read.parquet(out["rejects"]).count() > 0
     scoped = jobs.main(["sites", "--directives", csv, "--snapshot", paths["f_snapshot"], "--country", "R0000000001",
                         "--out", os.path.join(d, "sites_country"), "--today", "2024-06-30"], spark)
-    all_snap = spark.read.parquet(out["snapshot"]).count()
-    assert spark.read.parquet(scoped["snapshot"]).count() < all_snap
+    whole = {r["id"] for r in spark.read.parquet(paths["f_snapshot"]).collect()}
+    kept = {r["id"] for r in spark.read.parquet(scoped["snapshot"]).collect()}
+    assert whole <= kept  # the country limits the checks, not the snapshot
+    assert spark.read.parquet(scoped["rejects"]).count() > spark.read.parquet(out["rejects"]).count()
+    assert spark.read.parquet(scoped["paths"]).count() == len(kept)
     out = jobs.main(["paths", "--orgunit", paths["f_orgunit"], "--out", os.path.join(d, "paths")], spark)
     assert spark.read.parquet(out["paths"]).where("resolved").count() == spark.read.parquet(paths["f_orgunit"]).count()
+    nested = os.path.join(d, "units.json")
+    from unitmesh.plans.q_registry import nested_units
+    nested_units(spark, SF).write.json(nested)
+    out = jobs.main(["registry", "--units", nested, "--out", os.path.join(d, "registry")], spark)
+    ids = [r["id"] for r in spark.read.json(out["facility"]).select("id").collect()]
+    assert ids == sorted(ids) and len(ids) == spark.read.json(nested).count()  # PRJ9: ordered by id
+    terms = os.path.join(d, "elements")
+    fx.load(spark, SF, "f_term_incoming").write.parquet(terms)
+    out = jobs.main(["terms", "--elements", terms, "--out", os.path.join(d, "terms")], spark)
+    again = jobs.main(["terms", "--elements", terms, "--stored", out["terms"], "--out", os.path.join(d, "terms2")], spark)
+    assert spark.read.parquet(again["terms"]).count() == spark.read.parquet(terms).count()
+    values = os.path.join(d, "values")
+    fx.load(spark, SF, "f_payload").write.parquet(values)
+    out = jobs.main(["warehouse", "--values", values, "--store", os.path.join(d, "warehouse")], spark)
+    assert spark.read.parquet(out["store"]).count() == spark.read.parquet(values).count()

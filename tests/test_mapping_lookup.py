@@ -6,6 +6,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from unitmesh.functions.jaro import jaro
@@ -85,7 +86,10 @@ def test_find_filters(spark):
                                "id int, event_type string, props string")
     assert rows(L.find(df, '{"event_type": "click"}'), "id") == [(1,), (3,)]
     assert rows(L.find(df, '{"props.k": {"$gt": 10}, "event_type": {"$in": ["click"]}}'), "id") == [(3,)]
-    assert L.find(df, None).count() == 3 and L.find(df, "{bad").count() == 3
+    assert L.find(df, None).count() == 3
+    for bad in ("{bad", "[1]", '"x"'):
+        with pytest.raises(ValueError):
+            L.find(df, bad)
     odd = df.unionByName(spark.createDataFrame([(4, "click", '{"k": "high"}')], df.schema))
     assert rows(L.find(odd, '{"props.k": {"$gt": 10}}'), "id") == [(2,), (3,)]
 
@@ -181,3 +185,63 @@ def test_select_fields_and_extra_directive_columns(spark):
         f.write("relocate,S1,,P,,,,,,note\n")
     r = read_directives(spark, p, extra_columns=1).first()
     assert (r.op, r.uid, r.parent_uid, r.col9) == ("relocate", "S1", "P", "note")
+
+
+def test_find_truth_values_missing_values_and_nested_documents(spark):
+    df = spark.createDataFrame([(1, '{"k": true, "n": {"m": 1}}', None), (2, '{"k": 57}', True), (3, None, False)], "id int, props string, b boolean")
+    assert rows(L.find(df, '{"props.k": true}'), "id") == [(1,)]
+    assert rows(L.find(df, '{"props": {"n": {"m": 1}}}'), "id") == [(1,)]
+    assert rows(L.find(df, '{"b": null}'), "id") == [(1,)]
+    assert rows(L.find(df, '{"b": {"$ne": true}}'), "id") == [(1,), (3,)]
+    assert rows(L.find(df, '{"b": {"$in": [null, false]}}'), "id") == [(1,), (3,)]
+
+
+def test_responses_keep_their_own_header_order(spark):
+    from unitmesh.sources.responses import from_headers_rows
+    df = spark.createDataFrame([([("name",), ("code",)], [["a", "1"]]), ([("code",), ("name",)], [["2", "b"]]), ([("name",)], [["c"]])],
+                               "headers array<struct<name:string>>, rows array<array<string>>")
+    assert rows(from_headers_rows(df), "name", "code") == [("a", "1"), ("b", "2"), ("c", None)]
+
+
+def test_identifiers_follow_the_columns(spark):
+    df = spark.createDataFrame([("n", "i", "c")], "name string, id string, code string")
+    got = MP.to_identifiers(df, "dataElements", "h").first()["identifier"]
+    assert [x["property"] for x in got] == ["name", "id", "code"]
+
+
+def test_store_keeps_other_periods(spark, tmp_path):
+    from unitmesh.sinks.writers import store
+    path = str(tmp_path / "wh")
+    df = spark.createDataFrame([("2020", "a", 1), ("2021", "b", 2)], "period string, location string, v int")
+    store(df.where("period = '2020'"), path, ["period"], ["location"])
+    store(df.where("period = '2021'"), path, ["period"], ["location"])
+    store(df.where("period = '2021'").withColumn("v", F.lit(3)), path, ["period"], ["location"])
+    assert rows(spark.read.parquet(path), "location", "v") == [("a", 1), ("b", 3)]
+
+
+def test_update_of_documents_that_repeat_a_field(spark):
+    s = spark.createDataFrame([(1, '{"x":1,"x":2}', 1, 1), (2, "[1]", 1, 1)], "key int, document string, ts int, seq int")
+    assert rows(ST.kv_update(s, "a", "9", 2), "document") == [("[1]",), ('{"a":9,"x":2}',)]
+    assert rows(ST.kv_unreadable(s), "key") == [(2,)]
+
+
+def test_csv_cells_and_row_order(spark, tmp_path):
+    from unitmesh.sources.files import read_directives
+    one = tmp_path / "one.csv"
+    one.write_text('op,uid,name,parent,new,lat,lon,short,code\nadd,U1,"Clinic ""A"", north\nwing",P,,,,,\nadd,U2,back\\,P,,,,,C\n')
+    got = read_directives(spark, str(one)).orderBy("row_no").collect()
+    assert [(r.uid, r.name, r.code) for r in got] == [("U1", 'Clinic "A", north\nwing', ""), ("U2", "back\\", "C")]
+    (tmp_path / "two").mkdir()
+    for n in "ab":
+        (tmp_path / "two" / f"{n}.csv").write_text(one.read_text())
+    with pytest.raises(ValueError):
+        read_directives(spark, str(tmp_path / "two"))
+
+
+def test_a_cluster_needs_a_checkpoint_folder():
+    from types import SimpleNamespace
+
+    from unitmesh.session import checkpoint_dir
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(ValueError):
+        checkpoint_dir(fake)

@@ -169,3 +169,16 @@ def test_unvalidated_map_without_strategy_reports_lost(spark):
     res = M.merge_values(d, e, m, None, RUN_TS)
     assert res.staged.count() == 0
     assert rows(res.lost, "reason") == [("no strategy",), ("no strategy",)]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_text_and_zero_do_not_depend_on_the_ansi_setting(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        res, _ = run(spark, [dv(1, 10, "n/a", T1), dv(1, 10, "5", T1, coc=2), dv(1, 11, "-5", T2, coc=2)], "SUM")
+        assert rows(res.staged, "value") == [("0",), ("n/a",)]  # a text of its own moves as it is
+        with pytest.raises(Exception, match="not a number"):
+            run(spark, [dv(1, 10, "x", T1), dv(1, 11, "3", T2)], "SUM")[0].staged.collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

@@ -65,7 +65,7 @@ def test_edit_rules_and_combined_state(spark):
     assert rows(upd.relocates, "id") == [("S1",)]
     assert dict(rows(upd.rejects, "row_no", "reason")) == {
         2: S.R_CODE, 4: S.R_CODE, 6: S.R_PARENT_UID, 7: S.R_SITE}
-    allr = dict(rows(S.all_rejects(d, _snap(spark), "2024-06-30"), "row_no", "reason"))
+    allr = dict(rows(S.all_rejects(d, S.site_adds(d, _snap(spark))[1], upd), "row_no", "reason"))
     assert allr[8] == S.R_UNKNOWN_OP
 
 
@@ -86,3 +86,19 @@ def test_country_scope(spark):
         [("Q", "Other country", "Q", None, None, "1970-01-01", None, None, None, 9)], SNAP_SCHEMA))
     assert rows(S.country_sites(snap, "P"), "id") == [("S1",), ("S2",)]
     assert S.country_sites(snap, "Q").count() == 0
+
+
+def test_other_fields_survive_and_repeated_uids_are_rejected(spark):
+    from pyspark.sql import functions as F
+
+    from unitmesh.sinks.writers import nest_parent
+    snap = _snap(spark).withColumn("contact", F.lit("c")).withColumn("attributeValues", F.array(F.lit("v1")))
+    d = _d(spark, (1, "edit", "S1", "", "", "New", "", "", "", ""), (2, "relocate", "S2", "", "S1", "", "", "", "", ""),
+           (3, "add", "N1", "One", "P", "", "", "", "", ""), (4, "add", "N1", "Two", "P", "", "", "", "", ""))
+    upd = S.site_updates(d, snap, "2024-06-30")
+    assert rows(nest_parent(upd.edits), "id", "contact", "attributeValues") == [("S1", "c", ["v1"])]
+    assert rows(nest_parent(upd.relocates), "id", "contact", "attributeValues") == [("S2", "c", ["v1"])]
+    adds, rejects = S.site_adds(d, snap)
+    assert rows(adds, "row_no") == [(3,)] and rows(rejects, "row_no", "reason") == [(4, S.R_REPEATED)]
+    after = S.apply_updates(snap, upd.state, adds.drop("row_no"))
+    assert after.groupBy("id").count().where("count > 1").count() == 0 and after.count() == 4
