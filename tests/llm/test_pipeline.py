@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import pytest
-from test_decontam import slow as slow_contamination
-from test_line_dedup import slow as slow_lines
-from test_simhash import slow_components, slow_fingerprint
+from llm.test_decontam import slow as slow_contamination
+from llm.test_line_dedup import slow as slow_lines
+from llm.test_simhash import slow_components, slow_fingerprint
 
 import corpus_pipeline
 from unitmesh.llm.common import written
