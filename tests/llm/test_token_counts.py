@@ -21,7 +21,7 @@ def result(df):
     return sorted((tuple(r) for r in df.select("doc_id", "n_bytes", "n_tokens", "over_limit").collect()), key=str)
 
 
-@pytest.mark.parametrize("head", [200_000, 50, 0])
+@pytest.mark.parametrize("head", [400_000, 50, 0])
 def test_whole_table_at_any_head_size(docs_of, corpus, head):
     assert result(count_tokens(docs_of(corpus), MODEL, head_rows=head)) == slow(corpus)
 

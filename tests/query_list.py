@@ -8,17 +8,17 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from unitmesh.plans.all_queries import REGISTRY  # noqa: E402
+from __spark_entry__ import oracle_sql, queries  # noqa: E402
 
 
 def main() -> None:
     lines = ["# Registered queries", "",
-             "Every entry of `queries()` in `__spark_entry__.py`; each has a DuckDB oracle in `oracle_sql()`.",
+             "Every entry of `queries()` in `__spark_entry__.py`, and whether `oracle_sql()` has its DuckDB SQL.",
              "Generated by `tests/query_list.py`.", "",
              "| query | what it runs | oracle |", "| --- | --- | --- |"]
-    for name, q in REGISTRY.items():
-        doc = " ".join(q.doc.split())
-        lines.append(f"| {name} | {doc} | {'yes' if q.oracle else '-'} |")
+    oracles = oracle_sql()
+    for name, fn in queries().items():
+        lines.append(f"| {name} | {' '.join((fn.__doc__ or '').split())} | {'yes' if name in oracles else '-'} |")
     with open(os.path.join(ROOT, "QUERIES.md"), "w") as f:
         f.write("\n".join(lines) + "\n")
 
