@@ -18,10 +18,14 @@ def test_jobs_end_to_end(spark):
               "f_snapshot", "f_stage_instance", "f_stage_value"):
         paths[n] = os.path.join(d, "in", n)
         fx.load(spark, SF, n).write.parquet(paths[n])
+    from unitmesh.session import checkpoint_dir
+    scratch = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(scratch))
     out = jobs.main(["merge", "--datavalue", paths["f_datavalue"], "--dataelement", paths["f_dataelement"],
                      "--orgunit", paths["f_orgunit"], "--requests", paths["f_merge_request"],
                      "--out", os.path.join(d, "merge"), "--run-ts", "2024-06-30 12:00:00"], spark)
     assert spark.read.parquet(out["datavalue"]).count() > 0
+    assert set(os.listdir(scratch)) <= before  # the job's scratch tables are gone
     assert spark.read.parquet(out["rejected_requests"]).count() > 0
     assert spark.read.parquet(out["organisationunit"]).count() < spark.read.parquet(paths["f_orgunit"]).count()
     out = jobs.main(["delete", "--orgunit", paths["f_orgunit"], "--requests", paths["f_delete_request"],

@@ -26,7 +26,7 @@ from unitmesh.operators import hierarchy as H
 from unitmesh.operators import mapping as MP
 from unitmesh.operators import registry as R
 from unitmesh.operators import sites as S
-from unitmesh.session import build_session
+from unitmesh.session import SCRATCH, build_session, drop_scratch
 from unitmesh.sinks.writers import store, write_batches
 from unitmesh.sources.files import read_csv, read_directives
 
@@ -169,7 +169,10 @@ JOBS = {"merge": run_merge, "delete": run_delete, "sites": run_sites, "paths": r
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict[str, str]:
     a = parser().parse_args(argv)
     spark = spark or build_session(app_name=f"unitmesh-{a.job}")
-    return JOBS[a.job](spark, a)
+    before = len(SCRATCH)
+    out = JOBS[a.job](spark, a)
+    drop_scratch(spark, before)  # every output is written
+    return out
 
 
 if __name__ == "__main__":

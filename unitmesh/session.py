@@ -102,10 +102,25 @@ def prepare(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+# Scratch folders named by this process, in order.
+SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/unitmesh-{name}-{uuid.uuid4().hex[:12]}"
+    SCRATCH.append(f"{base}/unitmesh-{name}-{uuid.uuid4().hex[:12]}")
+    return SCRATCH[-1]
+
+
+def drop_scratch(spark: SparkSession, first: int = 0) -> None:
+    """Delete the scratch folders named since ``SCRATCH`` had ``first`` entries, through
+    Spark's file systems. Only for the end of a job whose outputs are all written."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in SCRATCH[first:]:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+    del SCRATCH[first:]
 
 
 def table_path(sf_dir: str, name: str) -> str:
