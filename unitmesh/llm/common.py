@@ -72,6 +72,17 @@ def unpacked(df: DataFrame, like: DataFrame, parts: dict[str, str], results: dic
     return df.select(*cols, *(F.col(k).alias(c) for c, k in results.items()))
 
 
+def hash_sample(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """The ``n`` rows with the smallest hash of ``key`` (all, if fewer). Rows beyond twice
+    that share of the hashes are filtered out before the sort, so that the one task that
+    merges the order gets a bounded number of rows however large the table is."""
+    total = rows.count()
+    place = F.pmod(F.xxhash64(key), F.lit(1 << 53))
+    if total > n:
+        rows = rows.where(place < int((1 << 53) * min(1.0, (2 * n + 100) / total)))
+    return rows.orderBy(place, key).limit(n)
+
+
 def byte_class(chars: bytes) -> np.ndarray:
     """Ones at the given byte values: a row of a matrix whose product with a text's byte
     histogram gives the class's count."""

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from unitmesh.llm.common import byte_class, col, packed, ready, unpacked, written
+from unitmesh.llm.common import byte_class, col, hash_sample, packed, ready, unpacked, written
 
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.7
@@ -168,7 +168,7 @@ def feature_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _sample(rows: DataFrame, n: int) -> np.ndarray:
-    got = rows.orderBy(F.xxhash64("_id"), "_id").limit(n).select("_x").toArrow().column(0).to_pylist()
+    got = hash_sample(rows, "_id", n).select("_x").toArrow().column(0).to_pylist()
     return np.array(got, float).reshape(len(got), len(FEATURES))
 
 

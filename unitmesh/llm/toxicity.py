@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from unitmesh.llm.common import byte_class, col, ready, written
+from unitmesh.llm.common import byte_class, col, hash_sample, ready, written
 from unitmesh.llm.quality import held_out
 
 FOLDS, HELD_OUT = 3, 1
@@ -284,7 +284,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     ys = (labels.select(col(id_col).alias("_id"), col(label_col).cast("int").alias("_y")).where("_y in (0, 1)")
           .where(~held_out(F.col("_id"), FOLDS, HELD_OUT)).groupBy("_id").agg(F.max("_y").alias("_y")))
     known = docs.select(col(id_col).alias("_id")).groupBy("_id").agg(F.lit(1).alias("_one"))
-    chosen = written(ys.join(known, "_id").orderBy(F.xxhash64("_id"), "_id").limit(rows).select("_id", "_y"), "toxicity-ids")
+    ids = written(ys.join(known, "_id").select("_id", "_y"), "toxicity-labels")
+    chosen = written(hash_sample(ids, "_id", rows), "toxicity-ids")
     texts = docs.select(col(id_col).alias("_id"), col(text_col).alias("_text"))
     return written(texts.join(F.broadcast(chosen), "_id").groupBy("_id", "_y").agg(F.min("_text").alias("_text")), "toxicity-labelled")
 
