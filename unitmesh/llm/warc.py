@@ -18,7 +18,7 @@ from unitmesh.llm import archives
 from unitmesh.llm.common import arrow_rows, ready, written
 from unitmesh.session import scratch_path
 
-ARCHIVE_ROWS = 1  # archives per Arrow batch
+ARCHIVE_ROWS = 4  # archives per Arrow batch
 RECORD_ROWS = 32
 _BATCH_BYTES = 8_000_000
 _RECORD = "_name string, _page long, _url string, _ip string, _date string, _type string, _block binary, _digest string, _bytes long"
@@ -126,14 +126,12 @@ def convert_arc(spark: SparkSession, arc_path: str, warc_path: str, min_bytes: i
         groups = written(found.where(F.col("_bytes") >= min_bytes).groupBy("_digest")
                          .agg(F.max(key).alias("_best"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
                          .select("_digest", F.col("_best.n").alias("_keeper")), "arc-repeated")
-        revisits = (found.where(F.col("_bytes") >= min_bytes).join(groups, "_digest").where(F.col("_name") != F.col("_keeper"))
-                    .select(F.col("_name").alias("_of"), "_keeper"))
-        revisits = written(revisits, "arc-revisits")
-        # Written first, so that the archives are parsed with one archive a batch and
-        # the records joined with many.
-        records = written(_archives(spark, arc_path).mapInArrow(_parse_arc(True), _RECORD)
-                          .select("_name", "_url", "_ip", "_date", "_type", "_block"), "arc-records")
-    with arrow_rows(spark, RECORD_ROWS):
+        revisits = written(
+            found.where(F.col("_bytes") >= min_bytes).join(groups, "_digest").where(F.col("_name") != F.col("_keeper"))
+            .select(F.col("_name").alias("_of"), "_keeper"), "arc-revisits")
+        # The archives are parsed again rather than kept as a table of records.
+        records = _archives(spark, arc_path).mapInArrow(_parse_arc(True), _RECORD).select(
+            "_name", "_url", "_ip", "_date", "_type", "_block")
         joined = records.join(revisits, F.col("_name") == F.col("_of"), "left").drop("_of")
         return write_records(joined.mapInArrow(_convert, "_record binary"), warc_path, "\r\n\r\n")
 
