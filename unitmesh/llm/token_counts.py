@@ -3,7 +3,7 @@
 A piece never crosses the start of a run of spaces, so a text's count is the sum over
 its pre-tokens (a run of spaces and what follows up to the next space). The work:
 
-1. Pre-tokens are counted over the corpus (counted within each Arrow batch, then a
+1. Pre-tokens are counted over the corpus (counted within each task, then a
    partial aggregation), and every distinct pre-token is encoded once.
 2. The frequent pre-tokens, at most ``head_rows`` of them by a threshold on their
    corpus frequency, go to every task as a table of that proven size; each document's
@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from unitmesh.llm.common import col, ready, written
 
 LIMIT = 4096
-HEAD_ROWS = 200_000
+HEAD_ROWS = 400_000
 HEAD_CHARS = 64
+_HELD_TOKENS = 200_000
 _RUNS = re.compile(r" +[^ ]*")
 
 
@@ -67,12 +68,22 @@ def check_model(path: str) -> None:
 
 
 def _corpus_batches(batches):
+    """Pre-token counts of a task, passed on whenever many have come together."""
+    seen: Counter = Counter()
+
+    def flush():
+        out = pa.RecordBatch.from_arrays(
+            [pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], names=["_token", "_times"])
+        seen.clear()
+        return out
+
     for batch in batches:
-        seen: Counter = Counter()
         for text in batch.column(0).to_pylist():
             seen.update(pre_tokens(text or ""))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], names=["_token", "_times"])
+        if len(seen) > _HELD_TOKENS:
+            yield flush()
+    if seen:
+        yield flush()
 
 
 def _encode_batches(path: str):
@@ -89,20 +100,21 @@ def _document_batches(head):
     def run(batches):
         known = head.value
         for batch in batches:
-            sums, rest = [], []
+            sums, ends, tokens, counts = [], [0], [], []
             for text in batch.column(1).to_pylist():
-                total, tail = 0, []
+                total = 0
                 for token, times in Counter(pre_tokens(text or "")).items():
                     pieces = known.get(token)
                     if pieces is None:
-                        tail.append({"_token": token, "_times": times})
+                        tokens.append(token)
+                        counts.append(times)
                     else:
                         total += pieces * times
                 sums.append(total)
-                rest.append(tail)
+                ends.append(len(tokens))
+            pairs = pa.StructArray.from_arrays([pa.array(tokens, pa.string()), pa.array(counts, pa.int64())], names=["_token", "_times"])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sums, pa.int64()),
-                 pa.array(rest, pa.list_(pa.struct([("_token", pa.string()), ("_times", pa.int64())])))],
+                [batch.column(0), pa.array(sums, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)],
                 names=["_row", "_sum", "_tail"])
     return run
 
