@@ -197,13 +197,15 @@ def top_k(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding
     ready(spark, ROWS_PER_BATCH)
     vectors = written(whole_vectors(table, id_col, vector_col, scale), "topk-vectors")
     queries = written(vectors.where(F.col("_id") % every == 0).withColumn("_q", F.monotonically_increasing_id()), "topk-queries")
-    # Consecutive numbers by partition give blocks of bounded size.
-    cut = (queries.groupBy(F.shiftright("_q", 33).alias("_p"), F.floor((F.col("_q") % (1 << 33)) / query_block).alias("_b"))
-           .count().orderBy("_p", "_b").select("_p", "_b").collect())
+    # Dealt by a hash to blocks of about ``query_block`` queries, however the rows lie.
+    blocks = -(-queries.count() // query_block)
+    own = F.pmod(F.xxhash64("_q"), F.lit(blocks))
     first_id, last_id = vectors.agg(F.min("_id"), F.max("_id")).first()
     out = None
-    for p, b in cut:
-        rows = queries.where((F.shiftright("_q", 33) == p) & (F.floor((F.col("_q") % (1 << 33)) / query_block) == b)).toArrow()
+    for b in range(blocks):
+        rows = queries.where(own == b).toArrow()
+        if not rows.num_rows:
+            continue
         block = _Block(rows.column("_q").to_pylist(), rows.column("_id").to_pylist(), rows.column("_v").to_pylist())
         part = written(_select_block(vectors, block, k, first_id, last_id), "topk-part")
         out = part if out is None else out.unionAll(part)
