@@ -68,3 +68,20 @@ def test_copied_by_three_owners_owned_by_one(docs_of):
     pairs = [(i, f"k {shared}") for i in range(6)] + [(9, f"k {own}")]
     got = {r["doc_id"]: r["spans"] for r in scan_secrets(docs_of(pairs)).collect()}
     assert got[0] == "hex:2:34,copied:2:34" and got[9] == "hex:2:26,owned:2:26"
+
+
+def test_copied_by_many_repositories_of_one_owner(docs_of):
+    many, few, two = "ab12cd34ef56ab78cd90ef12ab34cd56", "ffee1122ddcc3344bbaa5566", "9f8e7d6c5b4a39281706f5e4"
+    # docs_of gives row k the source k % 3: every third row is one owner's
+    texts = {3 * k: f"k {many}" for k in range(10)} | {3 * k + 1: f"k {few}" for k in range(9)} | {2: f"k {two}", 30: f"k {two}"}
+    docs = docs_of([(i, texts.get(i, "")) for i in range(31)])
+    got = {r["doc_id"]: (r["spans"], r["n_owned"], r["n_copied"]) for r in scan_secrets(docs).collect()}
+    assert {got[3 * k] for k in range(10)} == {("hex:2:34,copied:2:34", 0, 1)}
+    assert {got[3 * k + 1] for k in range(9)} == {("hex:2:26,owned:2:26", 1, 0)}
+    assert got[2] == got[30] == ("hex:2:26", 0, 0)  # two owners, few repositories
+    # two owners, as many repositories as make a copy
+    more = {r["doc_id"]: r["spans"] for r in scan_secrets(docs, copied_repos=2).collect()}
+    assert more[2] == more[30] == "hex:2:26,copied:2:26"
+    # a value repeated inside one document is in one repository
+    same = scan_secrets(docs_of([(1, f"k {few} " * 12)])).first()
+    assert (same["n_owned"], same["n_copied"]) == (12, 0)

@@ -2,9 +2,9 @@
 
 Three base kinds (assignments, access keys, hex strings) and one wider kind (long
 mixed tokens) give candidate values. Their hashes are aggregated over the corpus by
-distinct repositories and owners: a value that many owners hold is a copied example,
-one that a single owner holds and that looks random is a live-looking credential of
-that owner. Both verdicts come back as further spans; base spans always stay.
+distinct repositories and owners: a value that many owners or many repositories hold
+is a copied example, one that a single owner holds in few repositories and that looks
+random is a live-looking credential of that owner. Both verdicts come back as further spans; base spans always stay.
 
 Texts are read once and never shuffled; only candidate rows (hash, owner, repository,
 place) move. A value that a third of the corpus holds is summed before the shuffle, and
@@ -27,7 +27,7 @@ KINDS = ("assign", "access", "hex", "owned", "copied")
 MIN_ASSIGNED, MIN_ACCESS = 6, 20
 # The wider kind: long tokens of the usual key alphabets.
 TOKEN = r"[A-Za-z0-9_+/=-]{20,}"
-COPIED_OWNERS = 3
+COPIED_OWNERS, COPIED_REPOS = 3, 10
 LIVE_CHARS, LIVE_DISTINCT = 16, 8
 # Parts of placeholder values.
 PLACEHOLDERS = r"(?i)example|sample|dummy|change_?me|placeholder|your_|xxxx|0000|1234567"
@@ -93,15 +93,17 @@ def _listed(spans: Column) -> Column:
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-                 repo_col: str = "doc_id", copied_owners: int = COPIED_OWNERS) -> DataFrame:
+                 repo_col: str = "doc_id", copied_owners: int = COPIED_OWNERS, copied_repos: int = COPIED_REPOS) -> DataFrame:
     """(id, ``n_assign``, ``n_access``, ``n_hex``, ``n_owned``, ``n_copied``, ``base``,
     ``spans``) for every row; ``base`` and ``spans`` are the base spans and all spans as
     kind:start:end by start, then kind, comma-joined (code points, end exclusive).
 
-    ``owned`` marks a candidate value that one owner alone holds and that looks live,
-    ``copied`` one that at least ``copied_owners`` owners hold; the span is the value's
-    place. A value is counted once per repository of an owner; a null owner counts as
-    one owner, a null repository as one repository.
+    ``copied`` marks a candidate value that at least ``copied_owners`` owners or at least
+    ``copied_repos`` repositories hold, ``owned`` one that looks live and that one owner
+    alone holds, in fewer repositories; the span is the value's place. A value of several
+    owners, but too few of both for a copy, is neither. A value is counted once per
+    repository of an owner; a null owner counts as one owner, a null repository as one
+    repository.
 
     A null text is empty and has no spans. Rows that repeat an id keep their own result.
     An empty table gives an empty table. Extra columns are not read.
@@ -119,7 +121,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     owners = (candidates.groupBy("_hash", "_owner", "_repo").agg(F.max("_live").alias("_live"))
               .groupBy("_hash", "_owner").agg(F.max("_live").alias("_live"), F.count(F.lit(1)).alias("_repos"))
               .groupBy("_hash").agg(F.max("_live").alias("_live"), F.count(F.lit(1)).alias("_owners"), F.sum("_repos").alias("_repos")))
-    verdict = F.when(F.col("_owners") >= copied_owners, F.lit(KINDS.index("copied"))).when(
+    copied = (F.col("_owners") >= copied_owners) | (F.col("_repos") >= copied_repos)
+    verdict = F.when(copied, F.lit(KINDS.index("copied"))).when(
         (F.col("_owners") == 1) & F.col("_live"), F.lit(KINDS.index("owned")))
     verdicts = written(owners.select("_hash", verdict.alias("_kind")).where("_kind is not null"), "secret-verdicts")
     added = (candidates.join(verdicts, "_hash").groupBy("_rid").agg(F.collect_list(F.struct(
