@@ -57,3 +57,14 @@ def test_edges(spark, docs_of):
     assert {r["score"] for r in score_toxicity(df, labels.where("toxic = 0")).collect()} == {0.0}
     assert {r["predicted"] for r in score_toxicity(df, labels.where("false")).collect()} == {0}
     assert score_toxicity(docs_of([]), labels).count() == 0
+
+
+def test_lexicon_counts_rows_beyond_the_fit_sample(spark, docs_of):
+    # 1,000 labelled rows, of which the trees see 60; two rare terms in 20 toxic rows each
+    text = lambda i: f"you {('zounds', 'blaggard')[i // 5 % 2]} there" if i % 25 == 0 else f"good day number {i}"
+    df = docs_of([(i, text(i)) for i in range(1000)])
+    labels = spark.createDataFrame([(i, 1, int(i % 25 == 0)) for i in range(1000)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit_toxicity(df, labels, max_fit_rows=60)
+    assert {"zounds", "blaggard"} <= set(model.lexicon.words)
+    whole = toxicity.fit_toxicity(df, labels)
+    assert model.lexicon.words == whole.lexicon.words and model.lexicon.beginnings == whole.lexicon.beginnings

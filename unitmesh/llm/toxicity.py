@@ -1,9 +1,9 @@
 """Toxicity classifier: gradient-boosted trees over dense features, isotonic calibration.
 
-The classifier is fitted on at most ``max_fit_rows`` labelled rows of the training folds.
-The lexicon is learnt, not listed: Spark counts in how many toxic and other of these
-documents each word and each word beginning occurs, and the terms with the strongest
-evidence are kept, at most ``max_terms``. The dense features of a text are the densities
+Trees and calibration are fitted on at most ``max_fit_rows`` labelled rows of the training
+folds. The lexicon is learnt, not listed: Spark counts in how many toxic and other of all
+labelled documents of these folds each word and each word beginning occurs, and the terms
+with the strongest evidence are kept, at most ``max_terms``. The dense features of a text are the densities
 of these terms, how near they stand to a second person, capitals, punctuation and
 obfuscation rates. The trees are fitted on the driver; every row is scored.
 """
@@ -277,26 +277,30 @@ def learn_lexicon(labelled: DataFrame, max_terms: int, min_toxic: int) -> Lexico
     return Lexicon({t: v for t, v in found.items() if not t.endswith("-")}, {t: v for t, v in found.items() if t.endswith("-")})
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int) -> DataFrame:
-    """(``_id``, ``_text``, ``_y``) of at most ``rows`` labelled ids of the training folds
-    that ``docs`` has, those with the smallest hash of their id. Ids and labels meet
-    first; the chosen ids (a bounded number) are then sent to the texts, which do not move."""
+def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    """(``_id``, ``_text``, ``_y``) of every labelled id of the training folds that
+    ``docs`` has, written. The texts of a repeated id become one before they move."""
     ys = (labels.select(col(id_col).alias("_id"), col(label_col).cast("int").alias("_y")).where("_y in (0, 1)")
           .where(~held_out(F.col("_id"), FOLDS, HELD_OUT)).groupBy("_id").agg(F.max("_y").alias("_y")))
-    known = docs.select(col(id_col).alias("_id")).groupBy("_id").agg(F.lit(1).alias("_one"))
-    ids = written(ys.join(known, "_id").select("_id", "_y"), "toxicity-labels")
-    chosen = written(hash_sample(ids, "_id", rows), "toxicity-ids")
-    texts = docs.select(col(id_col).alias("_id"), col(text_col).alias("_text"))
-    return written(texts.join(F.broadcast(chosen), "_id").groupBy("_id", "_y").agg(F.min("_text").alias("_text")), "toxicity-labelled")
+    texts = (docs.select(col(id_col).alias("_id"), col(text_col).alias("_text"))
+             .where(~held_out(F.col("_id"), FOLDS, HELD_OUT)).groupBy("_id").agg(F.min("_text").alias("_text")))
+    return written(texts.join(ys, "_id").select("_id", "_text", "_y"), "toxicity-labelled")
+
+
+def labelled_sample(labelled: DataFrame, rows: int) -> DataFrame:
+    """At most ``rows`` of the labelled rows, those with the smallest hash of their id.
+    The chosen ids (a bounded number) are sent to the texts, which do not move."""
+    chosen = written(hash_sample(labelled.select("_id"), "_id", rows), "toxicity-ids")
+    return labelled.join(F.broadcast(chosen), "_id")
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  label_col: str = "toxic", max_fit_rows: int = MAX_FIT_ROWS, max_terms: int = MAX_TERMS,
                  min_toxic: int = MIN_TOXIC_DOCUMENTS) -> ToxicityModel | None:
-    """Lexicon, trees and calibration from at most ``max_fit_rows`` labelled rows of the
-    training folds. None unless both labels occur among them."""
+    """The lexicon from all labelled rows of the training folds, trees and calibration from
+    at most ``max_fit_rows`` of them. None unless both labels occur among these."""
     ready(docs.sparkSession)
-    labelled = labelled_sample(docs, labels, id_col, text_col, label_col, max_fit_rows)
+    labelled = labelled_rows(docs, labels, id_col, text_col, label_col)
     lexicon = learn_lexicon(labelled, max_terms, min_toxic)
 
     def run(batches):
@@ -305,7 +309,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1), batch.column(2)], names=["_x", "_y", "_id"])
 
     out = T.StructType([T.StructField("_x", T.ArrayType(T.DoubleType())), T.StructField("_y", T.IntegerType()), labelled.schema["_id"]])
-    rows = labelled.select("_text", "_y", "_id").mapInArrow(run, out).orderBy(F.xxhash64("_id"), "_id").select("_x", "_y").toArrow()
+    rows = labelled_sample(labelled, max_fit_rows).select("_text", "_y", "_id").mapInArrow(run, out).orderBy(F.xxhash64("_id"), "_id").select("_x", "_y").toArrow()
     x, y = np.array(rows.column(0).to_pylist(), float), np.array(rows.column(1).to_pylist(), float)
     if not len(y) or not 0 < y.sum() < len(y):
         return None
