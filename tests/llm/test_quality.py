@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from unitmesh.llm import quality
+from unitmesh.llm.common import written
 from unitmesh.llm.quality import keep_quality, prior_from_histograms, score_quality
 
 SF = "/root/testdata/sf0.1"
@@ -61,3 +62,28 @@ def test_edges(spark, docs_of):
     assert keep_quality(df, none).count() == len(pairs)
     assert score_quality(docs_of([]), labels).count() == 0
     assert len(quality.text_features(b"")) == len(quality.FEATURES)
+
+
+def test_sample_of_mostly_null_and_repeated_ids(spark):
+    """Rows that share an id have the sample's share, not the whole sample."""
+    from pyspark.sql import functions as F
+    x = F.array_repeat(F.col("kind").cast("double"), len(quality.FEATURES))
+    for shared in ("null", "0"):
+        rows = spark.range(6000).selectExpr("id", "int(id % 2) kind").selectExpr(f"if(kind = 0, {shared}, id) _id", "kind", "id _rid").select("_id", "_rid", x.alias("_x"))
+        got = quality._sample(rows, 1000)[:, 0]
+        assert len(got) == 1000 and 400 < got.sum() < 600
+
+
+def test_scores_with_more_null_ids_than_the_sample(spark, docs_of):
+    good = lambda i: f"The committee met on day {i} and agreed to review the plan. A report follows in the spring."
+    junk = lambda i: f"$$$ BUY !!! {i} ### | | | 50% CHEAP!!! @@@ {i}"
+    # null ids are junk, the others good
+    df = docs_of([(None, junk(i)) for i in range(900)] + [(i, good(i)) for i in range(600)])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 600, 2)], "doc_id long, quality int, toxic int")
+    seen = written(quality.feature_table(df, "doc_id", "text"), "test-features")
+    sample = quality._sample(seen, 300)
+    bangs = quality.FEATURES.index("bangs")
+    assert 120 < (sample[:, bangs] > 0).sum() < 240
+    assert seen.select("_rid").distinct().count() == 1500
+    out = score_quality(df, labels, max_fit_rows=300).collect()
+    assert sum(r["predicted"] == (r["doc_id"] is not None) for r in out) > 0.98 * len(out)

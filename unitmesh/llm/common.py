@@ -73,7 +73,8 @@ def unpacked(df: DataFrame, like: DataFrame, parts: dict[str, str], results: dic
 
 
 def hash_sample(rows: DataFrame, key: str, n: int) -> DataFrame:
-    """The ``n`` rows with the smallest hash of ``key`` (all, if fewer). Rows beyond twice
+    """The ``n`` rows with the smallest hash of ``key`` (all, if fewer), which must differ
+    between rows: rows of one key have one place. Rows beyond twice
     that share of the hashes are filtered out before the sort, so that the one task that
     merges the order gets a bounded number of rows however large the table is."""
     total = rows.count()

@@ -14,7 +14,8 @@ junk scores only positives are left, and the ratio of the tails is their share).
 
 Features are computed once per document over its whole text, in Arrow batches. Only the
 fit runs on the driver, on at most ``max_fit_rows`` positives and as many unlabelled
-rows (those with the smallest hash of their id); prior and scores cover every row.
+rows (those with the smallest hash of their row number, as an id may be null or repeat);
+prior and scores cover every row.
 """
 
 from __future__ import annotations
@@ -157,18 +158,19 @@ def held_out(id_col, folds: int, fold: int):
 
 
 def feature_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(``_id``, ``_x``: features) of every row."""
+    """(``_id``, ``_x``: features, ``_rid``: a row number, to be fixed by writing) of every row."""
     def run(batches):
         for batch in batches:
             x = _matrix(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(x), pa.list_(pa.float64()))], names=["_id", "_x"])
 
     out = T.StructType([T.StructField("_id", docs.schema[id_col].dataType), T.StructField("_x", T.ArrayType(T.DoubleType()))])
-    return docs.select(col(id_col).alias("_id"), col(text_col).alias("_text")).mapInArrow(run, out)
+    made = docs.select(col(id_col).alias("_id"), col(text_col).alias("_text")).mapInArrow(run, out)
+    return made.withColumn("_rid", F.monotonically_increasing_id())
 
 
 def _sample(rows: DataFrame, n: int) -> np.ndarray:
-    got = hash_sample(rows, "_id", n).select("_x").toArrow().column(0).to_pylist()
+    got = hash_sample(rows, "_rid", n).select("_x").toArrow().column(0).to_pylist()
     return np.array(got, float).reshape(len(got), len(FEATURES))
 
 
@@ -199,9 +201,9 @@ def fit_quality(table: DataFrame, labels: DataFrame, id_col: str = "doc_id", lab
 
 def class_prior(good: DataFrame, train: DataFrame, max_fit_rows: int) -> float:
     """The share of positives among all rows of ``train``. Each half of the rows (by a
-    hash of the id) is ranked by a model fitted on the other half, so that no row's
+    hash of the row number) is ranked by a model fitted on the other half, so that no row's
     score comes from its own fit; the histograms cover every row."""
-    half = F.pmod(F.xxhash64("_id", F.lit("half")), F.lit(2))
+    half = F.pmod(F.xxhash64("_rid", F.lit("half")), F.lit(2))
     level = F.least(F.floor(F.col("_score") * _HISTOGRAM), F.lit(_HISTOGRAM - 1)).cast("int")
     totals = []
     for side in (0, 1):
