@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
+
+from pyspark.sql import functions as F
 
 from unitmesh.llm.packing import Bins, pack
 
@@ -89,3 +91,41 @@ def test_constraints_and_edges(spark, docs_of):
             assert len(sources) == len(set(sources))
             assert not {5, 6} <= {i for _, _, i in held}
     assert rows_of(pack(docs_of([]))) == []
+
+
+def test_near_copies_are_apart(spark, docs_of):
+    from llm.test_simhash import slow_components, slow_fingerprint
+
+    words = [f"word{k}" for k in range(400)]
+    near = " ".join([*words[:200], "other", *words[201:]])
+    # copies in other letters, of one other word, exact, with a repeated and a null id
+    pairs = [(1, " ".join(words)), (2, " ".join(words).upper()), (3, near), (3, " ".join(words)), (None, near), (6, ""), (7, None),
+             *((20 + i, f"quite another text {i} " * (1 + i % 9)) for i in range(60))]
+    df = docs_of(pairs, component_id="mine", _root=1).withColumn("source", F.lit(None).cast("string"))
+    group = dict(zip(range(5), slow_components([(k, slow_fingerprint(t)) for k, (_, t) in enumerate(pairs[:5])]), strict=True))
+    assert len(set(group.values())) == 1
+    got = rows_of(pack(df, near=True))
+    assert Counter(i for i, *_ in got) == Counter(i for i, _ in pairs)
+    long = [b for i, _, b, _, n in got if n == 400]
+    assert len(long) == len(set(long)) == 5
+    assert len({b for i, _, b, _, n in got if n == 0}) == 1  # texts without words conflict with nothing
+    # by equal texts alone they share a bin
+    exact = [b for _, _, b, _, n in rows_of(pack(df)) if n == 400]
+    assert len(set(exact)) < 5
+
+
+def test_query_keeps_near_duplicates_apart(spark):
+    from unitmesh.llm.queries import QUERIES
+    from unitmesh.llm.simhash import near_duplicates
+
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    part = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs).collect()}
+    got = rows_of(QUERIES["op7_packing"](spark, sf))
+    held = Counter((b, part[i]) for i, _, b, _, n in got if n)
+    assert max(held.values()) == 1 and len(set(part.values())) < len(part)
+    words = {r["doc_id"]: len(WORD.findall(r["text"] or "")) for r in docs.collect()}
+    total = Counter()
+    for i, _, _, _, n in got:
+        total[i] += n
+    assert total == words

@@ -18,9 +18,10 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from unitmesh.llm.common import col, ready, written
+from unitmesh.llm.simhash import MAX_BITS, SHINGLE, TILE_ROWS, grouped
 
 CAPACITY = 2048
 SHARD_ROWS = 4096
@@ -95,25 +96,37 @@ def _pack_batches(capacity: int, names: list[str]):
     return run
 
 
-def measured(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+def measured(docs: DataFrame, id_col: str, text_col: str, source_col: str, *more: Column) -> DataFrame:
     """(``_id``, ``_rid``, ``_words``, ``_source``, ``_cluster``): a row number, words of the whole text, and the
     hash of its words (texts equal but for white space are one duplicate cluster; texts
-    without words are in none)."""
+    without words are in none); then ``more``."""
     text = F.coalesce(col(text_col), F.lit(""))
     words = F.regexp_count(text, F.lit(_WORD)).cast("long")
     plain = F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " "))
     return docs.select(col(id_col).alias("_id"), F.monotonically_increasing_id().alias("_rid"), words.alias("_words"),
                        col(source_col).cast("string").alias("_source"),
-                       F.when(plain != "", F.md5(plain.cast("binary"))).alias("_cluster"))
+                       F.when(plain != "", F.md5(plain.cast("binary"))).alias("_cluster"), *more)
+
+
+def near_measured(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """The rows of :func:`measured` with the component of near duplicates (by SimHash) as
+    cluster. Texts equal but for white space or case are in one component. The measures
+    go along as the row's id, so texts are read once and don't move."""
+    names = ["_id", "_rid", "_words", "_source"]
+    rows = measured(docs, id_col, text_col, source_col, col(text_col).alias("_text"))
+    found = grouped(rows.select(F.struct(*names).alias("_row"), "_text"), "_row", "_text", SHINGLE, MAX_BITS, TILE_ROWS)
+    return found.select(*(F.col(f"_id.{n}").alias(n) for n in names),
+                        F.when(F.col("_id._words") > 0, F.col("_root")).alias("_cluster"))
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-         capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
+         capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS, near: bool = False) -> DataFrame:
     """(id, ``piece``, ``bin_id``, ``bin_offset``, ``n_words``): one row for each piece of
     each row of ``docs``: its number, bin, first word's place in the bin, and words.
 
     No bin holds more than ``capacity`` words, two pieces of one source, or two of one
-    duplicate cluster (so never two pieces of one document). A null source or the
+    duplicate cluster (so never two pieces of one document). A cluster is the texts equal
+    but for white space, with ``near`` the component of near duplicates. A null source or the
     cluster of a text without words conflicts with nothing. Null, empty and blank texts
     are one piece of no words. Rows that repeat are packed each. Rows of equal length
     are taken in the order of id and cluster. An empty table gives an empty table.
@@ -121,7 +134,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     """
     spark = docs.sparkSession
     ready(spark, 4096)
-    rows = written(measured(docs, id_col, text_col, source_col), "pack-rows")
+    rows = written((near_measured if near else measured)(docs, id_col, text_col, source_col), "pack-rows")
     shards = max(1, -(-rows.count() // shard_rows))
     order = [F.desc("_words"), "_id", "_cluster", "_source", "_rid"]
     dealt = rows.withColumn("_shard", F.pmod(F.xxhash64("_rid"), F.lit(shards)))

@@ -79,8 +79,8 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Best-fit packing of all documents into sequences of 2048 words."""
-    return pack(_table(spark, sf_dir, "documents"))
+    """Best-fit packing of all documents into sequences of 2048 words, near duplicates apart."""
+    return pack(_table(spark, sf_dir, "documents"), near=True)
 
 
 @_query
