@@ -79,3 +79,31 @@ def test_one_row_of_rows_equal_in_id_and_text(spark, docs_of):
 def test_run_equals_the_stages(spark, stages):
     assert corpus_pipeline.run(spark, SF).count() == stages["packing"][1].count()
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_quality_keeps_what_the_classifier_predicts(spark, stages):
+    from pyspark.sql import functions as F
+
+    from unitmesh.llm.quality import score_quality
+
+    before, after = stages["quality"]
+    good = score_quality(before, spark.read.parquet(f"{SF}/labels.parquet")).where(F.col("predicted") == 1)
+    ids = {r["doc_id"] for r in good.collect()}
+    assert sorted(pairs(after)) == sorted(p for p in pairs(before) if p[0] in ids)
+
+
+def test_packing_rows(stages):
+    from llm.test_packing import rows_of, slow_pack
+
+    from unitmesh.llm.packing import CAPACITY, SHARD_ROWS
+
+    before, after = stages["packing"]
+    docs = [(r["doc_id"], r["text"], r["source"]) for r in before.collect()]
+    assert len(docs) <= SHARD_ROWS
+    assert sorted(rows_of(after)) == slow_pack(docs, CAPACITY)
+
+
+def test_rows_of_run_are_those_of_the_stages(spark, stages):
+    run, made = corpus_pipeline.run(spark, SF), stages["packing"][1]
+    assert run.schema == made.schema
+    assert sorted(map(tuple, run.collect())) == sorted(map(tuple, made.collect()))
