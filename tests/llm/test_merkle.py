@@ -78,7 +78,7 @@ def test_deep_and_uneven_trees(spark):
 
 def test_nulls_repeats_and_lone_leaves(spark):
     rows = [(None, None, None, None, None), (None, "A", None, None, None), (None, "A", None, None, None), (3, "", "", "", 0),
-            (3, "B", "x", "", None), (5, "B" * 30000, "x", "lone", 2), (5, "B", "x", "é", 2), (7, "c", "x", "zz", 1), (7, "c", "x", "zz", 1)]
+            (3, "B", "x", "", None), (5, "B" * 30000, "x", "lone", 2), (5, "B", "x", "é", 2), (7, "c", "x", "zz", 1), (7, "c", "x", "zz", 1)] + [(i, "Up", "x", "s", 1) for i in range(20, 40)]
     assert result(spark, rows) == slow(rows)
     got = result(spark, rows)
     assert not all(r[6] for r in got) and any(r[6] for r in got)

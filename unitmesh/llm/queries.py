@@ -12,6 +12,7 @@ from unitmesh.llm import sql
 from unitmesh.llm.decontam import contamination
 from unitmesh.llm.line_dedup import dedup_lines
 from unitmesh.llm.merkle import manifest
+from unitmesh.llm.negatives import hard_negatives
 from unitmesh.llm.packing import pack
 from unitmesh.llm.quality import score_quality
 from unitmesh.llm.secrets import scan_secrets
@@ -111,3 +112,9 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     fifth text (by the id's CRC) has its capitals lower-cased."""
     text = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
     return manifest(_table(spark, sf_dir, "documents"), {"text": text}, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0)
+
+
+@_query
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector and its five best rows of the same label."""
+    return hard_negatives(_table(spark, sf_dir, "embeddings"))

@@ -172,3 +172,23 @@ from f{len(names) + len(tops)} f join sub using (s), root"""
 
 
 OP12_MERKLE = _merkle()
+
+OP13_NEGATIVES = r"""
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+scored as (
+  select q.vec_id as anchor_id, c.vec_id, q.label = c.label as same, list_inner_product(q.e, c.e)::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 100 = 0),
+pos as (
+  select anchor_id, vec_id as positive_id, score as positive_score
+  from (select *, row_number() over (partition by anchor_id order by score desc, vec_id) as n from scored where same) where n <= 5),
+neg as (
+  select p.*, s.vec_id as negative_id, s.score as negative_score,
+         (row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id))::int as rank
+  from pos p join scored s using (anchor_id)
+  where not s.same and 30 * positive_score <= 100 * s.score and 100 * s.score <= 90 * positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from neg where rank <= 10
+"""
