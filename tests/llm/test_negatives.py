@@ -81,10 +81,10 @@ def test_intervals_hold_the_score_and_skip_most_pairs():
     middle = rng.standard_normal((10, 64))
     label = rng.integers(0, 10, 4000)
     rows = np.floor(256 * (middle[label] + 0.4 * rng.standard_normal((4000, 64))) / 9).astype(np.int64)
-    words, length, aligned = N.encode(rows)
+    of_rows = N.encode(rows)
     a = N.Anchors(np.arange(50), np.arange(50), label[:50], rows[:50])
-    low, high = a.intervals(words, length, aligned)
+    low, high = a.intervals(*of_rows)
     score = rows[:50] @ rows.T
     assert (low <= score).all() and (score <= high).all()
     fifth = np.sort(score, axis=1)[:, -6]
-    assert (high >= fifth[:, None]).mean() < 0.5
+    assert (high >= fifth[:, None]).mean() < 0.2

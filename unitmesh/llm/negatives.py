@@ -1,18 +1,21 @@
 """Hard-negative mining with rotated one-bit codes.
 
 The index holds, for every row, its integer vector, the sign bits of the vector turned by a
-fixed random rotation (the code, in 64-bit words), the vector's length and its alignment:
-the cosine between the turned vector and its code. A rotated vector is its part along the
-code plus a residual orthogonal to it, so for an anchor q
+fixed random rotation (one bit a component, in 64-bit words), the vector's length and the
+alignment with its code: the unit vector that the signs, turned back, point along. A vector
+is its part along the code plus a residual orthogonal to it, so for an anchor q
 
     <row, q> = length * alignment * <code, q> + <residual, q>,
     |<residual, q>| <= length * sqrt(1 - alignment^2) * sqrt(|q|^2 - <code, q>^2)
 
-(Cauchy-Schwarz, as only q's part orthogonal to the code meets the residual). <code, q> is
-estimated by popcounts: the turned anchor is rounded to an integer of a few bits a
-component, and each bit plane takes one AND and popcount with the code; what the rounding
-left adds its own length as a further bound. All bounds are deterministic. Rows whose
-interval can't reach the anchor's result are skipped, the others are scored with integers.
+(Cauchy-Schwarz, as only q's part orthogonal to the code meets the residual). Vectors are
+rotated in a wider space, zeros added (``signs_of``): the more signs, the
+nearer a vector is to its code (alignment 0.80 with as many signs as components, 0.97 with
+eight times as many), and the narrower the interval. <code, q> is estimated by popcounts:
+the turned anchor is rounded to an integer of a few bits a component, and each bit plane
+takes an AND and a popcount with the signs; what the rounding left adds its own length as a
+further bound. All bounds are deterministic. Rows whose interval can't reach the anchor's
+result are skipped, the others are scored with integers.
 
 Two passes over the index, for as many anchors at a time as a byte bound lets one scan
 broadcast: the first finds each anchor's best rows of its own label, the second the best
@@ -23,6 +26,8 @@ reach; Spark merges the tasks' few rows.
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -34,10 +39,10 @@ POSITIVES, NEGATIVES = 5, 10
 LOW, HIGH = 30, 90  # a negative's score in hundredths of the positive's
 RENAMED_EVERY = 7
 SEED = 20240630
-PLANES = 6
+WIDEN, MOST_SIGNS, PLANES = 8, 1024, 6
 ROWS_PER_BATCH = 4096
 BLOCK_BYTES = 64 * 1024 * 1024  # of anchors broadcast for one scan
-_PAIRS = 1_000_000  # pairs of rows and anchors held at once by a task
+_PAIRS = 1 << 18  # pairs of rows and anchors held at once by a task
 
 
 def labelled_vectors(table: DataFrame, id_col: str, vector_col: str, label_col: str, scale: int = SCALE,
@@ -53,10 +58,17 @@ def labelled_vectors(table: DataFrame, id_col: str, vector_col: str, label_col:
                     F.transform(v, lambda x: F.floor(x * scale)).alias("_v")))
 
 
+def signs_of(d: int) -> int:
+    """Signs in the code of a vector of ``d`` dimensions."""
+    return max(d, min(WIDEN * d, MOST_SIGNS))
+
+
+@cache
 def rotation(d: int) -> np.ndarray:
-    """The fixed random rotation of ``d`` dimensions."""
-    q, r = np.linalg.qr(np.random.default_rng(SEED + d).standard_normal((d, d)))
-    return q * np.sign(np.diag(r))
+    """``d`` columns of the fixed random rotation of ``signs_of(d)`` dimensions: what it does
+    to vectors whose other components are zero."""
+    q, r = np.linalg.qr(np.random.default_rng(SEED + d).standard_normal((signs_of(d), signs_of(d))))
+    return (q * np.sign(np.diag(r)))[:, :d]
 
 
 def _matrices(lists: pa.Array):
@@ -78,27 +90,27 @@ def _words(bits: np.ndarray) -> np.ndarray:
 
 
 def encode(vectors: np.ndarray):
-    """(codes as words, lengths, alignments) of a matrix of vectors. A zero vector has
-    length and alignment 0."""
-    d = vectors.shape[1]
-    turned = vectors.astype(float) @ rotation(d).T
-    length = np.sqrt((turned * turned).sum(axis=1))
-    along = np.abs(turned).sum(axis=1) / np.sqrt(d)  # <turned, code>, the code a unit vector of +-1/sqrt(d)
-    return _words(turned > 0), length, np.divide(along, length, out=np.zeros_like(along), where=length > 0)
+    """(signs as words, lengths, alignments, lengths of the signs turned back) of a matrix
+    of vectors. A zero vector has length and alignment 0."""
+    frame = rotation(vectors.shape[1])
+    turned = vectors.astype(float) @ frame.T > 0
+    back = np.where(turned, 1.0, -1.0) @ frame
+    length, code = np.sqrt((vectors.astype(float) ** 2).sum(axis=1)), np.sqrt((back * back).sum(axis=1))
+    both = length * code
+    return _words(turned), length, np.divide((back * vectors).sum(axis=1), both, out=np.zeros_like(both), where=both > 0), code
 
 
 def _index(batches):
     for batch in batches:
-        lists = batch.column(2)
         n = batch.num_rows
-        codes, length, aligned = [b""] * n, np.zeros(n), np.zeros(n)
-        for d, at, vectors in _matrices(lists):
+        signs, length, aligned, code = [b""] * n, np.zeros(n), np.zeros(n), np.ones(n)
+        for d, at, vectors in _matrices(batch.column(2)):
             if d:
-                words, length[at], aligned[at] = encode(vectors)
+                words, length[at], aligned[at], code[at] = encode(vectors)
                 for i, w in zip(at, words):
-                    codes[i] = w.tobytes()
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists, pa.array(codes, pa.binary()), pa.array(length), pa.array(aligned)],
-                                         names=["_id", "_label", "_v", "_code", "_length", "_aligned"])
+                    signs[i] = w.tobytes()
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(signs, pa.binary()), pa.array(length), pa.array(aligned), pa.array(code)],
+                                         names=["_id", "_label", "_v", "_signs", "_length", "_aligned", "_code"])
 
 
 class Anchors:
@@ -106,8 +118,7 @@ class Anchors:
 
     def __init__(self, numbers, ids, labels, vectors):
         self.numbers, self.ids, self.labels, self.vectors = numbers, ids, labels, vectors
-        d = vectors.shape[1]
-        turned = vectors.astype(float) @ rotation(d).T
+        turned = vectors.astype(float) @ rotation(vectors.shape[1]).T
         self.square = (turned * turned).sum(axis=1)
         self.low = turned.min(axis=1, initial=0.0)
         top = (1 << PLANES) - 1
@@ -118,28 +129,30 @@ class Anchors:
         self.total = rounded.sum(axis=1)
         self.planes = [_words((rounded >> b) & 1 == 1) for b in range(PLANES)]
 
-    def part(self, s: slice) -> Anchors:
+    def part(self, s) -> Anchors:
         out = object.__new__(Anchors)
         for name, value in vars(self).items():
             setattr(out, name, [p[s] for p in value] if name == "planes" else value[s])
         return out
 
-    def intervals(self, words, length, aligned):
-        """Lowest and highest score (anchors x rows) that codes and alignments allow."""
-        d = self.vectors.shape[1]
-        ones = np.bitwise_count(words).sum(axis=1).astype(float)
-        inside = np.zeros((len(self.ids), len(words)))  # sum of rounded components where the code has a one
+    def intervals(self, words, length, aligned, code):
+        """Lowest and highest score (anchors x rows) that signs and alignments allow."""
+        wide = signs_of(self.vectors.shape[1])
+        ones = np.bitwise_count(words).sum(axis=1, dtype=np.int64).astype(float)
+        inside = np.zeros((len(self.ids), len(words)))  # sum of rounded components where the sign is plus
         for b, plane in enumerate(self.planes):
+            count = np.zeros(inside.shape, np.uint32)
             for w in range(words.shape[1]):
-                inside += np.bitwise_count(plane[:, w][:, None] & words[:, w][None, :]) * float(1 << b)
-        # sum over +-1: twice the sum at the ones less the sum of all
-        signed = self.step[:, None] * (2 * inside - self.total[:, None]) + self.low[:, None] * (2 * ones - d)[None, :]
-        along = signed / np.sqrt(d)
-        near = np.maximum(np.abs(along) - self.off[:, None], 0.0)
+                count += np.bitwise_count(plane[:, w][:, None] & words[:, w][None, :])
+            inside += count * float(1 << b)
+        # sum over +-1: twice the sum at the pluses less the sum of all
+        signed = self.step[:, None] * (2 * inside - self.total[:, None]) + self.low[:, None] * (2 * ones - wide)[None, :]
+        per = 1 / np.maximum(code, 1e-300)
+        along, off = signed * per[None, :], self.off[:, None] * (np.sqrt(wide) * per)[None, :]
+        near = np.maximum(np.abs(along) - off, 0.0)
         beside = np.sqrt(np.maximum(self.square[:, None] - near * near, 0.0))
         middle = along * (length * aligned)[None, :]
-        slack = (self.off[:, None] * (length * aligned)[None, :]
-                 + beside * (length * np.sqrt(np.maximum(1 - aligned * aligned, 0.0)))[None, :])
+        slack = off * np.abs(length * aligned)[None, :] + beside * (length * np.sqrt(np.maximum(1 - aligned * aligned, 0.0)))[None, :]
         slack += 1e-9 * np.sqrt(self.square)[:, None] * length[None, :] + 1e-6  # what floating point may lose
         return middle - slack, middle + slack
 
@@ -153,29 +166,33 @@ class Block:
                                         np.array([vectors[i] for i in at], np.int64).reshape(len(at), d)) for d in np.unique(size)}
         self.ids, self.n = np.array(ids, np.int64), len(ids)
 
-    def met(self, batches):
+    def met(self, batches, same_label: bool):
         """(part of the anchors, ids, labels, vectors, lowest, highest) for every batch of
-        the index and bounded part of the block."""
+        the index and bounded part of the block; rows of the anchors' own label only, or all."""
         for batch in batches:
             ids, labels = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
-            length, aligned = (batch.column(i).to_numpy(zero_copy_only=False) for i in (4, 5))
-            codes = batch.column(3)
+            length, aligned, code = (batch.column(i).to_numpy(zero_copy_only=False) for i in (4, 5, 6))
             for d, at, vectors in _matrices(batch.column(2)):
                 if d not in self.by_size:
                     continue
-                words = np.frombuffer(b"".join(codes.take(pa.array(at)).to_pylist()), np.uint64).reshape(len(at), -(-d // 64))
-                step = max(1, _PAIRS // len(at))
-                for lo in range(0, len(self.by_size[d].ids), step):
-                    a = self.by_size[d].part(slice(lo, lo + step))
-                    if d:
-                        low, high = a.intervals(words, length[at], aligned[at])
-                    else:
-                        low = high = np.zeros((len(a.ids), len(at)))
-                    yield a, ids[at], labels[at], vectors, low, high
+                every = self.by_size[d]
+                words = np.frombuffer(b"".join(batch.column(3).take(pa.array(at)).to_pylist()), np.uint64).reshape(len(at), -(-signs_of(d) // 64))
+                meet = [(every.labels == x, labels[at] == x) for x in np.intersect1d(every.labels, labels[at])] if same_label else [(slice(None), slice(None))]
+                for of, rows in meet:
+                    own, to, r = every.part(of), at[rows], (words[rows], length[at][rows], aligned[at][rows], code[at][rows])
+                    step = max(1, _PAIRS // len(to))
+                    for lo in range(0, len(own.ids), step):
+                        a = own.part(slice(lo, lo + step))
+                        low, high = a.intervals(*r) if d else (np.zeros((len(a.ids), len(to))),) * 2
+                        yield a, ids[to], labels[to], vectors[rows], low, high
 
 
 def _scores(a: Anchors, vectors: np.ndarray, i: np.ndarray, r: np.ndarray) -> np.ndarray:
-    """Integer products of anchor ``i`` and row ``r``."""
+    """Integer products of anchor ``i`` and row ``r``: one by one, or all at once where many
+    are wanted and every partial sum is an integer that a double holds."""
+    most = float(np.abs(a.vectors).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * vectors.shape[1]
+    if len(i) * 16 > len(a.ids) * len(vectors) and most < 2 ** 53:
+        return (a.vectors.astype(float) @ vectors.T.astype(float))[i, r].astype(np.int64)
     out = np.empty(len(i), np.int64)
     for lo in range(0, len(i), 65536):
         s = slice(lo, lo + 65536)
@@ -208,8 +225,8 @@ def _positives(shared, k: int):
     def run(batches):
         block = shared.value
         best = Best(block.n, k)
-        for a, ids, labels, vectors, _, high in block.met(batches):
-            ok = (a.labels[:, None] == labels[None, :]) & (a.ids[:, None] != ids[None, :]) & (high >= best.floor[a.numbers][:, None])
+        for a, ids, _, vectors, _, high in block.met(batches, True):
+            ok = (a.ids[:, None] != ids[None, :]) & (high >= best.floor[a.numbers][:, None])
             i, r = np.nonzero(ok)
             best.add(a.numbers[i], _scores(a, vectors, i, r), ids[r])
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (best.place, best.score, best.id, block.ids[best.place])],
@@ -224,7 +241,7 @@ def _negatives(shared, bands, k: int):
         block, (least, most) = shared.value, bands.value
         width = least.shape[1]
         best = Best(least.size, k)
-        for a, ids, labels, vectors, low, high in block.met(batches):
+        for a, ids, labels, vectors, low, high in block.met(batches, False):
             other = a.labels[:, None] != labels[None, :]
             reach = np.zeros(other.shape, bool)
             spans = []
@@ -283,11 +300,11 @@ def hard_negatives(table: DataFrame, id_col: str = "vec_id", vector_col: str = "
     spark = table.sparkSession
     ready(spark, ROWS_PER_BATCH)
     rows = labelled_vectors(table, id_col, vector_col, label_col, scale, renamed_every, labels)
-    index = written(rows.mapInArrow(_index, "_id long, _label long, _v array<long>, _code binary, _length double, _aligned double"), "negatives-index")
+    index = written(rows.mapInArrow(_index, "_id long, _label long, _v array<long>, _signs binary, _length double, _aligned double, _code double"), "negatives-index")
     anchors = written(index.where(F.col("_id") % every == 0).select("_id", "_label", "_v").withColumn("_q", F.monotonically_increasing_id()), "negatives-anchors")
     n, cells = anchors.agg(F.count(F.lit(1)), F.sum(F.size("_v").cast("long"))).first()
-    # A component takes 8 bytes and the bit planes about one.
-    blocks = max(1, -(-(9 * (cells or 0) + 100 * n) // block_bytes)) if n else 0
+    # A component takes 8 bytes, its bit planes six bits for each sign.
+    blocks = max(1, -(-(16 * (cells or 0) + 100 * n) // block_bytes)) if n else 0
     out = None
     for b in range(blocks):
         part = anchors.where(F.pmod(F.xxhash64("_q"), F.lit(blocks)) == b).toArrow()
