@@ -16,6 +16,7 @@ from unitmesh.llm.negatives import hard_negatives
 from unitmesh.llm.packing import pack
 from unitmesh.llm.quality import score_quality
 from unitmesh.llm.secrets import scan_secrets
+from unitmesh.llm.sharding import shard_documents
 from unitmesh.llm.simhash import near_duplicates
 from unitmesh.llm.token_counts import count_tokens
 from unitmesh.llm.topk import top_k
@@ -106,6 +107,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+@_query
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents into 16 shards of even counts, equal texts together."""
+    return shard_documents(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle manifest of all documents with proofs, checked against a copy in which every
