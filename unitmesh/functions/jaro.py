@@ -8,41 +8,81 @@ Two empty strings, or one, score 0.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql import types as T
 
 from unitmesh.session import ship_package
 
+# Cells (pairs x characters) compared at once.
+_CELLS = 1 << 20
+
+
+def _codes(texts: list[str], pad: int) -> tuple[np.ndarray, np.ndarray]:
+    """Code points plus one as a padded matrix, and the lengths."""
+    size = np.array([len(t) for t in texts])
+    flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) + 1
+    out = np.full((len(texts), int(size.max(initial=0))), pad, np.int64)
+    out[np.arange(out.shape[1])[None, :] < size[:, None]] = flat
+    return out, size
+
+
+def _in_order(codes: np.ndarray, taken: np.ndarray, n: int) -> np.ndarray:
+    """The taken characters of each row, moved to its front."""
+    return np.take_along_axis(codes, np.argsort(~taken, axis=1, kind="stable"), axis=1)[:, :n]
+
+
+def _jaro_block(left: list[str], right: list[str]) -> np.ndarray:
+    a, la = _codes(left, -1)
+    b, lb = _codes(right, 0)
+    window = np.maximum(np.maximum(la, lb) // 2 - 1, 0)
+    widest, rows = int(window.max(initial=0)), np.arange(len(a))
+    took_a, took_b = np.zeros(a.shape, bool), np.zeros(b.shape, bool)
+    for i in range(a.shape[1]):
+        lo, hi = max(0, i - widest), min(b.shape[1], i + widest + 1)
+        if lo >= hi:
+            break
+        at = np.arange(lo, hi)[None, :]
+        free = (b[:, lo:hi] == a[:, i, None]) & ~took_b[:, lo:hi] & (np.abs(at - i) <= window[:, None])
+        first = free.argmax(axis=1)
+        hit = free[rows, first]
+        took_a[hit, i] = True
+        took_b[rows[hit], lo + first[hit]] = True
+    m = took_a.sum(axis=1)
+    n = int(m.max(initial=0))
+    differ = (_in_order(a, took_a, n) != _in_order(b, took_b, n)) & (np.arange(n)[None, :] < m[:, None])
+    t = differ.sum(axis=1) // 2
+    some = np.maximum(m, 1)
+    return np.where(m > 0, (m / np.maximum(la, 1) + m / np.maximum(lb, 1) + (m - t) / some) / 3, 0.0)
+
+
+def jaro_many(left: list[str], right: list[str]) -> np.ndarray:
+    """Jaro similarities of the pairs of two equally long lists, many pairs at a time."""
+    size = np.array([max(len(a), len(b), 1) for a, b in zip(left, right)])
+    order = np.argsort(size, kind="stable")  # pairs of like length together: little padding
+    out = np.zeros(len(size))
+    lo = 0
+    while lo < len(order):
+        hi = lo + 1
+        while hi < len(order) and (hi + 1 - lo) * size[order[hi]] <= _CELLS:
+            hi += 1
+        at = order[lo:hi]
+        out[at] = _jaro_block([left[i] for i in at], [right[i] for i in at])
+        lo = hi
+    return out
+
 
 def jaro(a: str | None, b: str | None) -> float | None:
-    if a is None or b is None:
-        return None
-    la, lb = len(a), len(b)
-    if la == 0 or lb == 0:
-        return 0.0
-    if a == b:
-        return 1.0
-    window = max(max(la, lb) // 2 - 1, 0)
-    used_b = [False] * lb
-    matched_a = []
-    for i, ch in enumerate(a):
-        for j in range(max(0, i - window), min(lb, i + window + 1)):
-            if not used_b[j] and b[j] == ch:
-                used_b[j] = True
-                matched_a.append(ch)
-                break
-    m = len(matched_a)
-    if m == 0:
-        return 0.0
-    matched_b = [b[j] for j in range(lb) if used_b[j]]
-    t = sum(1 for x, y in zip(matched_a, matched_b) if x != y) // 2
-    return (m / la + m / lb + (m - t) / m) / 3
+    return None if a is None or b is None else float(jaro_many([a], [b])[0])
 
 
 @F.pandas_udf(T.DoubleType())
 def _jaro_udf(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series([jaro(a, b) for a, b in zip(left, right)], dtype="float64")
+    out = np.full(len(left), None, object)
+    both = (left.notna() & right.notna()).to_numpy()
+    out[both] = jaro_many(left[both].tolist(), right[both].tolist())
+    return pd.Series(out)
 
 
 def jaro_similarity(left: Column, right: Column) -> Column:

@@ -208,6 +208,15 @@ select a.p_partkey as pair_id, a.p_name as left_name, b.p_name as right_name
 from {part} a join {part} b on b.p_partkey = a.p_partkey + 1
 """)
 
+# Titles of all documents and of all conversation turns: their first three words, accents
+# taken off (DuckDB's similarity compares bytes).
+_fx("f_title", (), """
+select 0 as side, translate(substring(concat(split_part(text, ' ', 1), ' ', split_part(text, ' ', 2), ' ', split_part(text, ' ', 3)), 1, 40),
+         'ÄÇÈÉÊÍÑÓÖÜßäçèéêíñóöü', 'ACEEEINOOUsaceeeinoou') as title from {documents} where text is not null
+union all
+select 1, translate(substring(concat(split_part(text, ' ', 1), ' ', split_part(text, ' ', 2), ' ', split_part(text, ' ', 3)), 1, 40),
+         'ÄÇÈÉÊÍÑÓÖÜßäçèéêíñóöü', 'ACEEEINOOUsaceeeinoou') as title from {conversations} where text is not null
+""")
 
 # Group memberships of the suppliers: a balance band and, for even keys, a second group.
 _fx("f_unit_group", (), """

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from unitmesh.operators import fuzzy as FZ
 from unitmesh.operators import lookup as L
 from unitmesh.operators import mapping as MP
 from unitmesh.operators import similarity as SIM
@@ -152,6 +153,33 @@ def name_match(spark, sf):
     return SIM.match_names(fx.load(spark, sf, "f_term_incoming"), stored, "dataelement", "name", "id")
 
 
+@query("name_fuzzy", fx.oracle("""
+, pairs AS (select l.name as ln, r.name as rn, round(jaro_similarity(l.name, r.name) * 100, 6) as v
+            from (select distinct dataelement as name from f_term_incoming) l, (select distinct name from f_term_stored) r)
+, best AS (select ln, rn, v, count(*) over (partition by ln) as n_similar, row_number() over (partition by ln order by v desc, rn) as k
+           from pairs where v >= 80)
+, ids AS (select name, min(id) as matched_id from f_term_stored group by name)
+select i.id, i.dataelement, i.shortname, b.rn as matched_name, ids.matched_id, b.v as match_value,
+       coalesce(b.n_similar, 0) as n_similar, coalesce(b.v = 100, false) as matched
+from f_term_incoming i left join best b on b.ln = i.dataelement and b.k = 1 left join ids on ids.name = b.rn
+""", ["f_term_incoming", "f_term_stored"]))
+def name_fuzzy(spark, sf):
+    """JON11 / UDF1: incoming names with the most similar stored name at 80 or above."""
+    return FZ.fuzzy_matches(fx.load(spark, sf, "f_term_incoming"), fx.load(spark, sf, "f_term_stored"), "dataelement", "name", "id", 80.0)
+
+
+@query("name_fuzzy_titles", fx.oracle("""
+select * from (
+  select l.title as left_name, r.title as right_name, round(jaro_similarity(l.title, r.title) * 100, 6) as match_value
+  from (select distinct title from f_title where side = 0) l, (select distinct title from f_title where side = 1) r) p
+where match_value >= 90
+""", ["f_title"]))
+def name_fuzzy_titles(spark, sf):
+    """JON11: all pairs of a document title and a conversation title of similarity 90 or above."""
+    t = fx.load(spark, sf, "f_title")
+    return FZ.fuzzy_pairs(t.where("side = 0"), t.where("side = 1"), "title", "title", 90.0)
+
+
 def _stream(spark, sf, keyword):
     out = scratch_path(spark, "stream-out")
     # a glob that only this path matches: the stream source takes folders or globs
