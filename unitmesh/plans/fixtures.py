@@ -53,6 +53,24 @@ union all
 select cast(1000000 + c_custkey as int), concat('D', lpad(cast(c_custkey as string), 10, '0')), cast(101 as int) from {customer} where c_custkey % 20 = 0
 """)
 
+# Changes to that tree: units moved elsewhere (some below one of their own units, which makes
+# a cycle, some out of a cycle), renamed or added, and the parent that some lacked.
+_fx("f_tree_change", (), """
+select cast(1000000 + c_custkey as int) as organisationunitid,
+       concat(case when c_custkey % 97 = 11 then 'M' else 'C' end, lpad(cast(c_custkey as string), 10, '0')) as uid,
+       cast(case when c_custkey % 211 = 17 then 1000000 + c_custkey + 20 when c_custkey % 61 = 7 or c_custkey % 302 = 3 then 101 + c_nationkey
+                 when c_custkey % 150 = 0 then 101 + c_nationkey else 1000000 + c_custkey - 1 end as int) as parentid
+from {customer} where c_custkey % 211 = 17 or c_custkey % 61 = 7 or c_custkey % 302 = 3 or c_custkey % 97 = 11
+union all
+select cast(3000000 + c_custkey as int), concat('A', lpad(cast(c_custkey as string), 10, '0')), cast(1000000 + c_custkey as int) from {customer} where c_custkey % 50 = 9
+union all
+select cast(999999999 as int), concat('P', r_name), cast(1 as int) from {region} where r_regionkey = 0
+""")
+
+_fx("f_tree_removed", (), """
+select cast(1000000 + c_custkey as int) as organisationunitid from {customer} where c_custkey % 331 = 100
+""")
+
 # Every fifth part key is an element; some elements of the value table are not in it.
 _fx("f_dataelement", (), """
 select distinct cast(floor(p_partkey / 5) as int) as dataelementid,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from unitmesh.operators import hierarchy as H
 from unitmesh.operators import sites as S
 from unitmesh.plans import fixtures as fx
+from unitmesh.plans.materialize import materialize
 from unitmesh.plans.registry import TODAY, query
 
 FX = ("f_directive", "f_snapshot")
@@ -202,6 +203,57 @@ def paths(spark, sf):
     return H.materialize_paths(fx.load(spark, sf, "f_tree"))
 
 
+@query("paths_after_moves", fx.with_clause(["f_tree", "f_tree_change", "f_tree_removed"], fx.DUCKDB_TABLES, recursive=True) + """
+, one AS (select organisationunitid, min(uid) as uid, arg_min(parentid, uid) as parentid from f_tree group by organisationunitid)
+, after AS (select * from one where organisationunitid not in (select organisationunitid from f_tree_change)
+                                and organisationunitid not in (select organisationunitid from f_tree_removed)
+            union all select organisationunitid, uid, parentid from f_tree_change)
+, tree AS (select organisationunitid, '/' || uid as path, 1 as level from after where parentid is null
+           union all
+           select c.organisationunitid, t.path || '/' || c.uid, t.level + 1 from after c join tree t on c.parentid = t.organisationunitid)
+select o.organisationunitid, o.uid, o.parentid, t.path, cast(t.level as int) as level, t.path is not null as resolved
+from after o left join tree t on o.organisationunitid = t.organisationunitid
+""")
+def paths_after_moves(spark, sf):
+    """SIT5 after SIT4: stored paths brought up to date with units moved, renamed, added and
+    removed; only the subtrees touched are computed anew."""
+    stored = fx.load_built(spark, sf, "tree_paths", lambda: H.materialize_paths(fx.load(spark, sf, "f_tree")))
+    updates = materialize(H.path_updates(stored, fx.load(spark, sf, "f_tree_change"), fx.load(spark, sf, "f_tree_removed")), "path-updates")
+    return H.apply_path_updates(stored, updates)
+
+
+_WALK = fx.with_clause(["f_tree"], fx.DUCKDB_TABLES, recursive=True) + """
+, one AS (select organisationunitid, min(uid) as uid, arg_min(parentid, uid) as parentid from f_tree group by organisationunitid)
+, tree AS (select organisationunitid, lpad(cast(organisationunitid as varchar), 10, '0') as key, 1 as level from one where parentid is null
+           union all
+           select c.organisationunitid, t.key || lpad(cast(c.organisationunitid as varchar), 10, '0'), t.level + 1
+           from one c join tree t on c.parentid = t.organisationunitid)
+, below AS (select key, count(*) - 1 as n from (select substr(key, 1, 10 * unnest(generate_series(1, level))) as key from tree) group by key)
+"""
+
+
+@query("interval_labels", _WALK + """
+, walk AS (select t.*, row_number() over (order by key) as first from tree t)
+select o.organisationunitid, o.uid, o.parentid, cast(w.level as int) as level, w.first, w.first + b.n as last
+from walk w join one o using (organisationunitid) join below b using (key)
+""")
+def interval_labels(spark, sf):
+    """FIL1 / SRC7: place of every unit in a walk through the tree and of the last below it."""
+    return H.interval_labels(fx.load(spark, sf, "f_tree"))
+
+
+@query("descendants_range", _WALK + """
+select r.uid as root_uid, o.uid
+from tree t join one o using (organisationunitid),
+     (select key, one.uid from tree join one using (organisationunitid) join f_orgunit f using (organisationunitid) where f.level <= 2) r
+where t.key like r.key || '_%'
+""")
+def descendants_range(spark, sf):
+    """FIL1: the units below each region and nation, by a range filter on stored labels."""
+    stored = fx.load_built(spark, sf, "tree_labels", lambda: H.interval_labels(fx.load(spark, sf, "f_tree")))
+    return H.descendants_range(stored, fx.load(spark, sf, "f_orgunit").where("level <= 2").select("uid"))
+
+
 @query("country_sites", fx.with_clause(["f_snapshot"], fx.DUCKDB_TABLES, recursive=True) + """
 , below AS (select id from f_snapshot where parent_id = 'R0000000001'
             union all select c.id from f_snapshot c join below b on c.parent_id = b.id)
