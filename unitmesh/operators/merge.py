@@ -35,7 +35,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from unitmesh.functions.decimals import decimal_text
+from unitmesh.functions.decimals import carried, divided, limbs_text, sum_limbs, to_limbs
 from unitmesh.plans.joins import broadcast_if, is_small, join_small, key_values
 from unitmesh.plans.materialize import materialize
 from unitmesh.schemas import DATAVALUE_COLUMNS, VALUE_KEY
@@ -168,7 +168,10 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
     with different strategies; unvalidated, the alphabetically first one applies).
     ``run_ts`` stands for the reference's ``now()`` so results are reproducible.
     Non-numeric text in an aggregated overlap fails the job; ``cast_mode='try'`` leaves
-    it out instead. Text in a key of one row is moved as it is.
+    it out instead. Text in a key of one row is moved as it is. Numbers are exact to 72
+    digits before and 36 after the point, AVG is rounded half away from zero to 10 digits
+    after it; a number of more digits in an aggregated overlap fails the job in both modes.
+    None of this depends on the session's ANSI setting.
     """
     if strategy is not None and strategy not in STRATEGIES:
         raise ValueError(ERR_STRATEGY)
@@ -212,23 +215,27 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
 
     # AGG1/AGG2: key counts (n > 1 overlaps, n = 1 singletons); AGG3/AGG4/AGG5/AGG6: SUM/AVG/MAX/MIN;
     # AGG7/WIN1/WIN2/WIN3: the FIRST/LAST/latest bounds, used instead of rank() windows.
-    number = F.col("value").try_cast("decimal(38,10)")
+    # SCL9: numbers exact to 72 digits before and 36 after the point, whatever the strategy
+    keyed = keyed.withColumn("number", F.when(aggregated, to_limbs(F.col("value"))))
+    limbs, state = F.col("number.limbs"), F.col("number.state")
     aggs = [F.count(F.lit(1)).alias("n"),
             F.max(ts.isNull()).alias("has_null_ts"),
             F.max(ts).alias("max_ts"),
             F.min(ts).alias("min_ts"),
             F.max(aggregated).alias("key_aggregated"),
-            F.min(F.when(aggregated & number.isNull(), F.col("value"))).alias("bad_value"),
+            F.min(F.when(state == "text", F.col("value"))).alias("bad_value"),
+            F.min(F.when(state == "long", F.col("value"))).alias("long_value"),
             # the row itself where there is one; the smallest costs nothing more
             F.min(F.struct(*DATAVALUE_COLUMNS)).alias("row")]
     if used:
-        fns = {"SUM": F.sum, "AVG": F.avg, "MAX": F.max, "MIN": F.min}
-        pick = None
-        for name in used:
-            v = fns[name](F.when(aggregated & (strat == name), number)).cast("decimal(38,10)")
-            pick = F.when(F.max(strat) == name, v) if pick is None else pick.when(F.max(strat) == name, v)
-        aggs.append(pick.alias("agg_value"))
+        aggs += [F.max(strat).alias("strat"), F.count(limbs).alias("numbers")]
+        if {"SUM", "AVG"} & set(used):
+            mine = F.when(strat.isin("SUM", "AVG"), limbs)
+            aggs.append(F.array(*sum_limbs(mine)).alias("total"))
+        # signed limbs, highest first, compare as the numbers do
+        aggs += [fn(F.when(strat == name, limbs)).alias(name) for name, fn in (("MAX", F.max), ("MIN", F.min)) if name in used]
     per_key = materialize(keyed.groupBy(*group).agg(*aggs), "merge-keys")
+    keyed = keyed.drop("number")
 
     def out(df: DataFrame, row: str = "", **over: Column) -> DataFrame:
         cols = [over.get(c, F.col("dest").alias("sourceid") if c == "sourceid" else F.col(row + c)).alias(c)
@@ -238,7 +245,15 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
     multi = F.col("n") > 1
     parts = []
     if used:
-        text = decimal_text(F.col("agg_value"))
+        wide = lambda c: carried(F.transform(c, lambda x: x.cast("decimal(38,0)")))
+        of = {"SUM": lambda: carried(F.col("total")), "AVG": lambda: divided(carried(F.col("total")), F.col("numbers")),
+              "MAX": lambda: wide(F.col("MAX")), "MIN": lambda: wide(F.col("MIN"))}
+        text = None
+        for name in used:
+            value = F.when(F.col("numbers") > 0, limbs_text(of[name]()))
+            text = F.when(F.col("strat") == name, value) if text is None else text.when(F.col("strat") == name, value)
+        text = F.when(F.col("long_value").isNotNull(), F.raise_error(
+            F.concat(F.lit("more digits than 72 before or 36 after the point: "), F.col("long_value"))).cast("string")).otherwise(text)
         if cast_mode == "ansi":
             text = F.when(F.col("bad_value").isNotNull(), F.raise_error(
                 F.concat(F.lit("not a number: "), F.col("bad_value"))).cast("string")).otherwise(text)

@@ -94,6 +94,16 @@ select cast(floor(l_partkey / 5) as int) as dataelementid, cast(year(l_shipdate)
 from {lineitem}
 """)
 
+# Values of up to 51 digits, 20 of them after the point: every line item's, under keys that
+# pairs of sites share.
+_fx("f_long_value", ("f_datavalue",), """
+select dataelementid, periodid, sourceid, categoryoptioncomboid, cast(1 + attributeoptioncomboid % 2 as int) as attributeoptioncomboid,
+       concat(cast(1 + dataelementid as string), lpad(cast(cast(sourceid as bigint) * 7919 as string), 12, '3'), lpad(cast(cast(attributeoptioncomboid as bigint) * 104729 as string), 16, '7'), '.',
+              lpad(cast(cast(sourceid as bigint) * 6700417 as string), 20, '9')) as value,
+       storedby, lastupdated, comment, followup, created, deleted
+from f_datavalue where value <> 'n/a'
+""")
+
 # Two thirds of the sites are touched, in pairs of neighbours.
 _fx("f_merge_map", (), """
 select cast(1001 + s_suppkey as int) as source_id, cast(1000 + s_suppkey as int) as dest_id from {supplier}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from unitmesh.operators import merge as M
 from unitmesh.plans import fixtures as fx
 from unitmesh.plans.registry import RUN_TS, query
@@ -101,6 +103,47 @@ _register_strategy("FIRST", _rank_sql("lastupdated asc nulls last"))
 _register_strategy("LAST", _rank_sql("lastupdated desc nulls first"))
 
 
+def _exact_sql() -> str:
+    """SUM, AVG (10 digits) and MAX by limbs of hugeint: whole digits in 18s, 20 after the point."""
+    cut = "split_part(value, '.', 1)"
+    limb = lambda k: f"cast(substr(lpad({cut}, 36, '0'), {18 * k + 1}, 18) as hugeint)"
+    return fx.with_clause(["f_long_value", "f_dataelement", "f_merge_map"], fx.DUCKDB_TABLES) + """
+, sites AS (select source_id as sourceid, dest_id as dest from f_merge_map union select dest_id, dest_id from f_merge_map)
+, num AS (select distinct dataelementid from f_dataelement where valuetype in ('INTEGER','NUMBER','INTEGER_ZERO_OR_POSITIVE','INTEGER_POSITIVE'))
+, v AS (select s.dest, d.*, """ + f"""{limb(0)} as hi, {limb(1)} as mid, cast(split_part(value, '.', 2) as hugeint) as lo""" + """
+        from f_long_value d join sites s using (sourceid) join num using (dataelementid) where d.deleted = false)
+, t AS (select dest, dataelementid, periodid, categoryoptioncomboid, attributeoptioncomboid, count(*) as n, sum(hi) as hi, sum(mid) as mid, sum(lo) as lo,
+               max(lpad(split_part(value, '.', 1), 40, '0') || '.' || split_part(value, '.', 2)) as top
+        from v where categoryoptioncomboid is not null group by all having count(*) > 1)
+, c AS (select *, mid + lo // 100000000000000000000 as mid1, lo % 100000000000000000000 as lo1 from t)
+, w AS (select *, hi + mid1 // 1000000000000000000 as hi2, mid1 % 1000000000000000000 as mid2 from c)
+, q AS (select *, hi2 // n as qh, ((hi2 % n) * 1000000000000000000 + mid2) // n as qm, ((hi2 % n) * 1000000000000000000 + mid2) % n as rm from w)
+, a AS (select *, (rm * 100000000000 + lo1 // 1000000000) // n as q11 from q)
+, r AS (select *, (q11 + 5) // 10 as q10 from a)
+, x AS (select *, qm + q10 // 10000000000 as qm1, q10 % 10000000000 as f10 from r)
+, texts AS (
+  select dest as sourceid, dataelementid, periodid, categoryoptioncomboid, attributeoptioncomboid,
+         ltrim(cast(hi2 as varchar) || lpad(cast(mid2 as varchar), 18, '0'), '0') || '.' || lpad(cast(lo1 as varchar), 20, '0') as s,
+         ltrim(cast(qh + qm1 // 1000000000000000000 as varchar) || lpad(cast(qm1 % 1000000000000000000 as varchar), 18, '0'), '0') || '.' || lpad(cast(f10 as varchar), 10, '0') as m,
+         ltrim(top, '0') as h from x)
+select sourceid, dataelementid, periodid, categoryoptioncomboid, attributeoptioncomboid,
+       rtrim(rtrim(s, '0'), '.') as sum_value, rtrim(rtrim(m, '0'), '.') as avg_value, rtrim(rtrim(h, '0'), '.') as max_value
+from texts
+"""
+
+
+@query("merge_exact", _exact_sql())
+def merge_exact(spark, sf):
+    """AGG3-AGG5 / SCL9: SUM, AVG and MAX of values of up to 51 digits, none lost."""
+    key = ["sourceid", "dataelementid", "periodid", "categoryoptioncomboid", "attributeoptioncomboid"]
+    out = None
+    for strategy, name in (("SUM", "sum_value"), ("AVG", "avg_value"), ("MAX", "max_value")):
+        res = M.merge_values(fx.load(spark, sf, "f_long_value"), fx.load(spark, sf, "f_dataelement"), fx.load(spark, sf, "f_merge_map"), strategy, RUN_TS)
+        got = res.staged.where("storedby = 'admin'").select(*key, F.col("value").alias(name))
+        out = got if out is None else out.join(got, key)
+    return out
+
+
 @query("merge_ties", _text(_rank_sql("lastupdated desc nulls first"), """
 select sourceid as dest, dataelementid, periodid, categoryoptioncomboid, attributeoptioncomboid, count(*) as winners
 from numeric group by sourceid, dataelementid, periodid, categoryoptioncomboid, attributeoptioncomboid having count(*) > 1
