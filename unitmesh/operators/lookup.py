@@ -13,44 +13,72 @@ from unitmesh.session import ship_package
 _OPS = {"$gt": "__gt__", "$gte": "__ge__", "$lt": "__lt__", "$lte": "__le__"}
 
 
-def _field(df: DataFrame, path: str) -> tuple[Column, bool]:
-    """A top-level column, a nested struct field, or a field inside a JSON text column
-    (``props.k`` where ``props`` holds JSON text); and whether it comes as text."""
+def _field(df: DataFrame, path: str) -> tuple[Column, T.DataType]:
+    """A top-level column, a nested struct field (also of the structs in an array), or a
+    field inside a JSON text column (``props.k`` where ``props`` holds JSON text); and its
+    type. A field that is not there is NULL in every row."""
     head, _, rest = path.partition(".")
-    if not rest or head not in df.columns or not isinstance(df.schema[head].dataType, T.StringType):
-        c = F.col(path)
-        return c, isinstance(df.select(c).schema[0].dataType, T.StringType)
-    return F.get_json_object(F.col(head), "$." + rest), True
+    found = head in df.columns
+    if found and rest and isinstance(df.schema[head].dataType, T.StringType):
+        return F.get_json_object(F.col(head), "$." + rest), T.StringType()
+    kind = df.schema[head].dataType if found else None
+    for name in rest.split(".") if found and rest else ():
+        inner = kind.elementType if isinstance(kind, T.ArrayType) else kind
+        if not isinstance(inner, T.StructType) or name not in inner.names:
+            found = False
+            break
+        kind = T.ArrayType(inner[name].dataType) if isinstance(kind, T.ArrayType) else inner[name].dataType
+    return (F.col(path), kind) if found else (F.lit(None).cast("string"), T.StringType())
 
 
 def _is_number(v) -> bool:
     return isinstance(v, (int, float)) and not isinstance(v, bool)
 
 
-def _compared(df: DataFrame, path: str, v) -> tuple[Column, Column]:
-    """The field and the value in a common type. A field that is not a number (or not a
-    truth value) is NULL there and simply does not match."""
-    c, text = _field(df, path)
+def _as(c: Column, kind: T.DataType, v) -> Column:
+    """``c`` in the type of the value ``v``. What is not a number (or not a truth value) is
+    NULL there and simply does not match; nor does a list or record equal a text."""
     if _is_number(v):
-        return c.try_cast("double"), F.lit(float(v))
+        return c.try_cast("double") if isinstance(kind, (T.NumericType, T.StringType)) else F.lit(None).cast("double")
     if isinstance(v, bool):
-        return (F.when(c.isin("true", "false"), c == "true") if text else c.try_cast("boolean")), F.lit(v)
-    return c, F.lit(v)
+        if isinstance(kind, T.StringType):
+            return F.when(c.isin("true", "false"), c == "true")
+        return c if isinstance(kind, T.BooleanType) else F.lit(None).cast("boolean")
+    return F.lit(None).cast("string") if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)) else c
+
+
+def _matches(df: DataFrame, path: str, v, test) -> Column:
+    """Whether the field, or any element of it where it is an array, passes ``test``."""
+    c, kind = _field(df, path)
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.exists(c, lambda x: F.coalesce(test(_as(x, kind.elementType, v), F.lit(v)), F.lit(False))), F.lit(False))
+    return F.coalesce(test(_as(c, kind, v), F.lit(v)), F.lit(False))
 
 
 def _equal(df: DataFrame, path: str, v) -> Column:
     if v is None:
-        return _field(df, path)[0].isNull()
+        c, kind = _field(df, path)
+        return c.isNull() | F.coalesce(F.exists(c, lambda x: x.isNull()), F.lit(False)) if isinstance(kind, T.ArrayType) else c.isNull()
     if isinstance(v, dict):
         return filter_condition(df, {f"{path}.{k}": x for k, x in v.items()})
-    c, x = _compared(df, path, v)
-    return F.coalesce(c == x, F.lit(False))
+    if isinstance(v, list):
+        c, kind = _field(df, path)
+        if not isinstance(kind, T.ArrayType) or any(isinstance(x, (list, dict)) for x in v):
+            return F.lit(False)
+        same = F.size(c) == len(v)
+        for k, x in enumerate(v):
+            e = F.get(c, k)
+            same = same & (e.isNull() if x is None else _as(e, kind.elementType, x) == F.lit(x))
+        return F.coalesce(same, F.lit(False))
+    return _matches(df, path, v, lambda left, right: left == right)
 
 
 def filter_condition(df: DataFrame, flt: dict) -> Column:
     """Fold a filter document into one Column: equality per key (null matches a missing
-    value, a nested document matches field by field), implicit AND, dotted paths into
-    structs or JSON text, and the operators $gt $gte $lt $lte $ne $in."""
+    value, as all values of a field that does not exist are; a nested document matches
+    field by field, a scalar an array that has it as an element, a list an array equal to
+    it), implicit AND, dotted paths into structs or JSON text, and the operators $gt $gte
+    $lt $lte $ne $in."""
     cond = F.lit(True)
     for key, spec in flt.items():
         if isinstance(spec, dict) and spec and all(k.startswith("$") for k in spec):
@@ -62,8 +90,7 @@ def filter_condition(df: DataFrame, flt: dict) -> Column:
                 elif op == "$ne":
                     c = ~_equal(df, key, v)
                 elif op in _OPS:
-                    left, right = _compared(df, key, v)
-                    c = F.coalesce(getattr(left, _OPS[op])(right), F.lit(False))
+                    c = _matches(df, key, v, lambda left, right, o=op: getattr(left, _OPS[o])(right))
                 else:
                     raise ValueError(f"unsupported operator {op}")
                 cond = cond & c
@@ -85,12 +112,14 @@ def find(df: DataFrame, filter_json: str | None = None) -> DataFrame:
 
 
 def is_valid_json_text(s: str | None) -> bool:
-    """Python's ``json.loads`` accepts it (so ``NaN`` is valid, trailing text is not)."""
+    """Python's ``json.loads`` accepts it (so ``NaN`` is valid, trailing text is not). Text
+    nested too deep for it and whole numbers of more digits than Python converts (4,300
+    unless set otherwise), at which it raises, are not valid."""
     if s is None:
         return False
     try:
         json.loads(s)
-    except ValueError:
+    except (ValueError, RecursionError):
         return False
     return True
 
@@ -100,21 +129,26 @@ def _json_loads_ok(s: pd.Series) -> pd.Series:
     return s.map(is_valid_json_text).astype(bool)
 
 
-# How a JSON value begins, Python's NaN and Infinity included.
-_MAY_BE_JSON = r'^[ \t\n\r]*(?:[\[{"]|-?[0-9]|-?Infinity|NaN|true|false|null)'
+_BLANK = r"[ \t\n\r]*"
+# Numbers and literals (Python's NaN and Infinity included), and texts without escapes.
+_SIMPLE_JSON = rf'^{_BLANK}(?:-?(?:0|[1-9][0-9]{{0,4000}})(?:[.][0-9]+)?(?:[eE][+-]?[0-9]+)?|-?Infinity|NaN|true|false|null|"[^"\\\x00-\x1f]*+"){_BLANK}\z'
+# How a list, a record or a text with escapes begins and ends; very long whole numbers.
+_MAY_BE_JSON = rf'^{_BLANK}(?:\[(?s:.*)\]|\{{(?s:.*)\}}|"(?s:.*)"|-?[1-9][0-9]{{4000}}(?s:.*)){_BLANK}\z'
 
 
 def is_valid_json(c: Column, exact: bool = True) -> Column:
     """FIL8: whether the text is valid JSON.
 
-    ``exact`` (default) applies Python's ``json.loads`` in an Arrow-batched UDF, as
-    the reference does. ``exact=False`` stays in the JVM with ``try_parse_json``,
-    which differs on ``NaN`` (rejected) and on trailing text (accepted).
+    ``exact`` (default) is what Python's ``json.loads`` says, as in the reference (see
+    :func:`is_valid_json_text`). Scalars are settled by pattern, and so is what does not
+    begin and end like JSON; only lists, records and texts with escapes go to Python, in
+    Arrow batches. ``exact=False`` stays in the JVM with ``try_parse_json``, which differs
+    on ``NaN`` (rejected) and on trailing text (accepted).
     """
     if exact:
         ship_package()
-        # Only texts that begin like a JSON value go to Python; the others are NULL there.
-        return _json_loads_ok(F.when(c.rlike(_MAY_BE_JSON), c))
+        simple = F.coalesce(c.rlike(_SIMPLE_JSON), F.lit(False))
+        return simple | F.coalesce(_json_loads_ok(F.when(~simple & c.rlike(_MAY_BE_JSON), c)), F.lit(False))
     return F.try_parse_json(c).isNotNull()
 
 

@@ -9,10 +9,14 @@ from pyspark.sql import types as T
 from unitmesh.schemas import DIRECTIVE_COLUMNS
 
 
+# The characters that Python's ``str.strip`` takes off.
+_STRIPPED = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+
+
 def trim_all(c) -> F.Column:
-    """Strip leading/trailing whitespace of every kind (Python's ``str.strip``), not
-    only spaces as ``F.trim`` does."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Strip leading/trailing whitespace of every kind (Python's ``str.strip``, Unicode
+    spaces included), not only spaces as ``F.trim`` does."""
+    return F.regexp_replace(c, rf"^{_STRIPPED}|{_STRIPPED}\z", "")
 
 
 def read_csv(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
