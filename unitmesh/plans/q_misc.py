@@ -89,6 +89,31 @@ def find_nested(spark, sf):
     return L.find(fx.raw(spark, sf, "events"), '{"props": {"k": 57}}').select("event_id", "props")
 
 
+@query("find_array_missing", fx.oracle("""
+select id, name, code, parent_id, array_to_string(attributeValues, ',') as attribute_values from f_snapshot
+where (list_contains(attributeValues, 'a1004') or list_contains(attributeValues, 'a102') or list_contains(attributeValues, 'a1010'))
+union all
+select id, name, code, parent_id, array_to_string(attributeValues, ',') from f_snapshot where list_contains(attributeValues, 'b') and parent_id is null
+""", ["f_snapshot"]))
+def find_array_missing(spark, sf):
+    """FIL7: a scalar matches an element of an array; null matches a field that does not exist."""
+    s = fx.load(spark, sf, "f_snapshot")
+    found = (L.find(s, '{"attributeValues": {"$in": ["a1004", "a102", "a1010"]}, "closedDate": null, "contact.phone": {"$ne": 1}}')
+             .unionByName(L.find(s, '{"attributeValues": "b", "parent_id": null, "nothing": {"$in": [null]}}'))
+             .unionByName(L.find(s, '{"nothing": "b"}')))
+    return found.select("id", "name", "code", "parent_id", F.array_join("attributeValues", ",").alias("attribute_values"))
+
+
+@query("trimmed_titles", r"""
+select doc_id, regexp_replace(t, '^[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g') as title
+from (select doc_id, chr(12288) || chr(9) || substr(text, 1, 24) || chr(160) || chr(8195) as t from documents)
+""")
+def trimmed_titles(spark, sf):
+    """SCL1: white space of every kind taken off both ends."""
+    t = F.concat(F.lit("\u3000\t"), F.substring("text", 1, 24), F.lit("\u00a0\u2003"))
+    return fx.raw(spark, sf, "documents").select("doc_id", SRC.trim_all(t).alias("title"))
+
+
 @query("json_valid", """
 select 'events' as source, event_id as id, json_valid(props) as valid from events
 union all select 'documents', doc_id, json_valid(text) from documents

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from unitmesh.operators import hierarchy as H
 from unitmesh.operators import mapping as MP
 from unitmesh.operators import registry as R
+from unitmesh.operators.numbering import row_numbers
 from unitmesh.plans import fixtures as fx
+from unitmesh.session import scratch_path
 from unitmesh.plans.registry import query
 from unitmesh.sources.responses import from_headers_rows
 
@@ -301,3 +303,26 @@ def terms_from_response(spark, sf):
              .groupBy("page").agg(F.collect_list("row").alias("rows"))
              .withColumn("headers", F.when(odd, head("shortname", "dataelement")).otherwise(head("dataelement", "shortname"))))
     return R.to_mappings(from_headers_rows(pages)).select("name", "shortname", "type", "system", "group")
+
+
+@query("responses_mixed", """
+select p_name as name, p_brand as brand, case when p_partkey // 100 % 3 = 2 then p_size end as size from part
+""")
+def responses_mixed(spark, sf):
+    """SRC4: responses of 100 parts each, of which every third has a header more than the first."""
+    part = fx.raw(spark, sf, "part").withColumn("page", F.floor(F.col("p_partkey") / 100))
+    more = F.col("page") % 3 == 2
+    head = lambda *n: F.array(*[F.struct(F.lit(x).alias("name")) for x in n])
+    pages = (part.select("page", F.when(more, F.array("p_name", F.col("p_size").cast("string"), "p_brand")).otherwise(F.array("p_name", "p_brand")).alias("row"))
+             .groupBy("page").agg(F.collect_list("row").alias("rows"))
+             .withColumn("headers", F.when(more, head("name", "size", "brand")).otherwise(head("name", "brand"))))
+    return from_headers_rows(pages).select("name", "brand", F.col("size").cast("int").alias("size"))
+
+
+@query("facility_sorted", fx.oracle("select uid as id, row_number() over (order by uid) as place from f_orgunit", ["f_orgunit"]))
+def facility_sorted(spark, sf):
+    """PRJ9 / SRT2: places of the records in the files of the sorted export."""
+    path = scratch_path(spark, "facility-sorted")
+    R.to_facility(nested_units(spark, sf), sort=True).write.parquet(path)
+    back = spark.read.parquet(path).select("id", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"), F.lit(0).alias("all"))
+    return row_numbers(back, ["all"], ["file", "row"], out="place").select("id", "place")
