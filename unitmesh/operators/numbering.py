@@ -44,3 +44,22 @@ def row_numbers(df: DataFrame, group: list[str], order: list[str], out: str = "r
     joined = ranged.join(st, cond, "inner")
     return (joined.withColumn(out, F.col("_before") + (F.col("_pos") - F.col("_first")) + 1)
             .drop("_pid", "_pos", "_first", "_before", "_s_pid", *[f"_s_{g}" for g in group]))
+
+
+def running_sums(df: DataFrame, group: list[str], order: list[str], value: str, out: str,
+                 partitions: int | None = None) -> DataFrame:
+    """``df`` plus ``out`` = sum of ``value`` over the rows of ``group`` that come before the
+    row by ``order`` (0 for the first), with the same range exchange as above: a window
+    only ever holds the rows of one group in one of its partitions."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = group + order
+    ranged = materialize(df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id()), "summed")
+    stats = ranged.groupBy("_pid", *group).agg(F.sum(value).alias("_sum"))
+    before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
+    st = stats.select(F.col("_pid").alias("_s_pid"), *[F.col(g).alias(f"_s_{g}") for g in group], "_before")
+    own = Window.partitionBy("_pid", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_own", F.coalesce(F.sum(value).over(own), F.lit(0)))
+    cond = [local["_pid"] == st["_s_pid"]] + [local[g].eqNullSafe(st[f"_s_{g}"]) for g in group]
+    return (local.join(st, cond).withColumn(out, F.col("_before") + F.col("_own"))
+            .drop("_pid", "_own", "_before", "_s_pid", *[f"_s_{g}" for g in group]))

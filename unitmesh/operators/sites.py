@@ -7,7 +7,9 @@ validated in a few shuffles. Declared differences from the row loop:
 
 * all checks look at the snapshot as read (the loop mutates it as it goes);
 * for edits, a code counts as taken if it is in the snapshot or claimed by an
-  earlier accepted edit; a rejected row leaves no trace;
+  earlier accepted edit; a rejected row leaves no trace. With ``in_order`` a code is
+  taken while a site holds it, as in the loop: an earlier accepted edit that gives its
+  site another code frees the old one (:func:`codes_in_order`);
 * edits and relocations of one site give one final state (the last non-blank value
   per field over its accepted rows, by row number) that both batches show.
 
@@ -23,7 +25,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from unitmesh.plans.joins import broadcast_if, is_small
+from unitmesh.operators.numbering import row_numbers, running_sums
+from unitmesh.plans.joins import broadcast_if, is_small, join_small
 from unitmesh.plans.materialize import materialize
 
 # Fixed values of the reference.
@@ -142,8 +145,45 @@ def _last(cond: Column, value: Column) -> Column:
     return F.max(F.when(cond, F.struct(F.col("row_no").alias("r"), value.alias("v")))).getField("v")
 
 
-def site_updates(directives: DataFrame, snapshot: DataFrame, today: str) -> SiteUpdates:
-    """SIT3 + SIT4: validated edits and relocations, folded into one state per site."""
+def codes_in_order(claims: DataFrame, held: DataFrame) -> DataFrame:
+    """Which claims (``row_no`` unique, ``uid``, ``code``) a loop over the rows would grant
+    when a code is free unless a site holds it at that moment; ``held`` (uid, code) holds
+    the codes at first. Returns (``row_no``, ``granted``).
+
+    A claim depends on earlier ones alone: on those of its code, and on those by which
+    holders of its code take another. So all claims are judged at once on the verdicts of
+    the round before, and this is repeated until no verdict changes; then every verdict
+    follows from those before it, as in the loop, and no other set of verdicts does. A
+    verdict is right after as many rounds as its chain of dependencies has steps.
+
+    A round is joins and sums: each granted claim starts a hold of its code and ends its
+    site's previous one; a claim fails if more holds of its code have started than ended
+    before it. Previous codes are met by numbers within sites and holds are summed over a
+    range exchange, so neither a site nor a code with a third of all rows is one task.
+    """
+    first = materialize(held.where(F.col("code").isNotNull()).select("uid", "code").distinct(), "code-holds")
+    now = materialize(claims.select("row_no", "uid", "code").withColumn("granted", F.lit(True)), "code-claims")
+    while True:
+        granted = row_numbers(now.where("granted").select("row_no", "uid", "code"), ["uid"], ["row_no"], out="n")
+        granted = materialize(granted, "code-granted")
+        after = granted.select("uid", (F.col("n") - 1).alias("n"), F.col("row_no").alias("end_row"))
+        later_end = granted.join(after, ["uid", "n"]).select("code", F.col("end_row").alias("row_no"))
+        first_end = join_small(first, granted.where("n = 1").select("uid", "row_no"), "uid").select("code", "row_no")
+        event = lambda df, value: df.select("code", "row_no", F.lit(value).alias("change"), F.lit(0).alias("claim"), F.lit(None).cast("boolean").alias("granted"))
+        events = (event(first.select("code", F.lit(None).cast("long").alias("row_no")), 1).unionByName(event(granted, 1))
+                  .unionByName(event(later_end, -1)).unionByName(event(first_end, -1))
+                  .unionByName(now.select("code", "row_no", F.lit(0).alias("change"), F.lit(-1).alias("claim"), "granted")))
+        # Holds at first have no row and sort first; a claim sorts before what it causes itself.
+        judged = running_sums(events, ["code"], ["row_no", "claim", "change"], "change", "holders").where("claim = -1")
+        new = materialize(judged.select("row_no", "code", (F.col("holders") == 0).alias("granted"), F.col("granted").alias("was")), "code-judged")
+        if new.where(F.col("granted") != F.col("was")).isEmpty():
+            return new.select("row_no", "granted")
+        now = materialize(now.select("row_no", "uid").join(new.select("row_no", "code", "granted"), "row_no"), "code-claims")
+
+
+def site_updates(directives: DataFrame, snapshot: DataFrame, today: str, in_order: bool = False) -> SiteUpdates:
+    """SIT3 + SIT4: validated edits and relocations, folded into one state per site.
+    ``in_order``: codes are free or taken as they would be at their row of the file."""
     d = split_directives(directives).where(F.col("kind").isin("edit", "relocate"))
     snap_small = is_small(snapshot)  # one probe bounds every lookup below (all derive from it)
     sites = _ids(snapshot, "uid", "site_known")
@@ -156,13 +196,18 @@ def site_updates(directives: DataFrame, snapshot: DataFrame, today: str) -> Site
     pre = (F.when(F.col("site_known").isNull(), R_SITE)
            .when(is_edit & ~_blank(F.col("parent_uid")) & F.col("parent_known").isNull(), R_PARENT_UID)
            .when(~is_edit & F.col("parent_known").isNull(), R_PARENT_UID)
-           .when(is_edit & ~_blank(F.col("code")) & F.col("code_taken").isNotNull(), R_CODE))
+           .when(is_edit & ~_blank(F.col("code")) & F.col("code_taken").isNotNull() & F.lit(not in_order), R_CODE))
     d = d.withColumn("reason", pre)
     # A new code goes to the first otherwise-valid edit that claims it.
     d = materialize(d, "site-checked")
-    claims = materialize(d.where(F.col("reason").isNull() & is_edit & ~_blank(F.col("code")))
-                         .groupBy("code").agg(F.min("row_no").alias("claim_row")), "site-claims")
-    d = _looked_up(d, "code", claims, False)
+    claims = d.where(F.col("reason").isNull() & is_edit & ~_blank(F.col("code")))
+    if in_order:
+        held = snapshot.groupBy(F.col("id").alias("uid")).agg(F.min_by("code", _order(snapshot)).alias("code"))
+        verdicts = codes_in_order(claims, held).select("row_no", F.when(F.col("granted"), F.col("row_no")).otherwise(-1).alias("claim_row"))
+        d = d.join(verdicts, "row_no", "left")
+    else:
+        claims = materialize(claims.groupBy("code").agg(F.min("row_no").alias("claim_row")), "site-claims")
+        d = _looked_up(d, "code", claims, False)
     d = d.withColumn("reason", F.when(F.col("reason").isNull() & is_edit & ~_blank(F.col("code"))
                                       & (F.col("row_no") != F.col("claim_row")), F.lit(R_CODE))
                      .otherwise(F.col("reason")))

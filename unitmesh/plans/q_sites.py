@@ -165,6 +165,36 @@ def batch_counts(spark, sf):
     return S.batch_counts(adds, upd.edits, upd.relocates)
 
 
+@query("site_codes_in_order", fx.with_clause(list(FX), fx.DUCKDB_TABLES, recursive=True) + """
+, sites AS (select id, arg_min(code, row_no) filter (where code is not null) as code from f_snapshot group by id)
+, d AS (select *, lower(op) in ('edit', 'update', 'rename') as is_edit from f_directive where lower(op) in ('edit', 'update', 'rename', 'relocate'))
+, pre AS (select d.*, case when coalesce(uid, '') = '' or uid not in (select id from sites) then 'site_unknown'
+                           when is_edit and coalesce(parent_uid, '') <> '' and parent_uid not in (select id from sites) then 'parent_uid_unknown'
+                           when not is_edit and (coalesce(parent_uid, '') = '' or parent_uid not in (select id from sites)) then 'parent_uid_unknown' end as reason from d)
+, claim AS (select row_no, uid, code, row_number() over (order by row_no) as k from pre where reason is null and is_edit and coalesce(code, '') <> '')
+, walk AS (select 0::bigint as k, (select map_from_entries(list((id, code))) from sites where code is not null) as held, true as granted
+           union all
+           select c.k, case when list_contains(map_values(w.held), c.code) then w.held else map_concat(w.held, MAP([c.uid], [c.code])) end,
+                  not list_contains(map_values(w.held), c.code)
+           from walk w join claim c on c.k = w.k + 1)
+, verdict AS (select c.row_no, w.granted from claim c join walk w using (k))
+, last AS (select arg_max(held, k) as held from walk)
+select p.row_no, p.op, p.uid, case when p.reason is not null then p.reason when v.granted = false then 'code_taken' end as reason,
+       case when s.id is not null then coalesce(held[p.uid], '') end as final_code
+from pre p left join verdict v using (row_no) left join sites s on s.id = p.uid, last
+""")
+def site_codes_in_order(spark, sf):
+    """SIT3 in file order: every edit and relocation with its outcome, and the code its site
+    has in the end; codes are freed and taken row by row."""
+    d, s = _inputs(spark, sf)
+    upd = S.site_updates(d, s, TODAY, in_order=True)
+    rows = S.split_directives(d).where(F.col("kind").isin("edit", "relocate")).select("row_no", "op", "uid")
+    codes = (s.groupBy(F.col("id").alias("uid")).agg(F.min_by("code", "row_no").alias("old"))
+             .join(upd.state.select(F.col("id").alias("uid"), F.col("code").alias("new")), "uid", "left")
+             .select("uid", F.coalesce("new", "old", F.lit("")).alias("final_code")))
+    return rows.join(upd.rejects.select("row_no", "reason"), "row_no", "left").join(codes, "uid", "left").select("row_no", "op", "uid", "reason", "final_code")
+
+
 @query("site_diff", fx.oracle("""
 , f AS (select uid, arg_max(case when lower(op) = 'add' then name else new_name end, row_no) as file_name
         from f_directive where lower(coalesce(op, '')) in ('add', 'edit', 'update', 'rename') group by uid)
