@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from unitmesh.operators import buckets as B
 from unitmesh.operators import merge as M
 from unitmesh.plans import fixtures as fx
 from unitmesh.plans.registry import RUN_TS, query
+from unitmesh.session import scratch_path
 
+BUCKETS = 64
 FX = ("f_datavalue", "f_dataelement", "f_merge_map")
 
 
@@ -103,6 +106,25 @@ _register_strategy("FIRST", _rank_sql("lastupdated asc nulls last"))
 _register_strategy("LAST", _rank_sql("lastupdated desc nulls first"))
 
 
+@query("merge_bucketed", _text(_agg_sql("sum"), """
+select dataelementid, periodid, sourceid, categoryoptioncomboid, value, storedby, lastupdated, comment, followup,
+       attributeoptioncomboid, created, deleted
+from f_datavalue d where not exists (select 1 from sites s where s.sourceid = d.sourceid)
+union all
+select * from numeric union all select * from other union all select * from single
+"""))
+def merge_bucketed(spark, sf):
+    """SNK1 by bucket: the SUM merge applied to a stored value table, only the buckets of the
+    merged sites rewritten, and the stored table after it."""
+    dv = fx.load(spark, sf, "f_datavalue")
+    path = scratch_path(spark, "dv-buckets")
+    B.write_buckets(dv, path, "sourceid", BUCKETS)
+    stored = B.read_buckets(spark, path, dv.schema).drop(B.BUCKET)
+    res = M.merge_values(stored, fx.load(spark, sf, "f_dataelement"), fx.load(spark, sf, "f_merge_map"), "SUM", RUN_TS)
+    B.replace_sites_stored(spark, path, dv.schema, res.staged, res.sites.select("sourceid").distinct(), BUCKETS)
+    return B.read_buckets(spark, path, dv.schema).select(*dv.columns)
+
+
 def _exact_sql() -> str:
     """SUM, AVG (10 digits) and MAX by limbs of hugeint: whole digits in 18s, 20 after the point."""
     cut = "split_part(value, '.', 1)"

@@ -16,6 +16,7 @@ from unitmesh.session import scratch_path, table_path
 from unitmesh.sinks.writers import to_json_records
 from unitmesh.sources import files as SRC
 from unitmesh.sources.responses import unwrap
+from unitmesh.streaming.latest_store import apply_versions, create_store, read_store, run_latest_store
 from unitmesh.streaming.text_filter import run_line_filter
 
 
@@ -37,6 +38,24 @@ def kv_latest(spark, sf):
     return ST.kv_latest(_store(spark, sf))
 
 
+@query("kv_stream", "WITH x AS (select 1)" + _LATEST + "select * from latest")
+def kv_stream(spark, sf):
+    """SNK5 / WIN5 / REG2 as a stream: the events arrive in two loads, each taken in by a
+    run of the stream; the first load is replayed at the end."""
+    versions, schema = _store(spark, sf), "key bigint, document string, ts timestamp_ntz, seq bigint"
+    versions = versions.select("key", "document", F.col("ts").cast("timestamp_ntz").alias("ts"), "seq")
+    lo, hi = versions.agg(F.min("ts"), F.max("ts")).first()
+    middle = F.lit(lo + (hi - lo) / 2).cast("timestamp_ntz")
+    source, path, checkpoint = (scratch_path(spark, f"kv-stream-{n}") for n in ("source", "store", "checkpoint"))
+    create_store(spark, path, schema)
+    first = versions.where(F.col("ts") < middle)
+    for load in (first, versions.where(~F.coalesce(F.col("ts") < middle, F.lit(False)))):
+        load.write.mode("append").parquet(source)
+        run_latest_store(spark, source, schema, path, checkpoint)
+    apply_versions(first, path, schema)
+    return read_store(spark, path, schema)
+
+
 @query("kv_update", "WITH x AS (select 1)" + _LATEST + f"""
 select key, cast(json_merge_patch(document, '{{"seen":true}}') as varchar) as document,
        TIMESTAMP '{RUN_TS}' as ts, cast(0 as bigint) as seq from latest
