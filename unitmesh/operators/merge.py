@@ -36,6 +36,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from unitmesh.functions.decimals import carried, divided, limbs_text, sum_limbs, to_limbs
+from unitmesh.plans.bitmaps import KeyBitmap
 from unitmesh.plans.joins import broadcast_if, is_small, join_small, key_values
 from unitmesh.plans.materialize import materialize
 from unitmesh.schemas import DATAVALUE_COLUMNS, VALUE_KEY
@@ -303,9 +304,12 @@ def merge_values(datavalue: DataFrame, dataelement: DataFrame, merge_map: DataFr
 def replace_sites(base: DataFrame, staged: DataFrame, sites: DataFrame, sites_small: bool | None = None) -> DataFrame:
     """All rows of the touched sites (tombstones included) replaced by ``staged``.
 
-    A broadcast anti-join when the site list is small, so the rewrite of the base
-    table is a single map-only pass.
+    A broadcast anti-join when the site list is small, a bitmap of the ids beyond that, so
+    the rewrite of the base table is a single map-only pass.
     """
     ids = sites.select("sourceid").distinct()
-    kept = base.join(broadcast_if(ids, is_small(ids) if sites_small is None else sites_small), "sourceid", "left_anti")
+    if is_small(ids) if sites_small is None else sites_small:
+        kept = base.join(F.broadcast(ids), "sourceid", "left_anti")
+    else:  # a long list: a bitmap of the ids keeps the base table out of a shuffle
+        kept = KeyBitmap(ids, "sourceid").without(base, "sourceid")
     return kept.unionByName(staged.select(*base.columns))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from unitmesh.operators import cascade as C
 from unitmesh.plans import fixtures as fx
+from unitmesh.plans.bitmaps import KeyBitmap
 from unitmesh.plans.q_merge import REQUESTED
 from unitmesh.plans.registry import RUN_TS, query
 
@@ -188,3 +189,18 @@ def _count_sql(name: str) -> str:
 def delete_counts_all(spark, sf):
     """DEL1 summary over all dependent tables of a site (the key list is read once)."""
     return C.delete_sites(_all_tables(spark, sf), fx.load(spark, sf, "f_delete_request"), fx.load(spark, sf, "f_orgunit")).counts()
+
+
+@query("delete_by_bitmap", fx.oracle("""
+, gone AS (select cast(1001 + s_suppkey as int) as sourceid from supplier where s_suppkey % 3 = 0)
+select 'left' as part, d.* from f_datavalue d where d.sourceid not in (select sourceid from gone)
+union all select 'deleted', d.* from f_datavalue d where d.sourceid in (select sourceid from gone)
+""", ["f_datavalue"]))
+def delete_by_bitmap(spark, sf):
+    """JON2 / JON5: values kept and deleted with every third site, told apart by a bitmap of
+    the site ids that the scan probes."""
+    dv = fx.load(spark, sf, "f_datavalue")
+    gone = fx.raw(spark, sf, "supplier").where("s_suppkey % 3 = 0").select((F.col("s_suppkey") + 1001).cast("int").alias("sourceid"))
+    keys = KeyBitmap(gone, "sourceid")
+    return (keys.without(dv, "sourceid").select(F.lit("left").alias("part"), "*")
+            .unionByName(keys.matching(dv, "sourceid").select(F.lit("deleted").alias("part"), "*")))
