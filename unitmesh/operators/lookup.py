@@ -152,16 +152,53 @@ def is_valid_json(c: Column, exact: bool = True) -> Column:
     return F.try_parse_json(c).isNotNull()
 
 
+def _values(df: DataFrame, columns: list[str], keep: list[str], test) -> DataFrame:
+    """``keep``, ``property`` and ``value`` for the values of ``columns`` that pass ``test``;
+    each element of an array column is a value of its own."""
+    def hits(c: str) -> Column:
+        values = F.col(c) if isinstance(df.schema[c].dataType, T.ArrayType) else F.array(F.col(c))
+        found = F.filter(F.coalesce(values.cast("array<string>"), F.array().cast("array<string>")),
+                         lambda x: F.coalesce(test(x), F.lit(False)))
+        return F.transform(found, lambda x: F.struct(F.lit(c).alias("property"), x.alias("value")))
+
+    return df.select(*keep, F.explode(F.concat(*map(hits, columns))).alias("_h")).select(*keep, "_h.property", "_h.value")
+
+
 def code_search(df: DataFrame, prefix: str, columns: list[str], keep: list[str]) -> DataFrame:
     """FIL9: flat results: one row per value that starts with ``prefix``
     (case-insensitive), with its record and property; each element of an array column is
     a value of its own."""
     p = F.lit(prefix.lower())
+    return _values(df, columns, keep, lambda x: F.startswith(F.lower(x), p))
 
-    def hits(c: str) -> Column:
-        values = F.col(c) if isinstance(df.schema[c].dataType, T.ArrayType) else F.array(F.col(c))
-        found = F.filter(F.coalesce(values.cast("array<string>"), F.array().cast("array<string>")),
-                         lambda x: F.coalesce(F.startswith(F.lower(x), p), F.lit(False)))
-        return F.transform(found, lambda x: F.struct(F.lit(c).alias("property"), x.alias("value")))
 
-    return df.select(*keep, F.explode(F.concat(*map(hits, columns))).alias("_h")).select(*keep, "_h.property", "_h.value")
+# Column of a prefix index that it is sorted by.
+INDEXED = "lowered"
+
+
+def prefix_index(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
+    """FIL9 as an index to be stored: a row for every value of ``columns``, dealt by ranges
+    of the lower-cased value and sorted by it, so that each file and row group holds a
+    range. The value takes part in the ranges' bounds with its record, so a value that a
+    third of all records share is still several files."""
+    values = _values(df, columns, keep, lambda x: x.isNotNull()).withColumn(INDEXED, F.lower("value"))
+    return values.repartitionByRange(INDEXED, *keep).sortWithinPartitions(INDEXED)
+
+
+def after_prefix(prefix: str) -> str | None:
+    """The smallest text above all that start with ``prefix``, in order of code points
+    (which is that of their UTF-8 bytes); None if there is none."""
+    for k in range(len(prefix) - 1, -1, -1):
+        c = ord(prefix[k])
+        if c < 0x10FFFF:
+            return prefix[:k] + chr(0xE000 if c == 0xD7FF else c + 1)
+    return None
+
+
+def prefix_search(index: DataFrame, prefix: str) -> DataFrame:
+    """:func:`code_search` on a stored :func:`prefix_index`: the prefix becomes a range of
+    the sorted column, which reaches the scan, so files and row groups outside it are not
+    read."""
+    low, high = prefix.lower(), after_prefix(prefix.lower())
+    found = index.where(F.col(INDEXED) >= low)
+    return (found if high is None else found.where(F.col(INDEXED) < high)).drop(INDEXED)

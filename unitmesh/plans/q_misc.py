@@ -165,6 +165,18 @@ def code_search(spark, sf):
     return L.code_search(fx.raw(spark, sf, "part"), "Brand#1", ["p_name", "p_brand", "p_type"], ["p_partkey"])
 
 
+@query("code_search_index", """
+select p_partkey, 'p_name' as property, p_name as value from part where starts_with(lower(p_name), 're')
+union all select p_partkey, 'p_brand', p_brand from part where starts_with(lower(p_brand), 're')
+union all select p_partkey, 'p_type', p_type from part where starts_with(lower(p_type), 're')
+""")
+def code_search_index(spark, sf):
+    """FIL9 on a stored prefix index of several properties: a range filter on its scan."""
+    path = scratch_path(spark, "prefix-index")
+    L.prefix_index(fx.raw(spark, sf, "part"), ["p_name", "p_brand", "p_type"], ["p_partkey"]).write.parquet(path)
+    return L.prefix_search(spark.read.parquet(path), "RE")
+
+
 @query("code_search_lists", """
 select p_partkey, 'names' as property, v as value
 from (select p_partkey, unnest([p_name, p_brand, lower(p_brand), p_type]) as v from part) t where starts_with(lower(v), 'brand#1')
