@@ -67,3 +67,22 @@ def test_edges(spark, docs_of, monkeypatch):
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted((r[0] for r in want if not r[4]), key=str)
     assert result(contamination(docs_of([]), items_of(spark, items))) == []
     assert not any(r[4] for r in result(contamination(df, items_of(spark, []))))
+
+
+def test_no_words_of_a_document_are_shuffled(spark, monkeypatch):
+    from unitmesh.llm import decontam
+
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", 0)
+    rows = spark.createDataFrame([(1, 30, [f"w{i}" for i in range(30)])], "_rid long, _n int, _w array<string>")
+    shingles = spark.createDataFrame([(5, 1, "a b c d e")], "_size int, _h long, _s string")
+    plan = decontam._hits(rows, shingles, [5])._jdf.queryExecution().executedPlan()
+    moved = []
+
+    def walk(node):
+        if "Exchange" in node.nodeName():
+            moved.append(node.output().mkString(","))
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(plan.initialPlan() if "Adaptive" in plan.nodeName() else plan)
+    assert moved and all("_w#" not in columns for columns in moved)

@@ -87,3 +87,15 @@ def test_scores_with_more_null_ids_than_the_sample(spark, docs_of):
     assert seen.select("_rid").distinct().count() == 1500
     out = score_quality(df, labels, max_fit_rows=300).collect()
     assert sum(r["predicted"] == (r["doc_id"] is not None) for r in out) > 0.98 * len(out)
+
+
+def test_scores_do_not_depend_on_the_layout(spark, docs_of):
+    """More rows than the samples hold, copies and null ids among them."""
+    good, bad = "The quiet river runs past the old mill and on to the sea.", "CLICK!!! >>> $$$ 000 !!! buy"
+    pairs = [(i if i % 7 else None, f"{good if i % 2 else bad} {i % 50}" * (1 + i % 3)) for i in range(900)] + [(5, good)] * 40 + [(None, None)] * 30
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(1, 900, 2) if i % 7], "doc_id long, quality int, toxic int")
+    df = docs_of(pairs)
+    seen = [sorted((tuple(r) for r in quality.score_quality(df.repartition(n, *by), labels, max_fit_rows=200).collect()), key=str)
+            for n, by in ((1, []), (7, []), (4, ["text"]))]
+    assert seen[0] == seen[1] == seen[2]
+    assert len({r[2] for r in seen[0]}) > 10

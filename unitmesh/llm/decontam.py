@@ -16,8 +16,10 @@ rarest one.
 5. A candidate is verified exactly: every shingle of the window has to be a hit at its
    place. Covered words are counted once.
 
-The benchmark's tables are broadcast only while their measured number of rows is below
-``BROADCAST_ROWS``; beyond it the same joins shuffle, and AQE can split a hot shingle.
+The benchmark's tables are broadcast only while their measured rows and bytes are within
+``BROADCAST_ROWS`` and ``BROADCAST_BYTES``; beyond that the same joins shuffle, and AQE can
+split a hot shingle. A document's words are never shuffled as a whole: its positions carry
+their own shingle only.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from unitmesh.llm.common import col, ready, written
 WINDOW = 10
 SHINGLE = 5
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Everything but 0-9, a-z and non-ASCII characters separates words (after lower-casing).
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -42,9 +45,16 @@ def words_of(text):
     return F.coalesce(F.regexp_extract_all(low, F.lit(_WORD), F.lit(0)), F.array().cast("array<string>"))
 
 
+def _is_bounded(table: DataFrame) -> bool:
+    """Whether a written table's counted rows and bytes are few enough for a broadcast."""
+    cells = sum((F.coalesce(F.octet_length(f.name), F.lit(0)) for f in table.schema.fields if f.dataType.simpleString() == "string"), F.lit(16 * len(table.columns)))
+    n, size = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(cells.cast("long")), F.lit(0))).first()
+    return n <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+
+
 def _bounded(table: DataFrame) -> DataFrame:
-    """A written table, broadcast if its counted rows are few enough."""
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+    """A written table, broadcast if it is small enough."""
+    return F.broadcast(table) if _is_bounded(table) else table
 
 
 def _hash_at(words, position, size: int):
@@ -79,15 +89,17 @@ def windows_of(items: DataFrame, id_col: str, text_col: str, window: int, shingl
 
 def _hits(rows: DataFrame, shingles: DataFrame, sizes: list[int]) -> DataFrame:
     """(``_rid``, ``_n``, ``_pos``, ``_s``): document positions whose shingle the benchmark has."""
-    found, few = None, shingles.count() <= BROADCAST_ROWS
+    found, few = None, _is_bounded(shingles)
     for size in sizes:
         at = rows.where(F.col("_n") >= size).select("_rid", "_n", "_w", F.explode(
             F.sequence(F.lit(0), F.col("_n") - size)).alias("_pos"))
-        hashed = at.select("_rid", "_n", "_w", "_pos", _hash_at(F.col("_w"), F.col("_pos"), size).alias("_h"))
+        h, s = _hash_at(F.col("_w"), F.col("_pos"), size), _text_at(F.col("_w"), F.col("_pos"), size)
         own = shingles.where(F.col("_size") == size).select("_h", "_s")
-        own = F.broadcast(own) if few else own
-        met = hashed.join(own, "_h").where(_text_at(F.col("_w"), F.col("_pos"), size) == F.col("_s")).select(
-            "_rid", "_n", "_pos", "_s")
+        if few:  # no shuffle: the words are at hand after the join on the hash
+            met = (at.withColumn("_h", h).join(F.broadcast(own), "_h").where(s == F.col("_s")))
+        else:
+            met = at.select("_rid", "_n", "_pos", h.alias("_h"), s.alias("_s")).join(own, ["_h", "_s"])
+        met = met.select("_rid", "_n", "_pos", "_s")
         found = met if found is None else found.unionAll(met)
     return found
 

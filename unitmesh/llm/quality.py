@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from unitmesh.operators.numbering import row_numbers
 from unitmesh.llm.common import byte_class, col, hash_sample, packed, ready, unpacked, written
 
 FOLDS, HELD_OUT = 4, 2
@@ -158,15 +159,22 @@ def held_out(id_col, folds: int, fold: int):
 
 
 def feature_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(``_id``, ``_x``: features, ``_rid``: a row number, to be fixed by writing) of every row."""
+    """(``_id``, ``_x``: features, ``_rid``) of every row. ``_rid`` is the row's content
+    (a hash of id and text) and its number among rows of equal content. Such rows are
+    interchangeable, so what is sampled by ``_rid`` does not depend on how the table is
+    laid out, and copies have no more than their share of a sample."""
     def run(batches):
         for batch in batches:
             x = _matrix(batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(x), pa.list_(pa.float64()))], names=["_id", "_x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(x), pa.list_(pa.float64())), batch.column(2)], names=["_id", "_x", "_content"])
 
-    out = T.StructType([T.StructField("_id", docs.schema[id_col].dataType), T.StructField("_x", T.ArrayType(T.DoubleType()))])
-    made = docs.select(col(id_col).alias("_id"), col(text_col).alias("_text")).mapInArrow(run, out)
-    return made.withColumn("_rid", F.monotonically_increasing_id())
+    out = T.StructType([T.StructField("_id", docs.schema[id_col].dataType), T.StructField("_x", T.ArrayType(T.DoubleType())), T.StructField("_content", T.StringType())])
+    text = col(text_col).cast("string")
+    content = F.md5(F.concat_ws("\x00", col(id_col).cast("string"), F.hex(F.octet_length(text)), text).cast("binary"))
+    made = docs.select(col(id_col).alias("_id"), col(text_col).alias("_text"), content.alias("_content")).mapInArrow(run, out)
+    made = written(made.withColumn("_at", F.monotonically_increasing_id()), "quality-rows")
+    numbered = row_numbers(made, ["_content"], ["_at"], out="_n")
+    return numbered.select("_id", "_x", F.concat_ws(":", "_content", F.col("_n").cast("string")).alias("_rid"))
 
 
 def _sample(rows: DataFrame, n: int) -> np.ndarray:
@@ -201,7 +209,7 @@ def fit_quality(table: DataFrame, labels: DataFrame, id_col: str = "doc_id", lab
 
 def class_prior(good: DataFrame, train: DataFrame, max_fit_rows: int) -> float:
     """The share of positives among all rows of ``train``. Each half of the rows (by a
-    hash of the row number) is ranked by a model fitted on the other half, so that no row's
+    hash of its content and number) is ranked by a model fitted on the other half, so that no row's
     score comes from its own fit; the histograms cover every row."""
     half = F.pmod(F.xxhash64("_rid", F.lit("half")), F.lit(2))
     level = F.least(F.floor(F.col("_score") * _HISTOGRAM), F.lit(_HISTOGRAM - 1)).cast("int")
@@ -228,7 +236,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     empty texts have the features of an empty text and are scored like any other. An id
     labelled both ways is no trusted positive; null labels and labels of unknown ids are
     ignored. Without any trusted positive nothing can be learnt and every score is 1.
-    Rows that repeat an id each get their score. An empty table gives an empty table.
+    Rows that repeat an id each get their score. An empty table gives an empty table. The
+    scores do not depend on the order or the partitions of the rows.
     """
     ready(docs.sparkSession)
     table = written(feature_table(docs, id_col, text_col), "quality-features")
