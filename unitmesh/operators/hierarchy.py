@@ -30,14 +30,35 @@ ROUNDS_BEFORE_CYCLE_CHECK = 6
 ROOT, DANGLING = "root", "dangling"
 
 
-def _follow(cur: DataFrame, with_paths: bool) -> DataFrame:
-    """One round: units on their way (``end`` NULL) take over their hop's row. Only these
-    are written; they meet only the rows that some of them point to."""
-    live, done = cur.where(F.col("end").isNull()), cur.where(F.col("end").isNotNull())
+class _State:
+    """Units on their way (``end`` NULL) and the written tables of those that have arrived,
+    each filtered once, so that a round's plan has one short branch for each table."""
+
+    def __init__(self, live: DataFrame, done: list[DataFrame]):
+        self.live, self.done = live, done
+
+    @classmethod
+    def of(cls, table: DataFrame, done: list[DataFrame] | None = None) -> _State:
+        return cls(table.where(F.col("end").isNull()), [*(done or []), table.where(F.col("end").isNotNull())])
+
+    def frame(self, *columns: Column) -> DataFrame:
+        out = self.live.select(*columns) if columns else self.live
+        for d in self.done:
+            out = out.unionByName(d.select(*columns) if columns else d)
+        return out
+
+    def where(self, condition) -> DataFrame:
+        return self.frame().where(condition)
+
+
+def _follow(cur: _State, with_paths: bool) -> _State:
+    """One round: units on their way take over their hop's row. Only these are written; they
+    meet only the rows that some of them point to."""
+    live = cur.live
     n = [F.col("id").alias("hop"), F.col("id").alias("n_id"), F.col("hop").alias("n_hop"), F.col("end").alias("n_end")]
     if with_paths:
         n += [F.col("piece").alias("n_piece"), F.col("depth").alias("n_depth")]
-    hops = cur.select(*n).join(live.select("hop").distinct(), "hop", "left_semi")
+    hops = cur.frame(*n).join(live.select("hop").distinct(), "hop", "left_semi")
     j = live.join(hops, "hop", "left")
     found = F.col("n_id").isNotNull()
     cols = {"hop": F.when(found, F.col("n_hop")).otherwise(F.col("hop")),
@@ -45,25 +66,25 @@ def _follow(cur: DataFrame, with_paths: bool) -> DataFrame:
     if with_paths:
         cols |= {"piece": F.when(found, F.concat("n_piece", "piece")).otherwise(F.col("piece")),
                  "depth": F.when(found, F.col("depth") + F.col("n_depth")).otherwise(F.col("depth"))}
-    moved = j.select(*[cols[c].alias(c) if c in cols else F.col(c) for c in cur.columns])
-    return done.unionByName(materialize(moved, "paths" if with_paths else "path-ends"))
+    moved = j.select(*[cols[c].alias(c) if c in cols else F.col(c) for c in live.columns])
+    return _State.of(materialize(moved, "paths" if with_paths else "path-ends"), cur.done)
 
 
-def _on_their_way(cur: DataFrame) -> bool:
-    return not cur.where(F.col("end").isNull()).isEmpty()
+def _on_their_way(cur: _State) -> bool:
+    return not cur.live.isEmpty()
 
 
-def _never_arriving(cur: DataFrame, steps: int) -> DataFrame:
+def _never_arriving(cur: _State, steps: int) -> DataFrame:
     """Ids whose chain never ends (they lead into a cycle), of units that have gone
     ``steps`` steps. Without a cycle every further step of a chain leads over another unit
     that is still on its way, so as many steps more as there are such units end it."""
-    ids = cur.select("id", "hop", "end")
+    ids = _State(cur.live.select("id", "hop", "end"), [d.select("id", "hop", "end") for d in cur.done])
     most = None
     while True:
-        live = ids.where(F.col("end").isNull()).count()
+        live = ids.live.count()
         most = steps + live if most is None else min(most, steps + live)
         if not live or steps >= most:
-            return ids.where(F.col("end").isNull()).select("id")
+            return ids.live.select("id")
         ids = _follow(ids, False)
         steps *= 2
 
@@ -88,20 +109,19 @@ def _arrived(units: DataFrame, known: DataFrame | None = None) -> DataFrame:
             "id", "uid", "parentid", "hop", F.when(met, F.concat("a_path", "piece")).otherwise(F.col("piece")).alias("piece"),
             F.when(met, F.col("depth") + F.col("a_level")).otherwise(F.col("depth")).alias("depth"),
             F.when(met, F.lit(ROOT)).otherwise(F.col("end")).alias("end"))
-    cur = materialize(cur, "paths")
+    cur = _State.of(materialize(cur, "paths"))
     rounds, checked = 0, False
     while _on_their_way(cur):
         if rounds >= ROUNDS_BEFORE_CYCLE_CHECK and not checked:
             lost = _never_arriving(cur, 2 ** rounds).withColumn("_lost", F.lit(True))
-            live = materialize(cur.where(F.col("end").isNull()).join(lost, "id", "left")
-                               .withColumn("end", F.when(F.col("_lost"), F.lit(DANGLING))).drop("_lost"), "paths")
-            cur = cur.where(F.col("end").isNotNull()).unionByName(live)
+            live = materialize(cur.live.join(lost, "id", "left").withColumn("end", F.when(F.col("_lost"), F.lit(DANGLING))).drop("_lost"), "paths")
+            cur = _State.of(live, cur.done)
             checked = True
             continue
         cur = _follow(cur, True)
         rounds += 1
     resolved = F.col("end") == ROOT
-    return cur.select(F.col("id").alias("organisationunitid"), "uid", "parentid",
+    return cur.frame().select(F.col("id").alias("organisationunitid"), "uid", "parentid",
                       F.when(resolved, F.col("piece")).alias("path"),
                       F.when(resolved, F.col("depth")).cast("int").alias("level"),
                       resolved.alias("resolved"))
