@@ -306,11 +306,11 @@ def terms_from_response(spark, sf):
 
 
 @query("responses_mixed", """
-select p_name as name, p_brand as brand, case when p_partkey // 100 % 3 = 2 then p_size end as size from part
+select p_name as name, p_brand as brand, case when p_partkey // 20 % 3 = 2 then p_size end as size from part
 """)
 def responses_mixed(spark, sf):
-    """SRC4: responses of 100 parts each, of which every third has a header more than the first."""
-    part = fx.raw(spark, sf, "part").withColumn("page", F.floor(F.col("p_partkey") / 100))
+    """SRC4: responses of 20 parts each, of which every third has a header more than the first."""
+    part = fx.raw(spark, sf, "part").withColumn("page", F.floor(F.col("p_partkey") / 20))
     more = F.col("page") % 3 == 2
     head = lambda *n: F.array(*[F.struct(F.lit(x).alias("name")) for x in n])
     pages = (part.select("page", F.when(more, F.array("p_name", F.col("p_size").cast("string"), "p_brand")).otherwise(F.array("p_name", "p_brand")).alias("row"))
