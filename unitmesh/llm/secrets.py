@@ -6,16 +6,14 @@ distinct repositories and owners: a value that many owners or many repositories
 is a copied example, one that a single owner holds in few repositories and that looks
 random is a live-looking credential of that owner. Both verdicts come back as further spans; base spans always stay.
 
-Texts are read once and never shuffled; only candidate rows (hash, owner, repository,
-place) move. A value that a third of the corpus holds is summed before the shuffle, and
+Texts are read once and never shuffled; only matches (hash, owner, repository, lengths)
+move, dealt by their row, where running sums give their places. A value that a third of the corpus holds is summed before the shuffle, and
 the verdicts are joined back from two written tables, so AQE can split a hot hash.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from unitmesh.llm.common import col, ready, written
 
@@ -24,6 +22,7 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"  # a run of at least 24 is a whole run of [0-9a-f]+ that passes
 KINDS = ("assign", "access", "hex", "owned", "copied")
+FOUND = ("assign", "access", "hex", "wider")  # what the patterns find: the base kinds, then the wider one
 MIN_ASSIGNED, MIN_ACCESS = 6, 20
 # The wider kind: long tokens of the usual key alphabets.
 TOKEN = r"[A-Za-z0-9_+/=-]{20,}"
@@ -33,21 +32,14 @@ LIVE_CHARS, LIVE_DISTINCT = 16, 8
 PLACEHOLDERS = r"(?i)example|sample|dummy|change_?me|placeholder|your_|xxxx|0000|1234567"
 
 
-def _spans(text: Column, found: Column, values: Column, pattern: str) -> Column:
-    """array<struct<start, end, value>> of the matches in ``found``: the texts between
-    them give their places, in code points."""
+def _found(kind: str, text: Column, found: Column, values: Column, pattern: str) -> Column:
+    """array<struct<kind, pos, gap, len, value>> of the matches in ``found``: ``gap`` is the
+    length of the text before the match and after the one before it, in code points."""
     between = F.slice(F.split(text, pattern, -1), 1, F.size(found))
     zipped = F.arrays_zip(between.alias("b"), found.alias("m"), values.alias("v"))
-    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out"))
-
-    def step(acc, x):
-        start = acc["at"] + F.char_length(x["b"])
-        end = start + F.char_length(x["m"])
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(
-            start.alias("start"), end.alias("end"), x["v"].alias("value")))).alias("out"))
-
-    empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    return F.when(F.size(found) > 0, F.aggregate(zipped, first, step, lambda acc: acc["out"])).otherwise(empty)
+    return F.transform(zipped, lambda x, i: F.struct(
+        F.lit(FOUND.index(kind)).alias("kind"), i.alias("pos"), F.char_length(x["b"]).alias("gap"),
+        F.char_length(x["m"]).alias("len"), x["v"].alias("value")))
 
 
 def _matches(text: Column, pattern: str, group: int, needs: Column | None = None) -> Column:
@@ -55,8 +47,8 @@ def _matches(text: Column, pattern: str, group: int, needs: Column | None = None
     return found if needs is None else F.when(needs, found).otherwise(F.array().cast("array<string>"))
 
 
-def base_and_wider(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_col: str) -> DataFrame:
-    """(``_rid``, ``_id``, ``_owner``, ``_repo``, and the spans of each kind) of every row."""
+def matches_of(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_col: str) -> DataFrame:
+    """(``_rid``, ``_id``, ``_owner``, ``_repo``, ``_found``: the matches of every kind) of every row."""
     text = F.col("_text")
     rows = docs.select(
         F.monotonically_increasing_id().alias("_rid"), col(id_col).alias("_id"), col(owner_col).alias("_owner"),
@@ -66,12 +58,31 @@ def base_and_wider(docs: DataFrame, id_col: str, text_col: str, owner_col: str,
                        _matches(text, ACCESS, 0, text.contains("AKIA")).alias("_k"),
                        _matches(text, HEX, 0).alias("_h"), _matches(text, TOKEN, 0).alias("_t"))
     rows = rows.select("*", F.when(F.size("_a") > 0, _matches(text, ASSIGN, 2)).otherwise(F.col("_a")).alias("_v"))
-    place = lambda found, pattern: _spans(text, F.col(found), F.col(found), pattern)
-    return rows.select(
-        "_rid", "_id", "_owner", "_repo",
-        F.filter(_spans(text, F.col("_a"), F.col("_v"), ASSIGN), lambda x: F.char_length(x["value"]) >= MIN_ASSIGNED).alias("assign"),
-        F.filter(place("_k", ACCESS), lambda x: F.char_length(x["value"]) >= MIN_ACCESS).alias("access"),
-        place("_h", HEX).alias("hex"), place("_t", TOKEN).alias("wider"))
+    whole = (("access", "_k", ACCESS), ("hex", "_h", HEX), ("wider", "_t", TOKEN))
+    return rows.select("_rid", "_id", "_owner", "_repo", F.concat(
+        _found("assign", text, F.col("_a"), F.col("_v"), ASSIGN),
+        *[_found(kind, text, F.col(c), F.col(c), pattern) for kind, c, pattern in whole]).alias("_found"))
+
+
+def places_of(rows: DataFrame) -> DataFrame:
+    """(``_rid``, ``_owner``, ``_repo``, ``_k``, ``_start``, ``_end``, ``_from``, ``_hash``,
+    ``_live``): one row per match that passes its kind's length, its place by a running sum
+    of lengths over the text's matches of the kind, so the time is linear in their number. ``_from`` is where
+    the value starts. Values are hashed before they move; all later grouping by row reuses
+    this one exchange."""
+    m = F.col("_m")
+    length = F.char_length(m["value"])
+    matches = (rows.select("_rid", "_owner", "_repo", F.explode("_found").alias("_m"))
+               .select("_rid", "_owner", "_repo", m["kind"].alias("_k"), m["pos"].alias("_pos"),
+                       (m["gap"] + m["len"]).alias("_step"), m["len"].alias("_len"), length.alias("_size"),
+                       F.md5(m["value"].cast("binary")).alias("_hash"), live_looking(m["value"]).alias("_live"))
+               .repartition("_rid"))
+    so_far = Window.partitionBy("_rid", "_k").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    passes = ((F.col("_k") != FOUND.index("assign")) | (F.col("_size") >= MIN_ASSIGNED)) & (
+        (F.col("_k") != FOUND.index("access")) | (F.col("_size") >= MIN_ACCESS))
+    return (matches.withColumn("_end", F.sum("_step").over(so_far).cast("int")).where(passes)
+            .select("_rid", "_owner", "_repo", "_k", (F.col("_end") - F.col("_len")).alias("_start"), "_end",
+                    (F.col("_end") - F.col("_size")).alias("_from"), "_hash", "_live"))
 
 
 def live_looking(value: Column) -> Column:
@@ -80,11 +91,6 @@ def live_looking(value: Column) -> Column:
             & (F.size(F.array_distinct(F.split(value, ""))) >= LIVE_DISTINCT) & ~value.rlike(PLACEHOLDERS))
 
 
-def _named(spans: Column, kind: str) -> Column:
-    return F.transform(spans, lambda x: F.struct(
-        x["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), x["end"].alias("end")))
-
-
 def _listed(spans: Column) -> Column:
     """kind:start:end by start, then kind as listed, comma-joined."""
     kinds = F.array(*[F.lit(k) for k in KINDS])
@@ -109,15 +115,12 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     An empty table gives an empty table. Extra columns are not read.
     """
     ready(docs.sparkSession)
-    rows = written(base_and_wider(docs, id_col, text_col, owner_col, repo_col), "secret-rows")
-    value = F.col("_c.value")
-    # An assigned value ends where its match ends.
-    assigned = F.transform("assign", lambda x: F.struct(
-        (x["end"] - F.char_length(x["value"])).alias("start"), x["end"].alias("end"), x["value"].alias("value")))
-    candidates = written(
-        rows.select("_rid", "_owner", "_repo", F.explode(F.array_distinct(F.concat(assigned, "access", "hex", "wider"))).alias("_c"))
-        .select("_rid", "_owner", "_repo", F.col("_c.start").alias("_start"), F.col("_c.end").alias("_end"),
-                F.md5(value.cast("binary")).alias("_hash"), live_looking(value).alias("_live")), "secret-candidates")
+    rows = written(matches_of(docs, id_col, text_col, owner_col, repo_col), "secret-rows")
+    places = written(places_of(rows), "secret-places")
+    # a place that several kinds find is one candidate
+    candidates = written(places.groupBy("_rid", F.col("_from").alias("_start"), "_end").agg(
+        F.first("_owner").alias("_owner"), F.first("_repo").alias("_repo"),
+        F.first("_hash").alias("_hash"), F.first("_live").alias("_live")), "secret-candidates")
     owners = (candidates.groupBy("_hash", "_owner", "_repo").agg(F.max("_live").alias("_live"))
               .groupBy("_hash", "_owner").agg(F.max("_live").alias("_live"), F.count(F.lit(1)).alias("_repos"))
               .groupBy("_hash").agg(F.max("_live").alias("_live"), F.count(F.lit(1)).alias("_owners"), F.sum("_repos").alias("_repos")))
@@ -125,13 +128,14 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     verdict = F.when(copied, F.lit(KINDS.index("copied"))).when(
         (F.col("_owners") == 1) & F.col("_live"), F.lit(KINDS.index("owned")))
     verdicts = written(owners.select("_hash", verdict.alias("_kind")).where("_kind is not null"), "secret-verdicts")
-    added = (candidates.join(verdicts, "_hash").groupBy("_rid").agg(F.collect_list(F.struct(
-        F.col("_start").alias("start"), F.col("_kind").alias("kind"), F.col("_end").alias("end"))).alias("_added")))
-    base = reduce(F.concat, [_named(F.col(k), k) for k in KINDS[:3]])
-    more = F.coalesce("_added", F.array().cast("array<struct<start:int,kind:int,end:int>>"))
-    count = lambda c: F.size(c).cast("long")
-    of_kind = lambda k: count(F.filter(more, lambda x: x["kind"] == KINDS.index(k)))
-    return rows.join(added, "_rid", "left").select(
-        F.col("_id").alias(id_col), count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
-        of_kind("owned").alias("n_owned"), of_kind("copied").alias("n_copied"),
-        _listed(base).alias("base"), _listed(F.concat(base, more)).alias("spans"))
+    base = places.where(F.col("_k") < FOUND.index("wider")).select("_rid", "_start", F.col("_k").alias("_kind"), "_end")
+    added = candidates.join(verdicts, "_hash").select("_rid", "_start", "_kind", "_end")
+    span = F.struct(F.col("_start").alias("start"), F.col("_kind").alias("kind"), F.col("_end").alias("end"))
+    of_kind = {k: F.count(F.when(F.col("_kind") == i, 1)) for i, k in enumerate(KINDS)}
+    spans = base.unionByName(added).groupBy("_rid").agg(
+        *[c.alias(f"n_{k}") for k, c in of_kind.items()],
+        F.collect_list(F.when(F.col("_kind") < len(FOUND) - 1, span)).alias("_base"), F.collect_list(span).alias("_all"))
+    none = F.lit("")
+    return rows.select("_rid", "_id").join(spans, "_rid", "left").select(
+        F.col("_id").alias(id_col), *[F.coalesce(f"n_{k}", F.lit(0).cast("long")).alias(f"n_{k}") for k in KINDS],
+        F.coalesce(_listed(F.col("_base")), none).alias("base"), F.coalesce(_listed(F.col("_all")), none).alias("spans"))
