@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import re
+import time
 from collections import defaultdict
 
+import duckdb
+
 from unitmesh.llm.secrets import scan_secrets
+from unitmesh.llm.sql import OP3_SECRET_SCAN
 
 ASSIGN = re.compile(r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 KINDS = ["assign", "access", "hex", "owned", "copied"]
@@ -19,19 +23,20 @@ def base_of(text):
 
 
 def slow(docs):
-    found, owners = [], defaultdict(set)
+    found, owners, repos = [], defaultdict(set), defaultdict(set)
     for i, t, s in docs:
         base = base_of(t or "")
         cand = {(e - len(v), e, v) for _, k, e, v in base} | {(m.start(), m.end(), m.group()) for m in re.finditer(r"[A-Za-z0-9_+/=-]{20,}", t or "")}
         found.append((i, base, cand))
         for _, _, v in cand:
             owners[v].add(s)
+            repos[v].add((s, i))
     out = []
     for i, base, cand in found:
         added = []
         for b, e, v in cand:
             live = len(v) >= 16 and re.search("[0-9]", v) and re.search("[A-Za-z]", v) and len(set(v)) >= 8 and not BAD.search(v)
-            if len(owners[v]) >= 3:
+            if len(owners[v]) >= 3 or len(repos[v]) >= 10:
                 added.append((b, 4, e))
             elif len(owners[v]) == 1 and live:
                 added.append((b, 3, e))
@@ -85,3 +90,32 @@ def test_copied_by_many_repositories_of_one_owner(docs_of):
     # a value repeated inside one document is in one repository
     same = scan_secrets(docs_of([(1, f"k {few} " * 12)])).first()
     assert (same["n_owned"], same["n_copied"]) == (12, 0)
+
+
+def test_sql_counts_repositories_of_one_owner(docs_of):
+    """One owner's value in ten documents, another's in nine: plain version and SQL agree."""
+    many, few = "ab12cd34ef56ab78cd90ef12ab34cd56", "ffee1122ddcc3344bbaa5566"
+    texts = {3 * k: f"k {many} token = {many}" for k in range(10)} | {3 * k + 1: f"k {few}" for k in range(9)}
+    docs = docs_of([(i, texts.get(i, "")) for i in range(31)])
+    check(docs)
+    con = duckdb.connect()
+    documents = docs.toPandas()  # noqa: F841
+    con.register("documents", documents)
+    got = {r["doc_id"]: (r["spans"], r["n_owned"], r["n_copied"]) for r in scan_secrets(docs).collect()}
+    cur = con.execute(OP3_SECRET_SCAN)
+    names = [c[0] for c in cur.description]
+    want = {r["doc_id"]: (r["spans"], r["n_owned"], r["n_copied"]) for r in (dict(zip(names, x)) for x in cur.fetchall())}
+    assert got == want and got[0][2] == 2 and got[1][1] == 1
+
+
+def test_time_is_linear_in_matches(docs_of):
+    def seconds(n):
+        docs = docs_of([(1, " ".join(f"{i:032x}" for i in range(n)))])
+        began = time.perf_counter()
+        row = scan_secrets(docs).first()
+        assert row["n_hex"] == n and row["base"].startswith("hex:0:32,hex:33:65,") and row["base"].endswith(f"hex:{33 * n - 33}:{33 * n - 1}")
+        return time.perf_counter() - began
+
+    seconds(10)
+    fewer, more = seconds(10_000), seconds(100_000)
+    assert more < 15 * fewer + 5

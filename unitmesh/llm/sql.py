@@ -84,14 +84,14 @@ spans as (
 cand as (
   select distinct doc_id, source, value, case when kind = 0 then e - length(value) else b end as b, e from spans),
 seen as (
-  select value, count(distinct coalesce(source, chr(0))) as owners,
+  select value, count(distinct coalesce(source, chr(0))) as owners, count(distinct (coalesce(source, chr(0)), coalesce(doc_id, -1))) as repos,
          length(value) >= 16 and regexp_matches(value, '[0-9]') and regexp_matches(value, '[A-Za-z]')
          and len(list_distinct(string_split(value, ''))) >= 8
          and not regexp_matches(value, '(?i)example|sample|dummy|change_?me|placeholder|your_|xxxx|0000|1234567') as live
   from cand group by value),
 added as (
-  select doc_id, case when owners >= 3 then 4 else 3 end as kind, b, e
-  from cand join seen using (value) where owners >= 3 or (owners = 1 and live)),
+  select doc_id, case when owners >= 3 or repos >= 10 then 4 else 3 end as kind, b, e
+  from cand join seen using (value) where owners >= 3 or repos >= 10 or (owners = 1 and live)),
 everything as (
   select doc_id, kind, b, e from spans where kind < 3 union all select doc_id, kind, b, e from added),
 named as (
