@@ -73,14 +73,16 @@ def _unit_lookup(orgunits: DataFrame, uids: DataFrame, small: bool) -> DataFrame
             .select("uid", "organisationunitid", F.coalesce("has_children", F.lit(False)).alias("has_children")))
 
 
-def validate_merges(requests: DataFrame, orgunits: DataFrame) -> DataFrame:
+def validate_merges(requests: DataFrame, orgunits: DataFrame, in_order: bool = False) -> DataFrame:
     """Add ``source_id``, ``dest_id`` and ``error`` (NULL when valid) to merge requests.
 
     ``requests`` has ``source_uid``, ``dest_uid``, ``strategy``. Checks, first failure
     reported: unknown source, unknown destination, self-merge, strategy not one of the
     six (case-sensitive), source has children, source requested more than once, a
     chain (the destination is some request's source, or the source some request's
-    destination), and a destination requested with different strategies.
+    destination), and a destination requested with different strategies. With
+    ``in_order`` the requests are to be replayed one after another
+    (:mod:`unitmesh.operators.replay`), where the last three are no errors.
     """
     uids = (requests.select(F.col("source_uid").alias("uid"))
             .unionByName(requests.select(F.col("dest_uid").alias("uid"))))
@@ -110,11 +112,12 @@ def validate_merges(requests: DataFrame, orgunits: DataFrame) -> DataFrame:
              .when(F.col("dest_id").isNull(), F.lit(ERR_DEST))
              .when(F.col("source_uid") == F.col("dest_uid"), F.lit(ERR_SELF))
              .when(~F.coalesce(F.col("strategy").isin(*STRATEGIES), F.lit(False)), F.lit(ERR_STRATEGY))
-             .when(F.col("source_has_children"), F.lit(ERR_CHILDREN))
-             .when(F.col("source_uses") > 1, F.lit(ERR_REPEATED))
-             .when(F.coalesce(F.col("dest_is_source"), F.lit(False)) | F.coalesce(F.col("source_is_dest"), F.lit(False)),
-                   F.lit(ERR_CHAIN))
-             .when(F.col("dest_strategies") > 1, F.lit(ERR_MIXED)))
+             .when(F.col("source_has_children"), F.lit(ERR_CHILDREN)))
+    if not in_order:
+        chained = F.coalesce(F.col("dest_is_source"), F.lit(False)) | F.coalesce(F.col("source_is_dest"), F.lit(False))
+        error = (error.when(F.col("source_uses") > 1, F.lit(ERR_REPEATED))
+                 .when(chained, F.lit(ERR_CHAIN))
+                 .when(F.col("dest_strategies") > 1, F.lit(ERR_MIXED)))
     return r.select(*requests.columns, "source_id", "dest_id", error.alias("error"))
 
 

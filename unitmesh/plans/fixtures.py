@@ -110,6 +110,20 @@ select cast(1001 + s_suppkey as int) as source_id, cast(1000 + s_suppkey as int)
 where s_suppkey % 6 = 1 or s_suppkey % 6 = 5
 """)
 
+# Merge requests in an order that matters, in groups of six neighbours: several sources of a
+# destination, the destination then a source itself and, in half the groups, filled again.
+# Step k of all groups touches different sites.
+_fx("f_merge_sequence", (), """
+select cast(step * 1000000 + b as int) as request_no, cast(1001 + b + src as int) as source_id, cast(1001 + b + dst as int) as dest_id,
+       case (cast(floor(b / 6) as int) * 2 + step * (1 + cast(floor(b / 12) as int) % 2)) % 6
+            when 0 then 'AVG' when 1 then 'SUM' when 2 then 'LAST' when 3 then 'AVG' when 4 then 'MAX' else case when b % 4 = 0 then 'MIN' else 'FIRST' end end as strategy
+from (select cast(s_suppkey as int) as b, cast(floor(s_suppkey / 6) as int) % 2 as odd from {supplier}
+      where s_suppkey % 6 = 0 and s_suppkey + 5 <= (select max(s_suppkey) from {supplier})) g
+join (select 0 as odd, 1 as step, 1 as src, 0 as dst union all select 0, 2, 2, 0 union all select 0, 3, 0, 3 union all select 0, 4, 4, 3
+      union all select 0, 5, 3, 0 union all select 1, 1, 1, 0 union all select 1, 2, 3, 2 union all select 1, 3, 2, 0
+      union all select 1, 4, 4, 0) s on s.odd = g.odd
+""")
+
 # Merge requests by uid with some invalid ones: unknown source or destination,
 # self-merges, a lower-case strategy, sources with children (nations), repeated
 # sources and chains (a destination that is also a source).

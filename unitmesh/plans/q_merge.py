@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from unitmesh.operators import buckets as B
 from unitmesh.operators import merge as M
+from unitmesh.operators import replay as R
 from unitmesh.plans import fixtures as fx
 from unitmesh.plans.registry import RUN_TS, query
 from unitmesh.session import scratch_path
@@ -166,6 +167,59 @@ def merge_exact(spark, sf):
     return out
 
 
+def _replay_sql(steps: int) -> str:
+    """The requests of one step touch different sites, so the steps are merged one after
+    another, each over what the step before left. Numbers are counted in ten-digit parts."""
+    key = "dest, dataelementid, periodid, categoryoptioncomboid, attributeoptioncomboid"
+    cols = ("dataelementid, periodid, sourceid, categoryoptioncomboid, value, storedby, lastupdated, comment, followup, "
+            "attributeoptioncomboid, created, deleted")
+    moved = cols.replace("sourceid", "dest as sourceid")
+    now = f"TIMESTAMP '{RUN_TS}'"
+    stamped = moved.replace("lastupdated", f"{now} as lastupdated")
+    text = fx.with_clause(["f_merge_sequence", "f_datavalue", "f_dataelement"], fx.DUCKDB_TABLES) + f"""
+, cls AS (select dataelementid, max(coalesce(valuetype in ('INTEGER','NUMBER','INTEGER_ZERO_OR_POSITIVE','INTEGER_POSITIVE'), false)) as is_num,
+                 max(coalesce(valuetype not in ('INTEGER','NUMBER','INTEGER_ZERO_OR_POSITIVE','INTEGER_POSITIVE'), false)) as is_oth
+          from f_dataelement group by dataelementid)
+, s0 AS MATERIALIZED (select {cols} from f_datavalue
+  where sourceid in (select source_id from f_merge_sequence union select dest_id from f_merge_sequence))"""
+    for k in range(1, steps + 1):
+        text += f"""
+, m{k} AS MATERIALIZED (select source_id as site, dest_id as dest, strategy as strat from f_merge_sequence where request_no // 1000000 = {k}
+  union all select dest_id, dest_id, strategy from f_merge_sequence where request_no // 1000000 = {k})
+, k{k} AS MATERIALIZED (
+  select v.*, m.dest, m.strat, coalesce(c.is_num, false) as is_num, coalesce(c.is_oth, false) as is_oth, count(*) over (partition by {key}) as n,
+         rank() over (partition by {key} order by lastupdated asc nulls last) as oldest,
+         rank() over (partition by {key} order by lastupdated desc nulls first) as newest,
+         rank() over (partition by {key} order by lastupdated desc nulls first, v.sourceid) as winner,
+         try_cast(split_part(value, '.', 1) as hugeint) * 10000000000 + try_cast(rpad(split_part(value, '.', 2), 10, '0') as hugeint) as num
+  from s{k - 1} v join m{k} m on m.site = v.sourceid left join cls c using (dataelementid)
+  where v.deleted = false and dataelementid is not null and periodid is not null and categoryoptioncomboid is not null and attributeoptioncomboid is not null)
+, a{k} AS (select {key}, case strat when 'SUM' then sum(num) when 'AVG' then (2 * sum(num) + count(num)) // (2 * count(num))
+                                    when 'MAX' then max(num) else min(num) end::hugeint as num
+  from k{k} where n > 1 and is_num and strat in ('SUM', 'AVG', 'MAX', 'MIN') group by {key}, strat)
+, s{k} AS MATERIALIZED (
+  select {cols} from s{k - 1} where sourceid not in (select site from m{k})
+  union all
+  select dataelementid, periodid, dest, categoryoptioncomboid,
+         rtrim(rtrim(cast(num // 10000000000 as varchar) || '.' || lpad(cast(num % 10000000000 as varchar), 10, '0'), '0'), '.'),
+         'admin', {now}, null, false, attributeoptioncomboid, {now}, false from a{k}
+  union all
+  (select distinct {moved} from k{k} where n > 1 and is_num and ((strat = 'FIRST' and oldest = 1) or (strat = 'LAST' and newest = 1)))
+  union all
+  select {stamped} from k{k} where n > 1 and is_oth and winner = 1
+  union all
+  select {stamped} from k{k} where n = 1)"""
+    return text + f"\nselect {cols} from s{steps}\n"
+
+
+@query("merge_in_order", _replay_sql(5))
+def merge_in_order(spark, sf):
+    """MRG1 in request order: merges replayed one after another, chains and refilled sites
+    included; the rows that replace those of every touched site of f_merge_sequence."""
+    return R.replay_merges(fx.load(spark, sf, "f_datavalue"), fx.load(spark, sf, "f_dataelement"),
+                           fx.load(spark, sf, "f_merge_sequence"), RUN_TS).staged
+
+
 @query("merge_ties", _text(_rank_sql("lastupdated desc nulls first"), """
 select sourceid as dest, dataelementid, periodid, categoryoptioncomboid, attributeoptioncomboid, count(*) as winners
 from numeric group by sourceid, dataelementid, periodid, categoryoptioncomboid, attributeoptioncomboid having count(*) > 1
