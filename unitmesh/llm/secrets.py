@@ -37,9 +37,12 @@ def _found(kind: str, text: Column, found: Column, values: Column, pattern: str)
     length of the text before the match and after the one before it, in code points."""
     between = F.slice(F.split(text, pattern, -1), 1, F.size(found))
     zipped = F.arrays_zip(between.alias("b"), found.alias("m"), values.alias("v"))
-    return F.transform(zipped, lambda x, i: F.struct(
+    places = F.transform(zipped, lambda x, i: F.struct(
         F.lit(FOUND.index(kind)).alias("kind"), i.alias("pos"), F.char_length(x["b"]).alias("gap"),
         F.char_length(x["m"]).alias("len"), x["v"].alias("value")))
+    # a text without matches is not split
+    return F.when(F.size(found) > 0, places).otherwise(
+        F.array().cast("array<struct<kind:int,pos:int,gap:int,len:int,value:string>>"))
 
 
 def _matches(text: Column, pattern: str, group: int, needs: Column | None = None) -> Column:
