@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from unitmesh.operators import cascade as C
+from unitmesh.operators import hierarchy as H
 from unitmesh.operators import merge as M
 from unitmesh.plans import fixtures as fx
 from unitmesh.plans.joins import CONF_KEY
@@ -89,3 +90,16 @@ def test_many_instances_are_probed_as_a_bitmap(spark):
         assert rows(gone.counts().where("table_name = 'trackedentitydatavalue'"), "deleted_rows") == [(1,)]
     finally:
         spark.conf.unset(CONF_KEY)
+
+
+def test_units_pointed_to_are_told_before_the_shuffle(spark):
+    n = 20_000
+    live = materialize(spark.range(n).select(F.col("id").cast("int").alias("hop")), "live")
+    rows_ = materialize(spark.createDataFrame([(5, "/a"), (n + 5, "/b"), (-3, "/c"), (None, "/d")], "hop int, piece string"), "rows")
+    spark.conf.set(CONF_KEY, "16384")
+    try:
+        met = H._pointed_to(rows_, live)
+        assert "SortMergeJoin" not in met._jdf.queryExecution().executedPlan().toString()
+        assert rows(met) == [(5, "/a")]
+    finally:
+        spark.conf.unset(CONF_KEY)

@@ -18,9 +18,11 @@ their way than steps gone. A cycle or a dangling parent gives a NULL path and ``
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from unitmesh.operators.numbering import row_numbers
-from unitmesh.plans.joins import join_small, key_values
+from unitmesh.plans.bitmaps import KeyBitmap
+from unitmesh.plans.joins import is_small, join_small, key_values, small_side
 from unitmesh.plans.materialize import materialize
 
 # Rounds of path doubling before the units that never arrive are looked for.
@@ -58,7 +60,7 @@ def _follow(cur: _State, with_paths: bool) -> _State:
     n = [F.col("id").alias("hop"), F.col("id").alias("n_id"), F.col("hop").alias("n_hop"), F.col("end").alias("n_end")]
     if with_paths:
         n += [F.col("piece").alias("n_piece"), F.col("depth").alias("n_depth")]
-    hops = cur.frame(*n).join(live.select("hop").distinct(), "hop", "left_semi")
+    hops = _pointed_to(cur.frame(*n), live)
     j = live.join(hops, "hop", "left")
     found = F.col("n_id").isNotNull()
     cols = {"hop": F.when(found, F.col("n_hop")).otherwise(F.col("hop")),
@@ -70,6 +72,15 @@ def _follow(cur: _State, with_paths: bool) -> _State:
     return _State.of(materialize(moved, "paths" if with_paths else "path-ends"), cur.done)
 
 
+def _pointed_to(rows: DataFrame, live: DataFrame) -> DataFrame:
+    """``rows`` whose ``hop`` some unit of ``live`` points to. Rows hold whole paths, so they
+    are told before the shuffle: by a broadcast of the ids or, if many, by their bitmap."""
+    ids = live.select("hop").distinct()
+    if not is_small(ids) and isinstance(ids.schema["hop"].dataType, T.IntegralType):
+        return KeyBitmap(ids, "hop").matching(rows, "hop")
+    return rows.join(small_side(ids), "hop", "left_semi")
+
+
 def _on_their_way(cur: _State) -> bool:
     return not cur.live.isEmpty()
 
