@@ -12,7 +12,7 @@ from unitmesh.operators import cascade as C
 from unitmesh.operators import hierarchy as H
 from unitmesh.operators import merge as M
 from unitmesh.plans import fixtures as fx
-from unitmesh.plans.joins import CONF_KEY
+from unitmesh.plans.joins import CONF_KEY, split_repeated
 from unitmesh.plans.materialize import materialize
 from unitmesh.schemas import DATAVALUE
 from unitmesh.session import SCRATCH
@@ -58,6 +58,31 @@ def test_too_many_repeated_keys_give_the_same_rows(spark):
         spark.conf.unset(CONF_KEY)
 
 
+def test_repeated_keys_beyond_the_bound_leave_single_rows_out(spark):
+    overlaps = [(1, 10000 + k, site, 0, str(k), "u", T, None, False, 0, T, False) for k in range(2000) for site in (10, 11)]
+    dv = _values(spark, 500).unionByName(spark.createDataFrame(overlaps, DATAVALUE))
+    few = rows(_merged(spark, dv).staged)
+    spark.conf.set(CONF_KEY, "8400")  # 2,001 hashes take more, a bitmap of two blocks less
+    try:
+        since = len(SCRATCH)
+        assert rows(_merged(spark, dv).staged) == few
+        assert 2001 <= _written(spark, "merge-keys", since)[0] < 2501 - 400
+    finally:
+        spark.conf.unset(CONF_KEY)
+
+
+def test_rows_split_by_a_bitmap_of_places(spark):
+    df = spark.createDataFrame([(k % 3000, k) for k in range(5000)] + [(None, -1), (None, -2)], "k long, v long")
+    spark.conf.set(CONF_KEY, "8400")
+    try:
+        shared, alone = split_repeated(df, F.when(F.col("k").isNotNull(), F.xxhash64("k")))
+    finally:
+        spark.conf.unset(CONF_KEY)
+    assert rows(shared.unionByName(alone)) == rows(df)  # each row in one of the two
+    assert {v for _, v in rows(alone)} <= {*range(2000, 3000), -1, -2}
+    assert {-1, -2} <= {v for _, v in rows(alone)} and alone.count() > 900
+
+
 def test_value_table_numbers_only_shared_keys(spark, tmp_path):
     day = lambda k: dt.datetime(1995, 1, 1 + k)
     lines = [(o, p, s, n, float(o or 0), 10.0 + (o or 0), 0.07, 0.0, "R", "F", day(d)) for o, p, s, n, d in (
