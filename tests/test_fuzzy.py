@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from unitmesh.functions import jaro as J
 from unitmesh.functions.jaro import jaro, jaro_many
 from unitmesh.operators import fuzzy
 from unitmesh.operators.fuzzy import fuzzy_matches, fuzzy_pairs, prefix_rows
@@ -92,3 +93,25 @@ def test_empty_sides(spark):
     assert fuzzy_pairs(none, some, "n", "n").count() == 0 and fuzzy_pairs(some, none, "n", "n").count() == 0
     with pytest.raises(ValueError):
         fuzzy_pairs(some, some, "n", "n", 0)
+
+
+def test_blocks_of_one_window_and_of_several():
+    rng = random.Random(3)
+    for n, longest, alphabet in ((3000, 40, "abcde "), (40, 300, "abc"), (500, 20, "aé\U0001f600中")):
+        a, b = names(rng, n, alphabet, longest), names(rng, n, alphabet, longest)
+        assert list(jaro_many(a, b)) == [plain(x, y) for x, y in zip(a, b)]
+
+
+def test_pairs_scored_at_once_are_of_like_length(monkeypatch):
+    rng = random.Random(5)
+    a, b = names(rng, 6000, "abcde ", 40), names(rng, 6000, "abcde ", 40)
+    block, sizes = J._jaro_block, []
+
+    def seen(left, right):
+        sizes.append([max(len(x), len(y), 1) for x, y in zip(left, right)])
+        return block(left, right)
+
+    monkeypatch.setattr(J, "_jaro_block", seen)
+    assert list(jaro_many(a, b)) == [plain(x, y) for x, y in zip(a, b)]
+    assert sum(map(len, sizes)) == 6000
+    assert sum(max(s) * len(s) for s in sizes) < 1.2 * sum(map(sum, sizes))

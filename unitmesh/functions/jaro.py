@@ -17,13 +17,15 @@ from unitmesh.session import ship_package
 
 # Cells (pairs x characters) compared at once.
 _CELLS = 1 << 20
+# Pairs from which a block ends where the matching window does.
+_ALIKE = 512
 
 
 def _codes(texts: list[str], pad: int) -> tuple[np.ndarray, np.ndarray]:
-    """Code points plus one as a padded matrix, and the lengths."""
+    """Code points plus two as a padded matrix of the narrowest type, and the lengths."""
     size = np.array([len(t) for t in texts])
-    flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) + 1
-    out = np.full((len(texts), int(size.max(initial=0))), pad, np.int64)
+    flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32) + np.uint32(2)
+    out = np.full((len(texts), int(size.max(initial=0))), pad, np.min_scalar_type(int(flat.max(initial=2))))
     out[np.arange(out.shape[1])[None, :] < size[:, None]] = flat
     return out, size
 
@@ -34,21 +36,24 @@ def _in_order(codes: np.ndarray, taken: np.ndarray, n: int) -> np.ndarray:
 
 
 def _jaro_block(left: list[str], right: list[str]) -> np.ndarray:
-    a, la = _codes(left, -1)
+    a, la = _codes(left, 1)
     b, lb = _codes(right, 0)
     window = np.maximum(np.maximum(la, lb) // 2 - 1, 0)
     widest, rows = int(window.max(initial=0)), np.arange(len(a))
-    took_a, took_b = np.zeros(a.shape, bool), np.zeros(b.shape, bool)
+    alike = bool((window == widest).all())
+    took_a, free_b = np.zeros(a.shape, bool), b.copy()  # taken characters become padding
     for i in range(a.shape[1]):
         lo, hi = max(0, i - widest), min(b.shape[1], i + widest + 1)
         if lo >= hi:
             break
-        at = np.arange(lo, hi)[None, :]
-        free = (b[:, lo:hi] == a[:, i, None]) & ~took_b[:, lo:hi] & (np.abs(at - i) <= window[:, None])
+        free = free_b[:, lo:hi] == a[:, i, None]
+        if not alike:
+            free &= np.abs(np.arange(lo, hi)[None, :] - i) <= window[:, None]
         first = free.argmax(axis=1)
         hit = free[rows, first]
-        took_a[hit, i] = True
-        took_b[rows[hit], lo + first[hit]] = True
+        took_a[:, i] = hit
+        free_b[rows[hit], lo + first[hit]] = 0
+    took_b = free_b != b
     m = took_a.sum(axis=1)
     n = int(m.max(initial=0))
     differ = (_in_order(a, took_a, n) != _in_order(b, took_b, n)) & (np.arange(n)[None, :] < m[:, None])
@@ -61,12 +66,14 @@ def jaro_many(left: list[str], right: list[str]) -> np.ndarray:
     """Jaro similarities of the pairs of two equally long lists, many pairs at a time."""
     size = np.array([max(len(a), len(b), 1) for a, b in zip(left, right)])
     order = np.argsort(size, kind="stable")  # pairs of like length together: little padding
-    out = np.zeros(len(size))
+    size, out = size[order], np.zeros(len(size))
+    window = size // 2
     lo = 0
     while lo < len(order):
-        hi = lo + 1
-        while hi < len(order) and (hi + 1 - lo) * size[order[hi]] <= _CELLS:
-            hi += 1
+        cells = np.arange(1, min(len(size) - lo, _CELLS // size[lo]) + 1) * size[lo:lo + _CELLS // size[lo]]
+        hi = lo + max(1, int(np.searchsorted(cells, _CELLS, "right")))
+        if hi - lo > _ALIKE:  # enough pairs of one window
+            hi = min(hi, int(np.searchsorted(window, window[lo + _ALIKE - 1], "right")))
         at = order[lo:hi]
         out[at] = _jaro_block([left[i] for i in at], [right[i] for i in at])
         lo = hi

@@ -122,14 +122,17 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name: s
 
     def dealt(side: int, mine: str, other: str, prefix: str, at: str, across: str) -> DataFrame:
         met = join_small(rows.where(F.col("side") == side), grid, key)
+        partner = _shortest(F.col("ca" if side else "cb"))  # a bound that a row has before it meets its partners
+        met = met.withColumn("may", F.col("len") - needed(F.col("len"), partner, threshold))
         return met.select(*key, F.pmod(F.xxhash64("nid"), F.col(mine).cast("long")).cast("int").alias(at),
                           F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(across),
-                          *[F.col(c).alias(f"{prefix}_{c}") for c in ("nid", "len", "b1", "b2")])
+                          *[F.col(c).alias(f"{prefix}_{c}") for c in ("nid", "len", "b1", "b2", "may")])
 
     l, r = dealt(0, "tl", "tr", "l", "i", "j"), dealt(1, "tr", "tl", "r", "j", "i")
     least = needed(F.col("l_len"), F.col("r_len"), threshold)
-    near = ((_lacking(("l_b1", "r_b1"), ("l_b2", "r_b2")) <= F.col("l_len") - least)
-            & (_lacking(("r_b1", "l_b1"), ("r_b2", "l_b2")) <= F.col("r_len") - least))
+    lacks = _lacking(("l_b1", "r_b1"), ("l_b2", "r_b2")), _lacking(("r_b1", "l_b1"), ("r_b2", "l_b2"))
+    near = ((lacks[0] <= F.col("l_may")) & (lacks[1] <= F.col("r_may"))
+            & (lacks[0] <= F.col("l_len") - least) & (lacks[1] <= F.col("r_len") - least))
     on = [l[c] == r[c] for c in (*key, "i", "j")]
     found = l.join(r, [*on, near], "inner").select("l_nid", "r_nid").distinct()  # a pair meets under each of its common rare tokens
     a, b = (names.where(F.col("side") == k).select(F.col("nid").alias(f"{p}_nid"), F.col("name").alias(c))
